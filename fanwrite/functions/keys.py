@@ -15,9 +15,9 @@ from fanwrite.functions.events import ColumnLike, _col
 
 
 def uuid_text(hex32: ColumnLike) -> Column:
-    """Format 32 hex digits as 8-4-4-4-12."""
+    """Format 32 hex digits as 8-4-4-4-12 (NULL stays NULL)."""
     h = _col(hex32)
-    return F.concat_ws(
+    parts = F.concat_ws(
         "-",
         F.substring(h, 1, 8),
         F.substring(h, 9, 4),
@@ -25,6 +25,7 @@ def uuid_text(hex32: ColumnLike) -> Column:
         F.substring(h, 17, 4),
         F.substring(h, 21, 12),
     )
+    return F.when(h.isNotNull(), parts)
 
 
 def digest_key(text: ColumnLike) -> Column:

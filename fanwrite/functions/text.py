@@ -15,9 +15,11 @@ def blob_text(event: ColumnLike) -> Column:
     value prints as ``null``; an empty value prints as nothing after ``=``.
     """
     ev = _col(event)
+    # Keys are unique, so sorting the (key, value) entries sorts by key; no
+    # per-key lookup back into the map.
     entries = F.transform(
-        F.array_sort(F.map_keys(ev)),
-        lambda k: F.concat(k, F.lit("="), F.coalesce(ev[k], F.lit("null"))),
+        F.array_sort(F.map_entries(ev)),
+        lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))),
     )
     return F.when(ev.isNotNull(), F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}")))
 

@@ -19,8 +19,14 @@ def decode_messages(messages: DataFrame, strict: bool = False, payload: str = "v
     of strings gets ``decode``.  With ``strict`` a bad payload fails the job
     instead.
     """
+    # The decoded map comes out of a one-row generator rather than a plain
+    # projection.  A filter on ``event``/``reason`` (good rows, rejects) is
+    # then evaluated on the decoded column; through a projection the
+    # optimizer would inline ``from_json`` into the filter, parsing every
+    # payload twice and, below a repartition, in the pre-shuffle tasks.
     event = decode(F.col(payload), strict=strict)
-    return messages.withColumn("event", event).withColumn(
+    decoded = messages.select("*", F.inline(F.array(F.struct(event.alias("event")))))
+    return decoded.withColumn(
         "reason",
         F.when(F.col(payload).isNull(), F.lit(REASON_NULL_PAYLOAD)).when(F.col("event").isNull(), F.lit(REASON_DECODE)),
     )

@@ -23,6 +23,7 @@ from fanwrite.functions.keys import digest_key
 from fanwrite.operators.decode import decode_messages, good, rejected
 from fanwrite.operators.latest import document_fields
 from fanwrite.operators.layout import blob_cells, wide_cells
+from fanwrite.operators.parallelism import spread
 from fanwrite.operators.tenants import route_counts, tenant_filter, tenant_list
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.bulk import bulk_load
@@ -52,8 +53,12 @@ def _opts(**kw) -> FanoutOptions:
     return FanoutOptions(**base)
 
 
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "events"))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_from_table(read_table(spark, sf_dir, "events"))
+    return events_from_table(_table(spark, sf_dir))
 
 
 def _prepared(spark: SparkSession, sf_dir: str, opts: FanoutOptions) -> DataFrame:
@@ -84,7 +89,7 @@ def q_restamp_event_time(spark, sf_dir):
 def q_drop_empty_fields(spark, sf_dir):
     # A producer that sends every field, NULLs included, as JSON; the decoded
     # maps then lose their NULL and empty values.
-    raw = raw_events_from_table(read_table(spark, sf_dir, "events"))
+    raw = raw_events_from_table(_table(spark, sf_dir))
     wire = raw.select("event_id", encode("event").alias("payload"))
     return _fields(wire.select("event_id", drop_empty(decode("payload")).alias("event")), "event_id")
 
@@ -151,8 +156,7 @@ def q_rejects(spark, sf_dir):
 
 
 def q_csv_events(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "events")
-    fields = raw_events_from_table(rows).select([F.col("event")[c].alias(c) for c in DECODED_FIELDS])
+    fields = raw_events_from_table(_table(spark, sf_dir)).select([F.col("event")[c].alias(c) for c in DECODED_FIELDS])
     path = write_csv_events(fields, scratch_dir(spark, "csv") + "/events", list(DECODED_FIELDS))
     ev = good(read_csv_events(spark, path))
     return ev.select(F.col("event")["id"].alias("event_key"), F.explode("event").alias("qualifier", "value"))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fanwrite.operators.decode import decode_messages
+from fanwrite.operators.parallelism import spread
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.fanout import Enrich, prepare
 from fanwrite.sinks.fs import batch_ids, list_names
@@ -48,6 +49,7 @@ class FanoutJob:
         stats: StatsSink | None = None,
         enrich: Enrich | None = None,
         position: Sequence[str] | None = POSITION_COLUMNS,
+        min_partitions: int | None = None,
     ):
         if not sinks:
             raise ValueError("no sink selected: enable the table sink, the index sink or both")
@@ -57,7 +59,9 @@ class FanoutJob:
         self.stats = stats
         self.enrich = enrich
         self.position = tuple(position) if position else None
+        self.min_partitions = min_partitions
         self.last_timings: dict[str, float] = {}
+        self.history: list[tuple[int, dict[str, float]]] = []
 
     def prepared(self, batch: DataFrame) -> DataFrame:
         decoded = decode_messages(batch, strict=self.opts.on_bad == "fail")
@@ -70,9 +74,10 @@ class FanoutJob:
         return time.perf_counter() - start
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        started = time.perf_counter()
         if batch.isEmpty():
             return
-        prepared = self.prepared(batch)
+        prepared = self.prepared(spread(batch, self.min_partitions))
         readers = len(self.sinks) + (self.rejects is not None) + (self.stats is not None)
         cached = prepared.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else prepared
         try:
@@ -94,7 +99,9 @@ class FanoutJob:
                 if self.rejects is not None:
                     frames.append(self.rejects.stats(bad, timings[self.rejects.name]))
                 self.stats.write(reduce(DataFrame.unionByName, frames), batch_id)
+            timings["batch_total"] = time.perf_counter() - started
             self.last_timings = timings
+            self.history.append((batch_id, timings))
         finally:
             if cached is not prepared:
                 cached.unpersist()

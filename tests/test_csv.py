@@ -1,0 +1,36 @@
+"""CSV event files: header codes, raw quotes, empty fields, long rows."""
+
+from pyspark.sql import functions as F
+
+from fanwrite.sources.csv_events import header_codes, read_csv_events
+
+
+def write(path, text):
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_rows_to_events_with_rejects(spark, scratch):
+    path = write(
+        scratch + "/events.csv",
+        "EventID(id),Message(msg),TenantName(rv39),InitiatorUserName(sun)\n"
+        '1,"quoted" text,acme, \n'
+        "2,,acme,\n"
+        "3,m,acme,u,EXTRA\n"
+        "4,m\n"
+        "5,m,,u,,,\n",
+    )
+    assert header_codes(spark, path) == ["id", "msg", "rv39", "sun"]
+    out = read_csv_events(spark, path).orderBy(F.col("line").isNotNull(), F.col("event")["id"]).collect()
+    good = {r["event"]["id"]: r["event"] for r in out if r["reason"] is None}
+    bad = [r for r in out if r["reason"] is not None]
+    # quotes kept as text, single space kept, empty fields left out
+    assert good["1"] == {"id": "1", "msg": '"quoted" text', "rv39": "acme", "sun": " "}
+    assert good["2"] == {"id": "2", "rv39": "acme"}
+    # a short row is valid; trailing empty fields do not make a row long
+    assert good["4"] == {"id": "4", "msg": "m"}
+    assert good["5"] == {"id": "5", "msg": "m", "sun": "u"}
+    # the long row is a reject and later rows are still read
+    assert [(r["reason"], r["line"]) for r in bad] == [("csv_long_row", "3,m,acme,u,EXTRA")]
+    assert set(good) == {"1", "2", "4", "5"}
