@@ -53,9 +53,17 @@ def prepare(
     """
     df = events if "reason" in events.columns else events.withColumn("reason", F.lit(None).cast("string"))
     df = df.transform(enrich or enrich_constants(opts))
+
+    def field(code: str):
+        # A source may carry a field as a plain column named by its code
+        # (lifted from its own columns, so predicates push down).  Use it
+        # unless enrichment may have rewritten that field in the map.
+        rewritten = enrich is not None or code in opts.enrich
+        return F.col(code) if code in events.columns and not rewritten else get_field("event", code)
+
     df = (
-        df.withColumn("doc_id", get_field("event", opts.index_id_field))
-        .withColumn("tenant", get_field("event", opts.tenant_field))
+        df.withColumn("doc_id", field(opts.index_id_field))
+        .withColumn("tenant", field(opts.tenant_field))
         .withColumn("table_name", route("tenant", opts.base_table, opts.single_table, opts.unrouted_table))
     )
     pos = [F.col(c) for c in position] if position else None

@@ -52,10 +52,12 @@ class TableSink:
         self.options = dict(options or {})
 
     def cells(self, events: DataFrame) -> DataFrame:
-        out = cells(events, self.opts.layout, self.opts.family)
+        # Rebalance the events, not the cells: the wide layout multiplies rows
+        # by the field count, so shuffling before the explode moves far fewer
+        # rows (column pruning keeps only what the layout reads).
         if self.opts.file_layout == "rebalance":
-            out = out.hint("rebalance", "table_name")
-        return out
+            events = events.hint("rebalance", "table_name")
+        return cells(events, self.opts.layout, self.opts.family)
 
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={int(batch_id)}"

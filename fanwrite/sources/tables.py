@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanwrite.functions.events import fields_to_map, raw_map
@@ -30,12 +30,21 @@ def table_fields() -> dict:
     }
 
 
-def events_from_table(df: DataFrame, keep=("event_id", "ts")) -> DataFrame:
-    """``events`` rows as ``(keep..., event MAP<STRING,STRING>)``.
+def lifted(code: str) -> Column:
+    """One field as a plain column: NULL where the map leaves it out."""
+    expr = table_fields()[code]
+    return F.when(expr != F.lit(""), expr)
 
-    NULL and empty values are left out of the map.
+
+def events_from_table(df: DataFrame, keep=("event_id", "ts"), lift=("id", "rv39")) -> DataFrame:
+    """``events`` rows as ``(keep..., event MAP<STRING,STRING>, <lifted codes>)``.
+
+    NULL and empty values are left out of the map.  The fields in ``lift``
+    are also given as plain columns named by their code, computed from the
+    source columns: a filter on them (a tenant, an id) reaches the parquet
+    scan, which it cannot through a map lookup.
     """
-    return df.select(*keep, fields_to_map(table_fields()).alias("event"))
+    return df.select(*keep, fields_to_map(table_fields()).alias("event"), *[lifted(c).alias(c) for c in lift])
 
 
 def raw_events_from_table(df: DataFrame, keep=("event_id", "ts")) -> DataFrame:

@@ -78,6 +78,9 @@ class FanoutJob:
         if batch.isEmpty():
             return
         prepared = self.prepared(spread(batch, self.min_partitions))
+        # Good rows do not need their raw payload any more (rejects do): the
+        # cached batch then holds each event once, decoded.
+        prepared = prepared.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
         readers = len(self.sinks) + (self.rejects is not None) + (self.stats is not None)
         cached = prepared.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else prepared
         try:
