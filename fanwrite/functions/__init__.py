@@ -14,6 +14,7 @@ from fanwrite.functions.events import (
 from fanwrite.functions.keys import digest_key, position_key, random_key, row_key, uuid_text
 from fanwrite.functions.routing import route
 from fanwrite.functions.text import blob_text, header_code
+from fanwrite.functions.timefmt import event_time
 
 __all__ = [
     "blob_text",
@@ -21,6 +22,7 @@ __all__ = [
     "digest_key",
     "drop_empty",
     "encode",
+    "event_time",
     "explode_fields",
     "fields_to_map",
     "get_field",

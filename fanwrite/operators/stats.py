@@ -9,27 +9,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATS_SCHEMA = "sink string, table_name string, row_count long, seconds double"
+STATS_SCHEMA = "sink string, table_name string, row_count long, seconds double, events_per_second double"
+
+
+def _with_rate(df: DataFrame) -> DataFrame:
+    """Add the rate; NULL when no time was measured (never a division by zero)."""
+    return df.withColumn(
+        "events_per_second", F.when(F.col("seconds") > 0, F.col("row_count") / F.col("seconds")).cast("double")
+    )
 
 
 def rows_per_table(events: DataFrame, sink: str, seconds: float | None) -> DataFrame:
-    return events.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")).select(
+    return _with_rate(events.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(sink).alias("sink"), "table_name", "row_count", F.lit(seconds).cast("double").alias("seconds")
-    )
+    ))
 
 
 def rows_total(events: DataFrame, sink: str, table_name: str, seconds: float | None) -> DataFrame:
-    return events.agg(F.count(F.lit(1)).alias("row_count")).select(
+    return _with_rate(events.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(sink).alias("sink"), F.lit(table_name).alias("table_name"), "row_count", F.lit(seconds).cast("double").alias("seconds")
-    )
+    ))
 
 
 def rows_per_reason(rejects: DataFrame, seconds: float | None) -> DataFrame:
-    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")).select(
+    return _with_rate(rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit("rejects").alias("sink"), F.col("reason").alias("table_name"), "row_count", F.lit(seconds).cast("double").alias("seconds")
-    )
-
-
-def events_per_second(rows, seconds):
-    """Rate with a guard: NULL when no time has passed."""
-    return None if not seconds else rows / seconds
+    ))

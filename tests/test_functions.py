@@ -22,10 +22,6 @@ from fanwrite.options import FanoutOptions
 MAP = "map<string,string>"
 
 
-def one(spark, col, data, schema):
-    return spark.createDataFrame(data, schema).select(col.alias("out")).collect()
-
-
 def test_drop_empty_keeps_single_space(spark):
     df = spark.createDataFrame([({"a": "", "b": None, "c": "x", "sun": " "},)], f"e {MAP}")
     out = df.select(drop_empty("e").alias("m")).first()["m"]
@@ -127,3 +123,17 @@ def test_options_from_flags():
         FanoutOptions.from_flags(["-bogus"])
     with pytest.raises(ValueError):
         FanoutOptions(layout="tall")
+
+
+def test_event_time_from_both_text_forms(spark):
+    from datetime import datetime
+
+    from fanwrite.functions import event_time
+
+    df = spark.createDataFrame(
+        [("Mon Jan 04 12:00:00 IST 2016",), ("2024-01-01 04:30:00",), ("Tue Feb 09 23:59:01 UTC 2016",), ("garbage",), (None,)],
+        "t string",
+    )
+    got = [r["ts"] for r in df.select(event_time("t").alias("ts")).collect()]
+    assert got[:3] == [datetime(2016, 1, 4, 6, 30), datetime(2024, 1, 1, 4, 30), datetime(2016, 2, 9, 23, 59, 1)]
+    assert got[3:] == [None, None]

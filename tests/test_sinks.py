@@ -139,3 +139,13 @@ def test_decode_good_plus_rejects_equals_messages(spark, sf_small):
     dec = decode_messages(msgs)
     n, n_good, n_bad = msgs.count(), good(dec).count(), dec.filter(F.col("reason").isNotNull()).count()
     assert n_good + n_bad == n and n_bad > 0
+
+
+def test_bulk_load_report_counts_without_extra_job(spark, scratch):
+    df = spark.range(1234).select(
+        F.create_map(F.lit("id"), F.col("id").cast("string"), F.lit("e"), F.lit("")).alias("event")
+    )
+    rep = bulk_load(df, scratch, FanoutOptions(single_table=True, layout="wide", row_key="id"), load_id=3)
+    assert (rep.events, rep.cells) == (1234, 2468)  # id and obscountry; the empty field is dropped
+    assert rep.events_per_second is None or rep.events_per_second > 0
+    assert read_cells(spark, scratch).count() == 2468
