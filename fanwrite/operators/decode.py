@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanwrite.functions.codec import decode
@@ -12,7 +12,22 @@ REASON_DECODE = "decode"
 REASON_NO_DOC_ID = "no_doc_id"
 
 
-def decode_messages(messages: DataFrame, strict: bool = False, payload: str = "value") -> DataFrame:
+def decode_columns(strict: bool = False, payload: str = "value") -> tuple[Column, Column]:
+    """The generator that yields ``event`` and the ``reason`` expression.
+
+    Column expressions are unresolved, so a stream builds them once and
+    reuses them on every micro-batch (each ``F.*`` call is a round trip to
+    the JVM on the driver).
+    """
+    event = decode(F.col(payload), strict=strict)
+    generator = F.inline(F.array(F.struct(event.alias("event"))))
+    reason = F.when(F.col(payload).isNull(), F.lit(REASON_NULL_PAYLOAD)).when(F.col("event").isNull(), F.lit(REASON_DECODE))
+    return generator, reason
+
+
+def decode_messages(
+    messages: DataFrame, strict: bool = False, payload: str = "value", columns: tuple[Column, Column] | None = None
+) -> DataFrame:
     """Add ``event`` (the decoded map) and ``reason`` (NULL for good rows).
 
     A NULL payload gets its own reason; a payload that is not a JSON object
@@ -24,12 +39,8 @@ def decode_messages(messages: DataFrame, strict: bool = False, payload: str = "v
     # then evaluated on the decoded column; through a projection the
     # optimizer would inline ``from_json`` into the filter, parsing every
     # payload twice and, below a repartition, in the pre-shuffle tasks.
-    event = decode(F.col(payload), strict=strict)
-    decoded = messages.select("*", F.inline(F.array(F.struct(event.alias("event")))))
-    return decoded.withColumn(
-        "reason",
-        F.when(F.col(payload).isNull(), F.lit(REASON_NULL_PAYLOAD)).when(F.col("event").isNull(), F.lit(REASON_DECODE)),
-    )
+    generator, reason = columns or decode_columns(strict, payload)
+    return messages.select("*", generator).withColumn("reason", reason)
 
 
 def good(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fanwrite.functions.events import drop_empty
@@ -13,30 +13,44 @@ from fanwrite.options import BLOB_QUALIFIER, FAMILY
 CELL_COLUMNS = ("table_name", "row_key", "family", "qualifier", "value")
 
 
-def wide_cells(events: DataFrame, family: str = FAMILY) -> DataFrame:
-    """One cell per non-empty field; the qualifier is the field code."""
-    return events.select(
-        "table_name",
-        "row_key",
+def wide_cell_columns(family: str = FAMILY) -> list[Column]:
+    return [
+        F.col("table_name"),
+        F.col("row_key"),
         F.lit(family).alias("family"),
         F.explode(drop_empty("event")).alias("qualifier", "value"),
-    )
+    ]
 
 
-def blob_cells(events: DataFrame, family: str = FAMILY, qualifier: str = BLOB_QUALIFIER) -> DataFrame:
-    """One cell per event holding its ``{k=v, ...}`` text."""
-    return events.select(
-        "table_name",
-        "row_key",
+def blob_cell_columns(family: str = FAMILY, qualifier: str = BLOB_QUALIFIER) -> list[Column]:
+    return [
+        F.col("table_name"),
+        F.col("row_key"),
         F.lit(family).alias("family"),
         F.lit(qualifier).alias("qualifier"),
         blob_text("event").alias("value"),
-    )
+    ]
 
 
-def cells(events: DataFrame, layout: str, family: str = FAMILY) -> DataFrame:
+def cell_columns(layout: str, family: str = FAMILY) -> list[Column]:
+    """The projection that turns prepared events into cells (build once,
+    reuse per batch)."""
     if layout == "wide":
-        return wide_cells(events, family)
+        return wide_cell_columns(family)
     if layout == "blob":
-        return blob_cells(events, family)
+        return blob_cell_columns(family)
     raise ValueError(f"unknown layout {layout!r}")
+
+
+def wide_cells(events: DataFrame, family: str = FAMILY) -> DataFrame:
+    """One cell per non-empty field; the qualifier is the field code."""
+    return events.select(*wide_cell_columns(family))
+
+
+def blob_cells(events: DataFrame, family: str = FAMILY, qualifier: str = BLOB_QUALIFIER) -> DataFrame:
+    """One cell per event holding its ``{k=v, ...}`` text."""
+    return events.select(*blob_cell_columns(family, qualifier))
+
+
+def cells(events: DataFrame, layout: str, family: str = FAMILY) -> DataFrame:
+    return events.select(*cell_columns(layout, family))

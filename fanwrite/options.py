@@ -54,7 +54,7 @@ class FanoutOptions:
     enrich: dict = field(default_factory=lambda: {ENRICH_FIELD: ENRICH_VALUE})
     on_bad: str = "reject"          # "reject" rows failing decode, or "fail" the batch
     index_errors: str = "raise"     # "raise" fails the batch; "log" prints and goes on
-    file_layout: str = "rebalance"  # "rebalance" (AQE-sized files per table) or "narrow"
+    file_layout: str = "auto"  # "rebalance", "narrow", or "auto" (narrow for one table)
     max_records_per_file: int | None = None
 
     def __post_init__(self):
@@ -66,11 +66,19 @@ class FanoutOptions:
             raise ValueError("on_bad must be 'reject' or 'fail'")
         if self.index_errors not in ("raise", "log"):
             raise ValueError("index_errors must be 'raise' or 'log'")
-        if self.file_layout not in ("rebalance", "narrow"):
-            raise ValueError("file_layout must be 'rebalance' or 'narrow'")
+        if self.file_layout not in ("auto", "rebalance", "narrow"):
+            raise ValueError("file_layout must be 'auto', 'rebalance' or 'narrow'")
         if self.duration_seconds <= 0:
             raise ValueError("duration_seconds must be positive")
 
+    @property
+    def rebalance_writes(self) -> bool:
+        """Shuffle cells by table before writing?  With one table every input
+        task writes one file anyway, so ``auto`` skips the shuffle there."""
+        if self.file_layout == "auto":
+            return not self.single_table
+        return self.file_layout == "rebalance"
+
     @property
     def trigger_interval(self) -> str:
         return f"{self.duration_seconds} seconds"

@@ -35,6 +35,71 @@ def enrich_constants(opts: FanoutOptions) -> Enrich:
     return _enrich
 
 
+class Preparer:
+    """:func:`prepare` with its column expressions built once.
+
+    Column expressions are unresolved, so a stream keeps one ``Preparer`` and
+    applies it to every micro-batch; only the plan analysis is per batch, not
+    the hundreds of driver-to-JVM calls that build the expressions.
+    """
+
+    def __init__(
+        self,
+        opts: FanoutOptions,
+        position: Sequence[str] | None = None,
+        enrich: Enrich | None = None,
+        require_doc_id: bool = False,
+    ):
+        self.opts = opts
+        self.position = tuple(position) if position else None
+        self.enrich = enrich
+        self.require_doc_id = require_doc_id
+        self._enriched = None
+        self._derived: dict[tuple, dict] = {}
+
+    def _field(self, code: str, columns: tuple):
+        # A source may carry a field as a plain column named by its code
+        # (lifted from its own columns, so predicates push down).  Use it
+        # unless enrichment may have rewritten that field in the map.
+        rewritten = self.enrich is not None or code in self.opts.enrich
+        return F.col(code) if code in columns and not rewritten else get_field("event", code)
+
+    def _derived_columns(self, columns: tuple) -> dict:
+        opts = self.opts
+        pos = [F.col(c) for c in self.position] if self.position else None
+        doc_id = self._field(opts.index_id_field, columns)
+        tenant = self._field(opts.tenant_field, columns)
+        derived = {
+            "doc_id": doc_id,
+            "tenant": tenant,
+            "table_name": route(tenant, opts.base_table, opts.single_table, opts.unrouted_table),
+            "row_key": F.when(
+                F.col("event").isNotNull(), row_key(opts.row_key, get_field("event", "id"), pos, blob_text("event"))
+            ),
+        }
+        if self.require_doc_id:
+            derived["reason"] = F.when(F.col("reason").isNull() & doc_id.isNull(), F.lit(REASON_NO_DOC_ID)).otherwise(
+                F.col("reason")
+            )
+        return derived
+
+    def __call__(self, events: DataFrame) -> DataFrame:
+        columns = tuple(events.columns)
+        df = events if "reason" in columns else events.withColumn("reason", F.lit(None).cast("string"))
+        if self.enrich is not None:
+            df = df.transform(self.enrich)
+        else:
+            if self._enriched is None:
+                self._enriched = put_constants("event", self.opts.enrich)
+            df = df.withColumn("event", self._enriched)
+        derived = self._derived.get(columns)
+        if derived is None:
+            derived = self._derived[columns] = self._derived_columns(columns)
+        # One projection for all derived columns: separate withColumn calls
+        # would each re-analyse the whole plan on the driver.
+        return df.withColumns(derived)
+
+
 def prepare(
     events: DataFrame,
     opts: FanoutOptions,
@@ -51,30 +116,7 @@ def prepare(
     columns used by position row keys.  With ``require_doc_id`` a good event
     without an id becomes a reject (``no_doc_id``): the index cannot key it.
     """
-    df = events if "reason" in events.columns else events.withColumn("reason", F.lit(None).cast("string"))
-    df = df.transform(enrich or enrich_constants(opts))
-
-    def field(code: str):
-        # A source may carry a field as a plain column named by its code
-        # (lifted from its own columns, so predicates push down).  Use it
-        # unless enrichment may have rewritten that field in the map.
-        rewritten = enrich is not None or code in opts.enrich
-        return F.col(code) if code in events.columns and not rewritten else get_field("event", code)
-
-    df = (
-        df.withColumn("doc_id", field(opts.index_id_field))
-        .withColumn("tenant", field(opts.tenant_field))
-        .withColumn("table_name", route("tenant", opts.base_table, opts.single_table, opts.unrouted_table))
-    )
-    pos = [F.col(c) for c in position] if position else None
-    key_id = get_field("event", "id")
-    df = df.withColumn("row_key", F.when(F.col("event").isNotNull(), row_key(opts.row_key, key_id, pos, blob_text("event"))))
-    if require_doc_id:
-        df = df.withColumn(
-            "reason",
-            F.when(F.col("reason").isNull() & F.col("doc_id").isNull(), F.lit(REASON_NO_DOC_ID)).otherwise(F.col("reason")),
-        )
-    return df
+    return Preparer(opts, position, enrich, require_doc_id)(events)
 
 
 def prepare_table_events(events: DataFrame, opts: FanoutOptions, enrich: Enrich | None = None) -> DataFrame:

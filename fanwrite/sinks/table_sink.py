@@ -5,12 +5,14 @@ table is a partition column, not a loop over tenants.  Each batch overwrites
 its own ``batch_id`` folder, so a replayed batch replaces what an earlier
 attempt wrote (no duplicates).  Readers take all batches.
 
-File sizing: with ``file_layout="rebalance"`` the cells pass a REBALANCE on
+File sizing: with ``file_layout="rebalance"`` the events pass a REBALANCE on
 ``table_name`` before the write.  AQE then packs small tables together and
 splits a large one into advisory-sized tasks, so a tenant holding a third of
 all rows is written by many tasks while small tenants do not produce one
 tiny file per input task.  ``"narrow"`` skips that shuffle (files = tasks x
-tables).
+tables).  ``"auto"`` (default) rebalances per-tenant writes and writes a
+single table narrow: there each input task writes one file, and a shuffle on
+the one table name would only funnel small loads into one task.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fanwrite.operators.layout import cells
+from fanwrite.operators.layout import cell_columns
 from fanwrite.operators.stats import rows_per_table
 from fanwrite.options import FanoutOptions
 
@@ -50,14 +52,17 @@ class TableSink:
         self.opts = opts
         self.fmt = fmt
         self.options = dict(options or {})
+        self._cell_columns = None  # built on first use, reused per batch
 
     def cells(self, events: DataFrame) -> DataFrame:
         # Rebalance the events, not the cells: the wide layout multiplies rows
         # by the field count, so shuffling before the explode moves far fewer
         # rows (column pruning keeps only what the layout reads).
-        if self.opts.file_layout == "rebalance":
+        if self.opts.rebalance_writes:
             events = events.hint("rebalance", "table_name")
-        return cells(events, self.opts.layout, self.opts.family)
+        if self._cell_columns is None:
+            self._cell_columns = cell_columns(self.opts.layout, self.opts.family)
+        return events.select(*self._cell_columns)
 
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={int(batch_id)}"

@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fanwrite.operators.decode import decode_messages
+from fanwrite.operators.decode import decode_columns, decode_messages
 from fanwrite.operators.parallelism import spread
 from fanwrite.options import FanoutOptions
-from fanwrite.plans.fanout import Enrich, prepare
+from fanwrite.plans.fanout import Enrich, Preparer
 from fanwrite.sinks.fs import batch_ids, list_names
 from fanwrite.sinks.index_sink import IndexSink
 from fanwrite.sinks.records import RejectSink, StatsSink
@@ -60,13 +60,23 @@ class FanoutJob:
         self.enrich = enrich
         self.position = tuple(position) if position else None
         self.min_partitions = min_partitions
+        needs_id = any(isinstance(s, IndexSink) for s in self.sinks)
+        self._preparer = Preparer(opts, self.position, enrich, require_doc_id=needs_id)
+        self._decode_columns = None
+        self._slim_value = None
         self.last_timings: dict[str, float] = {}
         self.history: list[tuple[int, dict[str, float]]] = []
 
     def prepared(self, batch: DataFrame) -> DataFrame:
-        decoded = decode_messages(batch, strict=self.opts.on_bad == "fail")
-        needs_id = any(isinstance(s, IndexSink) for s in self.sinks)
-        return prepare(decoded, self.opts, position=self.position, enrich=self.enrich, require_doc_id=needs_id)
+        # Expressions are built on the first batch and reused afterwards.
+        if self._decode_columns is None:
+            self._decode_columns = decode_columns(strict=self.opts.on_bad == "fail")
+            self._slim_value = F.when(F.col("reason").isNotNull(), F.col("value"))
+        decoded = decode_messages(batch, columns=self._decode_columns)
+        prepared = self._preparer(decoded)
+        # Good rows do not need their raw payload any more (rejects do): a
+        # cached batch then holds each event once, decoded.
+        return prepared.withColumn("value", self._slim_value)
 
     def _timed(self, sink, frame: DataFrame, batch_id: int) -> float:
         start = time.perf_counter()
@@ -78,9 +88,6 @@ class FanoutJob:
         if batch.isEmpty():
             return
         prepared = self.prepared(spread(batch, self.min_partitions))
-        # Good rows do not need their raw payload any more (rejects do): the
-        # cached batch then holds each event once, decoded.
-        prepared = prepared.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
         readers = len(self.sinks) + (self.rejects is not None) + (self.stats is not None)
         cached = prepared.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else prepared
         try:
