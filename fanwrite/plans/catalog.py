@@ -140,7 +140,7 @@ def q_encode_events(spark, sf_dir):
     wire = _events(spark, sf_dir).select("event_id", encode("event").alias("payload"))
     return wire.select(
         "event_id",
-        payload_size("payload").alias("payload_bytes"),
+        payload_size("payload").cast("long").alias("payload_bytes"),
         decode("payload")["msg"].alias("msg"),
     )
 

@@ -58,7 +58,9 @@ class IndexSink:
         version = F.struct(*[F.col(c) for c in self.order_by]) if self.order_by else F.struct(F.lit(0).alias("v"))
         return events.filter(F.col("doc_id").isNotNull()).select("doc_id", "event", version.alias("version"))
 
-    def write(self, events: DataFrame, batch_id: int) -> None:
+    def write(self, events: DataFrame, batch_id: int) -> bool:
+        """Write one batch of versions; False when an error was logged and
+        swallowed (``index_errors="log"``)."""
         try:
             docs = self.documents(events)
             if self.connector:
@@ -66,10 +68,11 @@ class IndexSink:
                 docs.select("doc_id", "event").write.format(self.connector).options(**opts).mode("append").save()
             else:
                 docs.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+            return True
         except Exception:
             if self.opts.index_errors == "log":
                 traceback.print_exc(file=sys.stderr)
-                return
+                return False
             raise
 
     def stats(self, events: DataFrame, seconds: float | None) -> DataFrame:

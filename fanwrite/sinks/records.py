@@ -22,8 +22,9 @@ class RejectSink:
         cols = [c for c in REJECT_COLUMNS if c in rejects.columns]
         return rejects.select(*cols)
 
-    def write(self, rejects: DataFrame, batch_id: int) -> None:
+    def write(self, rejects: DataFrame, batch_id: int) -> bool:
         self.records(rejects).write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+        return True
 
     def stats(self, rejects: DataFrame, seconds: float | None) -> DataFrame:
         return rows_per_reason(rejects, seconds)
@@ -37,8 +38,9 @@ class StatsSink:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
 
-    def write(self, stats: DataFrame, batch_id: int) -> None:
+    def write(self, stats: DataFrame, batch_id: int) -> bool:
         stats.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+        return True
 
 
 def read_records(spark: SparkSession, root: str) -> DataFrame:

@@ -67,11 +67,12 @@ class TableSink:
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={int(batch_id)}"
 
-    def write(self, events: DataFrame, batch_id: int) -> None:
+    def write(self, events: DataFrame, batch_id: int) -> bool:
         writer = self.cells(events).write.mode("overwrite").partitionBy("table_name").format(self.fmt)
         if self.opts.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.opts.max_records_per_file))
         writer.options(**self.options).save(self.path(batch_id))
+        return True
 
     def stats(self, events: DataFrame, seconds: float | None) -> DataFrame:
         return rows_per_table(events, self.name, seconds)

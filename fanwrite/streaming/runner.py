@@ -24,7 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,10 +78,10 @@ class FanoutJob:
         # cached batch then holds each event once, decoded.
         return prepared.withColumn("value", self._slim_value)
 
-    def _timed(self, sink, frame: DataFrame, batch_id: int) -> float:
+    def _timed(self, sink, frame: DataFrame, batch_id: int) -> tuple[float, bool]:
         start = time.perf_counter()
-        sink.write(frame, batch_id)
-        return time.perf_counter() - start
+        wrote = sink.write(frame, batch_id) is not False
+        return time.perf_counter() - start, wrote
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
@@ -91,19 +91,35 @@ class FanoutJob:
         readers = len(self.sinks) + (self.rejects is not None) + (self.stats is not None)
         cached = prepared.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else prepared
         try:
-            good = cached.filter(F.col("reason").isNull())
+            # The sinks' own write jobs count rows and rejects on the way
+            # (an Observation), so a clean batch needs no extra job to learn
+            # that there is nothing to reject.
+            obs = Observation()
+            counted = cached.observe(
+                obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNotNull()).alias("rejects")
+            )
+            good = counted.filter(F.col("reason").isNull())
             timings: dict[str, float] = {}
+            wrote: list[bool] = []
             if self.opts.parallel and len(self.sinks) > 1:
                 with ThreadPoolExecutor(max_workers=len(self.sinks), thread_name_prefix="fanout-sink") as pool:
                     futures = {s.name: pool.submit(self._timed, s, good, batch_id) for s in self.sinks}
                     for name, fut in futures.items():
-                        timings[name] = fut.result()
+                        timings[name], ok = fut.result()
+                        wrote.append(ok)
             else:
                 for s in self.sinks:
-                    timings[s.name] = self._timed(s, good, batch_id)
+                    timings[s.name], ok = self._timed(s, good, batch_id)
+                    wrote.append(ok)
             bad = cached.filter(F.col("reason").isNotNull())
             if self.rejects is not None:
-                timings[self.rejects.name] = self._timed(self.rejects, bad, batch_id)
+                # obs.get waits for the first action on `counted`; it ran if a
+                # sink wrote.  Otherwise ask the cache directly.
+                n_bad = obs.get["rejects"] if any(wrote) else (0 if bad.isEmpty() else 1)
+                if n_bad:
+                    timings[self.rejects.name], _ = self._timed(self.rejects, bad, batch_id)
+                else:
+                    timings[self.rejects.name] = 0.0
             if self.stats is not None:
                 frames = [s.stats(good, timings[s.name]) for s in self.sinks]
                 if self.rejects is not None:
