@@ -35,7 +35,7 @@ from fanwrite.sinks.table_sink import TableSink, read_cells
 from fanwrite.sources.csv_events import read_csv_events, write_csv_events
 from fanwrite.sources.messages import message_log_stream, messages_from_events, write_message_log
 from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table
-from fanwrite.streaming.runner import FanoutJob, run_until_done, stop_after_batches
+from fanwrite.streaming.runner import FanoutJob, run_until_done
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,15 +246,25 @@ def q_stream_fanout_parallel(spark, sf_dir):
 
 
 def q_stream_resume(spark, sf_dir):
-    # Run, stop after two micro-batches (mid-stream, as a lost driver would),
-    # then restart on the same checkpoint and drain.  A batch cut off while
-    # writing is replayed and overwrites its own folder.
+    # The log first holds the events of the first half of the time range; the
+    # query drains it and stops.  The rest arrives while it is stopped, and a
+    # restart on the same checkpoint must pick up exactly the new files.
     opts = _opts(send_to_table=True, send_to_index=True, layout="blob")
-    log, work, job = _fanout(spark, sf_dir, opts, ("timestamp", "partition", "offset"), batch_first=True)
-    first = job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"processingTime": "0 seconds"})
-    stop_after_batches(first, 2, STREAM_TIMEOUT_S)
-    again = job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True})
-    run_until_done(again, STREAM_TIMEOUT_S)
+    messages = _messages(spark, sf_dir)
+    bounds = messages.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    middle = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2
+    early = F.col("timestamp") <= F.lit(middle)
+    log = scratch_dir(spark, "message-log")
+    write_message_log(messages.filter(early), log, STREAM_FILES // 2)
+    work = scratch_dir(spark, "resume")
+    sinks = [TableSink(work + "/cells", opts), IndexSink(work + "/index", opts)]
+    job = FanoutJob(opts, sinks, rejects=RejectSink(work + "/rejects"))
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    first_batches = len(job.history)
+    write_message_log(messages.filter(~early), log, STREAM_FILES - STREAM_FILES // 2, append=True)
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    if len(job.history) - first_batches != STREAM_FILES - STREAM_FILES // 2:
+        raise RuntimeError("restart did not resume from the checkpoint")
     return read_cells(spark, work + "/cells").select(*CELLS)
 
 

@@ -77,16 +77,17 @@ def messages_from_events(
     )
 
 
-def write_message_log(messages: DataFrame, path: str, files: int) -> str:
+def write_message_log(messages: DataFrame, path: str, files: int, append: bool = False) -> str:
     """Write messages as ``files`` parquet files, each a contiguous offset range.
 
     Read back with :func:`message_log_stream` and ``max_files_per_trigger=1``,
-    every file becomes one micro-batch.
+    every file becomes one micro-batch.  ``append`` adds files to an existing
+    log (new data arriving while a query is stopped).
     """
     (
         messages.repartitionByRange(files, "partition", "offset")
         .sortWithinPartitions("partition", "offset")
-        .write.mode("errorifexists")
+        .write.mode("append" if append else "errorifexists")
         .parquet(path)
     )
     return path
