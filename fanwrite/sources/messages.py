@@ -34,8 +34,11 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topics: str, **opt
 
     Needs the ``spark-sql-kafka`` package on the classpath.  Like a direct
     stream with no start offset given, it starts at the latest offsets unless
-    ``startingOffsets`` is passed.
+    ``startingOffsets`` is passed.  ``minPartitions`` defaults to the
+    cluster's parallelism, so the source itself splits large offset ranges
+    and a micro-batch never needs a shuffle to spread over the executors.
     """
+    options.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)

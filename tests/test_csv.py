@@ -34,3 +34,17 @@ def test_csv_rows_to_events_with_rejects(spark, scratch):
     # the long row is a reject and later rows are still read
     assert [(r["reason"], r["line"]) for r in bad] == [("csv_long_row", "3,m,acme,u,EXTRA")]
     assert set(good) == {"1", "2", "4", "5"}
+
+
+def test_wide_header_with_raw_json_text(spark, scratch):
+    # A long header (74 codes) and a field holding JSON text whose commas
+    # were written as "|": the text is carried as it is, quotes included.
+    codes = ["id", "ei"] + [f"c{i}" for i in range(72)]
+    header = ",".join(f"Label{i}({c})" for i, c in enumerate(codes))
+    row = ["7", '"{"a":"1"|"b":"2"}"'] + [str(i) if i % 3 else "" for i in range(72)]
+    path = write(scratch + "/long.csv", header + "\n" + ",".join(row) + "\n")
+    assert header_codes(spark, path) == codes
+    ev = read_csv_events(spark, path).first()
+    assert ev["reason"] is None
+    assert ev["event"]["ei"] == '"{"a":"1"|"b":"2"}"'
+    assert len(ev["event"]) == 2 + sum(1 for i in range(72) if i % 3)
