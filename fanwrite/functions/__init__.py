@@ -3,7 +3,7 @@
 from fanwrite.functions.codec import decode, encode, payload_size
 from fanwrite.functions.events import (
     drop_empty,
-    explode_fields,
+    entries,
     fields_to_map,
     get_field,
     put_constants,
@@ -23,7 +23,7 @@ __all__ = [
     "drop_empty",
     "encode",
     "event_time",
-    "explode_fields",
+    "entries",
     "fields_to_map",
     "get_field",
     "header_code",

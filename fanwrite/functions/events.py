@@ -52,11 +52,11 @@ def put_field(event: ColumnLike, code: str, value: ColumnLike) -> Column:
     first.  A NULL event stays NULL.
     """
     ev = _col(event)
-    value = _col(value)
-    return F.when(
-        ev.isNotNull(),
-        F.map_concat(F.map_filter(ev, lambda k, v: k != F.lit(code)), F.create_map(F.lit(code), value)),
-    )
+    entry = F.create_map(F.lit(code), _col(value))
+    # The common case (field absent) is a plain concat; only an event that
+    # already has the field pays for filtering its map.
+    replaced = F.map_concat(F.map_filter(ev, lambda k, v: k != F.lit(code)), entry)
+    return F.when(ev.isNull(), F.lit(None)).when(F.map_contains_key(ev, F.lit(code)), replaced).otherwise(F.map_concat(ev, entry))
 
 
 def put_constants(event: ColumnLike, constants: Mapping[str, str]) -> Column:
@@ -85,6 +85,12 @@ def restamp_time(
     return F.when(get_field(ev, code).isNotNull(), put_field(ev, code, stamped)).otherwise(ev)
 
 
-def explode_fields(event: ColumnLike, key_name: str = "qualifier", value_name: str = "value") -> Column:
-    """Generator: one row per entry (use in ``select``)."""
-    return F.explode(_col(event)).alias(key_name, value_name)
+def entries(df, *keep: str, event: str = "event"):
+    """``(keep…, qualifier, value)``: one row per entry of each event.
+
+    Uses ``explode_outer`` and drops its NULL row for empty events: a plain
+    ``explode`` lets the optimizer infer ``size(event) > 0`` and push that
+    filter below the projection that builds the map, building it twice.
+    """
+    out = df.select(*keep, F.explode_outer(event).alias("qualifier", "value"))
+    return out.filter(F.col("qualifier").isNotNull())

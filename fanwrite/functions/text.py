@@ -18,7 +18,7 @@ def blob_text(event: ColumnLike) -> Column:
     # Keys are unique, so sorting the (key, value) entries sorts by key; no
     # per-key lookup back into the map.
     entries = F.transform(
-        F.array_sort(F.map_entries(ev)),
+        F.sort_array(F.map_entries(ev)),
         lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null"))),
     )
     return F.when(ev.isNotNull(), F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}")))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fanwrite.functions.events import entries
+
 
 def version_order(batch_first: bool):
     """Ordering key: arrival order (batch, then version) or version first."""
@@ -29,5 +31,6 @@ def latest_versions(versions: DataFrame, batch_first: bool = True) -> DataFrame:
 
 
 def document_fields(docs: DataFrame) -> DataFrame:
-    """Documents as ``(doc_id, qualifier, value)`` rows."""
-    return docs.select("doc_id", F.explode("event").alias("qualifier", "value"))
+    """Documents as ``(doc_id, qualifier, value)`` rows (see
+    :func:`fanwrite.functions.events.entries`)."""
+    return entries(docs, "doc_id")

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fanwrite.functions.events import drop_empty
 from fanwrite.functions.text import blob_text
 from fanwrite.options import BLOB_QUALIFIER, FAMILY
 
@@ -14,11 +13,16 @@ CELL_COLUMNS = ("table_name", "row_key", "family", "qualifier", "value")
 
 
 def wide_cell_columns(family: str = FAMILY) -> list[Column]:
+    """Exploded cells; empty values still to be filtered (see :func:`cells`)."""
     return [
         F.col("table_name"),
         F.col("row_key"),
         F.lit(family).alias("family"),
-        F.explode(drop_empty("event")).alias("qualifier", "value"),
+        # explode_outer: plain explode makes the optimizer infer a
+        # ``size(event) > 0`` filter and push it below the projections that
+        # build the map, building every map twice.  An empty or NULL event
+        # gives one NULL row here, which the non-empty filter drops.
+        F.explode_outer("event").alias("qualifier", "value"),
     ]
 
 
@@ -44,7 +48,7 @@ def cell_columns(layout: str, family: str = FAMILY) -> list[Column]:
 
 def wide_cells(events: DataFrame, family: str = FAMILY) -> DataFrame:
     """One cell per non-empty field; the qualifier is the field code."""
-    return events.select(*wide_cell_columns(family))
+    return events.select(*wide_cell_columns(family)).filter(_non_empty())
 
 
 def blob_cells(events: DataFrame, family: str = FAMILY, qualifier: str = BLOB_QUALIFIER) -> DataFrame:
@@ -52,5 +56,14 @@ def blob_cells(events: DataFrame, family: str = FAMILY, qualifier: str = BLOB_QU
     return events.select(*blob_cell_columns(family, qualifier))
 
 
-def cells(events: DataFrame, layout: str, family: str = FAMILY) -> DataFrame:
-    return events.select(*cell_columns(layout, family))
+def _non_empty() -> Column:
+    # Wide layout: NULL and empty values get no cell.  Filtering the exploded
+    # rows (rather than the map with ``map_filter``) keeps the layout free of
+    # higher-order functions, so explode and filter stay in whole-stage codegen.
+    return F.col("value").isNotNull() & (F.col("value") != F.lit(""))
+
+
+def cells(events: DataFrame, layout: str, family: str = FAMILY, columns: list[Column] | None = None) -> DataFrame:
+    """Prepared events to cells (``columns``: a prebuilt :func:`cell_columns`)."""
+    out = events.select(*(columns or cell_columns(layout, family)))
+    return out.filter(_non_empty()) if layout == "wide" else out

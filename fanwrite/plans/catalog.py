@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanwrite.functions.codec import decode, encode, payload_size
-from fanwrite.functions.events import drop_empty, put_constants, restamp_time
+from fanwrite.functions.events import drop_empty, entries, put_constants, restamp_time
 from fanwrite.functions.keys import digest_key
 from fanwrite.operators.decode import decode_messages, good, rejected
 from fanwrite.operators.latest import document_fields
@@ -66,7 +66,7 @@ def _prepared(spark: SparkSession, sf_dir: str, opts: FanoutOptions) -> DataFram
 
 
 def _fields(df: DataFrame, key: str) -> DataFrame:
-    return df.select(key, F.explode("event").alias("qualifier", "value"))
+    return entries(df, key)
 
 
 # ---------------------------------------------------------------- transforms
@@ -158,8 +158,8 @@ def q_rejects(spark, sf_dir):
 def q_csv_events(spark, sf_dir):
     fields = raw_events_from_table(_table(spark, sf_dir)).select([F.col("event")[c].alias(c) for c in DECODED_FIELDS])
     path = write_csv_events(fields, scratch_dir(spark, "csv") + "/events", list(DECODED_FIELDS))
-    ev = good(read_csv_events(spark, path))
-    return ev.select(F.col("event")["id"].alias("event_key"), F.explode("event").alias("qualifier", "value"))
+    ev = good(read_csv_events(spark, path)).withColumn("event_key", F.col("event")["id"])
+    return entries(ev, "event_key")
 
 
 # ---------------------------------------------------------------- sinks

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fanwrite.operators.layout import cell_columns
+from fanwrite.operators.layout import cell_columns, cells
 from fanwrite.operators.stats import rows_per_table
 from fanwrite.options import FanoutOptions
 
@@ -62,7 +62,7 @@ class TableSink:
             events = events.hint("rebalance", "table_name")
         if self._cell_columns is None:
             self._cell_columns = cell_columns(self.opts.layout, self.opts.family)
-        return events.select(*self._cell_columns)
+        return cells(events, self.opts.layout, columns=self._cell_columns)
 
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={int(batch_id)}"
