@@ -139,3 +139,22 @@ def test_bad_and_null_payloads_become_rejects(spark, scratch):
     rej = {bytes(r["key"]).decode(): r["reason"] for r in read_records(spark, scratch + "/rejects").collect()}
     assert rej == {"a": "decode", "b": "decode", "c": "decode", "d": "null_payload", "e": "no_doc_id"}
     assert read_cells(spark, scratch + "/cells").count() == 1
+
+
+def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
+    from fanwrite.__main__ import main
+    from fanwrite.sources.csv_events import write_csv_events
+    from fanwrite.sources.tables import raw_events_from_table
+
+    assert main(["stream", "-sendToHbase", "-sendToES", "-parallel", "--log", log, "--root", scratch + "/s", "--available-now"]) == 0
+    n_msgs = spark.read.parquet(log).count()
+    n_rejects = read_records(spark, scratch + "/s/rejects").count()
+    assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
+
+    codes = ["id", "dt", "rv39", "evt", "sun", "sev", "msg"]
+    fields = raw_events_from_table(read_table(spark, sf_small, "events")).select([F.col("event")[c].alias(c) for c in codes])
+    csv = write_csv_events(fields, scratch + "/csv", codes)
+    assert main(["bulk", "-singleTable", "--csv", csv, "--root", scratch + "/b", "--layout", "wide"]) == 0
+    cells = read_cells(spark, scratch + "/b/cells")
+    assert cells.select("row_key").distinct().count() == fields.count()
+    assert {r["table_name"] for r in cells.select("table_name").distinct().collect()} == {"events"}
