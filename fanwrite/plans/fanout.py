@@ -2,8 +2,9 @@
 
 Stream batches, bulk loads and the registered queries all go through
 :func:`prepare`.  It is one lazy ``DataFrame -> DataFrame`` of narrow column
-expressions, so Catalyst fuses it with the scan and the write into a single
-code-generated stage: no shuffle, no Python per row.
+expressions, so Catalyst pipelines it with the scan and the write in one
+stage: no shuffle, no Python per row.  A custom enrichment hook can build on
+the default with ``lambda df: more(enrich_constants(opts)(df))``.
 
 Columns added: ``event`` (enriched), ``doc_id``, ``tenant``, ``table_name``,
 ``row_key``; ``reason`` is kept or added (NULL = good).
@@ -117,8 +118,3 @@ def prepare(
     without an id becomes a reject (``no_doc_id``): the index cannot key it.
     """
     return Preparer(opts, position, enrich, require_doc_id)(events)
-
-
-def prepare_table_events(events: DataFrame, opts: FanoutOptions, enrich: Enrich | None = None) -> DataFrame:
-    """:func:`prepare` for a static table of ``(…, event)`` rows (no position)."""
-    return prepare(events, opts, position=None, enrich=enrich)

@@ -158,3 +158,15 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
     cells = read_cells(spark, scratch + "/b/cells")
     assert cells.select("row_key").distinct().count() == fields.count()
     assert {r["table_name"] for r in cells.select("table_name").distinct().collect()} == {"events"}
+
+
+def test_stop_while_running_then_resume(spark, sf_small, scratch, log):
+    from fanwrite.streaming import stop_after_batches
+
+    opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)])
+    running = job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"processingTime": "0 seconds"})
+    stop_after_batches(running, 1, timeout_seconds=300)
+    assert not running.isActive
+    run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+    assert rows_of(read_cells(spark, scratch + "/cells").select(*CELLS)) == batch_cells(spark, sf_small, opts)
