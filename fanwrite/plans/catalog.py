@@ -41,9 +41,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CELLS = ("table_name", "row_key", "family", "qualifier", "value")
 DECODED_FIELDS = ("id", "dt", "rv39", "evt", "sun", "sev", "msg")
-# Micro-batches of the streaming queries: the message log is cut into this
-# many files and each trigger takes one file.
-STREAM_FILES = 4
+# Micro-batches of the streaming queries.  The message log is cut into
+# STREAM_BATCHES x FILES_PER_BATCH files and each trigger takes
+# FILES_PER_BATCH of them, so a batch arrives in several partitions, as a
+# Kafka batch split by ``minPartitions`` does.
+STREAM_BATCHES = 4
+FILES_PER_BATCH = 8
 STREAM_TIMEOUT_S = 900
 
 
@@ -199,13 +202,17 @@ def q_bulk_load_cells(spark, sf_dir):
 
 def _message_log(spark, sf_dir, legacy=None) -> str:
     path = scratch_dir(spark, "message-log")
-    return write_message_log(_messages(spark, sf_dir, legacy=legacy), path, STREAM_FILES)
+    return write_message_log(_messages(spark, sf_dir, legacy=legacy), path, STREAM_BATCHES * FILES_PER_BATCH)
+
+
+def _log_stream(spark, log) -> DataFrame:
+    return message_log_stream(spark, log, max_files_per_trigger=FILES_PER_BATCH)
 
 
 def q_stream_ingest(spark, sf_dir):
     log = _message_log(spark, sf_dir)
     work = scratch_dir(spark, "ingest")
-    decoded = decode_messages(message_log_stream(spark, log))
+    decoded = decode_messages(_log_stream(spark, log))
     q = (
         decoded.filter(F.col("reason").isNull())
         .select("key", "event")
@@ -234,37 +241,40 @@ def _fanout(spark, sf_dir, opts, index_order, batch_first, legacy=None, stats=Fa
 def q_stream_fanout(spark, sf_dir):
     opts = _opts(send_to_table=True, send_to_index=True, layout="wide")
     log, work, job = _fanout(spark, sf_dir, opts, ("timestamp", "partition", "offset"), batch_first=True)
-    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
     return read_cells(spark, work + "/cells").select(*CELLS)
 
 
 def q_stream_fanout_parallel(spark, sf_dir):
     opts = _opts(send_to_table=True, send_to_index=True, parallel=True, index_id_field="sun")
     log, work, job = _fanout(spark, sf_dir, opts, ("timestamp", "offset"), batch_first=False)
-    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
     return document_fields(read_latest(spark, work + "/index", batch_first=False))
 
 
 def q_stream_resume(spark, sf_dir):
     # The log first holds the events of the first half of the time range; the
     # query drains it and stops.  The rest arrives while it is stopped, and a
-    # restart on the same checkpoint must pick up exactly the new files.
+    # restart on the same checkpoint must read exactly the new messages.
     opts = _opts(send_to_table=True, send_to_index=True, layout="blob")
     messages = _messages(spark, sf_dir)
     bounds = messages.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     middle = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2
     early = F.col("timestamp") <= F.lit(middle)
+    half = STREAM_BATCHES // 2 * FILES_PER_BATCH
     log = scratch_dir(spark, "message-log")
-    write_message_log(messages.filter(early), log, STREAM_FILES // 2)
+    write_message_log(messages.filter(early), log, half)
     work = scratch_dir(spark, "resume")
     sinks = [TableSink(work + "/cells", opts), IndexSink(work + "/index", opts)]
     job = FanoutJob(opts, sinks, rejects=RejectSink(work + "/rejects"))
-    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
-    first_batches = len(job.history)
-    write_message_log(messages.filter(~early), log, STREAM_FILES - STREAM_FILES // 2, append=True)
-    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
-    if len(job.history) - first_batches != STREAM_FILES - STREAM_FILES // 2:
-        raise RuntimeError("restart did not resume from the checkpoint")
+    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    late = messages.filter(~early)
+    write_message_log(late, log, half, append=True)
+    again = job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True})
+    run_until_done(again, STREAM_TIMEOUT_S)
+    resumed_rows = sum(p["numInputRows"] for p in again.recentProgress)
+    if resumed_rows != late.count():
+        raise RuntimeError(f"restart read {resumed_rows} messages, expected only the {late.count()} new ones")
     return read_cells(spark, work + "/cells").select(*CELLS)
 
 
@@ -273,7 +283,7 @@ def q_batch_stats(spark, sf_dir):
     log, work, job = _fanout(
         spark, sf_dir, opts, ("timestamp", "partition", "offset"), batch_first=True, legacy=F.col("event")["evt"] == "error", stats=True
     )
-    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
     stats = read_records(spark, work + "/stats")
     return stats.groupBy("sink", "table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
 

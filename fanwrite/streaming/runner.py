@@ -2,9 +2,9 @@
 
 ``source (messages) -> decode -> prepare -> foreachBatch(sinks…)``
 
-* The batch is decoded and prepared lazily; it is persisted once
-  (``MEMORY_AND_DISK``) only when more than one output reads it, and released
-  in ``finally`` even if a sink fails.
+* The batch is read from its source once: decoded, prepared and persisted
+  (``MEMORY_AND_DISK``); the emptiness check and every sink read the cache,
+  which is released in ``finally`` even if a sink fails.
 * Sinks run one after another (table, then index) or, with
   ``opts.parallel``, on a small thread pool; every sink's error is re-raised
   so the batch fails and is replayed from the checkpoint instead of being
@@ -85,12 +85,14 @@ class FanoutJob:
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
-        if batch.isEmpty():
-            return
-        prepared = self.prepared(spread(batch, self.min_partitions))
-        readers = len(self.sinks) + (self.rejects is not None) + (self.stats is not None)
-        cached = prepared.persist(StorageLevel.MEMORY_AND_DISK) if readers > 1 else prepared
+        # The batch is read from its source once: it is decoded, prepared and
+        # persisted, and everything else (the emptiness check included) reads
+        # the cache.  Asking the raw batch ``isEmpty()`` would scan the whole
+        # micro-batch from the source an extra time.
+        cached = self.prepared(spread(batch, self.min_partitions)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if cached.isEmpty():
+                return
             # The sinks' own write jobs count rows and rejects on the way
             # (an Observation), so a clean batch needs no extra job to learn
             # that there is nothing to reject.
@@ -129,8 +131,7 @@ class FanoutJob:
             self.last_timings = timings
             self.history.append((batch_id, timings))
         finally:
-            if cached is not prepared:
-                cached.unpersist()
+            cached.unpersist()
 
     def output_roots(self) -> list[str]:
         roots = [s.root for s in self.sinks if hasattr(s, "root")]
