@@ -18,6 +18,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -37,6 +38,8 @@ from fanwrite.sinks.index_sink import IndexSink
 from fanwrite.sinks.records import RejectSink, StatsSink
 from fanwrite.sources.messages import POSITION_COLUMNS
 
+log = logging.getLogger("fanwrite")
+
 
 class FanoutJob:
     """The per-batch work of a fan-out stream (usable on a static batch too)."""
@@ -127,9 +130,16 @@ class FanoutJob:
                 if self.rejects is not None:
                     frames.append(self.rejects.stats(bad, timings[self.rejects.name]))
                 self.stats.write(reduce(DataFrame.unionByName, frames), batch_id)
-            timings["batch_total"] = time.perf_counter() - started
+            total = time.perf_counter() - started
+            timings["batch_total"] = total
+            if any(wrote):
+                # Free: the Observation was filled by the sinks' own writes.
+                rows = int(obs.get["rows"] or 0)
+                timings["rows"] = rows
+                timings["events_per_second"] = rows / total if total > 0 else None
             self.last_timings = timings
             self.history.append((batch_id, timings))
+            log.info("batch %s: %s", batch_id, ", ".join(f"{k}={v:.3f}" if isinstance(v, float) else f"{k}={v}" for k, v in timings.items()))
         finally:
             cached.unpersist()
 

@@ -170,3 +170,15 @@ def test_stop_while_running_then_resume(spark, sf_small, scratch, log):
     assert not running.isActive
     run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
     assert rows_of(read_cells(spark, scratch + "/cells").select(*CELLS)) == batch_cells(spark, sf_small, opts)
+
+
+def test_history_reports_rows_and_rate(spark, scratch):
+    opts = FanoutOptions(send_to_table=True)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)])
+    msgs = spark.createDataFrame(
+        [(b"k", b'{"id":"%d","rv39":"t"}' % i, "t", 0, i, None) for i in range(7)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
+    )
+    job.process_batch(msgs, 0)
+    batch_id, t = job.history[-1]
+    assert batch_id == 0 and t["rows"] == 7 and t["events_per_second"] > 0 and t["table"] > 0
