@@ -12,6 +12,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fanwrite.options import RESTAMP_OFFSET_MINUTES, TIME_FORMAT
+
 ColumnLike = Column | str
 
 
@@ -70,9 +72,9 @@ def put_constants(event: ColumnLike, constants: Mapping[str, str]) -> Column:
 def restamp_time(
     event: ColumnLike,
     clock: ColumnLike | None = None,
-    offset_minutes: int = 330,
+    offset_minutes: int = RESTAMP_OFFSET_MINUTES,
     code: str = "dt",
-    fmt: str = "yyyy-MM-dd HH:mm:ss",
+    fmt: str = TIME_FORMAT,
 ) -> Column:
     """If the event carries ``code``, replace it by ``clock - offset`` as text.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fanwrite.functions.events import ColumnLike, _col
+from fanwrite.options import TABLE_SEPARATOR
 
 
 def route(tenant: ColumnLike, base_table: str, single_table: bool, unrouted_table: str = "unrouted") -> Column:
@@ -16,4 +17,4 @@ def route(tenant: ColumnLike, base_table: str, single_table: bool, unrouted_tabl
     """
     if single_table:
         return F.lit(base_table)
-    return F.coalesce(F.concat(F.lit(base_table + "-"), _col(tenant)), F.lit(unrouted_table))
+    return F.coalesce(F.concat(F.lit(base_table + TABLE_SEPARATOR), _col(tenant)), F.lit(unrouted_table))

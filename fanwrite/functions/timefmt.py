@@ -13,10 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fanwrite.functions.events import ColumnLike, _col
+from fanwrite.options import TIME_FORMAT
 
 # Zone names of event-time text and their UTC offsets.
 ZONE_OFFSETS = {"IST": "+0530", "UTC": "+0000", "GMT": "+0000"}
-PLAIN_FORMAT = "yyyy-MM-dd HH:mm:ss"
+PLAIN_FORMAT = TIME_FORMAT
 ZONED_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 
 

@@ -6,7 +6,9 @@ from dataclasses import dataclass, field, replace
 
 # The option flags a fan-out job accepts on its command line,
 # the default micro-batch interval in seconds, the enrichment field and its
-# value, the column family and the blob qualifier.
+# value, the column family, the blob qualifier, the separator between base
+# table and tenant, the event-time text format and the re-stamp offset in
+# minutes.
 FLAG_TABLE_SINK = "-sendToHbase"
 FLAG_INDEX_SINK = "-sendToES"
 FLAG_PARALLEL = "-parallel"
@@ -18,6 +20,9 @@ ENRICH_FIELD = "obscountry"
 ENRICH_VALUE = "US"
 FAMILY = "evt"
 BLOB_QUALIFIER = "data"
+TABLE_SEPARATOR = "-"
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+RESTAMP_OFFSET_MINUTES = 330
 
 # Event field codes with a meaning in the engine.
 ID_FIELD = "id"

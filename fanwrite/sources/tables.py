@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanwrite.functions.events import fields_to_map, raw_map
+from fanwrite.options import TIME_FORMAT
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,7 @@ def table_fields() -> dict:
     """
     return {
         "id": F.col("event_id").cast("string"),
-        "dt": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        "dt": F.date_format("ts", TIME_FORMAT),
         "rv39": F.when(F.col("event_type") == "signup", F.lit(None).cast("string")).otherwise(F.col("event_type")),
         "evt": F.col("event_type"),
         "sun": F.col("user_id").cast("string"),
