@@ -47,18 +47,29 @@ class TableSink:
 
     name = "table"
 
-    def __init__(self, root: str, opts: FanoutOptions, fmt: str = "parquet", options: dict | None = None):
+    def __init__(
+        self,
+        root: str,
+        opts: FanoutOptions,
+        fmt: str = "parquet",
+        options: dict | None = None,
+        input_balanced: bool = False,
+    ):
+        """``input_balanced``: the events arrive already rebalanced on
+        ``table_name`` (a stream job does that once, before caching, for all
+        its sinks), so the sink adds no shuffle of its own."""
         self.root = root.rstrip("/")
         self.opts = opts
         self.fmt = fmt
         self.options = dict(options or {})
+        self.input_balanced = input_balanced
         self._cell_columns = None  # built on first use, reused per batch
 
     def cells(self, events: DataFrame) -> DataFrame:
         # Rebalance the events, not the cells: the wide layout multiplies rows
         # by the field count, so shuffling before the explode moves far fewer
         # rows (column pruning keeps only what the layout reads).
-        if self.opts.rebalance_writes:
+        if self.opts.rebalance_writes and not self.input_balanced:
             events = events.hint("rebalance", "table_name")
         if self._cell_columns is None:
             self._cell_columns = cell_columns(self.opts.layout, self.opts.family)

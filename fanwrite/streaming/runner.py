@@ -36,6 +36,7 @@ from fanwrite.plans.fanout import Enrich, Preparer
 from fanwrite.sinks.fs import batch_ids, list_names
 from fanwrite.sinks.index_sink import IndexSink
 from fanwrite.sinks.records import RejectSink, StatsSink
+from fanwrite.sinks.table_sink import TableSink
 from fanwrite.sources.messages import POSITION_COLUMNS
 
 log = logging.getLogger("fanwrite")
@@ -63,6 +64,16 @@ class FanoutJob:
         self.enrich = enrich
         self.position = tuple(position) if position else None
         self.min_partitions = min_partitions
+        # One shuffle for all sinks: with per-tenant writes the batch is
+        # rebalanced on table_name before it is cached.  AQE sizes (and
+        # skew-splits) those partitions, the table sink then writes them
+        # without another shuffle, and the index versions come out as
+        # advisory-sized files instead of one small file per input task.
+        self.balance = opts.rebalance_writes
+        if self.balance:
+            for s in self.sinks:
+                if isinstance(s, TableSink):
+                    s.input_balanced = True
         needs_id = any(isinstance(s, IndexSink) for s in self.sinks)
         self._preparer = Preparer(opts, self.position, enrich, require_doc_id=needs_id)
         self._decode_columns = None
@@ -92,7 +103,10 @@ class FanoutJob:
         # persisted, and everything else (the emptiness check included) reads
         # the cache.  Asking the raw batch ``isEmpty()`` would scan the whole
         # micro-batch from the source an extra time.
-        cached = self.prepared(spread(batch, self.min_partitions)).persist(StorageLevel.MEMORY_AND_DISK)
+        prepared = self.prepared(spread(batch, self.min_partitions))
+        if self.balance:
+            prepared = prepared.hint("rebalance", "table_name")
+        cached = prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if cached.isEmpty():
                 return
