@@ -23,6 +23,8 @@ NOTES = {
     "decode_events": "from_json once, in a one-row generator; the good-row filter sits above it",
     "table_sink_write": "per-tenant write: REBALANCE on table_name before the explode (AQE sizes files, splits hot tenants)",
     "index_latest": "latest wins: partial max_by per task before the shuffle on doc_id, final max_by after",
+    "stream_batch": "one micro-batch as FanoutJob caches it: decode (generator), prepare, one REBALANCE on table_name; "
+    "every sink reads this cache",
 }
 
 
@@ -45,6 +47,16 @@ def main() -> None:
     IndexSink(root, opts, order_by=("ts", "event_id")).write(c._prepared(spark, sf_dir, opts), 0)
     frames["index_latest"] = read_latest(spark, root)
 
+    from pyspark.sql import functions as F
+
+    from fanwrite.sources.messages import message_log
+    from fanwrite.streaming import FanoutJob
+
+    stream_opts = c._opts(send_to_table=True, send_to_index=True, layout="wide")
+    job = FanoutJob(stream_opts, [TableSink("unused", stream_opts), IndexSink("unused", stream_opts)])
+    batch = message_log(spark, c._message_log(spark, sf_dir))
+    frames["stream_batch"] = job.prepared(batch).hint("rebalance", "table_name").filter(F.col("reason").isNull())
+
     out = ["# PLANS", "", f"Executed physical plans (AQE final) of the headline queries on `{sf_dir}`, "
            "written by `scripts/show_plans.py`.", ""]
     for name, df in frames.items():
