@@ -131,10 +131,11 @@ class FanoutJob:
                     timings[s.name], ok = self._timed(s, good, batch_id)
                     wrote.append(ok)
             bad = cached.filter(F.col("reason").isNotNull())
+            # obs.get blocks until an action on `counted` has run: trust it
+            # only when a built-in sink (which always writes `counted`) wrote.
+            observed = any(ok and isinstance(s, (TableSink, IndexSink)) for s, ok in zip(self.sinks, wrote))
             if self.rejects is not None:
-                # obs.get waits for the first action on `counted`; it ran if a
-                # sink wrote.  Otherwise ask the cache directly.
-                n_bad = obs.get["rejects"] if any(wrote) else (0 if bad.isEmpty() else 1)
+                n_bad = obs.get["rejects"] if observed else (0 if bad.isEmpty() else 1)
                 if n_bad:
                     timings[self.rejects.name], _ = self._timed(self.rejects, bad, batch_id)
                 else:
@@ -146,14 +147,14 @@ class FanoutJob:
                 self.stats.write(reduce(DataFrame.unionByName, frames), batch_id)
             total = time.perf_counter() - started
             timings["batch_total"] = total
-            if any(wrote):
+            if observed:
                 # Free: the Observation was filled by the sinks' own writes.
                 rows = int(obs.get["rows"] or 0)
                 timings["rows"] = rows
                 timings["events_per_second"] = rows / total if total > 0 else None
             self.last_timings = timings
             self.history.append((batch_id, timings))
-            log.info("batch %s: %s", batch_id, ", ".join(f"{k}={v:.3f}" if isinstance(v, float) else f"{k}={v}" for k, v in timings.items()))
+            log.info("batch %s: %s", batch_id, _summary(timings))
         finally:
             cached.unpersist()
 
@@ -189,6 +190,10 @@ class FanoutJob:
         return writer.start()
 
 
+def _summary(timings: dict) -> str:
+    return ", ".join(f"{k}={v:.3f}" if isinstance(v, float) else f"{k}={v}" for k, v in timings.items())
+
+
 def run_until_done(query: StreamingQuery, timeout_seconds: float = 600) -> StreamingQuery:
     """Wait for an ``availableNow`` query; stop it and fail if it overruns."""
     finished = query.awaitTermination(timeout_seconds)

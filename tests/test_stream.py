@@ -182,3 +182,22 @@ def test_history_reports_rows_and_rate(spark, scratch):
     job.process_batch(msgs, 0)
     batch_id, t = job.history[-1]
     assert batch_id == 0 and t["rows"] == 7 and t["events_per_second"] > 0 and t["table"] > 0
+
+
+def test_custom_sink_that_writes_nothing_does_not_hang(spark, scratch):
+    class NullSink:
+        name, root = "null", scratch + "/null"
+
+        def write(self, df, batch_id):
+            return None
+
+        def stats(self, df, seconds):
+            return TableSink(self.root, FanoutOptions()).stats(df, seconds)
+
+    job = FanoutJob(FanoutOptions(), [NullSink()], rejects=RejectSink(scratch + "/rejects"))
+    msgs = spark.createDataFrame(
+        [(b"a", b"oops", "t", 0, 0, None), (b"b", b'{"id":"1"}', "t", 0, 1, None)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
+    )
+    job.process_batch(msgs, 0)
+    assert [r["reason"] for r in read_records(spark, scratch + "/rejects").collect()] == ["decode"]
