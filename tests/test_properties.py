@@ -35,3 +35,26 @@ def test_map_expressions_match_model(spark, evs):
         assert r["blob"] == model_blob(ev)
         assert r["enriched"] == {**ev, "obscountry": "US"}
         assert r["round_trip"] == clean
+
+
+csv_values = st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x17F, blacklist_characters=",\x7f"), max_size=6)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.lists(csv_values, min_size=3, max_size=3), min_size=1, max_size=30))
+def test_csv_rows_match_a_comma_split(spark, tmp_path_factory, rows):
+    from fanwrite.sources.csv_events import read_csv_events
+
+    path = str(tmp_path_factory.mktemp("csv") / "e.csv")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("EventID(id),Message(msg),TenantName(rv39)\n")
+        for i, (a, b, c) in enumerate(rows):
+            f.write(f"k{i}{a},{b},{c}\n")
+    got = sorted(
+        (r["event"]["id"], r["event"]) for r in read_csv_events(spark, path).filter("reason is null").collect()
+    )
+    want = []
+    for i, (a, b, c) in enumerate(rows):
+        ev = {k: v for k, v in (("id", f"k{i}{a}"), ("msg", b), ("rv39", c)) if v != ""}
+        want.append((ev["id"], ev))
+    assert got == sorted(want)
