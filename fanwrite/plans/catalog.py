@@ -190,8 +190,15 @@ def q_index_upsert_latest(spark, sf_dir):
     return document_fields(read_latest(spark, root))
 
 
+# Cells per file for bulk loads.  The original drivers sent puts in client
+# batches; that is an RPC setting with no storage meaning here, and a file per
+# few thousand cells would mean ~10^8 files at 100 TB.  A file bound of a
+# million cells (tens of MB) keeps files large and their size bounded.
+BULK_CELLS_PER_FILE = 1_000_000
+
+
 def q_bulk_load_cells(spark, sf_dir):
-    opts = _opts(single_table=True, layout="wide", max_records_per_file=5000)
+    opts = _opts(single_table=True, layout="wide", max_records_per_file=BULK_CELLS_PER_FILE)
     root = scratch_dir(spark, "bulk")
     bulk_load(_events(spark, sf_dir), root, opts, load_id=0)
     return read_cells(spark, root).select(*CELLS)
