@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from fanwrite.session import target_parallelism
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over ``min_partitions`` tasks (default: the
-    cluster's default parallelism) when its source yields fewer.
+    cluster's cores capped by ``spark.sql.shuffle.partitions``) when its
+    source yields fewer.
 
     An unsplittable file or a small micro-batch can arrive as one partition,
     and then decode, enrich and layout would run in one task.  Large inputs
@@ -15,7 +18,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     shuffle at scale.  Call it on a scan or a narrow plan over one (the
     partition count is read from the plan without running it).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or target_parallelism(df.sparkSession)
     if target <= 1 or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)

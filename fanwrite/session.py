@@ -68,3 +68,16 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/fanwrite/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def target_parallelism(spark: SparkSession) -> int:
+    """Tasks to spread a small input over: the cluster's cores, capped by
+    ``spark.sql.shuffle.partitions`` (the degree the operator sizes to the
+    data), so a small micro-batch on a big cluster does not become thousands
+    of near-empty tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        shuffle = cores
+    return max(1, min(cores, shuffle))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from fanwrite.functions.codec import encode
 from fanwrite.functions.text import blob_text
+from fanwrite.session import target_parallelism
 
 MESSAGE_SCHEMA = T.StructType(
     [
@@ -35,10 +36,11 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topics: str, **opt
     Needs the ``spark-sql-kafka`` package on the classpath.  Like a direct
     stream with no start offset given, it starts at the latest offsets unless
     ``startingOffsets`` is passed.  ``minPartitions`` defaults to the
-    cluster's parallelism, so the source itself splits large offset ranges
-    and a micro-batch never needs a shuffle to spread over the executors.
+    cluster's cores capped by ``spark.sql.shuffle.partitions``, so the source
+    itself splits large offset ranges and a micro-batch needs no shuffle to
+    spread over the executors.  Bound batch size with ``maxOffsetsPerTrigger``.
     """
-    options.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+    options.setdefault("minPartitions", str(target_parallelism(spark)))
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)

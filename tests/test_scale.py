@@ -52,10 +52,14 @@ def test_latest_wins_aggregates_partially_before_the_shuffle(spark):
 
 
 def test_spread_is_a_no_op_on_parallel_input(spark):
-    wide = spark.range(100, numPartitions=spark.sparkContext.defaultParallelism)
+    from fanwrite.session import target_parallelism
+
+    n = target_parallelism(spark)
+    wide = spark.range(100, numPartitions=n)
     assert spread(wide) is wide
     narrow = spark.range(100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(narrow).rdd.getNumPartitions() == n
+    assert n <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_tenant_write_is_one_job_whatever_the_tenant_count(spark, scratch):
