@@ -52,14 +52,19 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and every executor can reach
-    it.  Only when it is unset (tests, a laptop) do we create a local one and
-    register it as the checkpoint dir.
+    it.  Only when it is unset on a local master (tests, a laptop) do we
+    create a local one and register it as the checkpoint dir; a cluster
+    session without it is refused, since a machine-local folder would not be
+    visible to other executors and would not survive losing this machine.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can reach "
+                "(e.g. on the cluster's shared file system) for scratch and checkpoint data"
+            )
         root = tempfile.mkdtemp(prefix="fanwrite-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -149,3 +149,28 @@ def test_bulk_load_report_counts_without_extra_job(spark, scratch):
     assert (rep.events, rep.cells) == (1234, 2468)  # id and obscountry; the empty field is dropped
     assert rep.events_per_second is None or rep.events_per_second > 0
     assert read_cells(spark, scratch).count() == 2468
+
+
+class _StubContext:
+    def __init__(self, master, conf_dir=None):
+        self.master = master
+        self._conf = {"spark.checkpoint.dir": conf_dir} if conf_dir else {}
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _StubSession:
+    def __init__(self, master, conf_dir=None):
+        self.sparkContext = _StubContext(master, conf_dir)
+
+
+def test_shared_root_comes_from_the_session_and_is_required_on_a_cluster():
+    from fanwrite.session import shared_root
+
+    assert shared_root(_StubSession("spark://head:7077", "hdfs://nn/shared/ck/")) == "hdfs://nn/shared/ck"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(_StubSession("yarn"))
