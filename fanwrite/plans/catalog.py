@@ -34,7 +34,7 @@ from fanwrite.sinks.records import RejectSink, StatsSink, read_records
 from fanwrite.sinks.table_sink import TableSink, read_cells
 from fanwrite.sources.csv_events import read_csv_events, write_csv_events
 from fanwrite.sources.messages import message_log_stream, messages_from_events, write_message_log
-from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table
+from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table, tenant_source_predicate
 from fanwrite.streaming.runner import FanoutJob, run_until_done
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,7 +114,11 @@ def q_tenant_list(spark, sf_dir):
 
 
 def q_tenant_filter(spark, sf_dir):
-    return tenant_filter(_prepared(spark, sf_dir, _opts()), "purchase").select("event_id", "row_key", "tenant")
+    # The implied source predicate goes to the parquet scan; the tenant
+    # filter on the prepared events stays the exact one.
+    table = spread(read_table(spark, sf_dir, "events").filter(tenant_source_predicate("purchase")))
+    prepared = prepare(events_from_table(table), _opts())
+    return tenant_filter(prepared, "purchase").select("event_id", "row_key", "tenant")
 
 
 def q_route_counts(spark, sf_dir):

@@ -10,7 +10,7 @@ from fanwrite.sources.messages import (
     messages_from_events,
     write_message_log,
 )
-from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table, table_fields
+from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table, table_fields, tenant_source_predicate
 
 __all__ = [
     "MESSAGE_SCHEMA",
@@ -24,6 +24,7 @@ __all__ = [
     "read_csv_events",
     "read_table",
     "table_fields",
+    "tenant_source_predicate",
     "write_csv_events",
     "write_message_log",
 ]

@@ -31,6 +31,18 @@ def table_fields() -> dict:
     }
 
 
+def tenant_source_predicate(tenant: str) -> Column:
+    """A source-column predicate implied by ``rv39 == tenant``.
+
+    A present tenant is ``event_type`` itself, so ``rv39 = t`` implies
+    ``event_type = t``.  Catalyst keeps a filter on the lifted column as a
+    CASE expression, which parquet cannot use; this plain comparison reaches
+    the scan (``PushedFilters``) and lets it skip the row groups of other
+    tenants.  Apply it to the table and keep the exact tenant filter on top.
+    """
+    return F.col("event_type") == F.lit(tenant)
+
+
 def lifted(code: str) -> Column:
     """One field as a plain column: NULL where the map leaves it out."""
     expr = table_fields()[code]

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 NOTES = {
     "wide_cells": "scan -> (spread) -> build map, enrich, route, key -> explode_outer + filter; one codegen span after the map projection",
     "route_counts": "only `event_type` is read (tenant lifted from source columns); partial + final HashAggregate",
-    "tenant_filter": "the tenant predicate is on source columns, applied before any map is built",
+    "tenant_filter": "the implied source predicate `event_type = purchase` is pushed to the parquet scan (PushedFilters); the exact tenant filter runs before any map is built",
     "decode_events": "from_json once, in a one-row generator; the good-row filter sits above it",
     "table_sink_write": "per-tenant write: REBALANCE on table_name before the explode (AQE sizes files, splits hot tenants)",
     "index_latest": "latest wins: partial max_by per task before the shuffle on doc_id, final max_by after",

@@ -70,3 +70,12 @@ def test_tenant_write_is_one_job_whatever_the_tenant_count(spark, scratch):
     assert plan.count("Exchange") == 1
     TableSink(scratch, opts).write(ev, 0)
     assert read_cells(spark, scratch).select("table_name").distinct().count() == 201
+
+
+def test_tenant_filter_reaches_the_parquet_scan(spark, sf_small):
+    from __spark_entry__ import queries
+
+    q = queries()["tenant_filter"](spark, sf_small)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,purchase)" in plan
+    assert q.filter("tenant <> 'purchase'").isEmpty()
