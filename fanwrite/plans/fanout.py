@@ -58,25 +58,33 @@ class Preparer:
         self._enriched = None
         self._derived: dict[tuple, dict] = {}
 
-    def _field(self, code: str, columns: tuple):
+    def _lifted(self, code: str, columns: tuple) -> bool:
         # A source may carry a field as a plain column named by its code
         # (lifted from its own columns, so predicates push down).  Use it
         # unless enrichment may have rewritten that field in the map.
         rewritten = self.enrich is not None or code in self.opts.enrich
-        return F.col(code) if code in columns and not rewritten else get_field("event", code)
+        return code in columns and not rewritten
+
+    def _field(self, code: str, columns: tuple):
+        return F.col(code) if self._lifted(code, columns) else get_field("event", code)
 
     def _derived_columns(self, columns: tuple) -> dict:
         opts = self.opts
         pos = [F.col(c) for c in self.position] if self.position else None
         doc_id = self._field(opts.index_id_field, columns)
         tenant = self._field(opts.tenant_field, columns)
+        if opts.row_key == "id" and "reason" not in columns and self._lifted("id", columns):
+            # Every row has an event (a frame without rejects) and the id is a
+            # source column: the key needs no map, so a narrow projection
+            # reads only the id's own column.
+            key = row_key("id", F.col("id"), pos, None)
+        else:
+            key = F.when(F.col("event").isNotNull(), row_key(opts.row_key, get_field("event", "id"), pos, blob_text("event")))
         derived = {
             "doc_id": doc_id,
             "tenant": tenant,
             "table_name": route(tenant, opts.base_table, opts.single_table, opts.unrouted_table),
-            "row_key": F.when(
-                F.col("event").isNotNull(), row_key(opts.row_key, get_field("event", "id"), pos, blob_text("event"))
-            ),
+            "row_key": key,
         }
         if self.require_doc_id:
             derived["reason"] = F.when(F.col("reason").isNull() & doc_id.isNull(), F.lit(REASON_NO_DOC_ID)).otherwise(

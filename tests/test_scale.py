@@ -79,3 +79,10 @@ def test_tenant_filter_reaches_the_parquet_scan(spark, sf_small):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,purchase)" in plan
     assert q.filter("tenant <> 'purchase'").isEmpty()
+
+
+def test_narrow_projection_of_prepared_table_events_builds_no_map(spark, sf_small):
+    from __spark_entry__ import queries
+
+    plan = queries()["tenant_filter"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
