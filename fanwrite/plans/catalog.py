@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from fanwrite.functions.codec import decode, encode, payload_size
 from fanwrite.functions.events import drop_empty, entries, put_constants, restamp_time
-from fanwrite.functions.keys import digest_key
 from fanwrite.operators.decode import decode_messages, good, rejected
 from fanwrite.operators.latest import document_fields
 from fanwrite.operators.layout import blob_cells, wide_cells
@@ -98,7 +97,9 @@ def q_drop_empty_fields(spark, sf_dir):
 
 
 def q_row_key(spark, sf_dir):
-    return _events(spark, sf_dir).select("event_id", digest_key(F.col("event")["id"]).alias("row_key"))
+    # Keyed as the fan-out keys events: from the lifted id column, so only
+    # ``event_id`` is read.
+    return _prepared(spark, sf_dir, _opts()).select("event_id", "row_key")
 
 
 def q_wide_cells(spark, sf_dir):
