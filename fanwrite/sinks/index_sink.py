@@ -80,9 +80,22 @@ class IndexSink:
 
 
 def read_versions(spark: SparkSession, root: str, after_batch: int | None = None) -> DataFrame:
-    """All stored versions (``doc_id, event, version, batch_id``)."""
+    """All stored versions (``doc_id, event, version, batch_id``).
+
+    With ``after_batch`` only the later batch folders are listed and read:
+    one listing of ``root``'s top level picks them, so a read after
+    compaction does not list the files of every batch ever written.
+    """
     root = root.rstrip("/")
-    df = spark.read.option("basePath", root).parquet(root).withColumn("batch_id", F.col("batch_id").cast("long"))
+    paths = [root]
+    if after_batch is not None:
+        ids = batch_ids(spark, root)
+        # With no later batch the newest folder only supplies the schema;
+        # the batch filter below leaves none of its rows.
+        pick = [b for b in ids if b > after_batch] or ids[-1:]
+        if pick:
+            paths = [f"{root}/batch_id={b}" for b in pick]
+    df = spark.read.option("basePath", root).parquet(*paths).withColumn("batch_id", F.col("batch_id").cast("long"))
     if after_batch is not None:
         df = df.filter(F.col("batch_id") > F.lit(after_batch))
     return df.select("doc_id", "event", "version", "batch_id")

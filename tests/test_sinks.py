@@ -100,8 +100,11 @@ def test_compaction_snapshot_gives_same_documents(spark, scratch):
     expected = dict(before)
     expected["u0"] = "3-0"
     assert after == expected
-    # reads after compaction skip the folded batches
-    assert read_versions(spark, scratch, after_batch=2).count() == 1
+    # reads after compaction skip the folded batches, and do not list them
+    newer = read_versions(spark, scratch, after_batch=2)
+    assert newer.count() == 1
+    assert all("batch_id=3" in f for f in newer.inputFiles())
+    assert read_versions(spark, scratch, after_batch=3).count() == 0
 
 
 def test_index_errors_log_or_raise(spark, scratch):
