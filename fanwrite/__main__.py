@@ -4,6 +4,7 @@
         --kafka broker:9092 --topic events --root <shared folder>
     python -m fanwrite stream -sendToHbase --log <message log folder> --root <folder> --available-now
     python -m fanwrite bulk --csv <events.csv> --root <folder> [-singleTable] [--layout wide]
+    python -m fanwrite compact --root <folder> [--upto <batch id>]
 
 The job flags are the ones ``FanoutOptions.from_flags`` knows; the rest
 names the source and the output root (default: ``spark.checkpoint.dir``).
@@ -32,7 +33,7 @@ def _split(argv: list[str]) -> tuple[list[str], list[str]]:
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m fanwrite")
-    p.add_argument("command", choices=("stream", "bulk"))
+    p.add_argument("command", choices=("stream", "bulk", "compact"))
     p.add_argument("--root", help="output root (default: spark.checkpoint.dir)")
     p.add_argument("--kafka", help="bootstrap servers (stream)")
     p.add_argument("--topic", default="events", help="topic list (stream)")
@@ -43,6 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--parquet", help="parquet table with an 'event' map column (bulk)")
     p.add_argument("--layout", choices=("blob", "wide"), default=None)
     p.add_argument("--load-id", type=int, default=0, help="bulk load id (re-running replaces it)")
+    p.add_argument("--upto", type=int, default=None, help="fold batches up to this id (compact; default: the newest)")
     return p
 
 
@@ -54,6 +56,18 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"fanwrite-{args.command}").getOrCreate()
     root = (args.root or shared_root(spark)).rstrip("/")
 
+    if args.command == "compact":
+        from fanwrite.sinks import compact, compact_cells
+        from fanwrite.sinks.fs import exists
+
+        # While the stream runs, pass --upto <newest batch - 1>: only the
+        # newest batch may still be in flight.
+        if exists(spark, f"{root}/cells"):
+            print(f"cells compacted up to batch {compact_cells(spark, f'{root}/cells', upto=args.upto)}")
+        if exists(spark, f"{root}/index"):
+            print(f"index compacted up to batch {compact(spark, f'{root}/index', upto=args.upto)}")
+        return 0
+
     if args.command == "bulk":
         from fanwrite.operators.decode import good
         from fanwrite.plans.bulk import bulk_load

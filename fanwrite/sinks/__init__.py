@@ -2,7 +2,7 @@
 
 from fanwrite.sinks.index_sink import IndexSink, compact, read_latest, read_versions
 from fanwrite.sinks.records import RejectSink, StatsSink, read_records
-from fanwrite.sinks.table_sink import CELL_READ_SCHEMA, TableSink, read_cells
+from fanwrite.sinks.table_sink import CELL_READ_SCHEMA, TableSink, compact_cells, read_cells
 
 __all__ = [
     "CELL_READ_SCHEMA",
@@ -11,6 +11,7 @@ __all__ = [
     "StatsSink",
     "TableSink",
     "compact",
+    "compact_cells",
     "read_cells",
     "read_latest",
     "read_records",

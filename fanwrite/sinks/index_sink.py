@@ -118,20 +118,23 @@ def read_latest(spark: SparkSession, root: str, batch_first: bool = True) -> Dat
     return latest_versions(versions, batch_first=batch_first)
 
 
-def compact(spark: SparkSession, root: str, batch_first: bool = True) -> int | None:
-    """Write the current documents as ``_snapshot/upto_batch=<last>``; later
-    reads start from it.  Returns the batch id folded up to (None if empty)."""
+def compact(spark: SparkSession, root: str, batch_first: bool = True, upto: int | None = None) -> int | None:
+    """Write the current documents as of batch ``upto`` (default: the
+    newest) as ``_snapshot/upto_batch=<upto>``; later reads start from it.
+    While a stream is writing, pass the newest batch id minus one (only the
+    newest batch may still be in flight).  Returns the batch id folded up to
+    (None if empty)."""
     root = root.rstrip("/")
-    ids = batch_ids(spark, root)
+    ids = [b for b in batch_ids(spark, root) if upto is None or b <= upto]
     if not ids:
         return None
     last = ids[-1]
     target = f"{root}/{SNAPSHOT}/upto_batch={last}"
     if exists(spark, target):
         return last
-    upto = latest_snapshot(spark, root)
-    versions = read_versions(spark, root, after_batch=upto).filter(F.col("batch_id") <= F.lit(last))
-    if upto is not None:
-        versions = spark.read.parquet(f"{root}/{SNAPSHOT}/upto_batch={upto}").select("doc_id", "event", "version", "batch_id").unionByName(versions)
+    prev = latest_snapshot(spark, root)
+    versions = read_versions(spark, root, after_batch=prev).filter(F.col("batch_id") <= F.lit(last))
+    if prev is not None:
+        versions = spark.read.parquet(f"{root}/{SNAPSHOT}/upto_batch={prev}").select("doc_id", "event", "version", "batch_id").unionByName(versions)
     latest_versions(versions, batch_first=batch_first).write.mode("overwrite").parquet(target)
     return last

@@ -150,6 +150,10 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
     n_msgs = spark.read.parquet(log).count()
     n_rejects = read_records(spark, scratch + "/s/rejects").count()
     assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
+    docs = read_latest(spark, scratch + "/s/index").count()
+    assert main(["compact", "--root", scratch + "/s"]) == 0
+    assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
+    assert read_latest(spark, scratch + "/s/index").count() == docs
 
     codes = ["id", "dt", "rv39", "evt", "sun", "sev", "msg"]
     fields = raw_events_from_table(read_table(spark, sf_small, "events")).select([F.col("event")[c].alias(c) for c in codes])
