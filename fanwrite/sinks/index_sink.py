@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from fanwrite.operators.latest import latest_versions
 from fanwrite.operators.stats import rows_total
 from fanwrite.options import FanoutOptions
-from fanwrite.sinks.fs import batch_ids, exists
+from fanwrite.sinks.fs import batch_ids, committed, committed_ids
 
 SNAPSHOT = "_snapshot"
 
@@ -102,7 +102,8 @@ def read_versions(spark: SparkSession, root: str, after_batch: int | None = None
 
 
 def latest_snapshot(spark: SparkSession, root: str) -> int | None:
-    ids = batch_ids(spark, f"{root.rstrip('/')}/{SNAPSHOT}", column="upto_batch")
+    """The newest snapshot whose write committed (None if there is none)."""
+    ids = committed_ids(spark, f"{root.rstrip('/')}/{SNAPSHOT}", column="upto_batch")
     return ids[-1] if ids else None
 
 
@@ -130,7 +131,7 @@ def compact(spark: SparkSession, root: str, batch_first: bool = True, upto: int
         return None
     last = ids[-1]
     target = f"{root}/{SNAPSHOT}/upto_batch={last}"
-    if exists(spark, target):
+    if committed(spark, target):
         return last
     prev = latest_snapshot(spark, root)
     versions = read_versions(spark, root, after_batch=prev).filter(F.col("batch_id") <= F.lit(last))

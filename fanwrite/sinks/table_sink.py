@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from fanwrite.operators.layout import cell_columns, cells
 from fanwrite.operators.stats import rows_per_table
 from fanwrite.options import FanoutOptions
-from fanwrite.sinks.fs import batch_ids, exists
+from fanwrite.sinks.fs import batch_ids, committed, committed_ids
 
 COMPACTED = "_compacted"
 
@@ -99,7 +99,8 @@ def _batch_folders(spark: SparkSession, root: str, after: int | None) -> list[st
 
 
 def latest_compaction(spark: SparkSession, root: str) -> int | None:
-    ids = batch_ids(spark, f"{root.rstrip('/')}/{COMPACTED}", column="upto_batch")
+    """The newest compaction whose write committed (None if there is none)."""
+    ids = committed_ids(spark, f"{root.rstrip('/')}/{COMPACTED}", column="upto_batch")
     return ids[-1] if ids else None
 
 
@@ -151,7 +152,7 @@ def compact_cells(spark: SparkSession, root: str, upto: int | None = None) -> in
         return None
     last = ids[-1]
     target = f"{root}/{COMPACTED}/upto_batch={last}"
-    if exists(spark, target):
+    if committed(spark, target):
         return last
     cells = _cells(spark, root, latest_compaction(spark, root))
     (

@@ -1,5 +1,7 @@
 """Sinks: replay safety, latest-wins, routing by partition, bulk load counts."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +202,25 @@ def test_cell_compaction_gives_same_cells_and_bounds_reads(spark, scratch):
     files = after.inputFiles()
     assert all("upto_batch=2" in f or "batch_id=3" in f for f in files)
     assert rows_of(read_cells(spark, scratch, table="events-t1")) == [r for r in rows_of(after) if r[0] == "events-t1"]
+
+
+def test_half_written_compaction_is_ignored_and_redone(spark, scratch):
+    # A compaction whose driver died leaves its folder without _SUCCESS.
+    opts = FanoutOptions(layout="wide", row_key="id")
+    cells_root, index_root = scratch + "/cells", scratch + "/index"
+    table, index = TableSink(cells_root, opts), IndexSink(index_root, opts, order_by=("ts", "offset"))
+    for b in range(3):
+        ev = prepare(events_df(spark, [({"id": f"u{i}", "rv39": "t", "v": str(b)}, "2024-01-01 00:00:00", b * 10 + i) for i in range(3)]), opts)
+        table.write(ev, b)
+        index.write(ev, b)
+    cells_before = rows_of(read_cells(spark, cells_root))
+    docs_before = rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v")))
+    os.makedirs(cells_root + "/_compacted/upto_batch=2/table_name=events-t")
+    os.makedirs(index_root + "/_snapshot/upto_batch=2")
+    assert rows_of(read_cells(spark, cells_root)) == cells_before
+    assert rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v"))) == docs_before
+    assert compact_cells(spark, cells_root) == 2 and compact(spark, index_root) == 2
+    assert os.path.exists(cells_root + "/_compacted/upto_batch=2/_SUCCESS")
+    assert rows_of(read_cells(spark, cells_root)) == cells_before
+    assert all("_compacted" in f for f in read_cells(spark, cells_root).inputFiles())
+    assert rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v"))) == docs_before
