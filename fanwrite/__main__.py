@@ -4,7 +4,7 @@
         --kafka broker:9092 --topic events --root <shared folder>
     python -m fanwrite stream -sendToHbase --log <message log folder> --root <folder> --available-now
     python -m fanwrite bulk --csv <events.csv> --root <folder> [-singleTable] [--layout wide]
-    python -m fanwrite compact --root <folder> [--upto <batch id>]
+    python -m fanwrite compact --root <folder> [--upto <batch id>]   (default: the newest committed batch)
 
 The job flags are the ones ``FanoutOptions.from_flags`` knows; the rest
 names the source and the output root (default: ``spark.checkpoint.dir``).
@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--parquet", help="parquet table with an 'event' map column (bulk)")
     p.add_argument("--layout", choices=("blob", "wide"), default=None)
     p.add_argument("--load-id", type=int, default=0, help="bulk load id (re-running replaces it)")
-    p.add_argument("--upto", type=int, default=None, help="fold batches up to this id (compact; default: the newest)")
+    p.add_argument("--upto", type=int, default=None, help="fold batches up to this id (compact; default: the newest committed)")
     return p
 
 
@@ -58,14 +58,19 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "compact":
         from fanwrite.sinks import compact, compact_cells
-        from fanwrite.sinks.fs import exists
-
-        # While the stream runs, pass --upto <newest batch - 1>: only the
-        # newest batch may still be in flight.
+        from fanwrite.sinks.fs import exists, list_names
+
+        # Fold only batches the stream has committed (its checkpoint's commit
+        # log names them), so a batch still in flight is left out even while
+        # the stream runs.  Without a checkpoint (bulk loads) every batch is final.
+        upto = args.upto
+        if upto is None:
+            done = [int(n) for n in list_names(spark, f"{root}/_checkpoint/commits") if n.isdigit()]
+            upto = max(done) if done else None
         if exists(spark, f"{root}/cells"):
-            print(f"cells compacted up to batch {compact_cells(spark, f'{root}/cells', upto=args.upto)}")
+            print(f"cells compacted up to batch {compact_cells(spark, f'{root}/cells', upto=upto)}")
         if exists(spark, f"{root}/index"):
-            print(f"index compacted up to batch {compact(spark, f'{root}/index', upto=args.upto)}")
+            print(f"index compacted up to batch {compact(spark, f'{root}/index', upto=upto)}")
         return 0
 
     if args.command == "bulk":

@@ -151,7 +151,10 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
     n_rejects = read_records(spark, scratch + "/s/rejects").count()
     assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
     docs = read_latest(spark, scratch + "/s/index").count()
+    committed = max(int(n) for n in os.listdir(scratch + "/s/_checkpoint/commits") if n.isdigit())
+    os.makedirs(scratch + f"/s/cells/batch_id={committed + 1}")  # a batch in flight
     assert main(["compact", "--root", scratch + "/s"]) == 0
+    assert os.path.exists(scratch + f"/s/cells/_compacted/upto_batch={committed}/_SUCCESS")
     assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
     assert read_latest(spark, scratch + "/s/index").count() == docs
 
