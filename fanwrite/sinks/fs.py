@@ -42,7 +42,10 @@ def batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[
 def committed(spark: SparkSession, path: str) -> bool:
     """``path`` was written by a Spark job that committed: its ``_SUCCESS``
     marker exists.  A job killed half-way (driver lost) can leave the folder
-    without it; such a folder is not to be trusted or skipped."""
+    without it; such a folder is not to be trusted or skipped.  A cluster
+    that turns the markers off (``mapreduce.fileoutputcommitter.
+    marksuccessfuljobs=false``) still reads correctly, from the batch
+    folders, but redoes every compaction."""
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
