@@ -6,7 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from fanwrite.plans.catalog import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -34,12 +35,12 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, sf_small, name):
-    got = queries()[name](spark, sf_small).toPandas()
+    got = QUERIES[name](spark, sf_small).toPandas()
     want = duck.execute(oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want) > 0
