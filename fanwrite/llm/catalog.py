@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import bpe, pii, secrets, sharding
+from fanwrite.llm import bpe, decontam, html_text, langid, pii, secrets, sharding, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -22,14 +22,30 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.texts(read_table(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digests(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read_table(spark, sf_dir, "pages"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -39,8 +55,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_text": op2_html_text,
     "op3_sharding": op3_sharding,
+    "op5_langid": op5_langid,
     "op6_pii": op6_pii,
+    "op7_decontam": op7_decontam,
+    "op8_urls": op8_urls,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
 }
