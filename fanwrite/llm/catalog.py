@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import bpe, decontam, html_text, langid, pii, secrets, sharding, urls
+from fanwrite.llm import bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -30,6 +30,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"), "doc_id")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read_table(spark, sf_dir, "documents"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_text": op2_html_text,
     "op3_sharding": op3_sharding,
+    "op4_jaccard": op4_jaccard,
     "op5_langid": op5_langid,
     "op6_pii": op6_pii,
     "op7_decontam": op7_decontam,
