@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, urls
+from fanwrite.llm import ann, bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -22,6 +22,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.texts(read_table(spark, sf_dir, "pages"))
 
@@ -59,6 +63,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op2_html_text": op2_html_text,
     "op3_sharding": op3_sharding,
     "op4_jaccard": op4_jaccard,
