@@ -160,7 +160,8 @@ def rarity(docs: DataFrame, text: str, items: list[tuple[str | None, str]]) -> d
         for batch in texts:
             for t in batch["text"]:
                 total.update({at[s] for _, s in occurrences(words(t), first) if s in at})
-        yield pd.DataFrame({"i": list(total), "n": list(total.values())})
+        if total:
+            yield pd.DataFrame({"i": list(total), "n": list(total.values())})
 
     counted = docs.select(F.col(text).alias("text")).mapInPandas(tally, "i bigint, n bigint")
     return {names[r["i"]]: r["n"] for r in counted.groupBy("i").agg(F.sum("n").alias("n")).collect()}

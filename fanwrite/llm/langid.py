@@ -110,7 +110,8 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             for name, vector in zip(batch["lang"], profiles(batch["text"]), strict=True):
                 if vector is not None:
                     sums[name] = sums.get(name, 0) + vector
-        yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
     drawn = rows.where(draw < F.element_at(shares, F.col("lang"))).select("lang", "text")
     parts = drawn.mapInPandas(bundle, "lang string, vector array<double>")
