@@ -62,11 +62,16 @@ def put_field(event: ColumnLike, code: str, value: ColumnLike) -> Column:
 
 
 def put_constants(event: ColumnLike, constants: Mapping[str, str]) -> Column:
-    """Enrichment by constant fields (each overwrites)."""
+    """Enrichment by constant fields (each overwrites).
+
+    One filter and one concat whatever the number of constants, so the
+    expression grows linearly with them.  A NULL event stays NULL.
+    """
     ev = _col(event)
-    for code, value in constants.items():
-        ev = put_field(ev, code, F.lit(value))
-    return ev
+    if not constants:
+        return ev
+    kept = F.map_filter(ev, lambda k, v: ~k.isin(*constants))
+    return F.map_concat(kept, F.create_map(*(F.lit(x) for pair in constants.items() for x in pair)))
 
 
 def restamp_time(
