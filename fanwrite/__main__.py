@@ -3,12 +3,11 @@
     python -m fanwrite stream -sendToHbase -sendToES -parallel -duration=10 \\
         --kafka broker:9092 --topic events --root <shared folder>
     python -m fanwrite stream -sendToHbase --log <message log folder> --root <folder> --available-now
-    python -m fanwrite bulk --csv <events.csv> --root <folder> [-singleTable] [--layout wide]
-    python -m fanwrite compact --root <folder> [--upto <batch id>]   (default: the newest committed batch)
+    python -m fanwrite bulk --csv <events.csv> --root <folder> [-singleTable] [--layout wide] [--load-id 3 --replace]
 
 The job flags are the ones ``FanoutOptions.from_flags`` knows; the rest
-names the source and the output root (default: ``spark.checkpoint.dir``).
-Outputs go to ``<root>/cells``, ``<root>/index``, ``<root>/rejects``,
+names the source, its options (``--source-option startingOffsets=earliest``,
+repeated as needed) and the output root.  Outputs go to ``<root>/cells``, ``<root>/index``, ``<root>/rejects``,
 ``<root>/stats`` and the checkpoint to ``<root>/_checkpoint``.
 """
 
@@ -18,10 +17,9 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from fanwrite.options import FanoutOptions
-from fanwrite.session import shared_root
+from fanwrite.session import apply_engine_conf
 
 
 def _split(argv: list[str]) -> tuple[list[str], list[str]]:
@@ -33,8 +31,8 @@ def _split(argv: list[str]) -> tuple[list[str], list[str]]:
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m fanwrite")
-    p.add_argument("command", choices=("stream", "bulk", "compact"))
-    p.add_argument("--root", help="output root (default: spark.checkpoint.dir)")
+    p.add_argument("command", choices=("stream", "bulk"))
+    p.add_argument("--root", required=True, help="output root, a folder every executor can reach")
     p.add_argument("--kafka", help="bootstrap servers (stream)")
     p.add_argument("--topic", default="events", help="topic list (stream)")
     p.add_argument("--log", help="message log folder instead of Kafka (stream)")
@@ -43,8 +41,9 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--csv", help="CSV event file or folder (bulk)")
     p.add_argument("--parquet", help="parquet table with an 'event' map column (bulk)")
     p.add_argument("--layout", choices=("blob", "wide"), default=None)
-    p.add_argument("--load-id", type=int, default=0, help="bulk load id (re-running replaces it)")
-    p.add_argument("--upto", type=int, default=None, help="fold batches up to this id (compact; default: the newest committed)")
+    p.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE", help="option of the source (stream)")
+    p.add_argument("--load-id", type=int, default=None, help="bulk load id (default: the first unused)")
+    p.add_argument("--replace", action="store_true", help="let the load take the place of one with its id (bulk)")
     return p
 
 
@@ -54,38 +53,22 @@ def main(argv: list[str] | None = None) -> int:
     extra = {"layout": args.layout} if args.layout else {}
     opts = FanoutOptions.from_flags(flags, **extra)
     spark = SparkSession.builder.appName(f"fanwrite-{args.command}").getOrCreate()
-    root = (args.root or shared_root(spark)).rstrip("/")
-
-    if args.command == "compact":
-        from fanwrite.sinks import compact, compact_cells
-        from fanwrite.sinks.fs import exists, list_names
-
-        # Fold only batches the stream has committed (its checkpoint's commit
-        # log names them), so a batch still in flight is left out even while
-        # the stream runs.  Without a checkpoint (bulk loads) every batch is final.
-        upto = args.upto
-        if upto is None:
-            done = [int(n) for n in list_names(spark, f"{root}/_checkpoint/commits") if n.isdigit()]
-            upto = max(done) if done else None
-        if exists(spark, f"{root}/cells"):
-            print(f"cells compacted up to batch {compact_cells(spark, f'{root}/cells', upto=upto)}")
-        if exists(spark, f"{root}/index"):
-            print(f"index compacted up to batch {compact(spark, f'{root}/index', upto=upto)}")
-        return 0
+    apply_engine_conf(spark)
+    root = args.root.rstrip("/")
 
     if args.command == "bulk":
-        from fanwrite.operators.decode import good
         from fanwrite.plans.bulk import bulk_load
+        from fanwrite.sinks import RejectSink
         from fanwrite.sources.csv_events import read_csv_events
 
         if args.csv:
-            events = good(read_csv_events(spark, args.csv))
+            events = read_csv_events(spark, args.csv)
         elif args.parquet:
-            events = spark.read.parquet(args.parquet).filter(F.col("event").isNotNull())
+            events = spark.read.parquet(args.parquet)
         else:
             raise SystemExit("bulk needs --csv or --parquet")
-        report = bulk_load(events, f"{root}/cells", opts, load_id=args.load_id)
-        print(f"loaded {report.events} events as {report.cells} cells in {report.seconds:.1f} s")
+        report = bulk_load(events, f"{root}/cells", opts, load_id=args.load_id, rejects=RejectSink(f"{root}/rejects"), replace=args.replace)
+        print(f"load {report.load_id}: {report.events} events as {report.cells} cells, {report.rejects} rejects in {report.seconds:.1f} s")
         return 0
 
     from fanwrite.sinks import IndexSink, RejectSink, StatsSink, TableSink
@@ -98,10 +81,11 @@ def main(argv: list[str] | None = None) -> int:
     if opts.send_to_index:
         sinks.append(IndexSink(f"{root}/index", opts))
     job = FanoutJob(opts, sinks, rejects=RejectSink(f"{root}/rejects"), stats=StatsSink(f"{root}/stats"))
+    options = dict(o.split("=", 1) for o in args.source_option)
     if args.log:
-        messages = message_log_stream(spark, args.log)
+        messages = message_log_stream(spark, args.log, **options)
     elif args.kafka:
-        messages = kafka_stream(spark, args.kafka, args.topic)
+        messages = kafka_stream(spark, args.kafka, args.topic, **options)
     else:
         raise SystemExit("stream needs --kafka or --log")
     trigger = {"availableNow": True} if args.available_now else None

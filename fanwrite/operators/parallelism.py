@@ -4,21 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fanwrite.session import target_parallelism
+MIN_PARTITIONS = "spark.fanwrite.minPartitions"
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks (default: the
-    cluster's cores capped by ``spark.sql.shuffle.partitions``) when its
-    source yields fewer.
+    """``df`` dealt evenly over ``min_partitions`` tasks, if that is given.
 
-    An unsplittable file or a small micro-batch can arrive as one partition,
-    and then decode, enrich and layout would run in one task.  Large inputs
-    already have many partitions and pass through unchanged, so this adds no
-    shuffle at scale.  Call it on a scan or a narrow plan over one (the
-    partition count is read from the plan without running it).
+    The number is an explicit setting, the argument or the session's
+    ``spark.fanwrite.minPartitions``, for inputs known to arrive in too few
+    partitions (one unsplittable file, a small micro-batch).  Unset, the
+    input keeps the partitions of its source and no shuffle is added.
     """
-    target = min_partitions or target_parallelism(df.sparkSession)
-    if target <= 1 or df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    n = min_partitions or int(df.sparkSession.conf.get(MIN_PARTITIONS, "0"))
+    return df.repartition(n) if n > 1 else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 # The option flags a fan-out job accepts on its command line,
 # the default micro-batch interval in seconds, the enrichment field and its
@@ -27,7 +27,6 @@ RESTAMP_OFFSET_MINUTES = 330
 # Event field codes with a meaning in the engine.
 ID_FIELD = "id"
 TENANT_FIELD = "rv39"
-TIME_FIELD = "dt"
 
 LAYOUTS = ("blob", "wide")
 ROW_KEYS = ("id", "position", "blob", "auto", "random")
@@ -55,7 +54,6 @@ class FanoutOptions:
     row_key: str = "auto"
     index_id_field: str = ID_FIELD
     tenant_field: str = TENANT_FIELD
-    time_field: str = TIME_FIELD
     enrich: dict = field(default_factory=lambda: {ENRICH_FIELD: ENRICH_VALUE})
     on_bad: str = "reject"          # "reject" rows failing decode, or "fail" the batch
     index_errors: str = "raise"     # "raise" fails the batch; "log" prints and goes on
@@ -88,9 +86,6 @@ class FanoutOptions:
     def trigger_interval(self) -> str:
         return f"{self.duration_seconds} seconds"
 
-    def with_(self, **changes) -> "FanoutOptions":
-        return replace(self, **changes)
-
     @classmethod
     def from_flags(cls, args: list[str] | None, **defaults) -> "FanoutOptions":
         """Options from command-line style flags; an unknown flag raises."""

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanwrite.functions.codec import decode, encode, payload_size
-from fanwrite.functions.events import drop_empty, entries, put_constants, restamp_time
+from fanwrite.functions.events import drop_empty, entries, put_constants, put_field, restamp_time
+from fanwrite.functions.text import blob_text
 from fanwrite.operators.decode import decode_messages, good, rejected
 from fanwrite.operators.latest import document_fields
 from fanwrite.operators.layout import blob_cells, wide_cells
@@ -31,7 +32,7 @@ from fanwrite.session import scratch_dir
 from fanwrite.sinks.index_sink import IndexSink, read_latest
 from fanwrite.sinks.records import RejectSink, StatsSink, read_records
 from fanwrite.sinks.table_sink import TableSink, read_cells
-from fanwrite.sources.csv_events import read_csv_events, write_csv_events
+from fanwrite.sources.csv_events import WHOLE_LINES, header_line, read_csv_events, write_csv_events
 from fanwrite.sources.messages import message_log_stream, messages_from_events, write_message_log
 from fanwrite.sources.tables import events_from_table, raw_events_from_table, read_table, tenant_source_predicate
 from fanwrite.streaming.runner import FanoutJob, run_until_done
@@ -40,13 +41,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CELLS = ("table_name", "row_key", "family", "qualifier", "value")
 DECODED_FIELDS = ("id", "dt", "rv39", "evt", "sun", "sev", "msg")
-# Micro-batches of the streaming queries.  The message log is cut into
-# STREAM_BATCHES x FILES_PER_BATCH files and each trigger takes
-# FILES_PER_BATCH of them, so a batch arrives in several partitions, as a
-# Kafka batch split by ``minPartitions`` does.
-STREAM_BATCHES = 4
-FILES_PER_BATCH = 8
-STREAM_TIMEOUT_S = 900
+# Fields that the ``events`` table also gives as plain columns.
+LIFTED = ("id", "rv39")
 
 
 def _opts(**kw) -> FanoutOptions:
@@ -64,7 +60,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf_dir: str, opts: FanoutOptions) -> DataFrame:
-    return prepare(_events(spark, sf_dir), opts)
+    return prepare(_events(spark, sf_dir), opts, lifted=LIFTED)
 
 
 def _fields(df: DataFrame, key: str) -> DataFrame:
@@ -83,6 +79,14 @@ def q_enrich_constant(spark, sf_dir):
     return _fields(_events(spark, sf_dir).withColumn("event", put_constants("event", opts.enrich)), "event_id")
 
 
+# Twenty constants; one overwrites the event's own severity.
+MANY_CONSTANTS = {f"c{i:02d}": f"v{i}" for i in range(19)} | {"sev": "fixed"}
+
+
+def q_enrich_many(spark, sf_dir):
+    return _fields(prepare(_events(spark, sf_dir), _opts(enrich=MANY_CONSTANTS)), "event_id")
+
+
 def q_restamp_event_time(spark, sf_dir):
     ev = _events(spark, sf_dir).withColumn("event", restamp_time("event", clock="ts"))
     return ev.select("event_id", F.col("event")["dt"].alias("dt"))
@@ -118,7 +122,7 @@ def q_tenant_filter(spark, sf_dir):
     # The implied source predicate goes to the parquet scan; the tenant
     # filter on the prepared events stays the exact one.
     table = spread(read_table(spark, sf_dir, "events").filter(tenant_source_predicate("purchase")))
-    prepared = prepare(events_from_table(table), _opts())
+    prepared = prepare(events_from_table(table), _opts(), lifted=LIFTED)
     return tenant_filter(prepared, "purchase").select("event_id", "row_key", "tenant")
 
 
@@ -163,10 +167,50 @@ def q_rejects(spark, sf_dir):
     )
 
 
-def q_csv_events(spark, sf_dir):
+def q_rejects_by_reason(spark, sf_dir):
+    # Producers at fault in different ways: text instead of JSON, no payload,
+    # a repeated field, a second object, and text after the object.
+    msgs = _messages(spark, sf_dir)
+    text, n = F.col("value").cast("string"), F.col("offset") % 7
+    broken = (
+        F.when(n == 0, F.lit("{id=1}"))
+        .when(n == 1, F.lit(None).cast("string"))
+        .when(n == 2, F.concat(F.lit('{"id":"0",'), F.substring(text, 2, 1 << 30)))
+        .when(n == 3, F.concat(text, F.lit('{"id":"2"}')))
+        .when(n == 4, F.concat(text, F.lit("] junk")))
+        .otherwise(text)
+    )
+    decoded = decode_messages(msgs.withColumn("value", F.encode(broken, "UTF-8")))
+    return decoded.groupBy(F.coalesce("reason", F.lit("good")).alias("reason")).agg(F.count("*").alias("messages"))
+
+
+def q_route_by_message_field(spark, sf_dir):
+    # An event field named like a message column is read from the event.
+    events = _events(spark, sf_dir).withColumn("event", put_field("event", "topic", F.col("event")["evt"]))
+    decoded = decode_messages(messages_from_events(events, topic="wire"))
+    return route_counts(prepare(decoded, _opts(tenant_field="topic")))
+
+
+def _write_csv(spark, sf_dir, long_rows=False) -> str:
     fields = raw_events_from_table(_table(spark, sf_dir)).select([F.col("event")[c].alias(c) for c in DECODED_FIELDS])
-    path = write_csv_events(fields, scratch_dir(spark, "csv") + "/events", list(DECODED_FIELDS))
-    ev = good(read_csv_events(spark, path)).withColumn("event_key", F.col("event")["id"])
+    root = scratch_dir(spark, "csv") + "/events"
+    if not long_rows:
+        return write_csv_events(fields, root, list(DECODED_FIELDS))
+    # Every fifth event has one field more than the header of its file.
+    longer = F.col("id").cast("bigint") % 5 == 0
+    write_csv_events(fields.filter(~longer), root, list(DECODED_FIELDS))
+    lines = fields.filter(longer).select(F.concat_ws(",", *(F.coalesce(F.col(c), F.lit("")) for c in DECODED_FIELDS), F.lit("EXTRA")).alias(header_line(spark, root)))
+    lines.write.options(**WHOLE_LINES, quote="\x00").mode("append").csv(root)
+    return root
+
+
+def q_csv_rejects(spark, sf_dir):
+    read = read_csv_events(spark, _write_csv(spark, sf_dir, long_rows=True))
+    return read.select("reason", "line").filter("reason IS NOT NULL")
+
+
+def q_csv_events(spark, sf_dir):
+    ev = good(read_csv_events(spark, _write_csv(spark, sf_dir))).withColumn("event_key", F.col("event")["id"])
     return entries(ev, "event_key")
 
 
@@ -195,6 +239,18 @@ def q_index_upsert_latest(spark, sf_dir):
     return document_fields(read_latest(spark, root))
 
 
+def q_index_upsert_batches(spark, sf_dir):
+    # The same, arriving in four batches in no order; the rule that the
+    # event's own time decides is stored with the versions.
+    opts = _opts(index_id_field="sun")
+    root = scratch_dir(spark, "index-batches")
+    sink = IndexSink(root, opts, order_by=("ts", "event_id"), batch_first=False)
+    prepared = _prepared(spark, sf_dir, opts)
+    for b in range(4):
+        sink.write(prepared.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == b), b)
+    return document_fields(read_latest(spark, root))
+
+
 # Cells per file for bulk loads.  The original drivers sent puts in client
 # batches; that is an RPC setting with no storage meaning here, and a file per
 # few thousand cells would mean ~10^8 files at 100 TB.  A file bound of a
@@ -205,26 +261,34 @@ BULK_CELLS_PER_FILE = 1_000_000
 def q_bulk_load_cells(spark, sf_dir):
     opts = _opts(single_table=True, layout="wide", max_records_per_file=BULK_CELLS_PER_FILE)
     root = scratch_dir(spark, "bulk")
-    bulk_load(_events(spark, sf_dir), root, opts, load_id=0)
+    bulk_load(_events(spark, sf_dir), root, opts, load_id=0, lifted=LIFTED)
     return read_cells(spark, root).select(*CELLS)
 
 
-# ---------------------------------------------------------------- streams
+def q_bulk_rejects(spark, sf_dir):
+    # A CSV with long rows: cells of the good ones, rejects of the others.
+    opts = _opts(single_table=True, layout="blob", max_records_per_file=BULK_CELLS_PER_FILE)
+    root = scratch_dir(spark, "bulk-rejects")
+    read = read_csv_events(spark, _write_csv(spark, sf_dir, long_rows=True))
+    report = bulk_load(read, root + "/cells", opts, rejects=RejectSink(root + "/rejects"))
+    cells = read_cells(spark, root + "/cells").select("value")
+    rejects = read_records(spark, root + "/rejects").select("line")
+    if (report.events, report.rejects) != (cells.count(), rejects.count()):
+        raise RuntimeError(f"the report {report} does not agree with what was written")
+    return cells.select(F.lit("cell").alias("kind"), F.col("value").alias("content")).union(rejects.select(F.lit("reject"), "line"))
 
 
-def _message_log(spark, sf_dir, legacy=None) -> str:
-    path = scratch_dir(spark, "message-log")
-    return write_message_log(_messages(spark, sf_dir, legacy=legacy), path, STREAM_BATCHES * FILES_PER_BATCH)
+# ---------------------------------------------------------------- streams
 
 
-def _log_stream(spark, log) -> DataFrame:
-    return message_log_stream(spark, log, max_files_per_trigger=FILES_PER_BATCH)
+def _message_log(spark, sf_dir, legacy=None) -> str:
+    return write_message_log(_messages(spark, sf_dir, legacy=legacy), scratch_dir(spark, "message-log"))
 
 
 def q_stream_ingest(spark, sf_dir):
     log = _message_log(spark, sf_dir)
     work = scratch_dir(spark, "ingest")
-    decoded = decode_messages(_log_stream(spark, log))
+    decoded = decode_messages(message_log_stream(spark, log))
     q = (
         decoded.filter(F.col("reason").isNull())
         .select("key", "event")
@@ -233,7 +297,7 @@ def q_stream_ingest(spark, sf_dir):
         .trigger(availableNow=True)
         .start(work + "/out")
     )
-    run_until_done(q, STREAM_TIMEOUT_S)
+    run_until_done(q)
     return _decoded_fields(spark.read.parquet(work + "/out"))
 
 
@@ -253,15 +317,15 @@ def _fanout(spark, sf_dir, opts, index_order, batch_first, legacy=None, stats=Fa
 def q_stream_fanout(spark, sf_dir):
     opts = _opts(send_to_table=True, send_to_index=True, layout="wide")
     log, work, job = _fanout(spark, sf_dir, opts, ("timestamp", "partition", "offset"), batch_first=True)
-    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
     return read_cells(spark, work + "/cells").select(*CELLS)
 
 
 def q_stream_fanout_parallel(spark, sf_dir):
     opts = _opts(send_to_table=True, send_to_index=True, parallel=True, index_id_field="sun")
     log, work, job = _fanout(spark, sf_dir, opts, ("timestamp", "offset"), batch_first=False)
-    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
-    return document_fields(read_latest(spark, work + "/index", batch_first=False))
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
+    return document_fields(read_latest(spark, work + "/index"))
 
 
 def q_stream_resume(spark, sf_dir):
@@ -273,20 +337,59 @@ def q_stream_resume(spark, sf_dir):
     bounds = messages.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
     middle = bounds["lo"] + (bounds["hi"] - bounds["lo"]) / 2
     early = F.col("timestamp") <= F.lit(middle)
-    half = STREAM_BATCHES // 2 * FILES_PER_BATCH
     log = scratch_dir(spark, "message-log")
-    write_message_log(messages.filter(early), log, half)
+    write_message_log(messages.filter(early), log)
     work = scratch_dir(spark, "resume")
     sinks = [TableSink(work + "/cells", opts), IndexSink(work + "/index", opts)]
     job = FanoutJob(opts, sinks, rejects=RejectSink(work + "/rejects"))
-    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
+    drained = job.rows
     late = messages.filter(~early)
-    write_message_log(late, log, half, append=True)
-    again = job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True})
-    run_until_done(again, STREAM_TIMEOUT_S)
-    resumed_rows = sum(p["numInputRows"] for p in again.recentProgress)
-    if resumed_rows != late.count():
-        raise RuntimeError(f"restart read {resumed_rows} messages, expected only the {late.count()} new ones")
+    write_message_log(late, log, append=True)
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
+    if job.rows - drained != late.count():
+        raise RuntimeError(f"restart read {job.rows - drained} messages, expected only the {late.count()} new ones")
+    return read_cells(spark, work + "/cells").select(*CELLS)
+
+
+def _both_sinks(spark, sf_dir, parallel: bool) -> DataFrame:
+    """Cells and documents of one job in which some events lack an id."""
+    opts = _opts(send_to_table=True, send_to_index=True, row_key="position", parallel=parallel)
+    unkeyed = F.col("event_id") % 4 == 0
+    events = _events(spark, sf_dir)
+    events = events.withColumn("event", F.when(unkeyed, F.map_filter("event", lambda k, v: k != "id")).otherwise(F.col("event")))
+    log = write_message_log(messages_from_events(events), scratch_dir(spark, "message-log"))
+    work = scratch_dir(spark, "both-sinks")
+    sinks = [TableSink(work + "/cells", opts), IndexSink(work + "/index", opts)]
+    job = FanoutJob(opts, sinks, rejects=RejectSink(work + "/rejects"))
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
+    cells = read_cells(spark, work + "/cells").select(F.lit("cell").alias("kind"), F.col("table_name").alias("name"), F.col("value").alias("content"))
+    docs = read_latest(spark, work + "/index").select(F.lit("document"), "doc_id", blob_text("event"))
+    lost = read_records(spark, work + "/rejects").select(F.col("reason"), F.col("key").cast("string"), F.lit(""))
+    return cells.union(docs).union(lost)
+
+
+def q_fanout_both_sinks(spark, sf_dir):
+    return _both_sinks(spark, sf_dir, parallel=False)
+
+
+def q_fanout_both_sinks_parallel(spark, sf_dir):
+    return _both_sinks(spark, sf_dir, parallel=True)
+
+
+def q_stream_table_only(spark, sf_dir):
+    # One sink at the job's own interval: the query is stopped once the rows
+    # of the log are through.
+    opts = _opts(send_to_table=True, layout="blob", duration_seconds=1)
+    messages = _messages(spark, sf_dir)
+    log = write_message_log(messages, scratch_dir(spark, "message-log"))
+    work = scratch_dir(spark, "table-only")
+    job = FanoutJob(opts, [TableSink(work + "/cells", opts)], rejects=RejectSink(work + "/rejects"))
+    query = job.start(message_log_stream(spark, log), work + "/_checkpoint")
+    query.processAllAvailable()
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
     return read_cells(spark, work + "/cells").select(*CELLS)
 
 
@@ -295,7 +398,7 @@ def q_batch_stats(spark, sf_dir):
     log, work, job = _fanout(
         spark, sf_dir, opts, ("timestamp", "partition", "offset"), batch_first=True, legacy=F.col("event")["evt"] == "error", stats=True
     )
-    run_until_done(job.start(_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}), STREAM_TIMEOUT_S)
+    run_until_done(job.start(message_log_stream(spark, log), work + "/_checkpoint", trigger={"availableNow": True}))
     stats = read_records(spark, work + "/stats")
     return stats.groupBy("sink", "table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
 
@@ -303,6 +406,7 @@ def q_batch_stats(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "events_to_map": q_events_to_map,
     "enrich_constant": q_enrich_constant,
+    "enrich_many": q_enrich_many,
     "restamp_event_time": q_restamp_event_time,
     "drop_empty_fields": q_drop_empty_fields,
     "row_key": q_row_key,
@@ -311,17 +415,25 @@ QUERIES: dict[str, Query] = {
     "tenant_list": q_tenant_list,
     "tenant_filter": q_tenant_filter,
     "route_counts": q_route_counts,
+    "route_by_message_field": q_route_by_message_field,
     "decode_events": q_decode_events,
     "encode_events": q_encode_events,
     "rejects": q_rejects,
+    "rejects_by_reason": q_rejects_by_reason,
     "csv_events": q_csv_events,
+    "csv_rejects": q_csv_rejects,
     "sink_single_table": q_sink_single_table,
     "sink_tenant_tables": q_sink_tenant_tables,
     "index_upsert_latest": q_index_upsert_latest,
+    "index_upsert_batches": q_index_upsert_batches,
     "bulk_load_cells": q_bulk_load_cells,
+    "bulk_rejects": q_bulk_rejects,
     "stream_ingest": q_stream_ingest,
     "stream_resume": q_stream_resume,
     "stream_fanout": q_stream_fanout,
     "stream_fanout_parallel": q_stream_fanout_parallel,
+    "fanout_both_sinks": q_fanout_both_sinks,
+    "fanout_both_sinks_parallel": q_fanout_both_sinks_parallel,
+    "stream_table_only": q_stream_table_only,
     "batch_stats": q_batch_stats,
 }

@@ -21,7 +21,6 @@ from fanwrite.functions.events import get_field, put_constants
 from fanwrite.functions.keys import row_key
 from fanwrite.functions.routing import route
 from fanwrite.functions.text import blob_text
-from fanwrite.operators.decode import REASON_NO_DOC_ID
 from fanwrite.options import FanoutOptions
 
 Enrich = Callable[[DataFrame], DataFrame]
@@ -49,48 +48,44 @@ class Preparer:
         opts: FanoutOptions,
         position: Sequence[str] | None = None,
         enrich: Enrich | None = None,
-        require_doc_id: bool = False,
+        lifted: Sequence[str] = (),
     ):
         self.opts = opts
         self.position = tuple(position) if position else None
         self.enrich = enrich
-        self.require_doc_id = require_doc_id
+        self.lifted = frozenset(lifted)
         self._enriched = None
         self._derived: dict[tuple, dict] = {}
 
-    def _lifted(self, code: str, columns: tuple) -> bool:
-        # A source may carry a field as a plain column named by its code
-        # (lifted from its own columns, so predicates push down).  Use it
-        # unless enrichment may have rewritten that field in the map.
-        rewritten = self.enrich is not None or code in self.opts.enrich
-        return code in columns and not rewritten
+    def _is_lifted(self, code: str) -> bool:
+        # A source may declare that it carries a field as a plain column
+        # named by its code (lifted from its own columns, so predicates push
+        # down).  Use it unless enrichment may have rewritten that field in
+        # the map.  A column that merely has the name (a message's key, say)
+        # is never taken for the field.
+        return code in self.lifted and self.enrich is None and code not in self.opts.enrich
 
-    def _field(self, code: str, columns: tuple):
-        return F.col(code) if self._lifted(code, columns) else get_field("event", code)
+    def _field(self, code: str):
+        return F.col(code) if self._is_lifted(code) else get_field("event", code)
 
     def _derived_columns(self, columns: tuple) -> dict:
         opts = self.opts
         pos = [F.col(c) for c in self.position] if self.position else None
-        doc_id = self._field(opts.index_id_field, columns)
-        tenant = self._field(opts.tenant_field, columns)
-        if opts.row_key == "id" and "reason" not in columns and self._lifted("id", columns):
+        doc_id = self._field(opts.index_id_field)
+        tenant = self._field(opts.tenant_field)
+        if opts.row_key == "id" and "reason" not in columns and self._is_lifted("id"):
             # Every row has an event (a frame without rejects) and the id is a
             # source column: the key needs no map, so a narrow projection
             # reads only the id's own column.
             key = row_key("id", F.col("id"), pos, None)
         else:
             key = F.when(F.col("event").isNotNull(), row_key(opts.row_key, get_field("event", "id"), pos, blob_text("event")))
-        derived = {
+        return {
             "doc_id": doc_id,
             "tenant": tenant,
             "table_name": route(tenant, opts.base_table, opts.single_table, opts.unrouted_table),
             "row_key": key,
         }
-        if self.require_doc_id:
-            derived["reason"] = F.when(F.col("reason").isNull() & doc_id.isNull(), F.lit(REASON_NO_DOC_ID)).otherwise(
-                F.col("reason")
-            )
-        return derived
 
     def __call__(self, events: DataFrame) -> DataFrame:
         columns = tuple(events.columns)
@@ -114,7 +109,7 @@ def prepare(
     opts: FanoutOptions,
     position: Sequence[str] | None = None,
     enrich: Enrich | None = None,
-    require_doc_id: bool = False,
+    lifted: Sequence[str] = (),
 ) -> DataFrame:
     """Enrich, lift, route and key events (rows with a NULL event pass through
     untouched, so rejects stay in the same frame).
@@ -122,7 +117,9 @@ def prepare(
     ``enrich`` replaces the default constant enrichment: any ``DataFrame ->
     DataFrame`` over the ``event`` column (native expressions, or a pandas UDF
     where nothing native fits).  ``position`` names the source position
-    columns used by position row keys.  With ``require_doc_id`` a good event
-    without an id becomes a reject (``no_doc_id``): the index cannot key it.
+    columns used by position row keys.  ``lifted`` declares the fields that
+    the source also carries as plain columns named by their code.  An event
+    without an id has a NULL ``doc_id``: the index cannot key it, other sinks
+    take it.
     """
-    return Preparer(opts, position, enrich, require_doc_id)(events)
+    return Preparer(opts, position, enrich, lifted)(events)

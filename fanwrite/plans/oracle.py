@@ -64,7 +64,38 @@ LATEST_BY_USER = _with(
     extra=",\nl AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)",
 )
 
+CSV_LINE = "concat_ws(',', " + ", ".join(f"coalesce({c}, '')" for c in FIELDS.split(", ")) + ")"
+MANY = ", ".join(f"'v{i}' AS c{i:02d}" for i in range(19))
+MANY_FIELDS = FIELDS + ", " + ", ".join(f"c{i:02d}" for i in range(19))
+LONG = "event_id % 5 = 0"
+UNKEYED = "event_id % 4 = 0"
+BOTH_BLOB = (
+    "'{' || concat_ws(', ', 'dt=' || dt, 'evt=' || evt, 'id=' || CASE WHEN event_id % 4 <> 0 THEN id END, 'msg=' || msg, "
+    "'obscountry=' || obscountry, 'rv39=' || rv39, 'sev=' || sev, 'sun=' || sun) || '}'"
+)
+BOTH_SINKS = _with(
+    f"SELECT 'cell' AS kind, {TABLE} AS name, {BOTH_BLOB} AS content FROM b\n"
+    f"UNION ALL SELECT 'document', id, {BOTH_BLOB} FROM b WHERE NOT {UNKEYED}\n"
+    f"UNION ALL SELECT 'no_doc_id', id, '' FROM b WHERE {UNKEYED}"
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "enrich_many": _with(
+        f"SELECT event_id, qualifier, value FROM (SELECT event_id, {MANY_FIELDS} FROM m) UNPIVOT (value FOR qualifier IN ({MANY_FIELDS}))",
+        extra=f",\nm AS (SELECT * REPLACE ('fixed' AS sev), {MANY} FROM b)",
+    ),
+    "rejects_by_reason": "SELECT reason, count(*) AS messages FROM (SELECT CASE event_id % 7 WHEN 0 THEN 'decode' WHEN 1 THEN 'null_payload' "
+    "WHEN 2 THEN 'duplicate_field' WHEN 3 THEN 'decode' WHEN 4 THEN 'decode' ELSE 'good' END AS reason FROM events) GROUP BY 1",
+    "route_by_message_field": "SELECT 'events-' || event_type AS table_name, count(*) AS events FROM events GROUP BY 1",
+    "csv_rejects": _with(f"SELECT 'csv_long_row' AS reason, {CSV_LINE} || ',EXTRA' AS line FROM b WHERE {LONG}"),
+    "index_upsert_batches": LATEST_BY_USER,
+    "bulk_rejects": _with(
+        f"SELECT 'cell' AS kind, {BLOB} AS content FROM b WHERE NOT {LONG}\n"
+        f"UNION ALL SELECT 'reject', {CSV_LINE} || ',EXTRA' FROM b WHERE {LONG}"
+    ),
+    "fanout_both_sinks": BOTH_SINKS,
+    "fanout_both_sinks_parallel": BOTH_SINKS,
+    "stream_table_only": _blob(TABLE),
     "events_to_map": _fields("event_id", FIELDS),
     "enrich_constant": _fields("event_id", ENRICHED),
     "restamp_event_time": "SELECT event_id, strftime(ts - INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS dt FROM events",

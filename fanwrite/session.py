@@ -42,10 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def apply_engine_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings above on an existing session."""
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster has them
-            pass
 
 
 def shared_root(spark: SparkSession) -> str:

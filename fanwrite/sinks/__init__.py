@@ -1,8 +1,8 @@
 """Sinks: wide-column cell tables, the document index, rejects and stats."""
 
-from fanwrite.sinks.index_sink import IndexSink, compact, read_latest, read_versions
+from fanwrite.sinks.index_sink import IndexSink, read_latest, read_versions
 from fanwrite.sinks.records import RejectSink, StatsSink, read_records
-from fanwrite.sinks.table_sink import CELL_READ_SCHEMA, TableSink, compact_cells, read_cells
+from fanwrite.sinks.table_sink import CELL_READ_SCHEMA, TableSink, read_cells
 
 __all__ = [
     "CELL_READ_SCHEMA",
@@ -10,8 +10,6 @@ __all__ = [
     "RejectSink",
     "StatsSink",
     "TableSink",
-    "compact",
-    "compact_cells",
     "read_cells",
     "read_latest",
     "read_records",

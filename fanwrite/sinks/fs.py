@@ -13,11 +13,6 @@ def _fs_and_path(spark: SparkSession, path: str):
     return fs, p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_and_path(spark, path)
-    return bool(fs.exists(p))
-
-
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the direct children of ``path`` ([] when it does not exist)."""
     fs, p = _fs_and_path(spark, path)
@@ -37,19 +32,3 @@ def batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[
             except ValueError:
                 pass
     return sorted(out)
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """``path`` was written by a Spark job that committed: its ``_SUCCESS``
-    marker exists.  A job killed half-way (driver lost) can leave the folder
-    without it; such a folder is not to be trusted or skipped.  A cluster
-    that turns the markers off (``mapreduce.fileoutputcommitter.
-    marksuccessfuljobs=false``) still reads correctly, from the batch
-    folders, but redoes every compaction."""
-    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
-
-
-def committed_ids(spark: SparkSession, root: str, column: str) -> list[int]:
-    """Like :func:`batch_ids`, keeping only folders whose write committed."""
-    root = root.rstrip("/")
-    return [b for b in batch_ids(spark, root, column=column) if committed(spark, f"{root}/{column}={b}")]

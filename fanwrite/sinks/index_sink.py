@@ -2,20 +2,20 @@
 version of a document wins.
 
 Versions are appended per batch as ``<root>/batch_id=<n>/`` (an overwrite of
-that batch's folder, so replays do not duplicate).  :func:`read_latest`
-resolves the current documents with a grouped ``max_by`` (partial
-aggregation, skew-safe).  :func:`compact` folds all versions up to a batch
-into a snapshot so reads stay bounded as batches accumulate.
+that batch's folder, so replays do not duplicate and a reload replaces).
+:func:`read_latest` resolves the current documents with a grouped ``max_by``.
 
 ``order_by`` names the columns that order versions within the data (for a
 message source: timestamp, partition, offset).  ``batch_first`` decides
 whether arrival batch comes first (last write wins) or the data's own order
-does (external version, as a search index's external versioning does).
+does (external version, as a search index's external versioning does); the
+rule is stored with every version, so readers need not know it.
 
 An external index connector can be used through ``connector`` and
 ``connector_options`` (for example ``org.elasticsearch.spark.sql`` with
-``es.resource``); the document id column is passed as ``es.mapping.id``.
-No connector ships with this package.
+``es.resource`` and ``es.mapping.id``).  A connector takes flat documents:
+``doc_id`` and the event fields named in ``fields``, the latest version of
+each id in the batch.  No connector ships with this package.
 """
 
 from __future__ import annotations
@@ -30,9 +30,6 @@ from pyspark.sql import functions as F
 from fanwrite.operators.latest import latest_versions
 from fanwrite.operators.stats import rows_total
 from fanwrite.options import FanoutOptions
-from fanwrite.sinks.fs import batch_ids, committed, committed_ids
-
-SNAPSHOT = "_snapshot"
 
 
 class IndexSink:
@@ -46,17 +43,27 @@ class IndexSink:
         batch_first: bool = True,
         connector: str | None = None,
         connector_options: dict | None = None,
+        fields: Sequence[str] = (),
     ):
+        if connector and not fields:
+            raise ValueError("a connector needs the event fields that make up a document")
         self.root = root.rstrip("/")
         self.opts = opts
         self.order_by = list(order_by)
         self.batch_first = batch_first
         self.connector = connector
         self.connector_options = dict(connector_options or {})
+        self.fields = list(fields)
 
     def documents(self, events: DataFrame) -> DataFrame:
         version = F.struct(*[F.col(c) for c in self.order_by]) if self.order_by else F.struct(F.lit(0).alias("v"))
-        return events.filter(F.col("doc_id").isNotNull()).select("doc_id", "event", version.alias("version"))
+        docs = events.filter(F.col("doc_id").isNotNull())
+        return docs.select("doc_id", "event", version.alias("version"), F.lit(self.batch_first).alias("batch_first"))
+
+    def flat_documents(self, docs: DataFrame, batch_id: int) -> DataFrame:
+        """The batch's latest version of each document, a column for each field."""
+        latest = latest_versions(docs.withColumn("batch_id", F.lit(int(batch_id)).cast("long")))
+        return latest.select("doc_id", *(F.col("event")[f].alias(f) for f in self.fields if f != "doc_id"))
 
     def write(self, events: DataFrame, batch_id: int) -> bool:
         """Write one batch of versions; False when an error was logged and
@@ -64,8 +71,8 @@ class IndexSink:
         try:
             docs = self.documents(events)
             if self.connector:
-                opts = {"es.mapping.id": "doc_id", **self.connector_options}
-                docs.select("doc_id", "event").write.format(self.connector).options(**opts).mode("append").save()
+                flat = self.flat_documents(docs, batch_id)
+                flat.write.format(self.connector).options(**self.connector_options).mode("append").save()
             else:
                 docs.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
             return True
@@ -79,63 +86,12 @@ class IndexSink:
         return rows_total(events.filter(F.col("doc_id").isNotNull()), self.name, "index", seconds)
 
 
-def read_versions(spark: SparkSession, root: str, after_batch: int | None = None) -> DataFrame:
-    """All stored versions (``doc_id, event, version, batch_id``).
-
-    With ``after_batch`` only the later batch folders are listed and read:
-    one listing of ``root``'s top level picks them, so a read after
-    compaction does not list the files of every batch ever written.
-    """
-    root = root.rstrip("/")
-    paths = [root]
-    if after_batch is not None:
-        ids = batch_ids(spark, root)
-        # With no later batch the newest folder only supplies the schema;
-        # the batch filter below leaves none of its rows.
-        pick = [b for b in ids if b > after_batch] or ids[-1:]
-        if pick:
-            paths = [f"{root}/batch_id={b}" for b in pick]
-    df = spark.read.option("basePath", root).parquet(*paths).withColumn("batch_id", F.col("batch_id").cast("long"))
-    if after_batch is not None:
-        df = df.filter(F.col("batch_id") > F.lit(after_batch))
-    return df.select("doc_id", "event", "version", "batch_id")
-
-
-def latest_snapshot(spark: SparkSession, root: str) -> int | None:
-    """The newest snapshot whose write committed (None if there is none)."""
-    ids = committed_ids(spark, f"{root.rstrip('/')}/{SNAPSHOT}", column="upto_batch")
-    return ids[-1] if ids else None
-
-
-def read_latest(spark: SparkSession, root: str, batch_first: bool = True) -> DataFrame:
-    """Current documents: the newest snapshot plus every later batch, resolved
-    by ``max_by``."""
-    root = root.rstrip("/")
-    upto = latest_snapshot(spark, root)
-    versions = read_versions(spark, root, after_batch=upto)
-    if upto is not None:
-        snap = spark.read.parquet(f"{root}/{SNAPSHOT}/upto_batch={upto}").select("doc_id", "event", "version", "batch_id")
-        versions = snap.unionByName(versions)
-    return latest_versions(versions, batch_first=batch_first)
-
-
-def compact(spark: SparkSession, root: str, batch_first: bool = True, upto: int | None = None) -> int | None:
-    """Write the current documents as of batch ``upto`` (default: the
-    newest) as ``_snapshot/upto_batch=<upto>``; later reads start from it.
-    While a stream is writing, pass the newest batch id minus one (only the
-    newest batch may still be in flight).  Returns the batch id folded up to
-    (None if empty)."""
-    root = root.rstrip("/")
-    ids = [b for b in batch_ids(spark, root) if upto is None or b <= upto]
-    if not ids:
-        return None
-    last = ids[-1]
-    target = f"{root}/{SNAPSHOT}/upto_batch={last}"
-    if committed(spark, target):
-        return last
-    prev = latest_snapshot(spark, root)
-    versions = read_versions(spark, root, after_batch=prev).filter(F.col("batch_id") <= F.lit(last))
-    if prev is not None:
-        versions = spark.read.parquet(f"{root}/{SNAPSHOT}/upto_batch={prev}").select("doc_id", "event", "version", "batch_id").unionByName(versions)
-    latest_versions(versions, batch_first=batch_first).write.mode("overwrite").parquet(target)
-    return last
+def read_versions(spark: SparkSession, root: str) -> DataFrame:
+    """All stored versions (``doc_id, event, version, batch_first, batch_id``)."""
+    df = spark.read.parquet(root.rstrip("/")).withColumn("batch_id", F.col("batch_id").cast("long"))
+    return df.select("doc_id", "event", "version", "batch_first", "batch_id")
+
+
+def read_latest(spark: SparkSession, root: str) -> DataFrame:
+    """Current documents, resolved by ``max_by`` under the rule stored with them."""
+    return latest_versions(read_versions(spark, root))

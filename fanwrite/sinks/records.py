@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from fanwrite.operators.stats import rows_per_reason
 
-REJECT_COLUMNS = ("reason", "key", "value", "topic", "partition", "offset")
+REJECT_COLUMNS = ("reason", "key", "value", "topic", "partition", "offset", "line", "event")
 
 
 class RejectSink:
-    """Rows that failed decode or validation, with their raw payload."""
+    """Rows that failed decode or validation, with their raw payload or line
+    (the event itself where the source has neither)."""
 
     name = "rejects"
 
@@ -19,7 +20,8 @@ class RejectSink:
         self.root = root.rstrip("/")
 
     def records(self, rejects: DataFrame) -> DataFrame:
-        cols = [c for c in REJECT_COLUMNS if c in rejects.columns]
+        raw = "value" in rejects.columns or "line" in rejects.columns
+        cols = [c for c in REJECT_COLUMNS if c in rejects.columns and not (raw and c == "event")]
         return rejects.select(*cols)
 
     def write(self, rejects: DataFrame, batch_id: int) -> bool:
@@ -39,7 +41,7 @@ class StatsSink:
         self.root = root.rstrip("/")
 
     def write(self, stats: DataFrame, batch_id: int) -> bool:
-        stats.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+        stats.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
         return True
 
 

@@ -17,16 +17,13 @@ the one table name would only funnel small loads into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fanwrite.operators.layout import cell_columns, cells
 from fanwrite.operators.stats import rows_per_table
 from fanwrite.options import FanoutOptions
-from fanwrite.sinks.fs import batch_ids, committed, committed_ids
-
-COMPACTED = "_compacted"
 
 CELL_READ_SCHEMA = T.StructType(
     [
@@ -81,8 +78,15 @@ class TableSink:
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={int(batch_id)}"
 
-    def write(self, events: DataFrame, batch_id: int) -> bool:
-        writer = self.cells(events).write.mode("overwrite").partitionBy("table_name").format(self.fmt)
+    def write(self, events: DataFrame, batch_id: int, counts: Observation | None = None) -> bool:
+        """Write one batch of cells, replacing what the batch's folder holds;
+        ``counts`` gets their number as ``cells``."""
+        cells = self.cells(events)
+        if counts is not None:
+            cells = cells.observe(counts, F.count(F.lit(1)).alias("cells"))
+        # Static: a replay may no longer write every table that an earlier
+        # attempt wrote, and must not leave those behind.
+        writer = cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("table_name").format(self.fmt)
         if self.opts.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.opts.max_records_per_file))
         writer.options(**self.options).save(self.path(batch_id))
@@ -92,74 +96,11 @@ class TableSink:
         return rows_per_table(events, self.name, seconds)
 
 
-def _batch_folders(spark: SparkSession, root: str, after: int | None) -> list[str]:
-    """Folders of the batches after ``after`` (all when None): one listing of
-    ``root``'s top level, without walking into the folders."""
-    return [f"{root}/batch_id={b}" for b in batch_ids(spark, root) if after is None or b > after]
-
-
-def latest_compaction(spark: SparkSession, root: str) -> int | None:
-    """The newest compaction whose write committed (None if there is none)."""
-    ids = committed_ids(spark, f"{root.rstrip('/')}/{COMPACTED}", column="upto_batch")
-    return ids[-1] if ids else None
-
-
-def _cells(spark: SparkSession, root: str, upto: int | None) -> DataFrame | None:
-    """Cells of the newest compaction (when ``upto`` names it) plus every
-    later batch; None when there is nothing to read."""
-    frames = []
-    if upto is not None:
-        frames.append(spark.read.schema(CELL_READ_SCHEMA).parquet(f"{root}/{COMPACTED}/upto_batch={upto}"))
-    newer = _batch_folders(spark, root, upto)
-    if newer:
-        frames.append(spark.read.schema(CELL_READ_SCHEMA).option("basePath", root).parquet(*newer))
-    if not frames:
-        return None
-    df = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    return df.select("table_name", "row_key", "family", "qualifier", "value", "batch_id")
-
-
-def read_cells(spark: SparkSession, root: str, table: str | None = None) -> DataFrame:
-    """All cells under ``root`` (every batch), optionally of one table.
-
-    After :func:`compact_cells` the read is the compacted copy plus the
-    later batch folders only.  The table filter is on a partition column, so
-    only that table's folders are read.
-    """
-    root = root.rstrip("/")
-    df = _cells(spark, root, latest_compaction(spark, root))
-    if df is None:
-        df = spark.read.schema(CELL_READ_SCHEMA).parquet(root)  # empty or not yet written: as Spark reports it
+def read_cells(spark: SparkSession, root: str, table: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """All cells under ``root`` (every batch), optionally of one table, in the
+    format the sink wrote.  The table filter is on a partition column, so only
+    that table's folders are read."""
+    df = spark.read.schema(CELL_READ_SCHEMA).format(fmt).load(root.rstrip("/"))
     if table is not None:
         df = df.filter(F.col("table_name") == F.lit(table))
     return df.select("table_name", "row_key", "family", "qualifier", "value", "batch_id")
-
-
-def compact_cells(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
-    """Fold the cells of every batch up to ``upto`` (default: the newest)
-    into ``_compacted/upto_batch=<upto>/table_name=<t>/``.
-
-    The cells pass one REBALANCE on ``table_name``, so each table comes out
-    as AQE-sized files instead of a few small files per batch, and later
-    reads list and open far fewer files.  Batch folders are kept.  While a
-    stream is writing, pass the newest batch id minus one: a micro-batch
-    starts only after the one before it committed, so all but the newest
-    batch are final.  Returns the batch folded up to (None if nothing).
-    """
-    root = root.rstrip("/")
-    ids = [b for b in batch_ids(spark, root) if upto is None or b <= upto]
-    if not ids:
-        return None
-    last = ids[-1]
-    target = f"{root}/{COMPACTED}/upto_batch={last}"
-    if committed(spark, target):
-        return last
-    cells = _cells(spark, root, latest_compaction(spark, root))
-    (
-        cells.filter(F.col("batch_id") <= F.lit(last))
-        .hint("rebalance", "table_name")
-        .write.mode("overwrite")
-        .partitionBy("table_name")
-        .parquet(target)
-    )
-    return last

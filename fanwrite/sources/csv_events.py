@@ -1,9 +1,14 @@
 """CSV event files: a header row of ``Label(code)`` cells, then one event per line.
 
-Lines are split on commas with no quote handling (``quote=""``), so quote
-marks stay part of the value.  Empty fields are left out of the event.  A line
-with more fields than the header is a reject (reason ``csv_long_row``); a
-shorter line is valid and simply lacks the trailing fields.
+Lines are split on commas with no quote handling, so quote marks stay part of
+the value.  Empty fields are left out of the event.  A line with more fields
+than the header is a reject (reason ``csv_long_row``); a shorter line is valid
+and simply lacks the trailing fields.  All files of a folder must have the
+same header; a file with another one fails the read.
+
+Spark's CSV reader takes each line as one column (its separator is a control
+character that text does not hold), which leaves it to skip and compare the
+files' headers; the line is then split natively.
 """
 
 from __future__ import annotations
@@ -15,64 +20,73 @@ from pyspark.sql import types as T
 from fanwrite.functions.events import fields_to_map
 from fanwrite.functions.text import header_code
 
-# Header labels of the sample event files for the codes the
-# ``events`` table carries, used when writing a CSV from it.
+# Whole lines: no separator, no quotes, nothing trimmed.
+WHOLE_LINES = {"header": True, "sep": "\x01", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 SAMPLE_LABELS = {
-    "id": "EventID",
-    "msg": "Message",
-    "dt": "EventTime",
-    "rv39": "TenantName",
-    "sun": "InitiatorUserName",
-    "evt": "EventName",
-    "sev": "Severity",
+    "id": "Number",
+    "msg": "Text",
+    "dt": "Time",
+    "rv39": "Tenant",
+    "sun": "User",
+    "evt": "Kind",
+    "sev": "Level",
 }
 
-CORRUPT = "_corrupt_record"
+
+def header_line(spark: SparkSession, path: str) -> str:
+    """The header line of a file, or of one file of a folder."""
+    return spark.read.options(**WHOLE_LINES, quote="").csv(path).columns[0]
 
 
 def header_codes(spark: SparkSession, path: str) -> list[str]:
     """Field codes from the header line (reads only the first line)."""
-    labels = spark.read.option("header", True).option("quote", "").csv(path).columns
-    return [header_code(label) for label in labels]
-
-
-def read_csv_rows(spark: SparkSession, path: str, codes: list[str] | None = None) -> DataFrame:
-    """CSV lines as string columns named by code, plus ``_corrupt_record``."""
-    codes = codes or header_codes(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in codes] + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", "")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+    return codes_of(header_line(spark, path))
+
 
+def codes_of(header: str) -> list[str]:
+    codes = [header_code(label) for label in header.split(",")]
+    if len(set(codes)) != len(codes):
+        raise ValueError(f"the header names a field twice: {header}")
+    return codes
 
-def read_csv_events(spark: SparkSession, path: str, codes: list[str] | None = None) -> DataFrame:
-    """``(event, reason, line)``: reason is NULL for a good event.
+
+def read_csv_events(spark: SparkSession, path: str) -> DataFrame:
+    """``(event, reason, line)``: reason is NULL for a good event, line (the
+    whole line) for all but a reject.
 
     Trailing empty fields do not count toward the field count (a comma split
     drops them), so only a line with a non-empty field past the header is long.
     """
-    codes = codes or header_codes(spark, path)
-    rows = read_csv_rows(spark, path, codes)
-    n_fields = F.size(F.split(F.regexp_replace(F.col(CORRUPT), ",+$", ""), ","))
-    long_row = F.col(CORRUPT).isNotNull() & (n_fields > F.lit(len(codes)))
-    return rows.select(
-        F.when(~long_row, fields_to_map({c: F.col(c) for c in codes})).alias("event"),
+    header = header_line(spark, path)
+    codes = codes_of(header)
+    schema = T.StructType([T.StructField(header, T.StringType())])
+    read = spark.read.schema(schema).options(**WHOLE_LINES, quote="", enforceSchema=False)
+    lines = read.csv(path).toDF("line").select("line", F.split("line", ",").alias("parts"))
+    long_row = F.size(F.split(F.regexp_replace("line", ",+$", ""), ",")) > F.lit(len(codes))
+    fields = {c: F.get("parts", F.lit(i)) for i, c in enumerate(codes)}
+    return lines.select(
+        F.when(~long_row, fields_to_map(fields)).alias("event"),
         F.when(long_row, F.lit("csv_long_row")).alias("reason"),
-        F.col(CORRUPT).alias("line"),
+        F.when(long_row, F.col("line")).alias("line"),
     )
 
 
 def write_csv_events(df: DataFrame, path: str, codes: list[str], labels: dict[str, str] | None = None) -> str:
     """Write string columns named by code as a CSV with ``Label(code)`` headers.
 
-    Values are written raw (no quoting), NULL as an empty field.
+    Values are written as they are (no quoting, no trimming), NULL as an empty
+    field.  A value with a comma or a line break, which the format can't
+    carry, fails the write.
     """
     labels = labels or SAMPLE_LABELS
-    out = df.select(*[F.col(c).cast("string").alias(f"{labels.get(c, c)}({c})") for c in codes])
-    out.write.option("header", True).option("quote", "").option("nullValue", "").csv(path)
+    header = ",".join(f"{labels.get(c, c)}({c})" for c in codes)
+
+    def field(code: str):
+        value = F.coalesce(F.col(code).cast("string"), F.lit(""))
+        refused = F.raise_error(F.concat(F.lit("not a CSV field: "), value)).cast("string")
+        return F.when(value.rlike("[,\r\n\\x01]"), refused).otherwise(value)
+
+    out = df.select(F.concat_ws(",", *(field(c) for c in codes)).alias(header))
+    out.write.options(**WHOLE_LINES, quote="\x00", emptyValue="").csv(path)
     return path

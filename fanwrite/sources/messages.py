@@ -38,9 +38,10 @@ def kafka_stream(spark: SparkSession, bootstrap_servers: str, topics: str, **opt
     ``startingOffsets`` is passed.  ``minPartitions`` defaults to the
     cluster's cores capped by ``spark.sql.shuffle.partitions``, so the source
     itself splits large offset ranges and a micro-batch needs no shuffle to
-    spread over the executors.  Bound batch size with ``maxOffsetsPerTrigger``.
+    spread over the executors.  A micro-batch takes ten million messages unless
+    ``maxOffsetsPerTrigger`` says otherwise.
     """
-    options.setdefault("minPartitions", str(target_parallelism(spark)))
+    options = {"minPartitions": str(target_parallelism(spark))} | KAFKA_BATCH | options
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -82,28 +83,35 @@ def messages_from_events(
     )
 
 
-def write_message_log(messages: DataFrame, path: str, files: int, append: bool = False) -> str:
-    """Write messages as ``files`` parquet files, each a contiguous offset range.
+def write_message_log(messages: DataFrame, path: str, files: int | None = None, append: bool = False) -> str:
+    """Write messages as parquet files, each a contiguous offset range.
 
-    Read back with :func:`message_log_stream` and ``max_files_per_trigger=1``,
-    every file becomes one micro-batch.  ``append`` adds files to an existing
-    log (new data arriving while a query is stopped).
+    The shuffle sizes them to the data (about the advisory partition size a
+    file, at most as many as there are shuffle partitions); ``files`` asks for
+    a number of files instead, so that a test can read them one per batch.
+    ``append`` adds to an existing log (data arriving while a query is stopped).
     """
-    (
-        messages.repartitionByRange(files, "partition", "offset")
-        .sortWithinPartitions("partition", "offset")
-        .write.mode("append" if append else "errorifexists")
-        .parquet(path)
-    )
+    by = ("partition", "offset")
+    ranged = messages.repartitionByRange(files, *by) if files else messages.repartitionByRange(*by)
+    ranged.sortWithinPartitions(*by).write.mode("append" if append else "errorifexists").parquet(path)
     return path
 
 
-def message_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
-    """Streaming read of a message log written by :func:`write_message_log`."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
+# What a micro-batch of a log or a topic takes at most, unless told otherwise.
+LOG_BATCH = {"maxBytesPerTrigger": str(4 << 30)}
+KAFKA_BATCH = {"maxOffsetsPerTrigger": "10000000"}
+
+
+def message_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, **options) -> DataFrame:
+    """Streaming read of a message log written by :func:`write_message_log`.
+
+    A micro-batch takes ``max_files_per_trigger`` files, else what
+    ``options`` say (file source options), else files of 4 GB together.
+    """
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+        options.setdefault("maxFilesPerTrigger", max_files_per_trigger)
+    options = options if {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options) else options | LOG_BATCH
+    return spark.readStream.schema(MESSAGE_SCHEMA).options(**options).parquet(path)
 
 
 def message_log(spark: SparkSession, path: str) -> DataFrame:

@@ -1,14 +1,20 @@
 """Micro-batch fan-out with Structured Streaming.
 
-``source (messages) -> decode -> prepare -> foreachBatch(sinks…)``
-
-* The batch is read from its source once: decoded, prepared and persisted
-  (``MEMORY_AND_DISK``); the emptiness check and every sink read the cache,
-  which is released in ``finally`` even if a sink fails.
+``source (messages) -> decode -> prepare -> foreachBatch(sinks...)``
+
+* With several readers (two sinks, or a sink and statistics) the batch is read
+  from its source once: decoded, prepared and persisted (``MEMORY_AND_DISK``);
+  every sink reads the cache, which is released in ``finally`` even if a sink
+  fails.  A job with one sink writes straight from the source.
+* Sinks are independent of each other: all take every decoded event, but the
+  index leaves out events without an id, which it cannot key; those are
+  reported as rejects and still reach the table.
 * Sinks run one after another (table, then index) or, with
-  ``opts.parallel``, on a small thread pool; every sink's error is re-raised
-  so the batch fails and is replayed from the checkpoint instead of being
-  reported done with data missing.
+  ``opts.parallel``, on a small thread pool that inherits the caller's job
+  context; every sink's error is re-raised so the batch fails and is replayed
+  from the checkpoint instead of being reported done with data missing.
+* No row vanishes: a job that sets bad rows aside needs a reject sink, one
+  with ``on_bad="fail"`` fails on the first bad row.
 * Every sink overwrites its own ``batch_id`` folder, so a replayed batch
   leaves the same result as one clean run.  Two sinks are not atomic
   together: after a failure one may be ahead of the other until the replay.
@@ -24,12 +30,12 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fanwrite.operators.decode import decode_columns, decode_messages
+from fanwrite.operators.decode import REASON_NO_DOC_ID, decode_columns, decode_messages, fail_on
 from fanwrite.operators.parallelism import spread
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.fanout import Enrich, Preparer
@@ -57,6 +63,8 @@ class FanoutJob:
     ):
         if not sinks:
             raise ValueError("no sink selected: enable the table sink, the index sink or both")
+        if rejects is None and opts.on_bad == "reject":
+            raise ValueError("a job that sets bad rows aside needs a reject sink; on_bad='fail' fails on them instead")
         self.opts = opts
         self.sinks = list(sinks)
         self.rejects = rejects
@@ -74,72 +82,76 @@ class FanoutJob:
             for s in self.sinks:
                 if isinstance(s, TableSink):
                     s.input_balanced = True
-        needs_id = any(isinstance(s, IndexSink) for s in self.sinks)
-        self._preparer = Preparer(opts, self.position, enrich, require_doc_id=needs_id)
-        self._decode_columns = None
-        self._slim_value = None
+        self._needs_id = any(isinstance(s, IndexSink) for s in self.sinks)
+        self._preparer = Preparer(opts, self.position, enrich)
+        self._columns = None
         self.last_timings: dict[str, float] = {}
-        self.history: list[tuple[int, dict[str, float]]] = []
+        self.batches = 0  # that held rows
+        self.rows = 0  # read from the source in those batches
 
     def prepared(self, batch: DataFrame) -> DataFrame:
+        """The batch decoded and prepared; ``lost`` is why a row is a reject of
+        the job as a whole or of the index alone, NULL for neither."""
+        strict = self.opts.on_bad == "fail"
         # Expressions are built on the first batch and reused afterwards.
-        if self._decode_columns is None:
-            self._decode_columns = decode_columns(strict=self.opts.on_bad == "fail")
-            self._slim_value = F.when(F.col("reason").isNotNull(), F.col("value"))
-        decoded = decode_messages(batch, columns=self._decode_columns)
-        prepared = self._preparer(decoded)
-        # Good rows do not need their raw payload any more (rejects do): a
-        # cached batch then holds each event once, decoded.
-        return prepared.withColumn("value", self._slim_value)
+        if self._columns is None:
+            lost = F.col("reason")
+            if self._needs_id:
+                unkeyed = F.when(F.col("doc_id").isNull(), F.lit(REASON_NO_DOC_ID))
+                lost = F.coalesce(lost, fail_on(unkeyed) if strict else unkeyed)
+            # Good rows do not need their raw payload any more (rejects do): a
+            # cached batch then holds each event once, decoded.
+            self._columns = decode_columns(strict), lost, F.when(F.col("lost").isNotNull(), F.col("value"))
+        decode, lost, value = self._columns
+        prepared = self._preparer(decode_messages(batch, columns=decode))
+        return prepared.withColumn("lost", lost).withColumn("value", value)
 
     def _timed(self, sink, frame: DataFrame, batch_id: int) -> tuple[float, bool]:
         start = time.perf_counter()
         wrote = sink.write(frame, batch_id) is not False
         return time.perf_counter() - start, wrote
 
+    def _write_all(self, good: DataFrame, batch_id: int) -> tuple[dict[str, float], bool]:
+        """Every sink's seconds, and whether a built-in one wrote."""
+        if self.opts.parallel and len(self.sinks) > 1:
+            with ThreadPoolExecutor(max_workers=len(self.sinks), thread_name_prefix="fanout-sink") as pool:
+                write = inheritable_thread_target(good.sparkSession)(self._timed)
+                futures = [pool.submit(write, s, good, batch_id) for s in self.sinks]
+                errors = [e for f in futures if (e := f.exception()) is not None]
+            for e in errors[1:]:
+                errors[0].add_note(f"another sink failed too: {e!r}")
+            if errors:
+                raise errors[0]
+            results = [f.result() for f in futures]
+        else:
+            results = [self._timed(s, good, batch_id) for s in self.sinks]
+        wrote = any(ok and isinstance(s, (TableSink, IndexSink)) for s, (_, ok) in zip(self.sinks, results))
+        return {s.name: seconds for s, (seconds, _) in zip(self.sinks, results)}, wrote
+
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
-        # The batch is read from its source once: it is decoded, prepared and
-        # persisted, and everything else (the emptiness check included) reads
-        # the cache.  Asking the raw batch ``isEmpty()`` would scan the whole
-        # micro-batch from the source an extra time.
         prepared = self.prepared(spread(batch, self.min_partitions))
         if self.balance:
             prepared = prepared.hint("rebalance", "table_name")
-        cached = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+        several = len(self.sinks) > 1 or self.stats is not None
+        if several:
+            prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if cached.isEmpty():
+            if (prepared if several else batch).isEmpty():
                 return
             # The sinks' own write jobs count rows and rejects on the way
             # (an Observation), so a clean batch needs no extra job to learn
             # that there is nothing to reject.
             obs = Observation()
-            counted = cached.observe(
-                obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reason").isNotNull()).alias("rejects")
-            )
+            counted = prepared.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("lost").isNotNull()).alias("rejects"))
             good = counted.filter(F.col("reason").isNull())
-            timings: dict[str, float] = {}
-            wrote: list[bool] = []
-            if self.opts.parallel and len(self.sinks) > 1:
-                with ThreadPoolExecutor(max_workers=len(self.sinks), thread_name_prefix="fanout-sink") as pool:
-                    futures = {s.name: pool.submit(self._timed, s, good, batch_id) for s in self.sinks}
-                    for name, fut in futures.items():
-                        timings[name], ok = fut.result()
-                        wrote.append(ok)
-            else:
-                for s in self.sinks:
-                    timings[s.name], ok = self._timed(s, good, batch_id)
-                    wrote.append(ok)
-            bad = cached.filter(F.col("reason").isNotNull())
             # obs.get blocks until an action on `counted` has run: trust it
             # only when a built-in sink (which always writes `counted`) wrote.
-            observed = any(ok and isinstance(s, (TableSink, IndexSink)) for s, ok in zip(self.sinks, wrote))
+            timings, observed = self._write_all(good, batch_id)
+            bad = prepared.filter(F.col("lost").isNotNull()).withColumn("reason", F.col("lost"))
             if self.rejects is not None:
                 n_bad = obs.get["rejects"] if observed else (0 if bad.isEmpty() else 1)
-                if n_bad:
-                    timings[self.rejects.name], _ = self._timed(self.rejects, bad, batch_id)
-                else:
-                    timings[self.rejects.name] = 0.0
+                timings[self.rejects.name] = self._timed(self.rejects, bad, batch_id)[0] if n_bad else 0.0
             if self.stats is not None:
                 frames = [s.stats(good, timings[s.name]) for s in self.sinks]
                 if self.rejects is not None:
@@ -147,16 +159,18 @@ class FanoutJob:
                 self.stats.write(reduce(DataFrame.unionByName, frames), batch_id)
             total = time.perf_counter() - started
             timings["batch_total"] = total
+            self.batches += 1
             if observed:
                 # Free: the Observation was filled by the sinks' own writes.
                 rows = int(obs.get["rows"] or 0)
+                self.rows += rows
                 timings["rows"] = rows
                 timings["events_per_second"] = rows / total if total > 0 else None
             self.last_timings = timings
-            self.history.append((batch_id, timings))
             log.info("batch %s: %s", batch_id, _summary(timings))
         finally:
-            cached.unpersist()
+            if several:
+                prepared.unpersist()
 
     def output_roots(self) -> list[str]:
         roots = [s.root for s in self.sinks if hasattr(s, "root")]
@@ -194,10 +208,11 @@ def _summary(timings: dict) -> str:
     return ", ".join(f"{k}={v:.3f}" if isinstance(v, float) else f"{k}={v}" for k, v in timings.items())
 
 
-def run_until_done(query: StreamingQuery, timeout_seconds: float = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query; stop it and fail if it overruns."""
+def run_until_done(query: StreamingQuery, timeout_seconds: float | None = None) -> StreamingQuery:
+    """Wait for an ``availableNow`` query, as long as its input takes; with a
+    timeout, stop it and fail if it overruns."""
     finished = query.awaitTermination(timeout_seconds)
-    if not finished:
+    if finished is False:
         query.stop()
         raise TimeoutError(f"streaming query did not finish within {timeout_seconds} s")
     if query.exception() is not None:
@@ -205,14 +220,12 @@ def run_until_done(query: StreamingQuery, timeout_seconds: float = 600) -> Strea
     return query
 
 
-def stop_after_batches(query: StreamingQuery, batches: int, timeout_seconds: float = 600, poll: float = 0.2) -> int:
-    """Stop a running query once it has completed ``batches`` micro-batches
-    (a controlled interruption, as a failed driver would be)."""
+def stop_after_batches(query: StreamingQuery, job: FanoutJob, batches: int, timeout_seconds: float = 600, poll: float = 0.2) -> int:
+    """Stop a running query once ``job`` has completed ``batches`` more
+    micro-batches (a controlled interruption, as a failed driver would be)."""
+    before = job.batches
     deadline = time.monotonic() + timeout_seconds
-    while time.monotonic() < deadline:
-        done = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
-        if len(done) >= batches or not query.isActive:
-            break
+    while time.monotonic() < deadline and query.isActive and job.batches - before < batches:
         time.sleep(poll)
     query.stop()
-    return len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0])
+    return job.batches - before

@@ -48,3 +48,35 @@ def test_wide_header_with_raw_json_text(spark, scratch):
     assert ev["reason"] is None
     assert ev["event"]["ei"] == '"{"a":"1"|"b":"2"}"'
     assert len(ev["event"]) == 2 + sum(1 for i in range(72) if i % 3)
+
+
+def test_rejects_alone_and_files_with_another_header(spark, scratch):
+    import os
+
+    import pytest
+
+    os.makedirs(scratch + "/in")
+    write(scratch + "/in/a.csv", "A(id),B(sun)\n1,u\n2,u,LONG\n")
+    assert read_csv_events(spark, scratch + "/in").filter("reason IS NOT NULL").select("reason", "line").collect() == [("csv_long_row", "2,u,LONG")]
+    assert read_csv_events(spark, scratch + "/in").filter("reason IS NOT NULL").count() == 1
+    write(scratch + "/in/b.csv", "B(sun),A(id)\nu,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_events(spark, scratch + "/in").collect()
+    with pytest.raises(ValueError, match="twice"):
+        header_codes(spark, write(scratch + "/twice.csv", "A(id),B(id)\n1,2\n"))
+
+
+def test_written_values_come_back_as_they_are(spark, scratch):
+    import pytest
+
+    from fanwrite.sources.csv_events import write_csv_events
+
+    rows = [(" a ", " ", '"q"'), ("", None, "\\n"), ("x", "", "tab\there")]
+    df = spark.createDataFrame(rows, "id string, sun string, msg string")
+    write_csv_events(df, scratch + "/out", ["id", "sun", "msg"])
+    got = [r["event"] for r in read_csv_events(spark, scratch + "/out").collect()]
+    want = [{k: v for k, v in zip(("id", "sun", "msg"), r) if v} for r in rows]
+    assert sorted(sorted(e.items()) for e in got) == sorted(sorted(e.items()) for e in want)
+    for value in ("a,b", "a\nb"):
+        with pytest.raises(Exception, match="not a CSV field"):
+            write_csv_events(spark.createDataFrame([(value,)], "id string"), scratch + "/bad" + str(len(value)) + value[1:2].strip(), ["id"])

@@ -96,9 +96,11 @@ def test_decode_bad_payloads_are_null(spark):
 
 
 def test_decode_strict_raises(spark):
-    df = spark.createDataFrame([("not json",)], "v string")
-    with pytest.raises(Exception):
-        df.select(decode("v", strict=True)).collect()
+    from fanwrite.operators.decode import decode_messages
+
+    df = spark.createDataFrame([("not json",)], "value string")
+    with pytest.raises(Exception, match="bad row"):
+        decode_messages(df, strict=True).collect()
 
 
 def test_encode_decode_round_trip(spark):

@@ -43,6 +43,7 @@ def test_latest_wins_aggregates_partially_before_the_shuffle(spark):
         F.lit("hot").alias("doc_id"),
         F.create_map(F.lit("v"), F.col("id").cast("string")).alias("event"),
         F.struct(F.col("id").alias("offset")).alias("version"),
+        F.lit(True).alias("batch_first"),
         F.lit(0).cast("long").alias("batch_id"),
     )
     latest = latest_versions(versions)
@@ -51,15 +52,25 @@ def test_latest_wins_aggregates_partially_before_the_shuffle(spark):
     assert latest.first()["event"] == {"v": "999"}
 
 
-def test_spread_is_a_no_op_on_parallel_input(spark):
-    from fanwrite.session import target_parallelism
-
-    n = target_parallelism(spark)
-    wide = spark.range(100, numPartitions=n)
-    assert spread(wide) is wide
+def test_spread_follows_an_explicit_setting_only(spark):
     narrow = spark.range(100, numPartitions=1)
-    assert spread(narrow).rdd.getNumPartitions() == n
-    assert n <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread(narrow) is narrow
+    assert spread(narrow, 5).rdd.getNumPartitions() == 5
+    spark.conf.set("spark.fanwrite.minPartitions", "3")
+    try:
+        assert spread(narrow).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset("spark.fanwrite.minPartitions")
+
+
+def test_enrichment_grows_linearly_with_the_constants(spark):
+    from fanwrite.functions import put_constants
+
+    def size(n):
+        df = spark.range(1).select(F.create_map(F.lit("id"), F.lit("1")).alias("event"))
+        return len(df.select(put_constants("event", {f"c{i}": "v" for i in range(n)}))._jdf.queryExecution().analyzed().toString())
+
+    assert size(40) < 3 * size(20)
 
 
 def test_tenant_write_is_one_job_whatever_the_tenant_count(spark, scratch):
@@ -86,36 +97,3 @@ def test_narrow_projection_of_prepared_table_events_builds_no_map(spark, sf_smal
 
     plan = queries()["tenant_filter"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
-
-
-def test_compaction_splits_a_hot_tenant_and_keeps_every_cell(spark, scratch):
-    from fanwrite.sinks import compact_cells
-
-    opts = FanoutOptions(layout="blob", row_key="id", file_layout="narrow")
-    ev = prepare(skewed_events(spark), opts)
-    sink = TableSink(scratch, opts)
-    sink.write(ev, 0)
-    sink.write(ev, 1)
-    # Sizes as at scale, shrunk to this data: AQE splits a hot partition
-    # along map outputs, so the scan must cut the input into many tasks, as
-    # 128 MB splits of 100 TB do.  Left at their defaults here (128 MB splits,
-    # 4 MB open cost per file) the few hot files, being the largest, are
-    # packed into one scan task and there is nothing to split.
-    confs = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
-        "spark.sql.files.maxPartitionBytes": "256k",
-        "spark.sql.files.openCostInBytes": "0",
-    }
-    old = {k: spark.conf.get(k) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
-    try:
-        assert compact_cells(spark, scratch) == 1
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    hot_files = glob.glob(os.path.join(scratch, "_compacted", "upto_batch=1", "table_name=events-hot", "*.parquet"))
-    assert len(hot_files) > 1, "the hot tenant should be split across tasks"
-    counts = {r["table_name"]: r["count"] for r in read_cells(spark, scratch).groupBy("table_name").count().collect()}
-    assert counts["events-hot"] == 40000
-    assert sum(counts.values()) == 120000

@@ -10,7 +10,7 @@ from fanwrite.operators.layout import wide_cells
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.bulk import bulk_load
 from fanwrite.plans.fanout import prepare
-from fanwrite.sinks import IndexSink, TableSink, compact, compact_cells, read_cells, read_latest, read_versions
+from fanwrite.sinks import IndexSink, RejectSink, TableSink, read_cells, read_latest, read_records
 from fanwrite.sinks.fs import batch_ids
 
 from conftest import rows_of
@@ -85,33 +85,37 @@ def test_batch_first_false_uses_data_order_across_batches(spark, scratch):
     sink = IndexSink(scratch, opts, order_by=("ts",), batch_first=False)
     sink.write(prepare(events_df(spark, [({"id": "u", "v": "late-arriving-new"}, "2024-01-05 00:00:00", 1)]), opts), 0)
     sink.write(prepare(events_df(spark, [({"id": "u", "v": "old"}, "2024-01-01 00:00:00", 2)]), opts), 1)
-    assert read_latest(spark, scratch, batch_first=False).first()["event"]["v"] == "late-arriving-new"
-    assert read_latest(spark, scratch, batch_first=True).first()["event"]["v"] == "old"
+    assert read_latest(spark, scratch).first()["event"]["v"] == "late-arriving-new"
 
 
-def test_compaction_snapshot_gives_same_documents(spark, scratch):
+def test_rewriting_an_old_batch_replaces_its_versions(spark, scratch):
     opts = FanoutOptions(row_key="id")
     sink = IndexSink(scratch, opts, order_by=("ts", "offset"))
     for b in range(3):
-        rows = [({"id": f"u{i}", "v": f"{b}-{i}"}, f"2024-01-0{b + 1} 00:00:00", b * 10 + i) for i in range(5)]
+        rows = [({"id": f"u{i}", "v": f"{b}-{i}"}, f"2024-01-0{b + 1} 00:00:00", b * 10 + i) for i in range(3 - b)]
         sink.write(prepare(events_df(spark, rows), opts), b)
-    before = rows_of(read_latest(spark, scratch).select("doc_id", F.col("event")["v"].alias("v")))
-    assert compact(spark, scratch) == 2
-    sink.write(prepare(events_df(spark, [({"id": "u0", "v": "3-0"}, "2024-01-09 00:00:00", 99)]), opts), 3)
-    after = dict(rows_of(read_latest(spark, scratch).select("doc_id", F.col("event")["v"].alias("v"))))
-    expected = dict(before)
-    expected["u0"] = "3-0"
-    assert after == expected
-    # reads after compaction skip the folded batches, and do not list them
-    newer = read_versions(spark, scratch, after_batch=2)
-    assert newer.count() == 1
-    assert all("batch_id=3" in f for f in newer.inputFiles())
-    assert read_versions(spark, scratch, after_batch=3).count() == 0
+    sink.write(prepare(events_df(spark, [({"id": "u2", "v": "again"}, "2024-01-01 00:00:00", 9)]), opts), 0)
+    got = dict(rows_of(read_latest(spark, scratch).select("doc_id", F.col("event")["v"].alias("v"))))
+    assert got == {"u0": "2-0", "u1": "1-1", "u2": "again"}
+
+
+def test_connector_gets_flat_documents_the_latest_of_each_id(spark, scratch):
+    import glob
+    import json
+
+    opts = FanoutOptions(row_key="id", enrich={})
+    sink = IndexSink("", opts, order_by=("ts",), connector="json", connector_options={"path": scratch + "/docs"}, fields=("id", "v", "w"))
+    rows = [({"id": "u", "v": "new"}, "2024-01-05 00:00:00", 1), ({"id": "u", "v": "old", "w": "x"}, "2024-01-01 00:00:00", 2), ({"id": "z", "w": "y"}, "2024-01-01 00:00:00", 3)]
+    sink.write(prepare(events_df(spark, rows), opts), 0)
+    docs = [json.loads(line) for f in glob.glob(scratch + "/docs/*.json") for line in open(f)]
+    assert sorted(docs, key=str) == [{"doc_id": "u", "id": "u", "v": "new"}, {"doc_id": "z", "id": "z", "w": "y"}]
+    with pytest.raises(ValueError, match="fields"):
+        IndexSink("", opts, connector="json")
 
 
 def test_index_errors_log_or_raise(spark, scratch):
     ev = prepare(events_df(spark, [({"id": "1"}, "2024-01-01 00:00:00", 1)]), FanoutOptions())
-    bad_connector = dict(connector="no.such.format")
+    bad_connector = dict(connector="no.such.format", fields=("id",))
     IndexSink(scratch, FanoutOptions(index_errors="log"), order_by=("ts",), **bad_connector).write(ev, 0)
     with pytest.raises(Exception):
         IndexSink(scratch, FanoutOptions(), order_by=("ts",), **bad_connector).write(ev, 0)
@@ -181,46 +185,38 @@ def test_shared_root_comes_from_the_session_and_is_required_on_a_cluster():
         shared_root(_StubSession("yarn"))
 
 
-def test_cell_compaction_gives_same_cells_and_bounds_reads(spark, scratch):
-    opts = FanoutOptions(layout="wide", row_key="id")
-    sink = TableSink(scratch, opts)
+def test_reload_with_dynamic_overwrite_set_leaves_no_old_tables(spark, scratch):
+    opts = FanoutOptions(row_key="id")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        sink = TableSink(scratch, opts)
+        for tenant in ("a", "b"):
+            sink.write(prepare(events_df(spark, [({"id": "1", "rv39": tenant}, "2024-01-01 00:00:00", 1)]), opts), 0)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert rows_of(read_cells(spark, scratch), "table_name") == [("events-b",)]
+
+
+def test_other_formats_read_back(spark, scratch):
+    opts = FanoutOptions(row_key="id")
+    TableSink(scratch, opts, fmt="orc").write(prepare(events_df(spark, [({"id": "1", "rv39": "t"}, "2024-01-01 00:00:00", 1)]), opts), 0)
+    assert read_cells(spark, scratch, fmt="orc").first()["table_name"] == "events-t"
 
-    def batch(b):
-        rows = [({"id": f"{b}-{i}", "rv39": f"t{i % 2}", "v": str(b)}, "2024-01-01 00:00:00", i) for i in range(4)]
-        return prepare(events_df(spark, rows), opts)
 
-    for b in range(3):
-        sink.write(batch(b), b)
-    before = rows_of(read_cells(spark, scratch))
-    assert compact_cells(spark, scratch, upto=1) == 1  # a running stream's newest batch stays out
-    assert rows_of(read_cells(spark, scratch)) == before
-    assert compact_cells(spark, scratch) == 2
-    sink.write(batch(3), 3)
-    sink.write(batch(2), 2)  # a replay of a folded batch writes the same cells
-    after = read_cells(spark, scratch)
-    assert rows_of(after) == sorted(before + rows_of(read_cells(spark, scratch).filter("batch_id = 3")))
-    files = after.inputFiles()
-    assert all("upto_batch=2" in f or "batch_id=3" in f for f in files)
-    assert rows_of(read_cells(spark, scratch, table="events-t1")) == [r for r in rows_of(after) if r[0] == "events-t1"]
-
-
-def test_half_written_compaction_is_ignored_and_redone(spark, scratch):
-    # A compaction whose driver died leaves its folder without _SUCCESS.
-    opts = FanoutOptions(layout="wide", row_key="id")
-    cells_root, index_root = scratch + "/cells", scratch + "/index"
-    table, index = TableSink(cells_root, opts), IndexSink(index_root, opts, order_by=("ts", "offset"))
-    for b in range(3):
-        ev = prepare(events_df(spark, [({"id": f"u{i}", "rv39": "t", "v": str(b)}, "2024-01-01 00:00:00", b * 10 + i) for i in range(3)]), opts)
-        table.write(ev, b)
-        index.write(ev, b)
-    cells_before = rows_of(read_cells(spark, cells_root))
-    docs_before = rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v")))
-    os.makedirs(cells_root + "/_compacted/upto_batch=2/table_name=events-t")
-    os.makedirs(index_root + "/_snapshot/upto_batch=2")
-    assert rows_of(read_cells(spark, cells_root)) == cells_before
-    assert rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v"))) == docs_before
-    assert compact_cells(spark, cells_root) == 2 and compact(spark, index_root) == 2
-    assert os.path.exists(cells_root + "/_compacted/upto_batch=2/_SUCCESS")
-    assert rows_of(read_cells(spark, cells_root)) == cells_before
-    assert all("_compacted" in f for f in read_cells(spark, cells_root).inputFiles())
-    assert rows_of(read_latest(spark, index_root).select("doc_id", F.col("event")["v"].alias("v"))) == docs_before
+def test_bulk_load_sets_bad_rows_aside_and_guards_load_ids(spark, scratch):
+    opts = FanoutOptions(row_key="id")
+    rows = [({"id": "1"}, None), (None, None), ({"id": "2"}, "csv_long_row")]
+    events = spark.createDataFrame(rows, f"event {MAP}, reason string")
+    with pytest.raises(Exception, match="bad row"):
+        bulk_load(events, scratch + "/none", opts)
+    rejects = RejectSink(scratch + "/rejects")
+    report = bulk_load(events, scratch + "/cells", opts, rejects=rejects)
+    assert (report.events, report.cells, report.rejects, report.load_id) == (1, 1, 2, 0)
+    assert rows_of(read_records(spark, scratch + "/rejects"), "reason") == [("csv_long_row",), ("null_event",)]
+    good = events.filter("event IS NOT NULL AND reason IS NULL")
+    assert bulk_load(good, scratch + "/cells", opts).load_id == 1
+    with pytest.raises(ValueError, match="already"):
+        bulk_load(good, scratch + "/cells", opts, load_id=1)
+    assert bulk_load(good, scratch + "/cells", opts, load_id=1, replace=True).load_id == 1
+    assert read_cells(spark, scratch + "/cells").count() == 2

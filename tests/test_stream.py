@@ -55,8 +55,8 @@ def test_stream_equals_batch_and_counts_add_up(spark, sf_small, scratch, log):
         rejects=RejectSink(scratch + "/rejects"),
         stats=StatsSink(scratch + "/stats"),
     )
-    run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
-    assert len(job.history) == 4
+    run_until_done(job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+    assert job.batches == 4
     streamed = rows_of(read_cells(spark, scratch + "/cells").select(*CELLS))
     assert streamed == batch_cells(spark, sf_small, opts)
     n_msgs = spark.read.parquet(log).count()
@@ -72,13 +72,13 @@ def test_failed_sink_then_restart_gives_clean_result(spark, sf_small, scratch, l
     opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True, parallel=parallel)
     table = TableSink(scratch + "/cells", opts)
     index = FlakySink(IndexSink(scratch + "/index", opts), fail_batch=1, marker=scratch + "/failed-once")
-    job = FanoutJob(opts, [table, index])
-    q = job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True})
+    job = FanoutJob(opts, [table, index], rejects=RejectSink(scratch + "/rejects"))
+    q = job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"availableNow": True})
     with pytest.raises(Exception):
         run_until_done(q, 300)
     assert os.path.exists(scratch + "/failed-once")
     # restart on the same checkpoint: batch 1 is replayed, nothing is doubled
-    run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+    run_until_done(job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"availableNow": True}), 300)
     assert rows_of(read_cells(spark, scratch + "/cells").select(*CELLS)) == batch_cells(spark, sf_small, opts)
     docs = read_latest(spark, scratch + "/index")
     assert docs.count() == docs.select("doc_id").distinct().count() == len(batch_cells(spark, sf_small, opts))
@@ -86,10 +86,10 @@ def test_failed_sink_then_restart_gives_clean_result(spark, sf_small, scratch, l
 
 def test_fresh_checkpoint_on_used_output_is_refused(spark, scratch, log):
     opts = FanoutOptions(row_key="id", send_to_table=True)
-    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)])
-    run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"))
+    run_until_done(job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"availableNow": True}), 300)
     with pytest.raises(RuntimeError, match="checkpoint"):
-        job.start(message_log_stream(spark, log), scratch + "/other-ckpt", trigger={"availableNow": True})
+        job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/other-ckpt", trigger={"availableNow": True})
 
 
 def test_no_sink_is_an_error():
@@ -99,7 +99,7 @@ def test_no_sink_is_an_error():
 
 def test_empty_batch_writes_nothing(spark, scratch):
     opts = FanoutOptions(send_to_table=True)
-    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)])
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"))
     empty = spark.createDataFrame([], "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     job.process_batch(empty, 0)
     assert not os.path.exists(scratch + "/cells")
@@ -110,7 +110,7 @@ def test_enrichment_hook_replaces_default(spark, scratch):
 
     opts = FanoutOptions(send_to_table=True, layout="wide")
     hook = lambda df: df.withColumn("event", put_field("event", "region", F.upper(F.col("event")["rv39"])))
-    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], enrich=hook)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"), enrich=hook)
     msgs = spark.createDataFrame(
         [(b"k", b'{"id":"1","rv39":"eu"}', "t", 0, 1, None)],
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
@@ -138,7 +138,9 @@ def test_bad_and_null_payloads_become_rejects(spark, scratch):
     job.process_batch(msgs, 0)
     rej = {bytes(r["key"]).decode(): r["reason"] for r in read_records(spark, scratch + "/rejects").collect()}
     assert rej == {"a": "decode", "b": "decode", "c": "decode", "d": "null_payload", "e": "no_doc_id"}
-    assert read_cells(spark, scratch + "/cells").count() == 1
+    # the event without an id is no document, but a row of the table all the same
+    assert read_cells(spark, scratch + "/cells").count() == 2
+    assert read_latest(spark, scratch + "/index").count() == 1
 
 
 def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
@@ -146,18 +148,10 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
     from fanwrite.sources.csv_events import write_csv_events
     from fanwrite.sources.tables import raw_events_from_table
 
-    assert main(["stream", "-sendToHbase", "-sendToES", "-parallel", "--log", log, "--root", scratch + "/s", "--available-now"]) == 0
+    assert main(["stream", "-sendToHbase", "-sendToES", "-parallel", "--log", log, "--root", scratch + "/s", "--available-now", "--source-option", "maxFilesPerTrigger=2"]) == 0
     n_msgs = spark.read.parquet(log).count()
     n_rejects = read_records(spark, scratch + "/s/rejects").count()
     assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
-    docs = read_latest(spark, scratch + "/s/index").count()
-    committed = max(int(n) for n in os.listdir(scratch + "/s/_checkpoint/commits") if n.isdigit())
-    os.makedirs(scratch + f"/s/cells/batch_id={committed + 1}")  # a batch in flight
-    assert main(["compact", "--root", scratch + "/s"]) == 0
-    assert os.path.exists(scratch + f"/s/cells/_compacted/upto_batch={committed}/_SUCCESS")
-    assert read_cells(spark, scratch + "/s/cells").count() + n_rejects == n_msgs
-    assert read_latest(spark, scratch + "/s/index").count() == docs
-
     codes = ["id", "dt", "rv39", "evt", "sun", "sev", "msg"]
     fields = raw_events_from_table(read_table(spark, sf_small, "events")).select([F.col("event")[c].alias(c) for c in codes])
     csv = write_csv_events(fields, scratch + "/csv", codes)
@@ -165,30 +159,32 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
     cells = read_cells(spark, scratch + "/b/cells")
     assert cells.select("row_key").distinct().count() == fields.count()
     assert {r["table_name"] for r in cells.select("table_name").distinct().collect()} == {"events"}
+    with pytest.raises(SystemExit):
+        main(["bulk", "--csv", csv])  # an output root must be named
 
 
 def test_stop_while_running_then_resume(spark, sf_small, scratch, log):
     from fanwrite.streaming import stop_after_batches
 
     opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True)
-    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)])
-    running = job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"processingTime": "0 seconds"})
-    stop_after_batches(running, 1, timeout_seconds=300)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)], rejects=RejectSink(scratch + "/rejects"))
+    running = job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"processingTime": "0 seconds"})
+    stop_after_batches(running, job, 1, timeout_seconds=300)
     assert not running.isActive
-    run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+    run_until_done(job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"availableNow": True}), 300)
     assert rows_of(read_cells(spark, scratch + "/cells").select(*CELLS)) == batch_cells(spark, sf_small, opts)
 
 
-def test_history_reports_rows_and_rate(spark, scratch):
+def test_last_batch_reports_rows_and_rate(spark, scratch):
     opts = FanoutOptions(send_to_table=True)
-    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)])
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"))
     msgs = spark.createDataFrame(
         [(b"k", b'{"id":"%d","rv39":"t"}' % i, "t", 0, i, None) for i in range(7)],
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
     )
     job.process_batch(msgs, 0)
-    batch_id, t = job.history[-1]
-    assert batch_id == 0 and t["rows"] == 7 and t["events_per_second"] > 0 and t["table"] > 0
+    t = job.last_timings
+    assert (job.batches, job.rows) == (1, 7) and t["rows"] == 7 and t["events_per_second"] > 0 and t["table"] > 0
 
 
 def test_custom_sink_that_writes_nothing_does_not_hang(spark, scratch):
@@ -208,3 +204,69 @@ def test_custom_sink_that_writes_nothing_does_not_hang(spark, scratch):
     )
     job.process_batch(msgs, 0)
     assert [r["reason"] for r in read_records(spark, scratch + "/rejects").collect()] == ["decode"]
+
+
+MESSAGES = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+
+
+def test_rejects_need_a_sink_and_fail_fails_for_every_reason(spark, scratch):
+    opts = FanoutOptions(send_to_table=True, send_to_index=True)
+    table, index = TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)
+    with pytest.raises(ValueError, match="reject sink"):
+        FanoutJob(opts, [table])
+    strict = FanoutOptions(send_to_table=True, send_to_index=True, on_bad="fail")
+    for payload in (None, b"no", b'{"rv39":"no id"}', b'{"id":"1","id":"2"}', b'{"id":"1"} junk'):
+        msgs = spark.createDataFrame([(b"a", b'{"id":"1"}', "t", 0, 0, None), (b"b", payload, "t", 0, 1, None)], MESSAGES)
+        with pytest.raises(Exception, match="bad row"):
+            FanoutJob(strict, [table, index]).process_batch(msgs, 0)
+
+
+def test_repeated_keys_and_trailing_text_are_rejects(spark, scratch):
+    opts = FanoutOptions(send_to_table=True)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"))
+    payloads = {
+        "good": b' {"id":"1"} ', "twice": b'{"id":"1","id":"2"}', "two": b'{"id":"1"}{"id":"2"}', "list": b'{"id":"1"},{"id":"2"}',
+        "junk": b'{"id":"3"} junk', "closing": b'{"id":"3"}] junk', "bracket": b'],[{"id":"3"}', "empty": b"", "null": b"null",
+        "forged": b'{"id":"3"},{"\\u0001end-of-payload":""}] ',
+    }
+    msgs = spark.createDataFrame([(k.encode(), v, "t", 0, i, None) for i, (k, v) in enumerate(payloads.items())], MESSAGES)
+    job.process_batch(msgs, 0)
+    got = {bytes(r["key"]).decode(): r["reason"] for r in read_records(spark, scratch + "/rejects").collect()}
+    assert got == {k: "duplicate_field" if k == "twice" else "decode" for k in payloads if k != "good"}
+    assert read_cells(spark, scratch + "/cells").count() == 1
+
+
+class ContextSink:
+    """Notes a local property of the thread that writes."""
+
+    def __init__(self, name, seen, error=None):
+        self.name, self.root, self.seen, self.error = name, name, seen, error
+
+    def write(self, df, batch_id):
+        self.seen[self.name] = df.sparkSession.sparkContext.getLocalProperty("fanwrite.test")
+        df.count()
+        if self.error:
+            raise RuntimeError(self.error)
+
+
+def test_parallel_sinks_inherit_the_job_context_and_report_all_errors(spark, scratch):
+    opts = FanoutOptions(send_to_table=True, parallel=True, on_bad="fail")
+    seen = {}
+    msgs = spark.createDataFrame([(b"a", b'{"id":"1"}', "t", 0, 0, None)], MESSAGES)
+    spark.sparkContext.setLocalProperty("fanwrite.test", "here")
+    try:
+        FanoutJob(opts, [ContextSink("x", seen), ContextSink("y", seen)]).process_batch(msgs, 0)
+        assert seen == {"x": "here", "y": "here"}
+        with pytest.raises(RuntimeError, match="one") as failure:
+            FanoutJob(opts, [ContextSink("x", seen, "one"), ContextSink("y", seen, "two")]).process_batch(msgs, 0)
+        assert "two" in failure.value.__notes__[0]
+    finally:
+        spark.sparkContext.setLocalProperty("fanwrite.test", None)
+
+
+def test_event_field_named_like_a_message_column_is_read_from_the_event(spark):
+    from fanwrite.operators.decode import decode_messages
+
+    msgs = spark.createDataFrame([(b"k", b'{"id":"1","topic":"fromevent","key":"x"}', "t", 0, 0, None)], MESSAGES)
+    for field, table in (("topic", "events-fromevent"), ("key", "events-x"), ("partition", "unrouted")):
+        assert prepare(decode_messages(msgs), FanoutOptions(tenant_field=field)).first()["table_name"] == table
