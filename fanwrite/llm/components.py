@@ -41,18 +41,22 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one target only, a lesser one that has none itself."""
+    rising = edges.where("a < b")
+    inner = edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi")
+    split = edges.groupBy("a").count().where("count > 1")
+    return rising.isEmpty() and inner.isEmpty() and split.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges`` (columns a, b: bigint),
     the component being its least node.  Loops and repeated edges are fine;
     an edge with a null end is left out; no edges give no rows.
     """
-    seen = None
-    edges = edges.select("a", "b").where("a <> b").distinct()
-    while True:
-        edges = stored(_small_star(_large_star(edges)), "components")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
+    edges = stored(edges.select("a", "b").where("a <> b").distinct(), "components")
+    while not _are_stars(edges):
+        edges = stored(_large_star(edges), "components")
+        edges = stored(_small_star(edges), "components")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

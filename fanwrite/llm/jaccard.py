@@ -2,12 +2,14 @@
 
 Jaccard distance is a metric, so regions around pivots can be joined one by
 one.  Almost all documents are at distance 1 from each other and from any
-pivot that is a document, so the outermost pivots are single shingles: a
-document lies in the region of each shingle of a prefix of its set that is
-long enough that two linked documents share several (see ``prefix_size``).
-Documents that share too few are linked with nothing; the others forget their
-commonest shared shingles, as many as any linked pair can spare, so shared
-passages do not tie regions together.  Regions that overlap are united.
+pivot that is a document, so the outermost pivots are single shingles, and a
+document lies in the region of each shingle of a part of its set that two
+linked documents can't both miss.  This is done twice.  First by the order of
+hashes, over all documents: a prefix long enough that linked documents share
+several of it (``prefix_size``); documents that share too few are linked with
+nothing and leave (``candidate_classes``).  Then, over the few that remain, by
+rarity: the shingles that fewest of them hold, so that shared passages and
+lines tie nothing together (``rare_tokens``).  Regions that overlap are united.
 
 A region is then joined recursively (``join_cell``): pivots are taken from
 it, each document goes to its nearest pivot's Voronoi cell, boundary documents
@@ -25,6 +27,7 @@ of equal sets) is known by the hash of its set.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from itertools import accumulate, groupby
 from operator import attrgetter
@@ -44,7 +47,7 @@ SLACK = 20  # one more common shingle is asked for per so many shingles
 CHUNK = 256  # classes of a region in one task
 PIVOTS = 4
 LEAF = 12  # cells up to this size are joined pair by pair
-BROADCAST_ROWS = 1_000_000  # candidates (three longs each) up to which they are broadcast
+BROADCAST_ROWS = 1_000_000  # ids (with their class) up to which they are broadcast
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -117,38 +120,55 @@ def _needed(n: Column) -> Column:
     return F.lit(1) + F.floor(F.ceil(n * F.lit(PERCENT) / F.lit(100)) / F.lit(SLACK))
 
 
-def shared_tokens(sketched: DataFrame, classes: DataFrame) -> DataFrame:
-    """``set_id, token``: the prefix shingles in which a class can meet a linked one.
+def candidate_classes(sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes that share at least ``_needed`` prefix shingles with others.
 
-    Of the shingles it shares with other classes, a class with fewer than
-    ``_needed`` is linked with nothing; the others drop all but one of as many
-    from the common end.  A linked pair's rarest common shingle stays in both.
+    (A class whose copies are met in several tasks counts itself too: more
+    classes may stay than need to, none is lost.)
     """
     tokens = sketched.where("prefix IS NOT NULL").select("set_id", F.explode("prefix").alias("token"))
-    seen = tokens.groupBy("token").agg(F.min("set_id").alias("least"), F.count("*").alias("df")).where("df > 1")
-    meets = tokens.join(seen, "token").where("set_id <> least")
-    shared = meets.select("set_id", "token", "df").union(meets.select(F.col("least").alias("set_id"), "token", "df")).distinct()
-    lists = shared.groupBy("set_id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("tokens"))
-    enough = lists.join(classes, "set_id").withColumn("needed", _needed(F.col("n")).cast("int")).where(F.size("tokens") >= F.col("needed"))
-    kept = F.slice("tokens", F.lit(1), F.size("tokens") - F.col("needed") + 1)
-    return enough.select("set_id", F.explode(kept).alias("t")).select("set_id", "t.token")
+    shared = tokens.groupBy("token").count().where("count > 1").select("token")
+    counts = tokens.join(shared, "token").groupBy("set_id").agg(F.count("*").alias("shared"))
+    return classes.join(counts, "set_id").where(F.col("shared") >= _needed(F.col("n"))).select("set_id", "id")
+
+
+def rare_tokens(candidates: DataFrame) -> DataFrame:
+    """``set_id, token``: of each class's n shingles the n - least_common(n) +
+    1 that the fewest candidates hold (ties by hash), if another holds them too.
+
+    Those are so many that linked sets can't both miss their rarest common
+    one.  Only shared shingles are gathered per class: all unshared ones, as
+    many as are missing from n, come before them in the order.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingles(t) for t in batch["text"]]
+            yield pd.DataFrame({"set_id": batch["set_id"], "n": [len(f) for f in found], "tokens": found})
+
+    tokens = candidates.mapInPandas(run, "set_id bigint, n bigint, tokens array<bigint>").select("set_id", "n", F.explode("tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    held = tokens.join(shared, "token").groupBy("set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
+    unshared = F.col("n") - F.size("held")
+    room = (F.col("n") - F.ceil(F.col("n") * F.lit(PERCENT) / F.lit(100)) + 1 - unshared).cast("int")
+    kept = held.withColumn("room", room).where("room > 0")
+    return kept.select("set_id", F.explode(F.slice("held", F.lit(1), F.col("room"))).alias("t")).select("set_id", "t.token")
 
 
 def regions(tokens: DataFrame) -> DataFrame:
-    """``set_id, region``: overlapping token regions united; lone classes are left out."""
+    """``set_id, region``: overlapping shingle regions united; lone classes are left out."""
     least = tokens.groupBy("token").agg(F.min("set_id").alias("least"))
     edges = tokens.join(least, "token").where("set_id <> least").select(F.col("set_id").alias("a"), F.col("least").alias("b"))
     return components(edges).select(F.col("node").alias("set_id"), F.col("component").alias("region"))
 
 
 class Members:
-    """Sets of one task, their pairwise distances and the links found so far."""
+    """Sets of one task, their distances and the components found so far."""
 
     def __init__(self, names: list[int], texts: Iterable[str], groups: list[int] | None = None) -> None:
         self.names = names
         self.sets = [set(shingles(t).tolist()) for t in texts]
         self.parent = list(range(len(names)))
-        self.edges: list[tuple[int, int]] = []
         first: dict[int, int] = {}
         for i, g in enumerate(groups or []):  # classes known to be of one component
             self.parent[i] = first.setdefault(g, i)
@@ -158,13 +178,20 @@ class Members:
             self.parent[i] = i = self.parent[self.parent[i]]
         return i
 
+    def stars(self) -> list[tuple[int, int]]:
+        """Every member of a component of several, with the least of them."""
+        least: dict[int, int] = {}
+        for i, name in enumerate(self.names):
+            least[self.root(i)] = min(name, least.get(self.root(i), name))
+        sizes = Counter(self.root(i) for i in range(len(self.names)))
+        return [(name, least[r]) for i, name in enumerate(self.names) if sizes[r := self.root(i)] > 1]
+
     def distance(self, i: int, j: int) -> float:
         """Jaccard distance; a pair within the radius becomes a link."""
         a, b = self.sets[i], self.sets[j]
         common = len(a & b)
         if i != j and linked(common, len(a), len(b)) and (r := self.root(i)) != (s := self.root(j)):
             self.parent[r] = s
-            self.edges.append((self.names[i], self.names[j]))
         return 1 - common / (len(a) + len(b) - common)
 
     def compare(self, i: int, j: int) -> None:
@@ -228,7 +255,7 @@ def _join_chunk(group: dict) -> list[tuple[int, int]]:
     names = sorted(group)  # the least classes of a region are its pivots
     members = Members(names, (group[x].text for x in names))
     join_cell(members, list(range(len(names))), [])
-    return members.edges
+    return members.stars()
 
 
 def _join_block(group: dict) -> list[tuple[int, int]]:
@@ -237,12 +264,12 @@ def _join_block(group: dict) -> list[tuple[int, int]]:
     outer = [i for i, x in enumerate(names) if group[x].outside]
     inner = [i for i, x in enumerate(names) if not group[x].outside]
     join_cell(members, outer, inner)
-    return members.edges
+    return members.stars()
 
 
-def region_links(candidates: DataFrame) -> DataFrame:
-    """Links ``a, b`` between the classes of each region (columns
-    set_id, region, text), enough to make up its components.
+def region_components(candidates: DataFrame) -> DataFrame:
+    """``set_id, group`` of the classes of each region (columns set_id, region,
+    text) that are linked with others: the least class they are connected to.
 
     A region of up to ``CHUNK`` classes is joined in one task.  A larger one
     is dealt out in chunks of about that many, each with the region's least
@@ -254,12 +281,13 @@ def region_links(candidates: DataFrame) -> DataFrame:
     dealt = candidates.join(sizes, "region").withColumn("chunks", chunks)
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int"))
     dealt = stored(dealt, "jaccard-regions")
+    small = _in_groups(dealt.where("chunks = 1"), ["region", "chunk"], _join_chunk).withColumnsRenamed({"a": "set_id", "b": "group"})
     large = dealt.where("chunks > 1")
+    if large.isEmpty():
+        return small
     pivots = large.withColumn("rank", F.expr("row_number() OVER (PARTITION BY region ORDER BY set_id)")).where(F.col("rank") <= PIVOTS)
     pivots = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*dealt.columns)
-    links = stored(_in_groups(dealt.union(pivots), ["region", "chunk"], _join_chunk), "jaccard-links")
-    if large.isEmpty():
-        return links
+    links = stored(_in_groups(large.union(pivots), ["region", "chunk"], _join_chunk), "jaccard-links")
     parts = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("part"))
     known = large.join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
     part_sizes = known.groupBy("region", "part").agg(F.count("*").alias("n"))
@@ -274,7 +302,8 @@ def region_links(candidates: DataFrame) -> DataFrame:
     # A class outside the main part is met as one that was sent, never as a chunk's own too.
     met = known.join(blocks, "region").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns)
     met = met.join(sent.select("region", "chunk", "block", "set_id"), ["region", "chunk", "block", "set_id"], "left_anti").withColumn("outside", F.lit(False))
-    return links.union(_in_groups(sent.union(met), ["region", "chunk", "block"], _join_block))
+    links = links.union(_in_groups(sent.union(met), ["region", "chunk", "block"], _join_block))
+    return small.union(components(links).withColumnsRenamed({"node": "set_id", "component": "group"}))
 
 
 def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -290,11 +319,10 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sketched = stored(sketches(docs, key, text), "jaccard-sketches")
     sets = sketched.where("set_id IS NOT NULL")
     classes = sets.groupBy("set_id").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    placed = stored(regions(shared_tokens(sketched, classes)).join(classes, "set_id").select("id", "set_id", "region"), "jaccard-placed")
+    wanted = stored(candidate_classes(sketched, classes), "jaccard-wanted")
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
-    candidates = _of_class(texts.join(_within_bound(placed), "id"))
-    links = region_links(candidates)
-    linked_classes = components(links).select(F.col("node").alias("set_id"), F.col("component").alias("group"))
+    candidates = stored(_of_class(texts.join(_within_bound(wanted), "id")), "jaccard-candidates")
+    linked_classes = region_components(candidates.join(regions(stored(rare_tokens(candidates), "jaccard-tokens")), "set_id"))
     grouped = classes.join(linked_classes, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
     least = grouped.groupBy("group").agg(F.min("id").alias("component"))
     labels = grouped.join(least, "group").select("set_id", "component")
@@ -310,9 +338,9 @@ def _of_class(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [t is not None and class_of(shingles(t)) == c for t, c in zip(batch["text"], batch["set_id"], strict=True)]
-            yield batch.loc[own, ["set_id", "region", "text"]]
+            yield batch.loc[own, ["set_id", "text"]]
 
-    return rows.mapInPandas(run, "set_id bigint, region bigint, text string").dropDuplicates(["set_id"])
+    return rows.mapInPandas(run, "set_id bigint, text string").dropDuplicates(["set_id"])
 
 
 def _unkeyed_sizes(rows: DataFrame) -> DataFrame:
