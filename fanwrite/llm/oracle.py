@@ -31,4 +31,61 @@ LEFT JOIN filled f ON f.slot = ('0x' || left(md5(d.doc_id::VARCHAR), 8))::BIGINT
 LEFT JOIN shards s ON s.i = f.i
 """
 
-ORACLE_SQL = {"op3_sharding": OP3_SHARDING}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every pair of documents that share a shingle, then reachability.
+OP4_JACCARD = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b
+  FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL) p
+  JOIN sizes n ON n.doc_id = p.a JOIN sizes m ON m.doc_id = p.b
+  WHERE 100 * p.c >= 80 * (n.n + m.n - p.c)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.other
+  FROM reach r JOIN (SELECT a AS doc, b AS other FROM links UNION ALL SELECT b, a FROM links) l ON l.doc = r.other
+),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, l.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l USING (doc_id)
+"""
+
+# Every window of a document against every window of an item.
+OP7_DECONTAM = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM items WHERE len(w) > 0)
+),
+places AS (
+  SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+),
+met AS (SELECT p.r, p.i, p.size, v.item_id FROM places p JOIN windows v ON v.s = p.s AND v.size = p.size),
+hit AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + size)) AS place FROM met) GROUP BY r),
+found AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(f.list, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN found f USING (r)
+"""
+
+ORACLE_SQL = {"op3_sharding": OP3_SHARDING, "op4_jaccard": OP4_JACCARD, "op7_decontam": OP7_DECONTAM}

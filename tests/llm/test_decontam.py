@@ -1,0 +1,64 @@
+"""Decontamination against brute force over all windows, in one block and in many."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from fanwrite.llm import decontam
+
+
+def words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - 9)) if w else []:
+            windows.setdefault(tuple(w[i : i + 10]), set()).add(item)
+    out = []
+    for key, text in docs:
+        w, hit, found = words(text), set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if of := windows.get(tuple(w[i : i + size])):
+                    hit |= set(range(i, i + size))
+                    found |= {str(x) for x in of if x is not None}
+        out.append((key, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40])
+def test_equals_brute_force(spark, monkeypatch, make_docs, block_words):
+    rnd = random.Random(5)
+    text = lambda n: " ".join(rnd.choice(["a", "B", "the", "Größe", "x1", "日本"]) + rnd.choice(["", ",", "\n"]) for _ in range(n))
+    items = [(i, text(rnd.choice([1, 3, 6, 9, 10, 14, 30]))) for i in range(14)] + [(3, text(12)), (None, text(15)), (50, ""), (51, None), (52, "...")]
+    docs = [(i, text(rnd.randint(0, 60))) for i in range(60)]
+    docs += [(100 + k, f"{text(5)} {t.upper()} {text(4)} {t}") for k, (_, t) in enumerate(items) if t] + [(7, "again"), (None, items[0][1]), (8, None), (9, "")]
+    docs += [(200, text(20_000))]
+    real = decontam.blocks
+    monkeypatch.setattr(decontam, "blocks", lambda b, k, t, n: real(b, k, t, block_words))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = [tuple(r) for r in decontam.digests(make_docs([(i, t, "en") for i, t in docs]), benchmark).collect()]
+    assert sorted(got, key=str) == brute(docs, items)
+
+
+def test_clean_keeps_documents_and_columns(spark, make_docs, no_docs):
+    passage = "one two three four five six seven eight nine ten eleven"
+    docs = make_docs([(1, f"x {passage} y", "en"), (2, "one two three four five six seven eight nine", "en"), (3, None, None), (4, "", "en")])
+    benchmark = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    got = decontam.clean(docs, benchmark)
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [2, 3, 4]
+    empty = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontam.clean(docs, empty).count() == 4 and decontam.digests(no_docs, benchmark).count() == 0
+
+
+def test_long_items_are_cut_into_overlapping_segments(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SEGMENT_WORDS", 20_000)
+    text = " ".join(f"w{i}" for i in range(45_000))
+    benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(19_990, 20_012))), (2, text)], "doc_id bigint, text string")
+    assert sorted((r["doc_id"], r["n_hit"]) for r in decontam.digests(docs, benchmark).collect()) == [(1, 22), (2, 45_000)]

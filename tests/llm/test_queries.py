@@ -1,0 +1,65 @@
+"""Registered queries against their SQL; the pipeline against its operators by brute force."""
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from __spark_entry__ import oracle_sql, queries
+from fanwrite.llm.catalog import QUERIES
+from fanwrite.llm.oracle import ORACLE_SQL
+
+TABLES = ("documents", "benchmark", "pages", "embeddings")
+
+
+def test_all_are_registered():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert set(queries()) >= {*QUERIES, "pipeline"} and set(oracle_sql()) >= set(ORACLE_SQL)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_its_sql(spark, sf_small, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    want = con.execute(ORACLE_SQL[name])
+    columns = sorted(d[0] for d in want.description)
+    order = [[d[0] for d in want.description].index(c) for c in columns]
+    got = queries()[name](spark, sf_small)
+    assert sorted(got.columns) == columns
+    assert sorted(map(str, (tuple(r[c] for c in columns) for r in got.collect()))) == sorted(map(str, (tuple(r[i] for i in order) for r in want.fetchall())))
+
+
+def test_pipeline_equals_brute_force(spark, sf_small):
+    from test_decontam import brute as contaminated
+    from test_jaccard import brute as grouped
+    from test_langid import langid  # noqa: F401
+    from tokenizers import Tokenizer
+
+    from fanwrite.llm import pii
+    from fanwrite.llm.catalog import tokenizer_path
+
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").select("item_id", "text").collect()]
+    lettered = [(i, t) for i, t in docs if t and any(c.isalpha() for c in t)]
+    first = {i for i, _, c in grouped(lettered) if i == c}
+    single = [(i, t) for i, t in lettered if i in first]
+    bad = {r[0] for r in contaminated(single, items) if r[-1]}
+    clean = {i: pii.mask(t) for i, t in single if i not in bad}
+    library = Tokenizer.from_file(tokenizer_path())
+    want = {i: (t, len(t), library.encode(t, add_special_tokens=False).ids) for i, t in clean.items()}
+    rows = corpus_pipeline.run(spark, sf_small).collect()
+    assert {r["doc_id"]: (r["text"], r["n_chars"], r["ids"]) for r in rows} == want and len(rows) == len(want)
+    assert all(r["exact"] and r["n_tokens"] == len(r["ids"]) for r in rows)
+    assert bad and len(first) < len(lettered)
+
+
+def test_pipeline_stages_take_odd_rows(spark, sf_small, make_docs, no_docs):
+    rows = [(1, None, None), (2, "", "en"), (3, "123", None), (4, "some words a@b.cd", None), (4, "some words a@b.cd", None), (None, "no id here", "en"), (5, "more words here", "en")]
+    for docs, kept in ((make_docs(rows), [4, 5, None]), (no_docs, [])):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, sf_small)
+            assert docs.columns[: len(columns)] == columns
+        got = docs.collect()
+        assert sorted((r["doc_id"] for r in got), key=str) == sorted(kept, key=str)
+        assert all("@" not in r["text"] for r in got)

@@ -1,0 +1,77 @@
+"""URL filter: hosts, paths and rules against plain code; segmentation and the classifier."""
+
+import re
+
+import pytest
+
+from fanwrite.llm import urls
+from fanwrite.llm.catalog import op8_urls
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match("[^/?#]*", rest)[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), re.match("[^?#]*", rest[len(host) :])[0]
+
+
+def rule(host, path):
+    fits = [(len(h + p), h + p, v) for h, p, v in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+ODD = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.ORG/es/x", "x://example.org/en/1?y#z", "a://b.example.org/en/12", "http://notexample.org/es/", "http://org", "http://org/"]
+ODD += ["http://é.COM/fr/", "http://x.com/de/", "http://x.com?/de/", "http://x.com#a/fr/", "http://a://b.com/fr/", "http://cheappills.net/buy/now", "http://" + "ab" * 20_000 + ".net/"]
+
+
+def test_parts_and_rules(spark):
+    rows = [(i, u, "<p>cheap pills and good news</p>", "x") for i, u in enumerate([*ODD, *ODD])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string")
+    got = {r["page_id"]: r for r in urls.filter_urls(pages).collect()}
+    assert len(got) == len(rows)
+    for i, url, *_ in rows:
+        host, path = split(url)
+        name, verdict = rule(host, path)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, name)
+        assert got[i]["verdict"] == verdict if name else got[i]["verdict"] in ("allow", "block")
+    assert urls.filter_urls(pages.limit(0)).count() == 0
+
+
+def test_segmentation_finds_the_best_cut():
+    counts = {"cheap": 50, "pills": 40, "pill": 30, "news": 80, "the": 500, "he": 300, "heap": 5, "today": 300, "to": 400, "day": 200}
+    import math
+
+    total = sum(counts.values()) + 1
+    model = urls.Unigrams({w: math.log(n / total) for w, n in counts.items()}, math.log(1 / total), math.log(1 / 26))
+    assert urls.segment("cheappills", model) == ["cheap", "pills"]
+    assert urls.segment("thenewstoday", model) == ["the", "news", "today"]
+    assert urls.segment("xqzw", model) == ["xqzw"] and urls.segment("", model) == []
+
+    def best(label):  # every cut
+        if not label:
+            return 0.0
+        return max(model.words.get(label[:i], model.unknown + model.letter * i) + best(label[i:]) for i in range(1, len(label) + 1))
+
+    for label in ("thenewsday", "heapills", "todaythecheap"):
+        score = sum(model.words.get(w, model.unknown + model.letter * len(w)) for w in urls.segment(label, model))
+        assert score == pytest.approx(best(label))
+
+
+def test_the_classifier_generalises_from_seed_words(spark):
+    def page(i):
+        if i % 3 == 0:
+            return i, f"http://cheappillsmegastore.net/megastore/{i}", "<p>the cheap pills of a mega store</p>"
+        return i, f"http://gardenclub.net/flowers/{i}", "<p>the garden club has flowers</p>"
+
+    rows = [page(i) for i in range(300)] + [(1000, "http://megastore.net/megastore/9", "<p>mega store</p>"), (1001, "http://flowersgarden.net/x", "<p>flowers</p>")]
+    got = {r["page_id"]: r["verdict"] for r in urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(got[i] == ("block" if i % 3 == 0 else "allow") for i in range(300)) and (got[1000], got[1001]) == ("block", "allow")
+
+
+def test_pages_table(spark, sf_small):
+    got = op8_urls(spark, sf_small)
+    pages = spark.read.parquet(f"{sf_small}/pages.parquet")
+    assert got.count() == pages.count()
+    for r in got.join(pages, "page_id").collect():
+        assert (r["host"], r["path"]) == split(r["url"]) and r["rule"] == rule(*split(r["url"]))[0]
