@@ -32,7 +32,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from fanwrite.plans import catalog as c
     from fanwrite.session import local_session, scratch_dir
-    from fanwrite.sinks import IndexSink, TableSink, read_latest
+    from fanwrite.sinks import IndexSink, RejectSink, TableSink, read_latest
 
     spark = local_session()
     frames = {
@@ -53,7 +53,7 @@ def main() -> None:
     from fanwrite.streaming import FanoutJob
 
     stream_opts = c._opts(send_to_table=True, send_to_index=True, layout="wide")
-    job = FanoutJob(stream_opts, [TableSink("unused", stream_opts), IndexSink("unused", stream_opts)])
+    job = FanoutJob(stream_opts, [TableSink("unused", stream_opts), IndexSink("unused", stream_opts)], rejects=RejectSink("unused"))
     batch = message_log(spark, c._message_log(spark, sf_dir))
     frames["stream_batch"] = job.prepared(batch).hint("rebalance", "table_name").filter(F.col("reason").isNull())
 
