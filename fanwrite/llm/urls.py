@@ -35,13 +35,14 @@ RULES = (
 
 # Words that name a page to block.
 SEEDS = frozenset(
-    "adult bet bets betting casino casinos cheap escort escorts gambling jackpot loan loans "
-    "malware nude payday phishing pill pills poker porn replica sex slots spam torrent torrents viagra warez xxx".split()
+    "ads adserver adult bet bets betting casino casinos cheap escort escorts gambling jackpot loan loans "
+    "malware nude payday phishing pill pills poker porn replica sex slots spam torrent torrents track tracker tracking viagra warez xxx".split()
 )
 
 VOCABULARY = 50_000  # words of the unigram model
 LONGEST_WORD = 24
 BUCKETS = 1 << 16  # hashed tokens of the classifier
+SMOOTHING = 20  # tokens
 REMEMBERED_LABELS = 100_000
 
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -160,7 +161,12 @@ class Bayes(NamedTuple):
 
 
 def train(urls: DataFrame, model: Unigrams) -> Bayes:
-    """Naive Bayes (add-one) over all rows of ``urls`` (columns host, path)."""
+    """Multinomial naive Bayes over all rows of ``urls`` (columns host, path).
+
+    Each class's token shares are smoothed with ``SMOOTHING`` tokens drawn from
+    both classes together, so a token as common in one as in the other, and one
+    never seen, speaks for neither however unequal the classes are.
+    """
     shared = urls.sparkSession.sparkContext.broadcast(model)
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,9 +183,13 @@ def train(urls: DataFrame, model: Unigrams) -> Bayes:
     counts = np.zeros((2, BUCKETS + 1))
     for r in parts.groupBy("block", "bucket").agg(F.sum("n").alias("n")).collect():
         counts[int(r["block"]), r["bucket"]] = r["n"]  # bucket -1 is the last place
-    allow, block = counts + 1
-    odds = np.log(block[:-1] / block[:-1].sum()) - np.log(allow[:-1] / allow[:-1].sum())
-    return Bayes(float(np.log(block[-1] / allow[-1])), odds)
+    tokens, classes = counts[:, :-1], counts[:, -1] + 1
+    both = tokens.sum(axis=0) / max(1.0, tokens.sum())
+    share = (tokens + SMOOTHING * both) / (tokens.sum(axis=1, keepdims=True) + SMOOTHING)
+    odds = np.zeros(BUCKETS)
+    seen = both > 0
+    odds[seen] = np.log(share[1, seen]) - np.log(share[0, seen])
+    return Bayes(float(np.log(classes[1] / classes[0])), odds)
 
 
 def judge(urls: DataFrame, model: Unigrams, bayes: Bayes) -> DataFrame:
