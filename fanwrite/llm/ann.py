@@ -12,8 +12,9 @@ enough candidates; these are scored exactly.  For largest inner products,
 vectors are scaled by the largest norm and get one more component that makes
 their length 1; queries get a 0 there.
 
-Rows are dealt evenly over blocks of bounded size, each with its own part of
-the forest, so a crowded prefix is spread over all of them and no vector is
+Vectors and strings are stored once in the shared folder, dealt evenly over
+tasks that read them in blocks of bounded size; each block sorts its own part
+of every tree, so a crowded prefix is spread over all blocks and no vector is
 copied.  Queries go to all blocks, ``QUERY_BLOCK`` at a time; a block returns
 its best few for each.  Equal vectors are searched once, under their least
 ids; as many ids are kept as a query can return.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fanwrite.llm.components import stored
+
 TREES = 40
 LETTERS = (64, 8, 8, 8, 8, 8)  # dimensions projected to: a letter has twice as many values
 SEED = 20260102
@@ -50,8 +54,6 @@ class Queries(NamedTuple):
     vectors: np.ndarray
     strings: np.ndarray
     depths: np.ndarray | None
-    largest_norm: float
-    trees: int
 
 
 def projections(dim: int, trees: int) -> list[np.ndarray]:
@@ -61,14 +63,14 @@ def projections(dim: int, trees: int) -> list[np.ndarray]:
 
 def tree_strings(vectors: np.ndarray, trees: int) -> np.ndarray:
     """The string of every vector in every tree, letters packed into a number."""
-    out = np.zeros((trees, len(vectors)), np.uint64)
+    out = np.zeros((trees, len(vectors)), np.int64)
     for p in projections(vectors.shape[1], trees):
         size = p.shape[2]
         for t in range(trees):
             y = vectors @ p[:, t, :]
             largest = np.abs(y).argmax(axis=1)
             letter = 2 * largest + (y[np.arange(len(y)), largest] > 0)
-            out[t] = (out[t] << np.uint64(math.ceil(math.log2(2 * size)))) | letter.astype(np.uint64)
+            out[t] = (out[t] << math.ceil(math.log2(2 * size))) | letter
     return out
 
 
@@ -80,19 +82,17 @@ def lengthened(vectors: np.ndarray, largest_norm: float) -> np.ndarray:
 
 
 class Forest:
-    """The part of the forest over one block's vectors."""
+    """The part of the forest over one block: every tree's strings, sorted."""
 
-    def __init__(self, vectors: np.ndarray, trees: int, largest_norm: float) -> None:
-        self.strings = tree_strings(lengthened(vectors, largest_norm), trees)
-        self.order = np.argsort(self.strings, axis=1, kind="stable")
-        self.strings = np.take_along_axis(self.strings, self.order, axis=1)
+    def __init__(self, strings: np.ndarray) -> None:
+        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.strings = np.take_along_axis(strings, self.order, axis=1)
 
     def stretches(self, strings: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end, in each tree, of what shares the queries' prefixes of the given depths."""
-        below = (BITS - FLOOR[depths]).astype(np.uint64)
-        one = np.uint64(1)
+        below = BITS - FLOOR[depths]
         low = (strings >> below) << below
-        high = ((strings >> below) + one) << below
+        high = ((strings >> below) + 1) << below
         ends = [[np.searchsorted(mine, x) for mine, x in zip(self.strings, bound, strict=True)] for bound in (low, high)]
         return np.array(ends[0]), np.array(ends[1])
 
@@ -105,12 +105,35 @@ class Forest:
         return out
 
 
-def _blocks(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, list] | None:
-    held = [b for b in batches if len(b)]
-    if not held:
-        return None
-    block = pd.concat(held)
-    return np.stack(block["vector"].to_numpy()).astype(np.float64), [np.asarray(i).tolist() for i in block["ids"]]
+class Block(NamedTuple):
+    vectors: np.ndarray
+    ids: list[list[int]]
+    forest: Forest
+
+
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[Block]:
+    """The rows of a task in blocks of at least ``BLOCK_ROWS`` (the last may be smaller)."""
+    held: list[pd.DataFrame] = []
+    for batch in chain(batches, [None]):
+        if batch is not None and len(batch):
+            held.append(batch)
+        if held and (batch is None or sum(map(len, held)) >= BLOCK_ROWS):
+            rows = pd.concat(held)
+            strings = np.stack(rows["strings"].to_numpy()).T
+            yield Block(np.stack(rows["vector"].to_numpy()), [np.asarray(i).tolist() for i in rows["ids"]], Forest(strings))
+            held = []
+
+
+def _index(points: DataFrame, norms: dict[int, float], trees: int) -> DataFrame:
+    """``points`` with the strings of each vector."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for dim, part in batch.groupby("dim"):
+                vectors = np.stack(part["vector"].to_numpy())
+                yield part.assign(strings=list(tree_strings(lengthened(vectors, norms[dim]), trees).T))
+
+    return points.mapInPandas(run, "ids array<bigint>, vector array<double>, dim int, strings array<bigint>")
 
 
 def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -146,14 +169,17 @@ def search(
     rows, asked = _valid(df, key, vector), _valid(queries, key, vector)
     by_id = Window.partitionBy("h1", "h2").orderBy("id")
     points = rows.withColumn("r", F.row_number().over(by_id)).where(F.col("r") <= nearest + 1)
-    points = points.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"), *(F.first(c).alias(c) for c in ("vector", "dim", "norm")))
+    points = points.groupBy("h1", "h2").agg(F.sort_array(F.collect_list("id")).alias("ids"), *(F.first(c).alias(c) for c in ("vector", "dim")))
     kinds = asked.groupBy("h1", "h2").agg(F.first("vector").alias("vector"), F.first("dim").alias("dim"))
+    shapes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).collect()
+    tasks = max(1, math.ceil(sum(r["n"] for r in shapes) / BLOCK_ROWS))
+    index = stored(_index(points.select("ids", "vector", "dim").repartition(tasks), {r["dim"]: r["norm"] for r in shapes}, trees), "ann-index")
+    kinds = stored(kinds, "ann-queries")
     out = None
-    for size in points.groupBy("dim").agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy("dim").collect():
-        mine = points.where(F.col("dim") == size["dim"]).select("ids", "vector").repartition(math.ceil(size["n"] / BLOCK_ROWS))
-        wanted = max(least, share * size["n"])
-        for block in _query_blocks(kinds.where(F.col("dim") == size["dim"]), size["norm"], trees):
-            found = _search_block(mine, block, wanted, nearest)
+    for size in index.groupBy("dim").count().orderBy("dim").collect():
+        mine = index.where(F.col("dim") == size["dim"]).select("ids", "vector", "strings")
+        for block in _query_blocks(kinds.where(F.col("dim") == size["dim"]), trees):
+            found = _search_block(mine, block, max(least, share * size["count"]), nearest)
             out = found if out is None else out.union(found)
     if out is None:
         return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -165,7 +191,7 @@ def search(
     return hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
 
 
-def _query_blocks(kinds: DataFrame, largest_norm: float, trees: int) -> Iterator[Queries]:
+def _query_blocks(kinds: DataFrame, trees: int) -> Iterator[Queries]:
     """Distinct query vectors, at most about ``QUERY_BLOCK`` at once."""
     n = math.ceil(kinds.count() / QUERY_BLOCK)
     for b in range(n):
@@ -175,7 +201,7 @@ def _query_blocks(kinds: DataFrame, largest_norm: float, trees: int) -> Iterator
             vectors = np.array([r["vector"] for r in rows])
             unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
             strings = tree_strings(np.column_stack([unit, np.zeros(len(unit))]), trees)
-            yield Queries([(r["h1"], r["h2"]) for r in rows], vectors, strings, None, largest_norm, trees)
+            yield Queries([(r["h1"], r["h2"]) for r in rows], vectors, strings, None)
 
 
 def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: int) -> DataFrame:
@@ -184,10 +210,12 @@ def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: i
     asked = context.broadcast(queries)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if (block := _blocks(batches)) is not None:
-            sizes = Forest(block[0], asked.value.trees, asked.value.largest_norm).sizes(asked.value.strings)
-            q, d = np.indices(sizes.shape)
-            yield pd.DataFrame({"q": q.ravel(), "depth": d.ravel(), "n": sizes.ravel()})
+        total = np.zeros((len(asked.value.keys), len(FLOOR)), np.int64)
+        for block in _blocks(batches):
+            total += block.forest.sizes(asked.value.strings)
+        q, d = np.nonzero(total)
+        if len(q):
+            yield pd.DataFrame({"q": q, "depth": d, "n": total[q, d]})
 
     sizes = points.mapInPandas(count, "q int, depth int, n bigint").groupBy("q", "depth").agg(F.sum("n").alias("n"))
     enough = sizes.where((F.col("n") >= wanted) | (F.col("depth") == 0)).groupBy("q").agg(F.max("depth").alias("depth"))
@@ -197,27 +225,30 @@ def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: i
     ready = context.broadcast(queries._replace(depths=depths))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if (block := _blocks(batches)) is None:
-            return
-        (vectors, ids), asked = block, ready.value
-        first = np.array([i[0] for i in ids])
-        forest = Forest(vectors, asked.trees, asked.largest_norm)
-        begin, end = forest.stretches(asked.strings, asked.depths)
-        for q, (key, vector) in enumerate(zip(asked.keys, asked.vectors, strict=True)):
-            held = np.zeros(len(ids), bool)
-            for t in range(asked.trees if asked.depths[q] else 1):
-                held[forest.order[t, begin[t, q] : end[t, q]]] = True
-            candidates = np.flatnonzero(held)
-            scores = vectors[candidates] @ vector
-            if len(scores) > nearest + 1:
-                good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
-                candidates, scores = candidates[good], scores[good]
-            best = np.lexsort((first[candidates], -scores))[: nearest + 1]
-            yield pd.DataFrame({"h1": key[0], "h2": key[1], "ids": [ids[candidates[i]] for i in best], "score": scores[best]})
+        for block in _blocks(batches):
+            yield from _nearest(block, ready.value, nearest)
 
     return points.mapInPandas(find, "h1 bigint, h2 bigint, ids array<bigint>, score double")
 
 
+def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFrame]:
+    """The block's best candidates of each query, one more than asked for as
+    the query may be among them."""
+    first = np.array([i[0] for i in block.ids])
+    begin, end = block.forest.stretches(asked.strings, asked.depths)
+    for q, (key, vector) in enumerate(zip(asked.keys, asked.vectors, strict=True)):
+        held = np.zeros(len(first), bool)
+        for t in range(len(begin) if asked.depths[q] else 1):
+            held[block.forest.order[t, begin[t, q] : end[t, q]]] = True
+        candidates = np.flatnonzero(held)
+        scores = block.vectors[candidates] @ vector
+        if len(scores) > nearest + 1:
+            good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
+            candidates, scores = candidates[good], scores[good]
+        best = np.lexsort((first[candidates], -scores))[: nearest + 1]
+        yield pd.DataFrame({"h1": key[0], "h2": key[1], "ids": [block.ids[candidates[i]] for i in best], "score": scores[best]})
+
+
 def neighbours(embeddings: DataFrame, every: int = 20) -> DataFrame:
     """Neighbours of the rows whose vec_id is divisible by ``every``."""
     return search(embeddings, embeddings.where(F.col("vec_id") % every == 0))
