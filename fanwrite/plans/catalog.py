@@ -87,6 +87,13 @@ def q_enrich_many(spark, sf_dir):
     return _fields(prepare(_events(spark, sf_dir), _opts(enrich=MANY_CONSTANTS)), "event_id")
 
 
+def q_enrich_hook(spark, sf_dir):
+    # A hook of the user's in place of the constants: a field derived from another.
+    region = F.coalesce(F.upper(F.col("event")["rv39"]), F.lit("NONE"))
+    prepared = prepare(_events(spark, sf_dir), _opts(), enrich=lambda df: df.withColumn("event", put_field("event", "region", region)))
+    return _fields(prepared, "event_id")
+
+
 def q_restamp_event_time(spark, sf_dir):
     ev = _events(spark, sf_dir).withColumn("event", restamp_time("event", clock="ts"))
     return ev.select("event_id", F.col("event")["dt"].alias("dt"))
@@ -407,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "events_to_map": q_events_to_map,
     "enrich_constant": q_enrich_constant,
     "enrich_many": q_enrich_many,
+    "enrich_hook": q_enrich_hook,
     "restamp_event_time": q_restamp_event_time,
     "drop_empty_fields": q_drop_empty_fields,
     "row_key": q_row_key,

@@ -84,6 +84,10 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT event_id, qualifier, value FROM (SELECT event_id, {MANY_FIELDS} FROM m) UNPIVOT (value FOR qualifier IN ({MANY_FIELDS}))",
         extra=f",\nm AS (SELECT * REPLACE ('fixed' AS sev), {MANY} FROM b)",
     ),
+    "enrich_hook": _with(
+        f"SELECT event_id, qualifier, value FROM (SELECT event_id, {FIELDS}, region FROM h) UNPIVOT (value FOR qualifier IN ({FIELDS}, region))",
+        extra=",\nh AS (SELECT *, coalesce(upper(rv39), 'NONE') AS region FROM b)",
+    ),
     "rejects_by_reason": "SELECT reason, count(*) AS messages FROM (SELECT CASE event_id % 7 WHEN 0 THEN 'decode' WHEN 1 THEN 'null_payload' "
     "WHEN 2 THEN 'duplicate_field' WHEN 3 THEN 'decode' WHEN 4 THEN 'decode' ELSE 'good' END AS reason FROM events) GROUP BY 1",
     "route_by_message_field": "SELECT 'events-' || event_type AS table_name, count(*) AS events FROM events GROUP BY 1",
