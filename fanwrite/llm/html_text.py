@@ -45,7 +45,7 @@ CONTENT = frozenset(("article", "main"))
 
 # Words in a class or id that mark what is not the main text.
 MARKS = frozenset(
-    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs byline comment comments consent cookie cookies "
+    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination "
     "popup promo promotion related recommended respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
@@ -53,7 +53,7 @@ ROLES = frozenset("alert banner complementary contentinfo dialog form menu menub
 COMMENTS = frozenset(("comment", "comments", "disqus", "respond"))
 # What stands in the flow of an article: left out without a gap.
 IN_FLOW = frozenset(
-    "ad ads advert advertisement advertising adverts alert byline hidden newsletter notice notices popup promo promotion related "
+    "ad ads advert advertisement advertising adverts alert hidden newsletter notice notices popup promo promotion related "
     "share sharing social sponsor sponsored subscribe widget "
     "audio button canvas embed form iframe input map math noscript object script select style svg template textarea video".split()
 )
