@@ -23,7 +23,7 @@ from fanwrite.functions.text import blob_text
 from fanwrite.operators.decode import decode_messages, good, rejected
 from fanwrite.operators.latest import document_fields
 from fanwrite.operators.layout import blob_cells, wide_cells
-from fanwrite.operators.parallelism import spread
+from fanwrite.operators.parallelism import spread_table
 from fanwrite.operators.tenants import route_counts, tenant_filter, tenant_list
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.bulk import bulk_load
@@ -52,7 +52,7 @@ def _opts(**kw) -> FanoutOptions:
 
 
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "events"))
+    return spread_table(read_table(spark, sf_dir, "events"))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +128,7 @@ def q_tenant_list(spark, sf_dir):
 def q_tenant_filter(spark, sf_dir):
     # The implied source predicate goes to the parquet scan; the tenant
     # filter on the prepared events stays the exact one.
-    table = spread(read_table(spark, sf_dir, "events").filter(tenant_source_predicate("purchase")))
+    table = spread_table(read_table(spark, sf_dir, "events").filter(tenant_source_predicate("purchase")))
     prepared = prepare(events_from_table(table), _opts(), lifted=LIFTED)
     return tenant_filter(prepared, "purchase").select("event_id", "row_key", "tenant")
 

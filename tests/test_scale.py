@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from fanwrite.operators.latest import latest_versions
-from fanwrite.operators.parallelism import spread
+from fanwrite.operators.parallelism import spread, spread_table
 from fanwrite.options import FanoutOptions
 from fanwrite.plans.fanout import prepare
 from fanwrite.sinks import TableSink, read_cells
@@ -54,11 +54,11 @@ def test_latest_wins_aggregates_partially_before_the_shuffle(spark):
 
 def test_spread_follows_an_explicit_setting_only(spark):
     narrow = spark.range(100, numPartitions=1)
-    assert spread(narrow) is narrow
+    assert spread(narrow, None) is narrow and spread_table(narrow) is narrow
     assert spread(narrow, 5).rdd.getNumPartitions() == 5
     spark.conf.set("spark.fanwrite.minPartitions", "3")
     try:
-        assert spread(narrow).rdd.getNumPartitions() == 3
+        assert spread_table(narrow).rdd.getNumPartitions() == 3
     finally:
         spark.conf.unset("spark.fanwrite.minPartitions")
 
