@@ -45,6 +45,7 @@ PERCENT = 80  # linked: 100 * intersection >= PERCENT * union
 RADIUS = 1 - PERCENT / 100 + 1e-9
 SLACK = 20  # one more common shingle is asked for per so many shingles
 CHUNK = 256  # classes of a region in one task
+CHUNK_CHARS = 8_000_000  # and characters of their texts
 PIVOTS = 4
 LEAF = 12  # cells up to this size are joined pair by pair
 BROADCAST_ROWS = 1_000_000  # ids (with their class) up to which they are broadcast
@@ -271,14 +272,13 @@ def region_components(candidates: DataFrame) -> DataFrame:
     """``set_id, group`` of the classes of each region (columns set_id, region,
     text) that are linked with others: the least class they are connected to.
 
-    A region of up to ``CHUNK`` classes is joined in one task.  A larger one
-    is dealt out in chunks of about that many, each with the region's least
-    classes as pivots.  Should the links then leave classes outside the
+    A region of up to ``CHUNK`` classes and ``CHUNK_CHARS`` characters is joined
+    in one task.  A larger one is dealt out in chunks of about that size, each
+    with the region's least classes as pivots.  Should the links then leave classes outside the
     region's largest part, those meet all chunks, block by block.
     """
-    sizes = candidates.groupBy("region").agg(F.count("*").alias("size"))
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    dealt = candidates.join(sizes, "region").withColumn("chunks", chunks)
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum(F.length("text")) / CHUNK_CHARS)).cast("int")
+    dealt = candidates.join(candidates.groupBy("region").agg(chunks.alias("chunks")), "region")
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("set_id"), F.col("chunks")).cast("int"))
     dealt = stored(dealt, "jaccard-regions")
     small = _in_groups(dealt.where("chunks = 1"), ["region", "chunk"], _join_chunk).withColumnsRenamed({"a": "set_id", "b": "group"})
