@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,9 @@ from pyspark.sql import types as T
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ASCII_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 
-REMEMBERED_PIECES = 400_000
+REMEMBERED_PIECES = 200_000
 REMEMBERED_LENGTH = 64
+ROWS = 500  # texts whose tokens are held at once
 
 
 def byte_letters() -> list[str]:
@@ -140,35 +142,41 @@ def _shared(df: DataFrame, path: str) -> Broadcast[str]:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _with_column(df: DataFrame, name: str, kind: str, task) -> DataFrame:  # noqa: ANN001
-    kept = [f for f in df.schema.fields if f.name != name]
-    fields = [*kept, T.StructField(name, T._parse_datatype_string(kind))]
-    return df.select(*df.columns).mapInArrow(task([f.name for f in kept]), T.StructType(fields))
+def _by_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, ROWS):
+            yield batch.slice(i, ROWS)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with ``ids array<int>``, the token ids of column ``text``.
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with ``ids array<int>``, the token ids of column ``text``, and, if
+    a name is given, ``decoded``, the string that these ids stand for.
 
-    A null or empty text has no tokens.  A column already named ``ids`` is
-    replaced; all other columns and repeated rows stay; whole texts are
-    encoded.  An empty table gives an empty result.
+    A null or empty text has no tokens and decodes to ''.  Columns already
+    named so are replaced; all other columns and repeated rows stay; whole
+    texts are encoded.  An empty table gives an empty result.
     """
     spec = _shared(df, path)
-
-    def task(kept: list[str]):  # noqa: ANN202
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bpe = ByteBPE(spec.value)
-            for batch in batches:
-                ends, flat = [0], []
-                for t in batch.column(text):
-                    flat += bpe.encode(t.as_py() or "")
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.array(flat, np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], [*kept, ids])
-
-        return run
-
-    return _with_column(df, ids, "array<int>", task)
+    added = [ids] if decoded is None else [ids, decoded]
+    kept = [f for f in df.schema.fields if f.name not in added]
+    names = [f.name for f in kept]
+    fields = [*kept, T.StructField(ids, T.ArrayType(T.IntegerType())), *(T.StructField(c, T.StringType()) for c in added[1:])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = ByteBPE(spec.value)
+        for batch in _by_rows(batches):
+            ends, flat, texts = [0], array("i"), []
+            for t in batch.column(text):
+                found = bpe.encode(t.as_py() or "")
+                flat.extend(found)
+                ends.append(len(flat))
+                if decoded is not None:
+                    texts.append(bpe.decode(found))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            new = [lists] if decoded is None else [lists, pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *new], [*names, *added])
+
+    return df.mapInArrow(run, T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -178,23 +186,22 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     column already named ``text`` is replaced.
     """
     spec = _shared(df, path)
+    kept = [f for f in df.schema.fields if f.name != text]
+    names = [f.name for f in kept]
 
-    def task(kept: list[str]):  # noqa: ANN202
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bpe = ByteBPE(spec.value)
-            for batch in batches:
-                texts = [bpe.decode(v.values.to_numpy(zero_copy_only=False).tolist() if v.is_valid else []) for v in batch.column(ids)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, text])
-
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = ByteBPE(spec.value)
+        for batch in _by_rows(batches):
+            texts = [bpe.decode(v.as_py() or []) for v in batch.column(ids)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, text])
 
-    return _with_column(df, text, "string", task)
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(text, T.StringType())]))
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
     """Per document of ``documents``: token count, digest of the ids, digest of
     the text decoded from them."""
-    coded = decode(encode(df.select("doc_id", "text"), path).drop("text"), path)
+    coded = encode(df.select("doc_id", "text"), path, decoded="decoded").drop("text")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

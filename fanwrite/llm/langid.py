@@ -34,7 +34,7 @@ CHUNK = 4096  # triples whose vectors are held at once
 @functools.cache
 def letter_slots() -> np.ndarray:
     """Slot of every code point; 0 for those that are no letters."""
-    slots = np.zeros(0x110000, np.int64)
+    slots = np.zeros(0x110000, np.int16)
     for c in range(0x110000):
         if (letter := chr(c)).isalpha():
             low = ord(letter.lower()[0])
@@ -53,7 +53,7 @@ def triples(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """Distinct triples of a text as numbers, and their counts; None if it has no letter."""
     if not text:
         return None
-    slots = letter_slots()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    slots = letter_slots()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
     if not slots.any():
         return None
     slots = np.concatenate(([0], slots, [0]))
