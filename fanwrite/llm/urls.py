@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fanwrite.llm.components import stored
+
 # Fixed values: (host, path, verdict); a rule fits its host and all subdomains.
 RULES = (
     ("org", "/", "allow"),
@@ -91,9 +93,27 @@ def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(word.alias("word")).where(F.length("word").between(1, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
 
 
+def commonest(counts: DataFrame, vocabulary: int) -> dict[str, int]:
+    """The commonest words, at most ``vocabulary`` of them.
+
+    Counts are put into bins of a sixteenth of a power of two, of which there
+    are few whatever the corpus; whole bins are taken from the top, so equal
+    counts are treated alike and only what is kept reaches the driver.
+    """
+    counts = stored(counts.withColumn("bin", F.floor(F.log2("n") * 16)), "url-words")
+    lowest, taken = None, 0
+    for r in sorted(counts.groupBy("bin").count().collect(), key=lambda r: -r["bin"]):
+        if taken + r["count"] > vocabulary:
+            break
+        lowest, taken = r["bin"], taken + r["count"]
+    if lowest is None:
+        return {}
+    return {r["word"]: r["n"] for r in counts.where(F.col("bin") >= lowest).select("word", "n").collect()}
+
+
 def unigrams(counts: DataFrame, vocabulary: int = VOCABULARY) -> Unigrams:
-    """The model of the ``vocabulary`` commonest words (ties by the word) and the seeds."""
-    top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
+    """The model of the ``vocabulary`` commonest words and the seeds."""
+    top = commonest(counts, vocabulary)
     # Single letters are left to the unknown stretches, or any name would fall into letters.
     known = {w: n for w, n in top.items() if len(w) > 1} | {w: max(top.get(w, 0), 1) for w in SEEDS}
     total = sum(known.values()) + 1
