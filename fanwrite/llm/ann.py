@@ -42,6 +42,7 @@ LEAST_CANDIDATES = 5_000
 SHARE = 0.2  # of all vectors, asked for as candidates if that is more
 BLOCK_ROWS = 12_000
 QUERY_BLOCK = 20_000
+ROWS_OUT = 5_000  # results of a block handed on at once
 
 FLOOR = np.array([0, *np.cumsum([math.ceil(math.log2(2 * d)) for d in LETTERS])])
 BITS = int(FLOOR[-1])
@@ -236,6 +237,7 @@ def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFram
     the query may be among them."""
     first = np.array([i[0] for i in block.ids])
     begin, end = block.forest.stretches(asked.strings, asked.depths)
+    rows: list[tuple] = []
     for q, (key, vector) in enumerate(zip(asked.keys, asked.vectors, strict=True)):
         held = np.zeros(len(first), bool)
         for t in range(len(begin) if asked.depths[q] else 1):
@@ -246,7 +248,10 @@ def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFram
             good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
             candidates, scores = candidates[good], scores[good]
         best = np.lexsort((first[candidates], -scores))[: nearest + 1]
-        yield pd.DataFrame({"h1": key[0], "h2": key[1], "ids": [block.ids[candidates[i]] for i in best], "score": scores[best]})
+        rows += [(*key, block.ids[candidates[i]], scores[i]) for i in best]
+        if len(rows) >= ROWS_OUT or q == len(asked.keys) - 1:
+            yield pd.DataFrame(rows, columns=["h1", "h2", "ids", "score"])
+            rows = []
 
 
 def neighbours(embeddings: DataFrame, every: int = 20) -> DataFrame:
