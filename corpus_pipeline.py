@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fanwrite.llm import bpe, decontam, jaccard, langid, pii
-from fanwrite.llm.catalog import tokenizer_path
+from fanwrite.llm.catalog import bounded_batches, tokenizer_path
 from fanwrite.session import scratch_dir
 from fanwrite.sources.tables import read_table
 
@@ -21,6 +21,7 @@ from fanwrite.sources.tables import read_table
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go: null texts and those without
     a letter.  A missing ``lang`` is filled with the one found."""
+    bounded_batches(spark)
     judged = langid.predict(docs.withColumn("_lang", F.col("lang")), langid.learn(docs))
     kept = judged.where(F.col("lang_pred") != langid.UNDETERMINED)
     return kept.withColumn("lang", F.coalesce("_lang", "lang_pred")).select(*docs.columns)
@@ -28,23 +29,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by their shingles the least doc_id stays."""
+    bounded_batches(spark)
     return jaccard.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of a benchmark item occurs go."""
+    bounded_batches(spark)
     return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked; ``n_chars`` follows the text."""
+    bounded_batches(spark)
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether these decode to the text."""
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path, text="_decoded")
+    bounded_batches(spark)
+    coded = bpe.encode(docs, tokenizer_path(), decoded="_decoded")
     n_tokens, exact = F.size("ids").cast("bigint").alias("n_tokens"), F.col("_decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("exact")
     return coded.select(*docs.columns, n_tokens, exact, "ids")
 
