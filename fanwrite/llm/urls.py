@@ -5,24 +5,27 @@ non-letters) scores every way to cut a host label into words; Viterbi's
 recursion finds the best.  The words of host and path are the tokens of a
 multinomial naive Bayes classifier.  It is trained on all pages: a url one of
 whose words is a seed word is an example to block, any other one to allow;
-rules play no part in training.  Tokens are hashed into a fixed number of
-buckets and the unigram model keeps a fixed number of the commonest words, so
-both models are of bounded size and broadcast.
+rules play no part in training.
+
+Both models are whole, however large, and stay tables: the distinct names of
+the urls are joined with all word counts by their substrings, so each name is
+cut with the counts of its own; and tokens are joined with their odds.  Rows
+are dealt into blocks whose names and tokens are joined once a block, so a
+name that all urls share is met once per block, not once per row.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from fanwrite.llm.components import stored
 
@@ -41,11 +44,10 @@ SEEDS = frozenset(
     "malware nude payday phishing pill pills poker porn replica sex slots spam torrent torrents track tracker tracking viagra warez xxx".split()
 )
 
-VOCABULARY = 50_000  # words of the unigram model
 LONGEST_WORD = 24
-BUCKETS = 1 << 16  # hashed tokens of the classifier
 SMOOTHING = 20  # tokens
-REMEMBERED_LABELS = 100_000
+BLOCK_BITS = 11  # rows of a block, as a power of two
+ROWS_OUT = 20_000  # substrings handed on at once
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _PARTS = re.compile(r"[^\W_]+")
@@ -93,31 +95,14 @@ def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.select(word.alias("word")).where(F.length("word").between(1, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def commonest(counts: DataFrame, vocabulary: int) -> dict[str, int]:
-    """The commonest words, at most ``vocabulary`` of them.
-
-    Counts are put into bins of a sixteenth of a power of two, of which there
-    are few whatever the corpus; whole bins are taken from the top, so equal
-    counts are treated alike and only what is kept reaches the driver.
-    """
-    counts = stored(counts.withColumn("bin", F.floor(F.log2("n") * 16)), "url-words")
-    lowest, taken = None, 0
-    for r in sorted(counts.groupBy("bin").count().collect(), key=lambda r: -r["bin"]):
-        if taken + r["count"] > vocabulary:
-            break
-        lowest, taken = r["bin"], taken + r["count"]
-    if lowest is None:
-        return {}
-    return {r["word"]: r["n"] for r in counts.where(F.col("bin") >= lowest).select("word", "n").collect()}
-
-
-def unigrams(counts: DataFrame, vocabulary: int = VOCABULARY) -> Unigrams:
-    """The model of the ``vocabulary`` commonest words and the seeds."""
-    top = commonest(counts, vocabulary)
+def base_model(counts: DataFrame) -> Unigrams:
+    """The model without the words but the seeds: its total is that of all
+    words of ``counts``.  A seed that does not occur counts once."""
     # Single letters are left to the unknown stretches, or any name would fall into letters.
-    known = {w: n for w, n in top.items() if len(w) > 1} | {w: max(top.get(w, 0), 1) for w in SEEDS}
-    total = sum(known.values()) + 1
-    return Unigrams({w: math.log(n / total) for w, n in known.items()}, math.log(1 / total), math.log(1 / 26))
+    total = counts.where(F.length("word") > 1).agg(F.sum("n")).first()[0] or 0
+    met = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(*SEEDS)).collect()}
+    total += sum(w not in met for w in SEEDS) + 1
+    return Unigrams({w: math.log(met.get(w, 1) / total) for w in SEEDS}, math.log(1 / total), math.log(1 / 26))
 
 
 def segment(label: str, model: Unigrams) -> list[str]:
@@ -141,88 +126,118 @@ def segment(label: str, model: Unigrams) -> list[str]:
     return cuts[::-1]
 
 
-class Tokens:
-    """Tokens of urls; the labels segmented so far are remembered, boundedly."""
+def pieces(host_: str | None, path_: str | None) -> Iterator[tuple[str, str, bool]]:
+    """What tokens are made of, in order: prefix, text, and whether it is a name to be cut."""
+    for label in (host_ or "").split("."):
+        yield from (("h:", name, True) for name in _WORDS.findall(label))
+    for part in _PARTS.findall((path_ or "").lower()):
+        if part.isdigit():
+            yield "p:", f"#{len(part)}", False
+        elif part.isalpha():
+            yield from (("p:", name, True) for name in _WORDS.findall(part))
+        else:
+            yield "p:", part, False
+
+
+def tokens_of(host_: str | None, path_: str | None, cuts: dict[str, Iterable[str]]) -> list[str]:
+    """``h:`` words of the host's labels and ``p:`` words or numbers' lengths of the path."""
+    return [kind + w for kind, text, name in pieces(host_, path_) for w in (cuts[text] if name else (text,))]
+
+
+def names_of(rows: DataFrame) -> DataFrame:
+    """``block, name``: the names to be cut in each block of rows."""
 
-    def __init__(self, model: Unigrams) -> None:
-        self.model = model
-        self.known: dict[str, list[str]] = {}
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            urls = zip(batch["block"], batch["host"], batch["path"], strict=True)
+            found = {(b, text) for b, h, p in urls for _, text, name in pieces(h, p) if name}
+            yield pd.DataFrame(list(found), columns=["block", "name"])
 
-    def of_label(self, label: str) -> list[str]:
-        cut = self.known.get(label)
-        if cut is None:
-            cut = [w for name in _WORDS.findall(label) for w in segment(name, self.model)]
-            if len(self.known) >= REMEMBERED_LABELS:
-                self.known.clear()
-            self.known[label] = cut
-        return cut
+    return rows.select("block", "host", "path").mapInPandas(run, "block bigint, name string").distinct()
 
-    def of(self, host_: str | None, path_: str | None) -> list[str]:
-        """``h:`` words of the host's labels and ``p:`` words or numbers' lengths of the path."""
-        out = [f"h:{w}" for label in (host_ or "").split(".") for w in self.of_label(label)]
-        for part in _PARTS.findall((path_ or "").lower()):
-            out += [f"p:#{len(part)}"] if part.isdigit() else [f"p:{w}" for w in (self.of_label(part) if part.isalpha() else [part])]
-        return out
 
+def substrings(names: DataFrame) -> DataFrame:
+    """``id, word``: the distinct substrings of each name that may be words."""
 
-def seeded(tokens: list[str]) -> bool:
-    return any(t[2:] in SEEDS for t in tokens)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple[int, str]] = []
+        for batch in batches:
+            for i, name in zip(batch["id"], batch["name"], strict=True):
+                for size in range(2, min(LONGEST_WORD, len(name)) + 1):
+                    seen = {name[k : k + size] for k in range(len(name) - size + 1)}
+                    held += ((i, w) for w in seen)
+                    if len(held) >= ROWS_OUT:
+                        yield pd.DataFrame(held, columns=["id", "word"])
+                        held = []
+        yield pd.DataFrame(held, columns=["id", "word"])
+
+    return names.mapInPandas(run, "id bigint, word string")
+
+
+def cut_names(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """``name, cut``: each name (once in ``names``) cut by the counts of all words."""
+    model = base_model(counts)
+    names = stored(names.withColumn("id", F.monotonically_increasing_id()), "url-names")
+    known = substrings(names).join(counts, "word").groupBy("id").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
+    top = -model.unknown  # the total's logarithm
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            cuts = []
+            for name, words, ns in zip(batch["name"], batch["words"], batch["counts"], strict=True):
+                own = {} if words is None else {w: math.log(n) - top for w, n in zip(words, ns, strict=True)}
+                cuts.append(segment(name, model._replace(words=model.words | own)))
+            yield pd.DataFrame({"name": batch["name"], "cut": cuts})
 
+    return names.join(known, "id", "left").select("name", "words", "counts").mapInPandas(run, "name string, cut array<string>")
 
-def bucket(token: str) -> int:
-    return zlib.crc32(token.encode("utf-8", "surrogatepass")) % BUCKETS
 
+def tokenized(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` (columns host, path and others) with ``block`` and ``tokens``."""
+    block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    rows = stored(rows.withColumn("block", block), "url-rows")
+    names = stored(names_of(rows), "url-block-names")
+    cuts = names.join(cut_names(names.select("name").distinct(), counts), "name")
 
-class Bayes(NamedTuple):
-    """Log odds (block over allow): of the classes and of each token bucket."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = dict(zip(right["name"].to_pylist(), right["cut"].to_pylist(), strict=True))
+        urls = zip(left["host"].to_pylist(), left["path"].to_pylist(), strict=True)
+        return left.append_column("tokens", pa.array([tokens_of(h, p, known) for h, p in urls], pa.list_(pa.string())))
 
-    prior: float
-    odds: np.ndarray
+    schema = StructType([*rows.schema.fields]).add("tokens", ArrayType(StringType()))
+    return stored(rows.groupBy("block").cogroup(cuts.groupBy("block")).applyInArrow(run, schema), "url-tokens")
 
 
-def train(urls: DataFrame, model: Unigrams) -> Bayes:
-    """Multinomial naive Bayes over all rows of ``urls`` (columns host, path).
+def train(rows: DataFrame) -> tuple[float, DataFrame]:
+    """Multinomial naive Bayes over all rows of ``rows`` (column tokens): the log
+    odds (block over allow) of the classes, and ``token, odds`` of each token.
 
     Each class's token shares are smoothed with ``SMOOTHING`` tokens drawn from
-    both classes together, so a token as common in one as in the other, and one
-    never seen, speaks for neither however unequal the classes are.
+    both classes together, so a token as common in one as in the other speaks
+    for neither however unequal the classes are.
     """
-    shared = urls.sparkSession.sparkContext.broadcast(model)
+    seeded = F.exists("tokens", lambda t: F.substring(t, 3, 1 << 30).isin(*SEEDS))
+    classed = rows.select(seeded.alias("seeded"), "tokens")
+    n = {r["seeded"]: (r["count"], r["size"]) for r in classed.groupBy("seeded").agg(F.count("*").alias("count"), F.sum(F.size("tokens")).alias("size")).collect()}
+    (blocked, block_size), (allowed, allow_size) = n.get(True, (0, 0)), n.get(False, (0, 0))
+    one = F.col("seeded").cast("bigint")
+    counted = classed.select("seeded", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum(one).alias("block"), F.sum(1 - one).alias("allow"))
+    both = (F.col("block") + F.col("allow")) * (SMOOTHING / max(1, block_size + allow_size))
+    share = {c: (F.col(c) + both) / float(size + SMOOTHING) for c, size in (("block", block_size), ("allow", allow_size))}
+    return math.log((blocked + 1) / (allowed + 1)), counted.select("token", (F.log(share["block"]) - F.log(share["allow"])).alias("odds"))
 
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, total = Tokens(shared.value), Counter()
-        for batch in batches:
-            for h, p in zip(batch["host"], batch["path"], strict=True):
-                found = tokens.of(h, p)
-                block = seeded(found)
-                total[block, -1] += 1  # the class itself
-                total.update((block, bucket(t)) for t in found)
-        yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["block", "bucket", "n"])
-
-    parts = urls.select("host", "path").mapInPandas(tally, "block boolean, bucket int, n bigint")
-    counts = np.zeros((2, BUCKETS + 1))
-    for r in parts.groupBy("block", "bucket").agg(F.sum("n").alias("n")).collect():
-        counts[int(r["block"]), r["bucket"]] = r["n"]  # bucket -1 is the last place
-    tokens, classes = counts[:, :-1], counts[:, -1] + 1
-    both = tokens.sum(axis=0) / max(1.0, tokens.sum())
-    share = (tokens + SMOOTHING * both) / (tokens.sum(axis=1, keepdims=True) + SMOOTHING)
-    odds = np.zeros(BUCKETS)
-    seen = both > 0
-    odds[seen] = np.log(share[1, seen]) - np.log(share[0, seen])
-    return Bayes(float(np.log(classes[1] / classes[0])), odds)
-
-
-def judge(urls: DataFrame, model: Unigrams, bayes: Bayes) -> DataFrame:
-    """``urls`` with ``block_score``, the log odds of blocking, for every row."""
-    shared = urls.sparkSession.sparkContext.broadcast((model, bayes))
-
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        unigram, odds = shared.value
-        tokens = Tokens(unigram)
-        for hosts, paths in batches:
-            yield pd.Series([odds.prior + sum(odds.odds[bucket(t)] for t in tokens.of(h, p)) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
-
-    return urls.withColumn("block_score", F.pandas_udf(run, "double")(F.col("host"), F.col("path")))
+
+def judge(rows: DataFrame, prior: float, odds: DataFrame) -> DataFrame:
+    """``rows`` with ``block_score``, the log odds of blocking, instead of ``block`` and ``tokens``."""
+    own = rows.select(F.col("block").alias("of"), F.explode("tokens").alias("token")).distinct().join(odds, "token")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = dict(zip(right["token"].to_pylist(), right["odds"].to_pylist(), strict=True))
+        scores = [prior + sum(known[t] for t in tokens) for tokens in left["tokens"].to_pylist()]
+        return left.drop_columns(["block", "tokens"]).append_column("block_score", pa.array(scores, pa.float64()))
+
+    schema = StructType([f for f in rows.schema.fields if f.name not in ("block", "tokens")]).add("block_score", DoubleType())
+    return rows.groupBy("block").cogroup(own.groupBy("of")).applyInArrow(run, schema)
 
 
 def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES) -> DataFrame:  # noqa: ANN001
@@ -235,8 +250,8 @@ def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     """
     named = pages.select(F.col(key).alias("_key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
     named = named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")})
-    model = unigrams(word_counts(pages, html))
-    judged = judge(named, model, train(named, model))
+    rows = tokenized(named, stored(word_counts(pages, html), "url-words"))
+    judged = judge(rows, *train(rows))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("block_score") > 0, "block").otherwise("allow")
     return judged.select(F.col("_key").alias(key), "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "block_score")

@@ -75,3 +75,43 @@ def test_pages_table(spark, sf_small):
     assert got.count() == pages.count()
     for r in got.join(pages, "page_id").collect():
         assert (r["host"], r["path"]) == split(r["url"]) and r["rule"] == rule(*split(r["url"]))[0]
+
+
+def test_names_are_cut_by_the_counts_of_all_words(spark):
+    """60,000 words of equal count: none is left out, and the total is that of all."""
+    import math
+    import random
+
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(4, 9))) for _ in range(60_000)} - urls.SEEDS)
+    names = ["best" + w for w in words[::3000]] + [a + b for a, b in zip(words[5::4000], words[9::4000], strict=False)]
+    rows = [(i, "", " ".join(words[i::20])) for i in range(20)] * 2 + [(100 + i, f"http://{n}.net/{n}/{i}", "<p>best of the net</p>") for i, n in enumerate(names)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    counts = {r["word"]: r["n"] for r in urls.word_counts(pages).collect()}
+    known = {w: n for w, n in counts.items() if len(w) > 1} | {w: max(counts.get(w, 0), 1) for w in urls.SEEDS}
+    total = sum(known.values()) + 1
+    model = urls.Unigrams({w: math.log(n / total) for w, n in known.items()}, math.log(1 / total), math.log(1 / 26))
+    named = pages.select("page_id", urls.host(pages.url).alias("host"), urls.path(pages.url).alias("path"))
+    got = {r["page_id"]: r["tokens"] for r in urls.tokenized(named, urls.word_counts(pages)).where("page_id >= 100").collect()}
+    for i, name in enumerate(names):
+        cut = urls.segment(name, model)
+        assert got[100 + i] == [f"h:{w}" for w in [*cut, *urls.segment("net", model)]] + [f"p:{w}" for w in cut] + [f"p:#{len(str(i))}"]
+    assert urls.segment(names[0], model) == ["best", words[0]]
+
+
+def test_every_token_has_its_own_odds(spark):
+    import math
+    from collections import Counter
+
+    rows = [(i, f"http://a.net/{'casino' if i % 4 == 0 else 'garden'}/x{i}", "") for i in range(400)]
+    got = {r["page_id"]: r["block_score"] for r in urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    tokens = {i: ["h:a", "h:net", "p:casino" if i % 4 == 0 else "p:garden", f"p:x{i}"] for i, *_ in rows}
+    count = [Counter(t for i, found in tokens.items() for t in found if (i % 4 == 0) == c) for c in (False, True)]
+    sizes = [sum(c.values()) for c in count]
+
+    def odds(t):
+        both = urls.SMOOTHING * (count[0][t] + count[1][t]) / sum(sizes)
+        return math.log((count[1][t] + both) / (sizes[1] + urls.SMOOTHING)) - math.log((count[0][t] + both) / (sizes[0] + urls.SMOOTHING))
+
+    for i, found in tokens.items():
+        assert got[i] == pytest.approx(math.log(101 / 301) + sum(map(odds, found)))
