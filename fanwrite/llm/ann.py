@@ -8,7 +8,10 @@ the strings: the vectors that share a prefix are a stretch of it.
 
 A query descends in all trees to its longest matching prefixes and then
 ascends in all trees at once, a letter at a time, until the stretches hold
-enough candidates; these are scored exactly.  For largest inner products,
+enough distinct candidates, which are scored exactly, and its best ones are
+met in so many trees that hardly any can have been missed in all of them
+(``missed``); the last step up is to the whole table.  So the same rule holds
+at every size and for crowded or slanted vectors.  For largest inner products,
 vectors are scaled by the largest norm and get one more component that makes
 their length 1; queries get a 0 there.
 
@@ -29,7 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fanwrite.llm.components import stored
@@ -40,6 +43,7 @@ SEED = 20260102
 NEAREST = 20
 LEAST_CANDIDATES = 5_000
 SHARE = 0.2  # of all vectors, asked for as candidates if that is more
+MISSED = 0.05  # of the nearest, that may be missed by estimate
 BLOCK_ROWS = 12_000
 QUERY_BLOCK = 20_000
 ROWS_OUT = 5_000  # results of a block handed on at once
@@ -206,9 +210,11 @@ def _query_blocks(kinds: DataFrame, trees: int) -> Iterator[Queries]:
 
 
 def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: int) -> DataFrame:
-    """``h1, h2, ids, score``: each block's best for every query."""
-    context = points.sparkSession.sparkContext
-    asked = context.broadcast(queries)
+    """``h1, h2, ids, score``: each block's best for every query.
+
+    Queries begin where the trees hold ``wanted`` rows, repeats included, and
+    ascend by a letter until ``_complete``."""
+    asked = points.sparkSession.sparkContext.broadcast(queries)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(asked.value.keys), len(FLOOR)), np.int64)
@@ -223,13 +229,50 @@ def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: i
     depths = np.zeros(len(queries.keys), np.int64)
     for r in enough.collect():
         depths[r["q"]] = r["depth"]
-    ready = context.broadcast(queries._replace(depths=depths))
+    pending, out = queries._replace(depths=depths), None
+    while len(pending.keys):
+        found = stored(_ascended(points, pending, nearest), "ann-found")
+        done = _complete(found, pending, wanted, nearest)
+        kept = found if done.all() else found.join(F.broadcast(_keys(points, pending, done)), ["h1", "h2"], "left_semi")
+        out = kept if out is None else out.union(kept)
+        rest = np.flatnonzero(~done)
+        pending = Queries([pending.keys[i] for i in rest], pending.vectors[rest], pending.strings[:, rest], pending.depths[rest] - 1)
+    return out.select("h1", "h2", "ids", "score")
+
+
+def _keys(points: DataFrame, asked: Queries, which: np.ndarray) -> DataFrame:
+    return points.sparkSession.createDataFrame([k for k, w in zip(asked.keys, which, strict=True) if w], "h1 bigint, h2 bigint")
+
+
+def _ascended(points: DataFrame, asked: Queries, nearest: int) -> DataFrame:
+    """``h1, h2, ids, score, trees, n``: each block's best for every query at its
+    depth, in how many trees they were met, and the block's number of distinct
+    candidates (on one of the rows, 0 on the others)."""
+    ready = points.sparkSession.sparkContext.broadcast(asked)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _blocks(batches):
             yield from _nearest(block, ready.value, nearest)
 
-    return points.mapInPandas(find, "h1 bigint, h2 bigint, ids array<bigint>, score double")
+    return points.mapInPandas(find, "h1 bigint, h2 bigint, ids array<bigint>, score double, trees int, n bigint")
+
+
+def missed(once: Column, twice: Column) -> Column:
+    """How many of the nearest were met in no tree, if so many were met in one
+    and in two only (Chao's estimator, which is exact for equal chances and
+    low for unequal ones)."""
+    return once * (once - 1) / (2 * (twice + 1))
+
+
+def _complete(found: DataFrame, asked: Queries, wanted: float, nearest: int) -> np.ndarray:
+    """Which queries need not ascend further."""
+    best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.col("ids")[0])
+    ranked = found.withColumn("total", F.sum("n").over(Window.partitionBy("h1", "h2"))).withColumn("r", F.row_number().over(best))
+    times = {k: F.count_if(F.col("trees") == k) for k in (1, 2)}
+    met = ranked.where(F.col("r") <= nearest + 1).groupBy("h1", "h2").agg(F.max("total").alias("total"), F.count("*").alias("met"), missed(times[1], times[2]).alias("missed"))
+    met = met.where((F.col("total") >= wanted) & (F.col("met") > nearest) & (F.col("missed") <= MISSED * nearest))
+    whole = {(r["h1"], r["h2"]) for r in met.select("h1", "h2").collect()}
+    return np.array([d == 0 or k in whole for k, d in zip(asked.keys, asked.depths, strict=True)], bool)
 
 
 def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFrame]:
@@ -239,18 +282,18 @@ def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFram
     begin, end = block.forest.stretches(asked.strings, asked.depths)
     rows: list[tuple] = []
     for q, (key, vector) in enumerate(zip(asked.keys, asked.vectors, strict=True)):
-        held = np.zeros(len(first), bool)
-        for t in range(len(begin) if asked.depths[q] else 1):
-            held[block.forest.order[t, begin[t, q] : end[t, q]]] = True
-        candidates = np.flatnonzero(held)
+        stretches = [block.forest.order[t, begin[t, q] : end[t, q]] for t in range(len(begin) if asked.depths[q] else 1)]
+        trees = np.bincount(np.concatenate(stretches), minlength=len(first))
+        candidates = np.flatnonzero(trees)
+        n = len(candidates)
         scores = block.vectors[candidates] @ vector
-        if len(scores) > nearest + 1:
+        if n > nearest + 1:
             good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
             candidates, scores = candidates[good], scores[good]
         best = np.lexsort((first[candidates], -scores))[: nearest + 1]
-        rows += [(*key, block.ids[candidates[i]], scores[i]) for i in best]
+        rows += [(*key, block.ids[candidates[i]], scores[i], trees[candidates[i]], 0 if k else n) for k, i in enumerate(best)]
         if len(rows) >= ROWS_OUT or q == len(asked.keys) - 1:
-            yield pd.DataFrame(rows, columns=["h1", "h2", "ids", "score"])
+            yield pd.DataFrame(rows, columns=["h1", "h2", "ids", "score", "trees", "n"])
             rows = []
 
 

@@ -70,3 +70,31 @@ def test_edge_rows(spark):
     assert sorted(got) == [1000, 1020] and got[1000][:2] == [0, 3] and got[1000][3:] == copies[1:18] and got[1020][3:] == copies[:17]
     assert ann.neighbours(spark.createDataFrame([], table.schema)).count() == 0
     assert ann.search(table, table.where("vec_id = 4"), nearest=1).first()["vec_id"] == 0
+
+
+def spread(kind, n, dim, rng):
+    vectors = rng.standard_normal((n, dim))
+    if kind == "slanted":  # unit vectors with a shared direction
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        vectors += 0.7 * np.eye(dim)[0]
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    elif kind == "decaying":
+        vectors *= np.arange(1, dim + 1) ** -0.7
+    elif kind == "hot":  # a third in one narrow group
+        centres = rng.standard_normal((60, dim))
+        vectors = centres[np.where(np.arange(n) % 3 == 0, 0, np.arange(n) % 60)] + np.where(np.arange(n) % 3 == 0, 0.05, 0.5)[:, None] * vectors
+    return vectors
+
+
+@pytest.mark.parametrize("kind", ["even", "slanted", "decaying", "hot"])
+def test_recall_without_a_floor(spark, kind):
+    """Few candidates are asked for: queries ascend until theirs are enough."""
+    found = spread(kind, 4000, 48, np.random.default_rng(7))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(found)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.search(table, table.where("vec_id % 40 = 0"), least=0, share=0.0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    vectors = dict(enumerate(found))
+    hits = sum(len(near & {i for i, _ in brute(vectors, query)}) for query, near in got.items())
+    print(f"recall {kind}: {hits / 2000:.3f}")
+    assert len(got) == 100 and hits / 2000 >= 0.9
