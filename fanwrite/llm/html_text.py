@@ -4,19 +4,25 @@ Markup is stripped to lines: one for each block-level element's own text,
 white space folded, character references decoded.  Elements that never hold
 main text (scripts, styles, navigation, headers, footers, asides, forms, and
 those whose class, id or role says so, such as adverts, notices or reader
-comments) leave a gap of empty lines, unless they stand in the flow of text.  If the page marks its content with
+comments) leave a gap of empty lines, unless they stand in the flow of text.
+A class or id says so only as a whole, never for a heading, and never for an
+element that holds the page's content (``holders``).  If the page marks its content with
 ``article`` or ``main``, lines outside are gaps too.
 
 The lengths of each window of three lines are summed.  The text surges where
 a window reaches the threshold and dives where a window sums to nothing; all
-lines between a surge point and its dive point are kept.  Lines that consist
-mostly of links count as empty where no content element guides, and there the
-threshold is higher.
+lines between a surge point and its dive point are kept.  Where no content
+element guides, the threshold is higher and lines that consist mostly of links
+begin no text; but inside the element that holds the longest line any text
+resumes it, and links that stand in that element itself or before further text
+belong to it.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -51,6 +57,13 @@ MARKS = frozenset(
 )
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 COMMENTS = frozenset(("comment", "comments", "disqus", "respond"))
+LISTS = COMMENTS | {"related", "recommended"}  # may hold articles that are not the page's
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words that, beside a mark, say where or how it stands.
+PLACES = frozenset(
+    "area articles bar block bottom box button buttons container end entry form group icons inner item items left link links list main media outer panel "
+    "post posts primary right secondary section site slot stories top unit wrap wrapper".split()
+)
 # What stands in the flow of an article: left out without a gap.
 IN_FLOW = frozenset(
     "ad ads advert advertisement advertising adverts alert hidden newsletter notice notices popup promo promotion related "
@@ -63,38 +76,118 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_MARK = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_MARK = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
 
 
 class Line(NamedTuple):
     text: str
     links: int  # characters of it inside links
     content: bool  # inside an article or main element
+    end: list[float]  # number of the line before which its parent ends
 
 
-GAP = Line("", 0, True)
+GAP = Line("", 0, True, [0])
 
 
-def mark_of(name: str, attributes: str) -> str:
-    """The word in an element's attributes that says it is not main text, or ''."""
+def mark_of(name: str, attributes: str) -> tuple[str, bool]:
+    """The word in an element's attributes that says it is not main text, or '',
+    and whether it stands in a class or id."""
     if not attributes or name in ("html", "body", "main"):
-        return ""
+        return "", False
+    named = ""
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return "hidden"
+            return "hidden", False
         if key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return "hidden"
+            return "hidden", False
         if key == "role" and value.strip().lower() in ROLES:
-            return value.strip().lower()
-        if key in ("class", "id"):
-            for word in value.split():
-                parts = [p.lower() for p in _MARK.findall(word)]
-                if parts[:1] and parts[0] in ("with", "has", "no", "without"):
-                    continue
-                if mark := next((p for p in parts if p in (COMMENTS if name == "article" else MARKS)), ""):
-                    return mark
-    return ""
+            return value.strip().lower(), False
+        if key in ("class", "id") and not named and name not in HEADINGS:
+            named = next(filter(None, (mark_in(word, COMMENTS if name == "article" else MARKS) for word in value.split())), "")
+    return named, bool(named)
+
+
+def mark_in(word: str, marks: frozenset[str]) -> str:
+    """The mark that a class or id is, alone or with other marks and ``PLACES``, or ''."""
+    if word.lower() in marks:
+        return word.lower()
+    parts = [p.lower() for p in _MARK.findall(_SIZE.sub("-", word))]
+    return next((p for p in parts if p in marks), "") if all(p in marks or p in PLACES for p in parts) else ""
+
+
+def ends(dropped: str, name: str, closing: bool) -> bool:
+    """Whether a tag ends an open element that a sibling or its parent's end closes."""
+    return dropped in SELF_CLOSING and name in BLOCKS and (closing and name != dropped or not closing and (name == dropped or dropped == "p"))
+
+
+def holders(html: str) -> set[int]:
+    """Where the elements begin whose class or id is a mark though they hold a
+    ``main``, the longest ``article`` or most of the text (an article within
+    reader comments or related pages does not count)."""
+    found: list[tuple[int, int, int, int, bool]] = []  # place, text before it and at its end, main elements in it, may hold articles
+    opened: dict[str, list] = {}  # marked and content elements by name: depth, [place, text, mains, mark] or [text] or None
+    articles: list[tuple[int, int, int]] = []  # length, text at begin and end
+    text = mains = depth = pos = 0
+    dropped = ""
+
+    def close(name: str) -> None:
+        place = opened[name].pop()
+        if place is None:
+            return
+        if place[3]:
+            found.append((place[0], place[1], text, mains - place[2], place[3] not in LISTS))
+        elif name == "article":
+            articles.append((text - place[1], place[1], text))
+
+    while pos < len(html):
+        m = _TOKEN.match(html, pos)
+        pos = m.end()
+        name = (m[2] or m[5] or "").lower()
+        if not name:
+            if not dropped and (html[m.start()] != "<" or m[0] == "<"):
+                text += len(m[0].strip())
+            continue
+        closing, attributes = (m[1] or m[4]) == "/", m[3] or m[6] or ""
+        if not closing and name in RAW:
+            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(html, pos)
+            pos = end.end()
+            continue
+        if dropped:
+            if name == dropped:
+                depth += -1 if closing else 0 if dropped in SELF_CLOSING else 1
+            if depth and ends(dropped, name, closing):
+                depth = 0
+                if not closing:
+                    pos = m.start()
+            if not depth:
+                dropped = ""
+            continue
+        for other in [x for x in SELF_CLOSING if opened.get(x) and ends(x, name, closing)] if name in BLOCKS else ():
+            while opened[other]:
+                close(other)
+        if closing:
+            if opened.get(name):
+                close(name)
+            continue
+        if name in VOID:
+            continue
+        mark, named = (name, False) if name in DROPPED else mark_of(name, attributes)
+        if mark and not named:
+            if not (attributes.endswith("/") and name == "svg"):
+                dropped, depth = name, 1
+            continue
+        mains += name == "main"
+        if mark or name == "article":
+            opened.setdefault(name, []).append((m.start(), text, mains, mark))
+        elif opened.get(name) and name not in SELF_CLOSING:
+            opened[name].append(None)
+    for name in opened:
+        while opened[name]:
+            close(name)
+    _, begin, end = max(articles, default=(0, 0, 0))
+    return {at for at, a, b, n, may in found if n or 2 * (b - a) > text or may and end > begin and a <= begin and end <= b}
 
 
 def lines_of(html: str) -> list[Line]:
@@ -105,14 +198,24 @@ def lines_of(html: str) -> list[Line]:
     linked: list[str] = []
     content = links = depth = pos = 0
     dropped = ""  # the element being left out, and how many of its name are open
+    holding: set[int] | None = None
+    stack: list[list] = [["", [math.inf], True]]  # open blocks: name, line before which they end, whether blocks are in them
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         text = " ".join(unescape("".join(held)).split())
         if text:
-            out.append(Line(text, len(" ".join(unescape("".join(linked)).split())), content > 0))
+            name, end, parent = stack[-1]
+            end = end if parent and name not in SELF_CLOSING or len(stack) == 1 else stack[-2][1]
+            out.append(Line(text, len(" ".join(unescape("".join(linked)).split())), content > 0, end))
         held.clear()
         linked.clear()
 
+    def close() -> None:
+        name, end, _ = stack.pop()
+        opened[name] -= 1
+        end[0] = len(out)
+
     while pos < len(html):
         m = _TOKEN.match(html, pos)
         pos = m.end()
@@ -135,17 +238,22 @@ def lines_of(html: str) -> list[Line]:
         if dropped:
             if name == dropped:
                 depth += -1 if closing else 0 if dropped in SELF_CLOSING else 1
-            if depth and dropped in SELF_CLOSING and (closing and name in BLOCKS and name != dropped or not closing and name in BLOCKS and (name == dropped or dropped == "p")):
+            if depth and ends(dropped, name, closing):
                 depth = 0
                 if not closing:
                     pos = m.start()  # the sibling is looked at again, for itself
             if not depth:
                 dropped = ""
             continue
-        if not closing and name not in VOID and (mark := name if name in DROPPED else mark_of(name, attributes)):
+        mark, named = ("", False) if closing or name in VOID else (name, False) if name in DROPPED else mark_of(name, attributes)
+        if named:
+            holding = holders(html) if holding is None else holding
+            mark = "" if m.start() in holding else mark
+        if mark:
             if attributes.endswith("/") and name == "svg":
                 continue
             if name in BLOCKS or mark not in IN_FLOW:
+                stack[-1][2] = True
                 flush()
             if mark not in IN_FLOW:
                 out.extend([GAP] * LINES)
@@ -156,8 +264,22 @@ def lines_of(html: str) -> list[Line]:
         elif name == "br":
             held.append(" ")
         elif name in BLOCKS:
+            if not closing:
+                stack[-1][2] = True
             flush()
             links = 0
+            if closing:
+                while opened[name]:
+                    last = stack[-1][0]
+                    close()
+                    if last == name:
+                        break
+            else:
+                if stack[-1][0] == "p" or name in SELF_CLOSING and stack[-1][0] == name:
+                    close()
+                if name not in VOID:
+                    stack.append([name, [math.inf], False])
+                    opened[name] += 1
             if name in CONTENT:
                 content = max(0, content + (-1 if closing else 1))
     flush()
@@ -165,7 +287,8 @@ def lines_of(html: str) -> list[Line]:
 
 
 def main_lines(lines: list[Line]) -> list[str]:
-    """Lines between the surge and dive points of the line blocks."""
+    """Lines between the surge and dive points of the line blocks, and what
+    resumes them in the parent of their longest line."""
     guided = any(x.content and x.text for x in lines)
     sizes = [
         0 if guided and not x.content or not guided and x.links > LINKS * len(x.text) else len(x.text)
@@ -173,14 +296,26 @@ def main_lines(lines: list[Line]) -> list[str]:
     ]
     blocks = [sum(sizes[i : i + LINES]) for i in range(len(sizes))]
     threshold = 1 if guided else min(SURGE, max(blocks, default=0)) or 1
-    kept, inside = [], False
-    for line, size, block in zip(lines, sizes, blocks, strict=True):
+    kept, held, inside = [], [], False
+    longest, end = 0, [0]
+    for i, (line, size, block) in enumerate(zip(lines, sizes, blocks, strict=True)):
+        if i >= end[0]:
+            held.clear()
+            longest = longest if inside and block else 0
         if block == 0:
             inside = False
-        elif not inside and size and block >= threshold:
+        elif not inside and size and (block >= threshold or i < end[0]):
             inside = True
         if inside and size:
-            kept.append(line.text)
+            kept += [*held, line.text]
+            held.clear()
+            if size > longest:
+                longest, end = size, line.end
+        elif not guided and line.text and i < end[0]:
+            held.append(line.text)
+            if line.end is end:
+                kept += held
+                held.clear()
     return kept
 
 

@@ -60,3 +60,22 @@ def test_edge_rows(spark):
     got = sorted(((r["page_id"], r["n_chars"]) for r in html_text.texts(pages).collect()), key=str)
     assert got == sorted([(1, 0), (2, 0), (None, 1), (3, 6 * 50_000 - 2), (3, 1)], key=str)
     assert html_text.texts(pages.limit(0)).count() == 0 and html_text.extract(pages).columns == ["page_id", "url", "html", "text"]
+
+
+@pytest.mark.parametrize("name", ["content-with-sidebar", "site-content sidebar-right", "sidebar", "banner-wrapper"])
+@pytest.mark.parametrize("body", [f"<article><h1>T</h1><p>{PARA}</p></article>", f"<main><h1>T</h1><p>{PARA}</p></main>", f"<h1>T</h1><p>{PARA}</p>"])
+def test_a_wrapper_of_the_text_is_no_sidebar(name, body):
+    side = '<div class="sidebar-left">Short links.</div><div id="ad-300x250">Buy!</div>'
+    assert main_text(f'<body><div class="{name}">{side}{body}</div><div class="comments">No!</div></body>') == f"T\n\n{PARA}"
+
+
+def test_a_mark_is_a_whole_name_and_no_heading():
+    kept = '<h2 id="search-results">Results</h2><h2 class="related">Related</h2><h2 id="related-work">Work</h2><p class="notice-period">A month.</p>'
+    left_out = '<div class="ad-box">Buy!</div><div class="AD">Buy!</div><div id="cookieNotice">Cookies.</div><div class="related"><article><p>Other.</p></article></div>'
+    assert main_text(f"<article><p>{PARA}</p>{kept}{left_out}<p>End.</p></article>") == f"{PARA}\n\nResults\n\nRelated\n\nWork\n\nA month.\n\nEnd."
+
+
+def test_text_resumes_after_a_gap_in_its_element():
+    aside, link = "<aside>An aside.</aside>", '<p><a href="/x">A paragraph that is a link</a></p>'
+    page = f'<div><div><h1>T</h1><p>{PARA}</p>{aside}<p>Short.</p>{link}{aside}<ul><li><a href="/y">Linked item</a></li></ul><p>End.</p></div>{aside}<div><p>Stray.</p></div></div>'
+    assert main_text(page) == f"T\n\n{PARA}\n\nShort.\n\nA paragraph that is a link\n\nLinked item\n\nEnd."
