@@ -316,6 +316,15 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     different texts, each is joined by its own text.  Other columns are not
     read; an empty table gives an empty result.
     """
+    out = labelled(docs, key, text).select(F.col("id").alias(key), F.col("n").alias("n_shingles"), "component")
+    unkeyed = docs.where(F.col(key).isNull()).select(F.col(text).alias("text"))
+    return out.union(_unkeyed_sizes(unkeyed))
+
+
+def labelled(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``id, n, set_id, component, first`` for every row with a key: its class,
+    the least key of its group and the least class of the rows of that key there
+    (class and ``first`` are null without shingles)."""
     sketched = stored(sketches(docs, key, text), "jaccard-sketches")
     sets = sketched.where("set_id IS NOT NULL")
     classes = sets.groupBy("set_id").agg(F.min("id").alias("id"), F.max("n").alias("n"))
@@ -324,12 +333,10 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     candidates = stored(_of_class(texts.join(_within_bound(wanted), "id")), "jaccard-candidates")
     linked_classes = region_components(candidates.join(regions(stored(rare_tokens(candidates), "jaccard-tokens")), "set_id"))
     grouped = classes.join(linked_classes, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
-    least = grouped.groupBy("group").agg(F.min("id").alias("component"))
-    labels = grouped.join(least, "group").select("set_id", "component")
+    least = grouped.groupBy("group").agg(F.min(F.struct("id", "set_id")).alias("least"))
+    labels = grouped.join(least, "group").select("set_id", F.col("least.id").alias("component"), F.col("least.set_id").alias("first"))
     joined = sketched.select("id", "n", "set_id").join(labels, "set_id", "left")
-    out = joined.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
-    unkeyed = docs.where(F.col(key).isNull()).select(F.col(text).alias("text"))
-    return out.union(_unkeyed_sizes(unkeyed))
+    return joined.select("id", "n", "set_id", F.coalesce("component", "id").alias("component"), "first")
 
 
 def _of_class(rows: DataFrame) -> DataFrame:
@@ -352,19 +359,36 @@ def _unkeyed_sizes(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "n bigint").select(none, "n", none)
 
 
+def _class(text: Column) -> Column:
+    """The class of a text, null if it has no shingles."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([class_of(found) if len(found := shingles(t)) else None for t in batch], dtype="Int64")
+
+    return F.pandas_udf(run, "bigint")(text)
+
+
 def one_per_group(docs: DataFrame) -> DataFrame:
     """``docs`` without near copies: of each group of linked documents the one
     with the least id stays, and of rows that repeat an id and text one.
-    Documents without words and rows without an id all stay."""
-    joined = stored(join_documents(docs), "jaccard-groups")
-    dropped = joined.where("component <> doc_id").select("doc_id").distinct()
-    kept = docs.join(_within_bound(dropped), "doc_id", "left_anti").select(*docs.columns)
-    again = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    Should rows of one id have different texts, each stays or goes by its own
+    text's group; of those in one group the least class stays.  Documents
+    without words and rows without an id all stay."""
+    joined = stored(labelled(docs, "doc_id", "text").withColumnRenamed("id", "doc_id"), "jaccard-groups")
+    copies = joined.where((F.col("component") != F.col("doc_id")) | (F.col("set_id") != F.col("first")))
+    again = stored(joined.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "jaccard-again")
     if again.isEmpty():
-        return kept
+        return docs.join(_within_bound(copies.select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
     again = _within_bound(again)
-    repeated = kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(repeated)
+    single = docs.join(_within_bound(copies.select("doc_id").distinct()), "doc_id", "left_anti").join(again, "doc_id", "left_anti")
+    own = "_set_id"
+    while own in docs.columns:
+        own += "_"
+    repeated = docs.join(again, "doc_id", "left_semi").withColumn(own, _class(F.col("text")))
+    copies = copies.join(again, "doc_id", "left_semi").select("doc_id", F.col("set_id").alias(own)).distinct()
+    repeated = repeated.join(_within_bound(copies), ["doc_id", own], "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return single.select(*docs.columns).union(repeated)
 
 
 def _within_bound(rows: DataFrame) -> DataFrame:

@@ -116,3 +116,17 @@ def test_components_of_paths_stars_and_nothing(spark):
     path, star = order[:101], order[150:180]
     assert got == {x: min(path) for x in path} | {x: min(star) for x in star}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rows_of_one_id_stay_or_go_by_their_own_text(make_docs, no_docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (9, b), (6, c), (6, c + " end"), (6, None), (6, c), (7, c), (8, b + " x"), (8, ""), (None, a)]
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.one_per_group(make_docs([(i, t, "en") for i, t in rows])).collect()]
+    least = [x for x in kept if x[0] == 6 and x[1]]
+    assert least in ([(6, c)], [(6, c + " end")])
+    assert sorted(kept, key=str) == sorted([(3, a), (5, b), *least, (6, None), (8, ""), (None, a)], key=str)
+
+
+def test_the_class_column_leaves_clashing_columns_alone(make_docs):
+    docs = make_docs([(1, "a b", "en"), (1, "a b", "en"), (2, "c d", "en")]).selectExpr("*", "'mine' AS _set_id")
+    assert sorted((r["doc_id"], r["_set_id"]) for r in jaccard.one_per_group(docs).collect()) == [(1, "mine"), (2, "mine")]
