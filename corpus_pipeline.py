@@ -22,9 +22,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go: null texts and those without
     a letter.  A missing ``lang`` is filled with the one found."""
     bounded_batches(spark)
-    judged = langid.predict(docs.withColumn("_lang", F.col("lang")), langid.learn(docs))
-    kept = judged.where(F.col("lang_pred") != langid.UNDETERMINED)
-    return kept.withColumn("lang", F.coalesce("_lang", "lang_pred")).select(*docs.columns)
+    own = "_judged"
+    while own in docs.columns:
+        own += "_"
+    judged = docs.withColumn(own, langid.judgement(spark, F.col("text"), langid.learn(docs)))
+    kept = judged.where(F.col(own)["lang_pred"] != langid.UNDETERMINED)
+    return kept.withColumn("lang", F.coalesce("lang", F.col(own)["lang_pred"])).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
@@ -123,15 +123,9 @@ def learn(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return Prototypes(names, np.array([sums[n] / np.linalg.norm(sums[n]) for n in names]).reshape(len(names), DIMENSIONS))
 
 
-def predict(df: DataFrame, prototypes: Prototypes, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred string`` and ``score double`` (cosine, at least 0).
-
-    A null text, one without letters, and any text when nothing was learned
-    get ``und`` and 0.  Equal cosines go to the first language by name.  Only
-    the text enters.  All rows and columns stay (columns of the two names are
-    replaced); an empty table gives an empty result.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(prototypes)
+def judgement(spark: SparkSession, text: Column, prototypes: Prototypes) -> Column:
+    """A struct of ``lang_pred`` and ``score`` for a text, as in ``predict``."""
+    shared = spark.sparkContext.broadcast(prototypes)
 
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names, vectors = shared.value
@@ -146,7 +140,18 @@ def predict(df: DataFrame, prototypes: Prototypes, text: str = "text") -> DataFr
                 out.append((names[best], float(min(1.0, max(0.0, cosines[best])))))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    judged = F.pandas_udf(run, "lang_pred string, score double")(F.col(text))
+    return F.pandas_udf(run, "lang_pred string, score double")(text)
+
+
+def predict(df: DataFrame, prototypes: Prototypes, text: str = "text") -> DataFrame:
+    """``df`` with ``lang_pred string`` and ``score double`` (cosine, at least 0).
+
+    A null text, one without letters, and any text when nothing was learned
+    get ``und`` and 0.  Equal cosines go to the first language by name.  Only
+    the text enters.  All rows and columns stay (columns of the two names are
+    replaced); an empty table gives an empty result.
+    """
+    judged = judgement(df.sparkSession, F.col(text), prototypes)
     kept = [c for c in df.columns if c not in ("lang_pred", "score", "_judged")]
     return df.select(*kept, judged.alias("_judged")).select(*kept, "_judged.lang_pred", "_judged.score")
 

@@ -33,3 +33,13 @@ def test_edge_rows(make_docs, no_docs):
     unlabelled = make_docs([(1, "hello", None), (None, "x", "en")])
     assert [tuple(r)[1:] for r in langid.identify(unlabelled).collect()] == [(crc32(b"1") % 5 == 0, "und", 0.0), (False, "und", 0.0)]
     assert langid.identify(no_docs).count() == 0
+
+
+def test_the_stage_leaves_columns_of_its_names_alone(spark, make_docs):
+    import corpus_pipeline
+
+    extra = ("score", "_lang", "_judged", "_judged_")
+    docs = make_docs([(1, "the house and the garden", "en"), (2, "the garden", None), (3, "123", "en")]).selectExpr("*", *(f"'mine' AS {c}" for c in extra))
+    got = corpus_pipeline.language_id(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"], r["lang"], r["lang_pred"], *(r[c] for c in extra)) for r in got.collect()) == [(i, "en", "x", *["mine"] * 4) for i in (1, 2)]
