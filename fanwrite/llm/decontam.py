@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fanwrite.llm.components import stored
+
 WINDOW = 10
 SHINGLE = 5
 BLOCK_WORDS = 200_000  # benchmark words in one broadcast index
@@ -139,8 +141,8 @@ def segments(benchmark: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def blocks(benchmark: DataFrame, key: str, text: str, block_words: int) -> Iterator[list[tuple[str | None, str]]]:
-    """The benchmark in blocks of about ``block_words`` words."""
-    parts = segments(benchmark, key, text)
+    """The benchmark in blocks of about ``block_words`` words, rows that repeat an item and its words once."""
+    parts = stored(segments(benchmark, key, text).distinct(), "benchmark-words")
     total = parts.agg(F.sum("n")).first()[0] or 0
     n = max(1, math.ceil(total / block_words))
     for b in range(n):

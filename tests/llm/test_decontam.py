@@ -62,3 +62,11 @@ def test_long_items_are_cut_into_overlapping_segments(spark, monkeypatch):
     benchmark = spark.createDataFrame([(1, text)], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(19_990, 20_012))), (2, text)], "doc_id bigint, text string")
     assert sorted((r["doc_id"], r["n_hit"]) for r in decontam.digests(docs, benchmark).collect()) == [(1, 22), (2, 45_000)]
+
+
+def test_copies_of_a_benchmark_row_are_dealt_once(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(200)] + [(7, " ".join(f"w7x{k}" for k in range(20)))] * 100 + [(None, "a b c")] * 50
+    benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
+    found = list(decontam.blocks(benchmark, "item_id", "text", 400))
+    assert sorted((x for block in found for x in block), key=str) == sorted({(None if i is None else str(i), t) for i, t in rows}, key=str)
+    assert max(sum(len(t.split()) for _, t in block) for block in found) < 1_000 and len(found) == 11
