@@ -27,9 +27,3 @@ def sf_small():
 def scratch(spark, tmp_path):
     """A fresh folder per test (tests own their temp space)."""
     return str(tmp_path)
-
-
-def rows_of(df, *cols):
-    """Sorted tuples of the given columns (all columns when none given)."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -13,7 +13,7 @@ from fanwrite.plans.fanout import prepare
 from fanwrite.sinks import IndexSink, RejectSink, TableSink, read_cells, read_latest, read_records
 from fanwrite.sinks.fs import batch_ids
 
-from conftest import rows_of
+from frames import rows_of
 
 MAP = "map<string,string>"
 

@@ -13,7 +13,7 @@ from fanwrite.sources.messages import message_log_stream, messages_from_events,
 from fanwrite.sources.tables import events_from_table, read_table
 from fanwrite.streaming import FanoutJob, run_until_done
 
-from conftest import rows_of
+from frames import rows_of
 
 CELLS = ("table_name", "row_key", "family", "qualifier", "value")
 
