@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import ann, bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, urls
+from fanwrite.llm import ann, bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, simhash, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -76,6 +76,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(read_table(spark, sf_dir, "documents"))
+
+
 def _query(of_table: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(of_table)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": _query(op8_urls),
     "op9_bpe": _query(op9_bpe),
     "op10_secrets": _query(op10_secrets),
+    "op11_simhash": _query(op11_simhash),
 }
