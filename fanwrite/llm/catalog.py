@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import ann, bpe, decontam, html_text, jaccard, langid, pii, secrets, sharding, simhash, urls
+from fanwrite.llm import ann, bpe, clusters, decontam, html_text, jaccard, langid, pii, secrets, sharding, simhash, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -80,6 +80,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(read_table(spark, sf_dir, "documents"))
 
 
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.digests(read_table(spark, sf_dir, "embeddings"))
+
+
 def _query(of_table: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(of_table)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": _query(op9_bpe),
     "op10_secrets": _query(op10_secrets),
     "op11_simhash": _query(op11_simhash),
+    "op12_clusters": _query(op12_clusters),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fanwrite.llm.clusters import CLUSTERS, ROUNDS, SIZE
 from fanwrite.llm.sharding import SHARDS, SLOTS
 
 _SHARD_ROWS = ", ".join(f"({i}, '{s}')" for i, s in enumerate(SHARDS))
@@ -88,4 +89,41 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM docs d LEFT JOIN hit h USING (r) LEFT JOIN found f USING (r)
 """
 
-ORACLE_SQL = {"op3_sharding": OP3_SHARDING, "op4_jaccard": OP4_JACCARD, "op7_decontam": OP7_DECONTAM}
+
+
+def _clusters_sql(rounds: int, clusters: int, size: int) -> str:
+    """Every vector against every centroid, round by round."""
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT v, sha256('3:' || vec_id) AS h FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {clusters})
+)""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, k.v, c, list_sum(list_transform(list_zip(k.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM kept k, c{i} m QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(n.v, m.v) AS v
+  FROM c{i} m LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v
+    FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, range(1, {size + 1}) p(i) GROUP BY c, i) GROUP BY c
+  ) n USING (c)
+)""")
+    ctes = ",\n".join(parts)
+    return f"""WITH {ctes}
+SELECT k.vec_id, a.c::INT AS cluster, a.d AS distance, (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept k USING (r) JOIN c{rounds} m ON m.c = a.c
+"""
+
+
+OP12_CLUSTERS = _clusters_sql(ROUNDS, CLUSTERS, SIZE)
+
+ORACLE_SQL = {"op3_sharding": OP3_SHARDING, "op4_jaccard": OP4_JACCARD, "op7_decontam": OP7_DECONTAM, "op12_clusters": OP12_CLUSTERS}
