@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fanwrite.llm import ann, bpe, clusters, decontam, html_text, jaccard, langid, pii, secrets, sharding, simhash, urls
+from fanwrite.llm import ann, bpe, clusters, decontam, html_text, jaccard, langid, lexical, pii, secrets, sharding, simhash, urls
 from fanwrite.sources.tables import read_table
 
 TOKENIZER = os.environ.get("FANWRITE_TOKENIZER", "")
@@ -84,6 +84,10 @@ def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.digests(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def _query(of_table: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(of_table)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": _query(op10_secrets),
     "op11_simhash": _query(op11_simhash),
     "op12_clusters": _query(op12_clusters),
+    "op13_lexical": _query(op13_lexical),
 }

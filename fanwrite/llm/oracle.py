@@ -34,6 +34,8 @@ LEFT JOIN shards s ON s.i = f.i
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 # Every pair of documents that share a shingle, then reachability.
 OP4_JACCARD = rf"""
 WITH RECURSIVE words AS (
@@ -124,6 +126,30 @@ FROM a{rounds} a JOIN kept k USING (r) JOIN c{rounds} m ON m.c = a.c
 """
 
 
+# Every document that shares a term with an item, scored whole.
+OP13_LEXICAL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS w FROM documents
+),
+lengths AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+stats AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM lengths),
+postings AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+  FROM postings, stats GROUP BY term, big_n
+),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL
+),
+scores AS (
+  SELECT a.item_id, p.r, sum(a.times * w.weight * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (25 + (75 * l.n * s.big_n) // s.big_l))))::BIGINT AS score
+  FROM asked a JOIN postings p USING (term) JOIN weights w USING (term) JOIN lengths l USING (r), stats s GROUP BY a.item_id, p.r
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scores JOIN lengths USING (r) WHERE score > 0 QUALIFY rank <= 10
+"""
+
 OP12_CLUSTERS = _clusters_sql(ROUNDS, CLUSTERS, SIZE)
 
-ORACLE_SQL = {"op3_sharding": OP3_SHARDING, "op4_jaccard": OP4_JACCARD, "op7_decontam": OP7_DECONTAM, "op12_clusters": OP12_CLUSTERS}
+ORACLE_SQL = {"op3_sharding": OP3_SHARDING, "op4_jaccard": OP4_JACCARD, "op7_decontam": OP7_DECONTAM, "op12_clusters": OP12_CLUSTERS, "op13_lexical": OP13_LEXICAL}

@@ -1,0 +1,110 @@
+"""Ranked search against scoring every document: ties, copies, odd rows, several blocks, bounds that hold."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from fanwrite.llm import lexical
+
+
+def words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(docs, items, top=10):
+    counted = [(i, Counter(words(t))) for i, t in docs if words(t)]
+    n_docs, total = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(w for _, c in counted for w in c)
+    out = []
+    for item, text in dict.fromkeys(items):
+        scores = []
+        for i, c in counted:
+            m = 25 + 75 * c.total() * n_docs // total
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * (10**9 * c[w] // (1000 * c[w] + 8 * m)) for w in words(text) if w in c)
+            if score > 0 and i is not None:
+                scores.append((-score, i))
+        out += [(item, k, i, -s) for k, (s, i) in enumerate(sorted(scores)[:top], 1)]
+    return sorted(out, key=str)
+
+
+def corpus(seed, n=400):
+    rnd = random.Random(seed)
+    word = lambda: f"w{int(rnd.expovariate(0.02))}"
+    texts = [" ".join(word() for _ in range(rnd.randint(1, 120))) for _ in range(n)]
+    texts += [texts[3]] * 60  # copies: ties by the hundredth
+    return list(enumerate(texts)), [(i, " ".join(word() for _ in range(rnd.randint(1, 40)))) for i in range(25)]
+
+
+def items_of(spark, rows):
+    return spark.createDataFrame([(*r, "x", "x", "x") for r in rows], "item_id bigint, text string, score string, n string, doc_id string")
+
+
+def got(df):
+    assert df.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("leaf, documents, postings, block_words", [(32, 4096, 400_000, 200_000), (2, 50, 700, 60)])
+def test_ranks(spark, make_docs, monkeypatch, leaf, documents, postings, block_words):
+    monkeypatch.setattr(lexical, "LEAF", leaf)
+    monkeypatch.setattr(lexical, "DOCUMENTS", documents)
+    monkeypatch.setattr(lexical, "POSTINGS", postings)
+    docs, items = corpus(1)
+    table = make_docs([(i, t, "en") for i, t in docs]).repartition(3)
+    assert got(lexical.rank(table, items_of(spark, items), block_words=block_words)) == brute(docs, items)
+
+
+def test_odd_rows(spark, make_docs, no_docs):
+    docs = [(1, None), (2, ""), (3, "?!"), (4, "Äpfel ÄPFEL apfel"), (4, "Äpfel ÄPFEL apfel"), (4, "apfel kuchen"), (None, "apfel"), (5, "x\x80y e-mail_a"), (6, "straße " * 5000 + "apfel")]
+    items = [(1, "Apfel, apfel?"), (1, "Apfel, apfel?"), (1, "kuchen"), (2, None), (3, ""), (4, "nothing like it"), (None, "äpfel Äpfel"), (5, "MAIL x\x80Y a E"), (6, "straße")]
+    table, asked = make_docs([(i, t, "en") for i, t in docs]), items_of(spark, items)
+    assert got(lexical.rank(table, asked)) == brute(docs, items)
+    assert got(lexical.rank(no_docs, asked)) == []
+    assert got(lexical.rank(table, items_of(spark, []))) == []
+
+
+def test_weights_of_nothing():
+    assert lexical.weight(5000, 5000) == 0 and lexical.weight(10, 1) > 0
+    assert lexical.terms("A-b_C9é\x80\x7f") == [b"a", b"b", "c9é\x80".encode()]
+
+
+def trees(docs, leaf, monkeypatch):
+    monkeypatch.setattr(lexical, "LEAF", leaf)
+    names = {}
+    counted = [(i, Counter(words(t))) for i, t in docs]
+    flat = [(names.setdefault(w, len(names)), c) for _, counts in counted for w, c in counts.items()]
+    lengths = np.array([len(c) for _, c in counted])
+    values = lexical.parts(np.array([c for _, c in flat]), np.full(len(flat), 100))
+    return lexical.Tree(np.array([i for i, _ in docs]), lengths, np.array([k for k, _ in flat]), values), names
+
+
+def test_bounds_hold_and_subtrees_are_left_out(monkeypatch):
+    rnd = random.Random(2)
+    topics = [[f"t{k}x{j}" for j in range(30)] for k in range(20)]
+    docs = [(i, " ".join(rnd.choice(topics[i % 20]) for _ in range(60))) for i in range(1000)]
+    tree, names = trees(docs, 8, monkeypatch)
+    below = {}
+    for me in range(len(tree.nodes) - 1, -1, -1):
+        node = tree.nodes[me]
+        below[me] = node.documents.tolist() if node.children is None else [d for c in node.children for d in below[c]]
+    assert sorted(below[0]) == list(range(1000))
+    scored = 0
+    for k in range(20):
+        counts = Counter(rnd.choice(topics[k]) for _ in range(10))
+        pairs = sorted((names[w], 1000 * c) for w, c in counts.items())
+        item = lexical.Item(0, np.array([t for t, _ in pairs]), np.array([w for _, w in pairs]))
+        found, values, owner = tree._postings(np.arange(1000))
+        by_term = dict(pairs)
+        exact = np.zeros(1000, np.int64)
+        np.add.at(exact, owner, np.array([by_term.get(int(t), 0) for t in found]) * values)
+        for me, node in enumerate(tree.nodes):
+            assert tree.bound(node, item)[0] >= exact[below[me]].max()
+        best = []
+        scored += tree.search(item, best, 10)
+        want = sorted(((int(s), -i) for i, s in enumerate(exact) if s > 0), reverse=True)[:10]
+        assert sorted(best, reverse=True) == want
+    assert scored < 20 * 200  # a fifth of 20 items x 1000 documents at most

@@ -12,7 +12,7 @@ TABLES = ("documents", "benchmark", "pages", "embeddings")
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries()) >= {*QUERIES, "pipeline"} and set(oracle_sql()) >= set(ORACLE_SQL)
 
 
