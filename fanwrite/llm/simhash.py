@@ -214,14 +214,11 @@ def links(codes: DataFrame, cell: int = CELL) -> DataFrame:
     if cell < LEAST_CELL:
         raise ValueError(f"cells of less than {LEAST_CELL} codes can't always be split")
     spark = codes.sparkSession
-    rows = codes.select("code", F.lit(0).cast("bigint").alias("mask"))
-    masks, found = [0], []
+    rows = codes.select("code", F.explode(F.array(*(F.lit(_signed(m)) for m in bands(0)))).alias("mask"))
+    found, split = [], False
     while True:
-        narrower = [(m, n) for m in masks for n in bands(m)]
-        table = spark.createDataFrame([(_signed(m), _signed(n)) for m, n in narrower], "mask bigint, narrower bigint")
-        rows = rows.join(F.broadcast(table), "mask")  # four bands a mask, at most six times
-        rows = rows.select("code", F.col("narrower").alias("mask"), F.col("code").bitwiseAND(F.col("narrower")).alias("key"))
-        if len(masks) > 1:
+        rows = rows.select("code", "mask", F.col("code").bitwiseAND(F.col("mask")).alias("key"))
+        if split:
             rows = rows.distinct()  # different bands may have come to the same bits
         sizes = rows.groupBy("mask", "key").agg(F.count("*").alias("n"))
         large = stored(sizes.where(F.col("n") > cell).select("mask", "key"), "simhash-large")
@@ -232,7 +229,10 @@ def links(codes: DataFrame, cell: int = CELL) -> DataFrame:
         large = F.broadcast(large) if n <= BROADCAST_ROWS else large
         found.append(_join_cells(rows.join(large, ["mask", "key"], "left_anti")))
         rows = stored(rows.join(large, ["mask", "key"], "left_semi").select("code", "mask"), "simhash-split")
-        masks = [r["mask"] % (1 << BITS) for r in rows.select("mask").distinct().collect()]  # of the bands that were split
+        masks = [r["mask"] for r in rows.select("mask").distinct().collect()]  # at most four times those before, six times
+        table = spark.createDataFrame([(m, _signed(n)) for m in masks for n in bands(m % (1 << BITS))], "mask bigint, narrower bigint")
+        rows = rows.join(F.broadcast(table), "mask").select("code", F.col("narrower").alias("mask"))
+        split = True
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
