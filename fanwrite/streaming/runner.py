@@ -31,7 +31,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -190,13 +190,7 @@ class FanoutJob:
         if not messages.isStreaming:
             raise ValueError("start() needs a streaming DataFrame; use process_batch for a static one")
         spark = messages.sparkSession
-        if not list_names(spark, f"{checkpoint.rstrip('/')}/offsets"):
-            used = [r for r in self.output_roots() if batch_ids(spark, r)]
-            if used:
-                raise RuntimeError(
-                    f"output {used} already holds batches but checkpoint {checkpoint} is empty; "
-                    "a fresh checkpoint restarts at batch 0 and would overwrite them"
-                )
+        refuse_used_output(spark, checkpoint, self.output_roots())
         writer = messages.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
         writer = writer.trigger(**(trigger or {"processingTime": self.opts.trigger_interval}))
         if query_name:
@@ -204,6 +198,17 @@ class FanoutJob:
         return writer.start()
 
 
+def refuse_used_output(spark: SparkSession, checkpoint: str, roots: Sequence[str]) -> None:
+    """Fails if a query would start anew, from batch 0, on output that holds batches."""
+    if not list_names(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        used = [r for r in roots if batch_ids(spark, r)]
+        if used:
+            raise RuntimeError(
+                f"output {used} already holds batches but checkpoint {checkpoint} is empty; "
+                "a fresh checkpoint restarts at batch 0 and would overwrite them"
+            )
+
+
 def _summary(timings: dict) -> str:
     return ", ".join(f"{k}={v:.3f}" if isinstance(v, float) else f"{k}={v}" for k, v in timings.items())
 
