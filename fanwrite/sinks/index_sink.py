@@ -74,7 +74,7 @@ class IndexSink:
                 flat = self.flat_documents(docs, batch_id)
                 flat.write.format(self.connector).options(**self.connector_options).mode("append").save()
             else:
-                docs.write.mode("overwrite").parquet(f"{self.root}/batch_id={int(batch_id)}")
+                self.store(docs, int(batch_id))
             return True
         except Exception:
             if self.opts.index_errors == "log":
@@ -82,6 +82,9 @@ class IndexSink:
                 return False
             raise
 
+    def store(self, docs: DataFrame, batch_id: int) -> None:
+        docs.write.mode("overwrite").parquet(f"{self.root}/batch_id={batch_id}")
+
     def stats(self, events: DataFrame, seconds: float | None) -> DataFrame:
         return rows_total(events.filter(F.col("doc_id").isNotNull()), self.name, "index", seconds)
 
