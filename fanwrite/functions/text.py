@@ -30,3 +30,10 @@ def header_code(label: str) -> str:
     last character, as the header rule has it; cells are column names, so this
     runs on the driver over the header only."""
     return label[label.find("(") + 1 : len(label) - 1]
+
+
+def header_code_column(label: ColumnLike) -> Column:
+    """:func:`header_code` of a column of header cells."""
+    text = _col(label)
+    start = F.locate("(", text)  # 0: none
+    return F.substring(text, start + 1, F.greatest(F.length(text) - 1 - start, F.lit(0)))
