@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fanwrite.functions.routing import route
 from fanwrite.operators.layout import cell_columns, cells
 from fanwrite.operators.stats import rows_per_table
 from fanwrite.options import FanoutOptions
@@ -46,6 +47,7 @@ class TableSink:
     """
 
     name = "table"
+    partition_columns: tuple[str, ...] = ("table_name",)
 
     def __init__(
         self,
@@ -86,7 +88,7 @@ class TableSink:
             cells = cells.observe(counts, F.count(F.lit(1)).alias("cells"))
         # Static: a replay may no longer write every table that an earlier
         # attempt wrote, and must not leave those behind.
-        writer = cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("table_name").format(self.fmt)
+        writer = cells.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*self.partition_columns).format(self.fmt)
         if self.opts.max_records_per_file:
             writer = writer.option("maxRecordsPerFile", int(self.opts.max_records_per_file))
         writer.options(**self.options).save(self.path(batch_id))
@@ -104,3 +106,24 @@ def read_cells(spark: SparkSession, root: str, table: str | None = None, fmt: st
     if table is not None:
         df = df.filter(F.col("table_name") == F.lit(table))
     return df.select("table_name", "row_key", "family", "qualifier", "value", "batch_id")
+
+
+# Tenants up to which their tables' names are broadcast, to prune the folders read.
+BROADCAST_TENANTS = 100_000
+
+
+def read_cells_of_tenants(
+    spark: SparkSession, root: str, tenants: DataFrame, opts: FanoutOptions, tenant: str = "tenant", fmt: str = "parquet"
+) -> DataFrame:
+    """The cells of a set of tenants, given as a column of a DataFrame.
+
+    The tenants' table names are joined to the partition column: the folders of
+    other tenants are left out at run time (dynamic partition pruning), without
+    the list on the driver.  A NULL tenant stands for the events without one;
+    repeated tenants count once, unknown ones give nothing.  More than
+    ``BROADCAST_TENANTS`` names are joined by a shuffle.
+    """
+    named = tenants.select(route(tenant, opts.base_table, False, opts.unrouted_table).alias("table_name"))
+    named = named.where(F.col("table_name") != F.lit("")).distinct()
+    named = F.broadcast(named) if named.count() <= BROADCAST_TENANTS else named
+    return read_cells(spark, root, fmt=fmt).join(named, "table_name", "left_semi")
