@@ -32,3 +32,13 @@ def batch_ids(spark: SparkSession, root: str, column: str = "batch_id") -> list[
             except ValueError:
                 pass
     return sorted(out)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of ``text``, replacing one that is there."""
+    fs, p = _fs_and_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
