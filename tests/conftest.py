@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, REPO)
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -14,6 +15,7 @@ def spark():
     from fanwrite.session import local_session
 
     session = local_session(cores="*", shuffle_partitions=8, app="fanwrite-tests")
+    session.sparkContext.environment["PYTHONPATH"] = REPO  # for the workers, whatever folder the tests run in
     yield session
     session.stop()
 

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql
-from fanwrite.plans.catalog import QUERIES
+from fanwrite.plans.registry import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
