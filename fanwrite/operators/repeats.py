@@ -19,12 +19,11 @@ def without_repeats(messages: DataFrame, within: str, by: Sequence[str] = POSITI
     """The messages less those that repeat ``by`` (NULL equals NULL) within ``within``
     (an interval such as ``"1 hour"``) of the first one's ``time``.
 
-    In a stream a message older than the newest one seen in earlier batches less
-    ``within`` is late: whether it is a repeat can't be told any more, and it is
-    left out (counted as ``rows_late`` in :mod:`fanwrite.streaming.progress`).
-    Choose the span longer than the source may lag.  A static table has no late
-    rows: one message of each ``by`` is kept.  A message without a time fails the
-    stream's watermark of none of the others; it is never late.
+    In a stream a message that is no newer than the newest one of earlier batches
+    less ``within`` is late: whether it is a repeat can't be told any more, and it
+    is left out (counted as ``rows_late`` in :mod:`fanwrite.streaming.progress`),
+    so choose the span longer than the source may lag.  A static table has no late
+    rows: one message of each ``by`` is kept.
     """
     if not messages.isStreaming:
         return messages.dropDuplicates(list(by))

@@ -124,6 +124,8 @@ def read_cells_of_tenants(
     ``BROADCAST_TENANTS`` names are joined by a shuffle.
     """
     named = tenants.select(route(tenant, opts.base_table, False, opts.unrouted_table).alias("table_name"))
-    named = named.where(F.col("table_name") != F.lit("")).distinct()
+    # Spark prunes by a side that has a comparison; an equality with a literal, also a
+    # negated one, on the table name itself would make it leave the pruning out.
+    named = named.where(F.length("table_name") > 0).distinct()
     named = F.broadcast(named) if named.count() <= BROADCAST_TENANTS else named
     return read_cells(spark, root, fmt=fmt).join(named, "table_name", "left_semi")

@@ -10,8 +10,8 @@ theirs as Arrow batches, row groups outside a range skipped.
   offset}``.  Spark stores them in the checkpoint, so a restart goes on where the
   last planned batch ended, in the middle of a segment too, and a batch that was
   not finished is planned again with the same range.
-* **Admission.**  ``maxOffsetsPerTrigger`` bounds a batch to so many offsets, dealt
-  over the partitions by what each has waiting.  Spark doesn't tell a Python source
+* **Admission.**  ``maxOffsetsPerTrigger`` bounds a batch to so many offsets (or one of
+  each partition, if there are more of these), dealt by what each has waiting.  Spark doesn't tell a Python source
   where the query stands when it asks for the latest offsets, so the bound needs the
   ``checkpoint`` option: the query's own checkpoint folder, whose newest entry is read.
 * **Tasks.**  A partition's range is cut into pieces of ``maxOffsetsPerTask``.
@@ -91,15 +91,21 @@ class SegmentIndex:
 
 
 def admitted(start: Offsets, waiting: Mapping[str, list[Segment]], limit: int | None) -> Offsets:
-    """The end of the next batch: all that waits, or ``limit`` offsets of it, dealt in
-    proportion to what each partition has waiting (at least one of each)."""
+    """The end of the next batch: all that waits, or ``limit`` offsets of it: one of each
+    partition that has any, the others in proportion to what each has."""
     ends = {p: max(start.get(p, 0), segments[-1].end) for p, segments in waiting.items()}
     ends |= {p: o for p, o in start.items() if p not in ends}
-    lag = {p: _waiting(segments, start.get(p, 0)) for p, segments in waiting.items()}
+    lag = {p: n for p, segments in sorted(waiting.items()) if (n := _waiting(segments, start.get(p, 0)))}
     total = sum(lag.values())
     if limit is None or total <= limit:
         return ends
-    return ends | {p: _after(waiting[p], start.get(p, 0), max(1, limit * n // total)) for p, n in lag.items() if n}
+    rest, others, so_far, given = max(0, limit - len(lag)), total - len(lag), 0, 0
+    for p, n in lag.items():
+        so_far += n - 1
+        share = rest * so_far // max(1, others) - given
+        given += share
+        ends[p] = _after(waiting[p], start.get(p, 0), 1 + share)
+    return ends
 
 
 def _waiting(segments: Sequence[Segment], start: int) -> int:

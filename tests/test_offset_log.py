@@ -1,0 +1,163 @@
+"""The offset log: ranges per partition, admission, restarts, replay, tasks."""
+
+import os
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fanwrite.options import FanoutOptions
+from fanwrite.sinks import RejectSink, TableSink, read_cells
+from fanwrite.sources.offset_log import OffsetLogReader, Segment, admitted, checkpointed, offset_log_stream, write_offset_log
+from fanwrite.streaming import FanoutJob, run_until_done
+
+ONCE = {"availableNow": True}
+
+
+def messages(spark, first, n, partitions=3):
+    """Offsets count from ``first`` in each partition."""
+    rows = spark.range(n * partitions)
+    offset, part = F.col("id") / partitions, (F.col("id") % partitions).cast("int")
+    return rows.select(
+        F.lit(b"k").alias("key"),
+        F.encode(F.format_string('{"id":"%d/%d"}', part, F.floor(offset) + first), "UTF-8").alias("value"),
+        F.lit("t").alias("topic"),
+        part.alias("partition"),
+        (F.floor(offset) + first).cast("bigint").alias("offset"),
+        F.timestamp_seconds(F.floor(offset)).alias("timestamp"),
+    )
+
+
+class Recorder:
+    """Keeps the positions of every batch, and may fail once."""
+
+    name = "recorder"
+
+    def __init__(self, fail_batch=None, marker=None):
+        self.batches, self.fail_batch, self.marker = [], fail_batch, marker
+
+    def __call__(self, batch, batch_id):
+        found = sorted((r["partition"], r["offset"]) for r in batch.collect())
+        if batch_id == self.fail_batch and not os.path.exists(self.marker):
+            open(self.marker, "w").close()
+            raise RuntimeError("injected")
+        self.batches.append((batch_id, found))
+
+
+def start(spark, scratch, sink, trigger=ONCE, **options):
+    stream = offset_log_stream(spark, scratch + "/log", **options)
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", scratch + "/ckpt").trigger(**trigger).start()
+
+
+def positions(n, partitions=3, first=0):
+    return sorted((p, o) for p in range(partitions) for o in range(first, first + n))
+
+
+def test_bounded_batches_resume_in_mid_segment(spark, scratch):
+    write_offset_log(messages(spark, 0, 100), scratch + "/log")
+    sink = Recorder()
+    bound = {"maxOffsetsPerTrigger": 90, "checkpoint": scratch + "/ckpt"}
+    run_until_done(start(spark, scratch, sink, **bound), 120)
+    assert sink.batches == [(0, positions(30))]
+    assert checkpointed(scratch + "/ckpt") == {"0": 30, "1": 30, "2": 30}
+    write_offset_log(messages(spark, 100, 20), scratch + "/log")  # arrives while it is stopped
+    query = start(spark, scratch, sink, trigger={"processingTime": "0 seconds"}, **bound)
+    query.processAllAvailable()
+    query.stop()
+    assert [b for b, _ in sink.batches] == list(range(len(sink.batches)))
+    assert all(len(found) <= 90 for _, found in sink.batches)
+    assert sorted(x for _, found in sink.batches for x in found) == positions(120)
+
+
+def test_failed_batch_has_the_same_range_again(spark, scratch):
+    write_offset_log(messages(spark, 0, 60), scratch + "/log")
+    bound = {"maxOffsetsPerTrigger": 30, "checkpoint": scratch + "/ckpt"}
+    sink = Recorder(fail_batch=1, marker=scratch + "/failed")
+    run_until_done(start(spark, scratch, sink, **bound), 120)
+    with pytest.raises(Exception, match="injected"):
+        run_until_done(start(spark, scratch, sink, **bound), 120)
+    write_offset_log(messages(spark, 60, 10), scratch + "/log")
+    run_until_done(start(spark, scratch, sink, **bound), 120)
+    assert sink.batches[:2] == [(0, positions(10)), (1, positions(10, first=10))]
+
+
+def test_unbounded_and_new_partitions(spark, scratch):
+    write_offset_log(messages(spark, 0, 10, partitions=1), scratch + "/log")
+    sink = Recorder()
+    run_until_done(start(spark, scratch, sink), 120)
+    write_offset_log(messages(spark, 10, 5, partitions=3), scratch + "/log")
+    run_until_done(start(spark, scratch, sink), 120)
+    assert sink.batches[0] == (0, positions(10, 1))
+    assert sorted(sink.batches[1][1]) == sorted([(0, o) for o in range(10, 15)] + [(p, o) for p in (1, 2) for o in range(10, 15)])
+
+
+def test_latest_skips_what_is_there(spark, scratch):
+    write_offset_log(messages(spark, 0, 10), scratch + "/log")
+    sink = Recorder()
+    run_until_done(start(spark, scratch, sink, startingOffsets="latest"), 120)
+    assert sink.batches == [(0, [])]  # the offsets it starts from are kept
+    query = start(spark, scratch, sink, trigger={"processingTime": "0 seconds"}, startingOffsets="latest")
+    write_offset_log(messages(spark, 10, 4), scratch + "/log")
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(x for _, found in sink.batches for x in found) == positions(4, first=10)
+
+
+def test_drives_a_fanout_job(spark, scratch):
+    write_offset_log(messages(spark, 0, 40), scratch + "/log")
+    opts = FanoutOptions(row_key="position", single_table=True)
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts)], rejects=RejectSink(scratch + "/rejects"))
+    run_until_done(job.start(offset_log_stream(spark, scratch + "/log"), scratch + "/ckpt", trigger=ONCE), 120)
+    assert read_cells(spark, scratch + "/cells").select("row_key").distinct().count() == 120
+
+
+def test_tasks_cover_a_range_once_and_skip_other_segments(spark, scratch):
+    for k in range(3):
+        write_offset_log(messages(spark, k * 50, 50, partitions=1), scratch + "/log")
+    reader = OffsetLogReader(scratch + "/log", None, 20, None, "earliest")
+    ranges = reader.partitions({"0": 10}, {"0": 130})
+    assert [(r.first, r.end) for r in ranges] == [(a, min(a + 20, 130)) for a in range(10, 130, 20)]
+    found = reader._segments()["0"]
+    assert len(found) >= 3
+    assert [r.paths for r in ranges] == [[s.path for s in found if s.first < r.end and s.end > r.first] for r in ranges]
+    assert max(len(r.paths) for r in ranges) < len(found)
+    read = [o for r in ranges for batch in reader.read(r) for o in batch.column("offset").to_pylist()]
+    assert read == list(range(10, 130))
+    assert reader.partitions({"0": 130}, {"0": 130}) == []
+
+
+def test_options(spark, scratch):
+    write_offset_log(messages(spark, 0, 5), scratch + "/log")
+    with pytest.raises(Exception, match="needs the option checkpoint"):
+        start(spark, scratch, Recorder(), maxOffsetsPerTrigger=5).awaitTermination(60)
+    assert checkpointed(scratch + "/none") is None
+
+
+segments = st.lists(st.tuples(st.integers(0, 5), st.integers(1, 30)), max_size=5)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.sampled_from("012"), segments, max_size=3), st.dictionaries(st.sampled_from("0123"), st.integers(0, 60)), st.integers(1, 50))
+def test_admission_moves_on_and_holds_its_bound(gaps, begun, limit):
+    waiting = {}
+    for p, pieces in gaps.items():
+        at = 0
+        for gap, n in pieces:
+            waiting.setdefault(p, []).append(Segment("x", at + gap, at + gap + n))
+            at += gap + n
+    offsets = {p: {o for s in found for o in range(s.first, s.end)} for p, found in waiting.items()}
+    left = {p: {o for o in found if o >= begun.get(p, 0)} for p, found in offsets.items()}
+    at = dict(begun)
+    for _ in range(200):
+        end = admitted(at, waiting, limit)
+        assert all(end[p] >= o for p, o in at.items())
+        took = {p: {o for o in found if at.get(p, 0) <= o < end[p]} for p, found in offsets.items()}
+        assert sum(map(len, took.values())) <= max(limit, 3)
+        if end == at or not any(took.values()):
+            break
+        for p, found in took.items():
+            left[p] -= found
+        at = end
+    assert not any(left.values())
+    assert admitted(dict(begun), waiting, None) == {**begun, **{p: max(begun.get(p, 0), s[-1].end) for p, s in waiting.items()}}

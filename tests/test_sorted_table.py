@@ -1,0 +1,132 @@
+"""Sorted key ranges and sets of tenants: same cells, and what their reads leave out."""
+
+import glob
+import os
+import re
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from fanwrite.options import FanoutOptions
+from fanwrite.plans.fanout import prepare
+from fanwrite.sinks import TableSink, read_cells
+from fanwrite.sinks.sorted_table import SortedTableSink, read_row, read_rows, read_sorted_cells
+from fanwrite.sinks.table_sink import read_cells_of_tenants
+from fanwrite.sources.tables import events_from_table, read_table
+
+from frames import rows_of
+
+COLUMNS = ("table_name", "row_key", "family", "qualifier", "value")
+
+
+def plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def scans(node):
+    """The scans of an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from scans(node.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from scans(node.plan())
+    elif node.metrics().contains("numFiles"):
+        yield node
+    for i in range(node.children().size()):
+        yield from scans(node.children().apply(i))
+
+
+def files_read(df):
+    """Files the scans opened, from their metrics."""
+    df.collect()
+    return sum(s.metrics().apply("numFiles").value() for s in scans(df._jdf.queryExecution().executedPlan()))
+
+
+@pytest.fixture(scope="module")
+def prepared(spark, sf_small):
+    opts = FanoutOptions(row_key="id")
+    return prepare(events_from_table(read_table(spark, sf_small, "events")), opts).cache()
+
+
+def _dictionary(path):
+    footer = pq.read_metadata(path)
+    return all(footer.row_group(g).column(0).dictionary_page_offset is not None for g in range(footer.num_row_groups))
+
+
+@pytest.fixture(params=["blob", "wide"])
+def written(request, spark, prepared, scratch):
+    opts = FanoutOptions(row_key="id", layout=request.param)
+    SortedTableSink(scratch + "/sorted", opts).write(prepared, 0)
+    TableSink(scratch + "/plain", opts).write(prepared, 0)
+    return scratch
+
+
+def test_same_cells_as_the_table_sink(spark, written):
+    assert rows_of(read_sorted_cells(spark, written + "/sorted").select(*COLUMNS)) == rows_of(read_cells(spark, written + "/plain").select(*COLUMNS))
+
+
+def test_files_are_sorted_and_have_bloom_filters(spark, written):
+    files = glob.glob(written + "/sorted/batch_id=0/*/*/*.parquet")
+    assert len(files) >= 16
+    for f in files:
+        keys = pq.read_table(f, columns=["row_key"], partitioning=None)["row_key"].to_pylist()
+        assert keys == sorted(keys) and {k[0] for k in keys} == {re.search("key_range=(.)", f)[1]}
+    # Keys that repeat (wide cells) are in a dictionary, which readers look into instead.
+    assert any(_bloom(f) or _dictionary(f) for f in files)
+
+
+def _bloom(path):
+    """A bloom filter's header lies between the last page and the footer."""
+    footer = pq.read_metadata(path)
+    ends = [footer.row_group(g).column(c) for g in range(footer.num_row_groups) for c in range(footer.num_columns)]
+    last = max((c.dictionary_page_offset or c.data_page_offset) + c.total_compressed_size for c in ends)
+    return os.path.getsize(path) - 8 - footer.serialized_size - last > 1024
+
+
+def test_a_row_is_read_from_its_range(spark, written):
+    every = read_sorted_cells(spark, written + "/sorted")
+    key = every.select("row_key").first()[0]
+    one = read_row(spark, written + "/sorted", key)
+    assert rows_of(one.select(*COLUMNS)) == rows_of(every.where(F.col("row_key") == key).select(*COLUMNS))
+    text = plan(one)
+    assert re.search(r"PartitionFilters: \[[^\]]*key_range#\d+ = " + key[0], text) and "EqualTo(row_key," in text
+    assert files_read(one) < files_read(every) / 8
+    table = one.first()["table_name"]
+    assert one.count() == read_row(spark, written + "/sorted", key, table).count()
+    assert read_row(spark, written + "/sorted", key, "no such table").count() == 0
+
+
+def test_rows_of_many_keys_prune_at_run_time(spark, written, prepared):
+    every = read_sorted_cells(spark, written + "/sorted")
+    keys = [r[0] for r in every.select("row_key").distinct().orderBy("row_key").limit(5).collect()]
+    table = spark.createDataFrame([(k,) for k in [*keys, keys[0], None, "zz"]], "row_key string")
+    found = read_rows(spark, written + "/sorted", table)
+    assert rows_of(found.select(*COLUMNS)) == rows_of(every.where(F.col("row_key").isin(keys)).select(*COLUMNS))
+    assert "dynamicpruning" in plan(found).lower()
+    assert read_rows(spark, written + "/sorted", table.where("false")).count() == 0
+
+
+def test_a_hot_table_is_cut_into_ranges(spark, scratch):
+    opts = FanoutOptions(row_key="id", single_table=True, layout="blob")
+    rows = spark.range(20000).select(F.create_map(F.lit("id"), F.col("id").cast("string"), F.lit("rv39"), F.lit("hot")).alias("event"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cells = SortedTableSink(scratch, opts).cells(prepare(rows, opts))
+        sizes = [r["n"] for r in cells.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 4 and max(sizes) < 20000 / 2
+
+
+def test_cells_of_a_set_of_tenants(spark, prepared, scratch):
+    opts = FanoutOptions(row_key="id", layout="wide")
+    TableSink(scratch, opts).write(prepared, 0)
+    tenants = spark.createDataFrame([("click",), ("view",), ("click",), (None,), ("unknown",)], "tenant string")
+    found = read_cells_of_tenants(spark, scratch, tenants, opts)
+    want = read_cells(spark, scratch).where(F.col("table_name").isin("events-click", "events-view", "unrouted"))
+    assert rows_of(found.select(*COLUMNS)) == rows_of(want.select(*COLUMNS))
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruningexpression", plan(found))
+    assert files_read(read_cells_of_tenants(spark, scratch, tenants, opts)) == files_read(want) < files_read(read_cells(spark, scratch))
+    assert read_cells_of_tenants(spark, scratch, tenants.where("false"), opts).count() == 0
