@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fanwrite.sources.csv_events import header_codes, read_csv_events
+from fanwrite.sources.csv_events import file_headers, header_codes, read_csv_events, read_mixed_csv_events
 
 
 def write(path, text):
@@ -80,3 +80,70 @@ def test_written_values_come_back_as_they_are(spark, scratch):
     for value in ("a,b", "a\nb"):
         with pytest.raises(Exception, match="not a CSV field"):
             write_csv_events(spark.createDataFrame([(value,)], "id string"), scratch + "/bad" + str(len(value)) + value[1:2].strip(), ["id"])
+
+
+def events_of(df):
+    return in_order(r["event"] for r in df.where("reason IS NULL").collect())
+
+
+def in_order(events):
+    return sorted(events, key=lambda e: sorted(e.items()))
+
+
+LONG = ["id", "ei"] + [f"c{i}" for i in range(72)]
+
+
+def test_files_with_headers_of_their_own(spark, scratch):
+    import os
+
+    os.makedirs(scratch + "/in")
+    write(scratch + "/in/a.csv", 'EventID(id),Message(msg),User(sun)\n1,"hi" a,u\n2,,\n3,m,u,EXTRA\n4\n')
+    write(scratch + "/in/b.csv", "User(sun),EventID(id)\nv,5\n,6,,,\nw,7,LONG\n")
+    write(scratch + "/in/c.csv", "EventID(id)\n")  # a header alone
+    write(scratch + "/in/d.csv", "")
+    write(scratch + "/in/e.csv", "EventID(id),Other(id)\n8,9\n")
+    write(scratch + "/in/f.csv", ",".join(f"L({c})" for c in LONG) + "\n" + ",".join(str(i) for i in range(74)) + "\n")
+    out = read_mixed_csv_events(spark, scratch + "/in")
+    want = [{"id": "1", "msg": '"hi" a', "sun": "u"}, {"id": "2"}, {"id": "4"}, {"sun": "v", "id": "5"}, {"id": "6"}, {c: str(i) for i, c in enumerate(LONG)}]
+    assert events_of(out) == in_order(want)
+    bad = sorted((r["reason"], r["line"]) for r in out.where("reason IS NOT NULL").collect())
+    assert bad == [("csv_header", "8,9"), ("csv_long_row", "3,m,u,EXTRA"), ("csv_long_row", "w,7,LONG")]
+    assert out.where("event IS NULL").count() == len(bad)
+
+
+def test_mixed_headers_of_split_files_by_both_joins(spark, scratch, monkeypatch):
+    import os
+
+    from fanwrite.sources import csv_events
+
+    os.makedirs(scratch + "/in")
+    write(scratch + "/in/a.csv", "E(id),M(msg)\n" + "".join(f"{i},m{i}\n" for i in range(3000)))
+    write(scratch + "/in/b.csv", "M(msg),U(sun),E(id)\n" + "".join(f"n{i},u,{i}\n" for i in range(3000, 5000)))
+    want = in_order([{"id": str(i), "msg": f"m{i}"} for i in range(3000)] + [{"id": str(i), "msg": f"n{i}", "sun": "u"} for i in range(3000, 5000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, join in ((100, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr(csv_events, "BROADCAST_FILES", bound)
+            out = read_mixed_csv_events(spark, scratch + "/in")
+            assert events_of(out) == want and join in out._jdf.queryExecution().executedPlan().toString()
+            assert file_headers(spark, scratch + "/in").count() == 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_header_reads_the_same_either_way(spark, scratch):
+    path = write(scratch + "/x.csv", "E(id),M(msg),odd\n" + "1,a, \n2,,x\n3,b,c,d\n4,\"q\",,,\n")
+    columns = ("event", "reason", "line")
+    one, mixed = read_csv_events(spark, path), read_mixed_csv_events(spark, path)
+    assert events_of(one) == events_of(mixed)
+    assert one.where("reason IS NOT NULL").select(*columns).collect() == mixed.where("reason IS NOT NULL").select(*columns).collect()
+
+
+def test_header_codes_as_a_column(spark):
+    from fanwrite.functions.text import header_code, header_code_column
+
+    labels = ["Label(id)", "plain", "(x)", "A(b(c))", "", ")", "(", "a(", "é(ü)"]
+    rows = spark.createDataFrame([(x,) for x in labels], "label string").select("label", header_code_column("label").alias("code")).collect()
+    assert {r["label"]: r["code"] for r in rows} == {x: header_code(x) for x in labels}
