@@ -11,7 +11,10 @@ characters or more), ``access`` (AKIA keys of 16 or more), ``hex`` (32 or
 more).  Added kinds, only if their embedded check holds: ``github`` and
 ``npm`` tokens (the last six characters are a base-62 CRC-32 of the body),
 ``jwt`` (header and claims decode to JSON objects) and ``pem`` (a private key
-block with matching begin and end lines).
+block with matching begin and end lines, encrypted ones with their headers).
+
+Every expression is tried once in a stretch of text or is of bounded length, so
+the time grows with the text, whatever it repeats.
 """
 
 from __future__ import annotations
@@ -39,8 +42,11 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _CHECKED = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-_JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )?PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----")
+_JWT_PART = re.compile(r"[A-Za-z0-9_-]+")
+# An encrypted block has header lines of its own before the body: ten at most, not too long.
+_PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]{1,20} )?(?:ENCRYPTED )?PRIVATE KEY)-----\s{1,9}(?:[A-Za-z0-9-]{1,40}:[^\n]{0,200}\n){0,10}[A-Za-z0-9+/=\s]+-----END \1-----"
+)
 _DIGITS62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _HEX_LETTERS = frozenset("0123456789abcdef")
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -74,12 +80,28 @@ def crc_holds(body: str, check: str) -> bool:
 def json_object(part: str) -> bool:
     try:
         return isinstance(json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))), dict)
-    except (binascii.Error, ValueError):
+    except (binascii.Error, ValueError, RecursionError):  # the last: nested too deep to be claims
         return False
 
 
+def _jwt(text: str, at: int) -> tuple[int, bool] | None:
+    """As :func:`_match`.  The first part goes to the end of its run of letters; no other
+    place of that run can begin a token if this one can't, so the scan goes on behind it."""
+    if not text.startswith("eyJ", at):
+        return None
+    parts, end = [], at
+    for k in range(3):
+        m = _JWT_PART.match(text, end)
+        if not m or (k < 2 and not (m[0].startswith("eyJ") and len(m[0]) > 3 and text.startswith(".", m.end()))):
+            return (_JWT_PART.match(text, at).end(), False)
+        parts.append(m[0])
+        end = m.end() + (k < 2)
+    return (end, all(json_object(p) for p in parts[:2]))
+
+
 def _match(kind: str, text: str, at: int) -> tuple[int, bool] | None:
-    """End of the match of a kind at a place and whether it validates."""
+    """End of the match of a kind at a place and whether it validates; from there the
+    kind is looked for again (None: from the next place on)."""
     if kind == "assign":
         return (m.end(), m.end(1) - m.start(1) >= 8) if (m := _ASSIGN.match(text, at)) else None
     if kind == "access":
@@ -87,7 +109,7 @@ def _match(kind: str, text: str, at: int) -> tuple[int, bool] | None:
     if kind in ("github", "npm"):
         return (m.end(), crc_holds(m[1], m[2])) if (m := _CHECKED.match(text, at)) else None
     if kind == "jwt":
-        return (m.end(), json_object(m[1]) and json_object(m[2])) if (m := _JWT.match(text, at)) else None
+        return _jwt(text, at)
     return (m.end(), True) if (m := _PEM.match(text, at)) else None
 
 
