@@ -9,7 +9,8 @@ goes on behind it.
 Base kinds: ``email``, ``ip`` (parts up to 255), ``card`` (14-19 digits,
 Luhn), ``phone`` (10-15 digits).  Added kinds: ``login`` (user part of a URL
 after its scheme), ``iban`` (after its cue, checked modulo 97) and
-``account`` (6-17 digits after an account cue).
+``account`` (6-17 digits after an account or passport cue, ``ACCOUNT_WORDS``, in
+several languages).
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ from fanwrite.llm import spans as S
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "login", "iban", "account")
-CUES = {"IBAN": "iban", "iban": "iban", "Iban": "iban"} | {
-    c: "account" for w in ("account", "acct") for c in (w, w.capitalize(), w.upper())
-}
+ACCOUNT_WORDS = ("account", "acct", "konto", "kontonummer", "cuenta", "compte", "conto", "passport", "reisepass", "passeport", "pasaporte")
+CUES = {"IBAN": "iban", "iban": "iban", "Iban": "iban"} | {c: "account" for w in ACCOUNT_WORDS for c in (w, w.capitalize(), w.upper())}
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -37,8 +37,9 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+:[A-Za-z0-9._~%!$&'()*+,;=:-]+(?=@)")
-_IBAN = re.compile(r"(?:\x20?(?:no\.?|number))?[\x20:#=]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
-_ACCOUNT = re.compile(r"\x20?(?:no\.?|number|#)?[\x20:#=]{1,3}([0-9]{6,17})(?![0-9A-Za-z])")
+_NUMBER = r"no\.?|nr\.?|n[º°]\.?|number|nummer|número|numéro"
+_IBAN = re.compile(rf"(?:\x20?(?i:{_NUMBER}))?[\x20:#=]{{0,3}}([A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})")
+_ACCOUNT = re.compile(rf"\x20?(?i:{_NUMBER}|#)?[\x20:#=]{{1,3}}([0-9]{{6,17}})(?![0-9A-Za-z])")
 
 
 @cache

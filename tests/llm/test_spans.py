@@ -62,6 +62,9 @@ def test_added_personal_kinds_are_validated():
     assert found("see https://joe:pw@host.example/x") == [("login", "joe:pw")]
     assert found("Account no: 12345678, account of 1234567890") == [("account", "12345678")]
     assert found("on account of the weather, ibang") == []
+    for cue in ("Konto ", "KONTO Nr. ", "Kontonummer: ", "cuenta ", "cuenta número ", "compte: ", "Passport no. ", "pasaporte nº "):
+        assert found(f"x {cue}12345678.") == [("account", "12345678")], cue
+    assert found("Kontoauszug 12345678, compter 12345678, IBAN Nr. DE89370400440532013000") == [("iban", "DE89370400440532013000")]
 
 
 def test_added_secrets_need_their_checksum():
@@ -78,6 +81,56 @@ def test_added_secrets_need_their_checksum():
     assert [(k, text[s:e]) for k, s, e in secrets.find(text) if k not in secrets.BASE] == [("github", good), ("jwt", jwt), ("pem", pem)]
 
 
+def test_encrypted_keys_and_deep_tokens():
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nAAAA\nBB==\n-----END RSA PRIVATE KEY-----"
+    other = "-----BEGIN ENCRYPTED PRIVATE KEY-----\nAAAA\n-----END ENCRYPTED PRIVATE KEY-----"
+    assert [(k, s) for k, s, _ in secrets.find(pem + " " + other) if k == "pem"] == [("pem", 0), ("pem", len(pem) + 1)]
+    part = lambda x: base64.urlsafe_b64encode(x.encode()).decode().rstrip("=")
+    deep = part('{"a":' * 60_000 + "1" + "}" * 60_000)
+    assert secrets.find(f"{deep}.{deep}.x") == []
+    good = f"{part('{"a":1}')}.{part('{"b":2}')}.c2ln"
+    assert [(k, s) for k, s, _ in secrets.find(f"{deep}.x {'eyJ' * 50} {good}")] == [("jwt", len(deep) + len(".x ") + 150 + 1)]
+
+
+def expression_tokens(text):
+    """Tokens by one expression, as it stands."""
+    found = []
+    for m in re.finditer(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+", text):
+        if secrets.json_object(m[1]) and secrets.json_object(m[2]):
+            found.append(("jwt", m.start(), m.end()))
+    return found
+
+
+def test_tokens_equal_the_expression():
+    part = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    parts = [part({"a": 1}), part({"bb": [2]}), "eyJ", ".", ".", " ", "x", "-", "eyj", "EYJ"]
+    for text in fuzz(parts, 20000):
+        assert [x for x in secrets.find(text) if x[0] == "jwt"] == expression_tokens(text), text
+
+
+HOSTILE = [
+    *("eyJ", "eyJ.", "eyJ.eyJ.", "token", "token=", "password ", "api_key: ", "AKIA", "akia", "ghp_", "npm_", "a", "0", "f0"),
+    *("-----BEGIN PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\n", "a:-----BEGIN PRIVATE KEY-----\n", "-----BEGIN ", "-----BEGIN A"),
+    *("@", "a@", "a@b", "a@b.", "+", "+1", "+1(", "+1 ", "1.", "1.1.1.1", "1 ", "1-", "4242 ", "://", "://a", "://a:", "a:", "a:b@", "IBAN ", "IBAN DE89 ", "account ", "konto nr. 1"),
+]
+
+
+def test_time_grows_with_the_text_whatever_it_repeats():
+    import time
+
+    def seconds(find, text):
+        start = time.process_time()
+        find(text)
+        return time.process_time() - start
+
+    for cue in HOSTILE:
+        for find in (pii.find, secrets.find):
+            text = cue * (1_000_000 // len(cue))
+            took = seconds(find, text)
+            assert took < 4, (cue, find.__module__, took)  # a quadratic scan would take many minutes
+            assert seconds(find, cue + " " * 1_000_000) < 4 and seconds(find, cue + "a" * 1_000_000) < 4, cue
+
+
 def test_edge_rows(make_docs, no_docs):
     rows = [(1, None, None), (2, "", "en"), (3, LONG + "a@b.cd", "en"), (None, "a@b.cd", "en"), (4, "a@b.cd", "en"), (4, "a@b.cd", "en")]
     for operator, column in ((pii, "n_email"), (secrets, "n_hex")):
