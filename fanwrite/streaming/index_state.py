@@ -57,10 +57,9 @@ class LatestVersion(StatefulProcessor):
             return
         newest, best = None, None
         for part in rows:
-            at = part.sort_values(self.order, kind="stable").index[-1]
-            version = tuple(part.loc[at, self.order].tolist())
+            version, at = max((v, k) for k, v in enumerate(zip(*(part[c].tolist() for c in self.order))))
             if newest is None or version > newest:
-                newest, best = version, part.loc[[at]]
+                newest, best = version, part.iloc[[at]]
         known = self.latest.get()
         if best is not None and (known is None or self.batch_first or newest > tuple(known)):
             self.latest.update(newest)
