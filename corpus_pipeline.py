@@ -18,13 +18,19 @@ from fanwrite.session import scratch_dir
 from fanwrite.sources.tables import read_table
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, with underscores if ``docs`` has such a column (in any case of letters)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go: null texts and those without
     a letter.  A missing ``lang`` is filled with the one found."""
     bounded_batches(spark)
-    own = "_judged"
-    while own in docs.columns:
-        own += "_"
+    own = _free("_judged", docs)
     judged = docs.withColumn(own, langid.judgement(spark, F.col("text"), langid.learn(docs)))
     kept = judged.where(F.col(own)["lang_pred"] != langid.UNDETERMINED)
     return kept.withColumn("lang", F.coalesce("lang", F.col(own)["lang_pred"])).select(*docs.columns)
@@ -49,11 +55,15 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their token ids, and whether these decode to the text."""
+    """The documents with ``n_tokens``, whether the ids decode to the text (``exact``),
+    and the token ``ids``.  A column that a document brings under such a name stays
+    as it is; the new one's name has an underscore more."""
     bounded_batches(spark)
-    coded = bpe.encode(docs, tokenizer_path(), decoded="_decoded")
-    n_tokens, exact = F.size("ids").cast("bigint").alias("n_tokens"), F.col("_decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("exact")
-    return coded.select(*docs.columns, n_tokens, exact, "ids")
+    ids, decoded = _free("ids", docs), _free("_decoded", docs)
+    coded = bpe.encode(docs, tokenizer_path(), ids=ids, decoded=decoded)
+    exact = F.col(decoded).eqNullSafe(F.coalesce("text", F.lit("")))
+    added = F.size(ids).cast("bigint").alias(_free("n_tokens", docs)), exact.alias(_free("exact", docs))
+    return coded.select(*docs.columns, *added, ids)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
