@@ -222,8 +222,11 @@ def n_hit(found: Column) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents in which a benchmark window occurs."""
-    judged = find_windows(docs, benchmark, found="_benchmark_windows")
-    return judged.where(F.size("_benchmark_windows.hits") == 0).select(*docs.columns)
+    own = "_benchmark_windows"
+    while own in map(str.lower, docs.columns):
+        own += "_"
+    judged = find_windows(docs, benchmark, found=own)
+    return judged.where(F.size(F.col(own)["hits"]) == 0).select(*docs.columns)
 
 
 def digests(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

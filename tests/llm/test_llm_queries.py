@@ -53,13 +53,43 @@ def test_pipeline_equals_brute_force(spark, sf_small):
     assert bad and len(first) < len(lettered)
 
 
-def test_pipeline_stages_take_odd_rows(spark, sf_small, make_docs, no_docs):
+def through_all_stages(spark, docs, sf_dir, folder):
+    """As ``run`` does it: each stage's rows are written and read again."""
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
+
+
+def test_pipeline_stages_take_odd_rows(spark, sf_small, make_docs, no_docs, tmp_path):
     rows = [(1, None, None), (2, "", "en"), (3, "123", None), (4, "some words a@b.cd", None), (4, "some words a@b.cd", None), (None, "no id here", "en"), (5, "more words here", "en")]
-    for docs, kept in ((make_docs(rows), [4, 5, None]), (no_docs, [])):
+    for k, (docs, kept) in enumerate(((make_docs(rows), [4, 5, None]), (no_docs, []))):
         columns = docs.columns
-        for name, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, sf_small)
-            assert docs.columns[: len(columns)] == columns
-        got = docs.collect()
-        assert sorted((r["doc_id"] for r in got), key=str) == sorted(kept, key=str)
-        assert all("@" not in r["text"] for r in got)
+        got = through_all_stages(spark, docs, sf_small, f"{tmp_path}/{k}")
+        assert got.columns[: len(columns)] == columns
+        assert sorted((r["doc_id"] for r in got.collect()), key=str) == sorted(kept, key=str)
+        assert all("@" not in r["text"] for r in got.collect())
+
+
+CLASHING = ("ids", "N_tokens", "exact", "_decoded", "_judged", "_Judged_", "lang_pred", "score", "component", "spans", "_benchmark_windows", "found")
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, sf_small, tmp_path):
+    names = [n for n in CLASHING if n != "_Judged_"] + ["_Judged_"]
+    rows = [(i, f"text number {i} of some words", "en", "s", 20, *[f"{n}-{i}" for n in names]) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} string" for n in names))
+    got = through_all_stages(spark, docs, sf_small, tmp_path)
+    assert got.columns == [*docs.columns, "n_tokens_", "exact_", "ids_"]
+    kept = {r["doc_id"]: r for r in got.collect()}
+    assert len(kept) == 6
+    for i, r in kept.items():
+        assert [r[n] for n in names] == [f"{n}-{i}" for n in names]
+        assert r["exact_"] and r["n_tokens_"] == len(r["ids_"]) > 0
+
+
+def test_pipeline_takes_a_very_long_text(spark, sf_small, tmp_path):
+    long = " ".join(f"w{i * 7919 % 10007}" for i in range(300_000))
+    docs = spark.createDataFrame([(1, long, "en", "s", len(long)), (2, long, None, "s", len(long)), (3, "short and different", "en", "s", 1)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = through_all_stages(spark, docs, sf_small, tmp_path).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 3] and all(r["exact"] for r in got)
+    assert next(r for r in got if r["doc_id"] == 1)["text"] == long
