@@ -6,16 +6,19 @@ main text (scripts, styles, navigation, headers, footers, asides, forms, and
 those whose class, id or role says so, such as adverts, notices or reader
 comments) leave a gap of empty lines, unless they stand in the flow of text.
 A class or id says so only as a whole, never for a heading, and never for an
-element that holds the page's content (``holders``).  If the page marks its content with
-``article`` or ``main``, lines outside are gaps too.
-
-The lengths of each window of three lines are summed.  The text surges where
-a window reaches the threshold and dives where a window sums to nothing; all
-lines between a surge point and its dive point are kept.  Where no content
-element guides, the threshold is higher and lines that consist mostly of links
-begin no text; but inside the element that holds the longest line any text
-resumes it, and links that stand in that element itself or before further text
-belong to it.
+element that holds the page's content (``holders``).
+
+On every page the line blocks choose the text (``main_lines``).  A line weighs the
+length of its text less that of its links (nothing, if it is mostly links), and the
+weights of each window of three lines are summed.  The text surges where a window
+reaches the threshold and dives where a window sums to nothing; the stretch
+round a surge, from the dive before it to the next, is text.  The element that
+holds the heaviest line and most of the page's weight is the text's own: what
+stands in it belongs to the text though it does not surge (a heading before an
+aside, a last short paragraph, the first rows of a table), but for links after
+the last text unless they stand in the element itself.  An ``article`` or ``main``
+only bounds the search: if a page has one, lines outside weigh nothing, and the
+text's own element is widened to it.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from typing import NamedTuple
 
 import pandas as pd
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LINES = 3  # lines in a window
-SURGE = 80  # characters in a window where the text begins, on pages without a content element
+SURGE = 80  # weight of a window where the text surges (less, if no window of the page reaches it)
 LINKS = 0.5  # share of a line's characters in links above which it counts as empty
 
 # Elements of HTML by their role.
@@ -51,18 +55,18 @@ CONTENT = frozenset(("article", "main"))
 
 # Words in a class or id that mark what is not the main text.
 MARKS = frozenset(
-    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment commenter commenters comments consent cookie cookies "
     "disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination "
-    "popup promo promotion related recommended respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
+    "popup promo promotion related recommended replies respond responses search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
-COMMENTS = frozenset(("comment", "comments", "disqus", "respond"))
+COMMENTS = frozenset(("comment", "commenter", "commenters", "comments", "disqus", "replies", "respond", "responses"))
 LISTS = COMMENTS | {"related", "recommended"}  # may hold articles that are not the page's
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words that, beside a mark, say where or how it stands.
 PLACES = frozenset(
-    "area articles bar block bottom box button buttons container end entry form group icons inner item items left link links list main media outer panel "
-    "post posts primary right secondary section site slot stories top unit wrap wrapper".split()
+    "all area articles bar block body bottom box button buttons container end entry form group icons inner item items js left link links list main media "
+    "outer panel post posts primary reader readers right secondary section site slot stories thread threads top unit user users wrap wrapper".split()
 )
 # What stands in the flow of an article: left out without a gap.
 IN_FLOW = frozenset(
@@ -77,17 +81,27 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _MARK = re.compile(r"[a-z]+|[A-Z][a-z]+|[A-Z]+")
-_SIZE = re.compile(r"\d+(?:x\d+)?")
+_SIZE = re.compile(r"(?:\bv)?\d+(?:x\d+)?")
+_COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b)", re.IGNORECASE)
+
+
+class Element:
+    """An open block: the lines from ``start`` to before ``end`` are in it."""
+
+    __slots__ = ("end", "name", "parent", "start")
+
+    def __init__(self, name: str, start: int, parent: Element | None) -> None:
+        self.name, self.start, self.end, self.parent = name, start, math.inf, parent
 
 
 class Line(NamedTuple):
     text: str
     links: int  # characters of it inside links
     content: bool  # inside an article or main element
-    end: list[float]  # number of the line before which its parent ends
+    parent: Element
 
 
-GAP = Line("", 0, True, [0])
+GAP = Line("", 0, True, Element("", 0, None))
 
 
 def mark_of(name: str, attributes: str) -> tuple[str, bool]:
@@ -113,10 +127,20 @@ def mark_in(word: str, marks: frozenset[str]) -> str:
     """The mark that a class or id is, alone or with other marks and ``PLACES``, or ''."""
     if word.lower() in marks:
         return word.lower()
-    parts = [p.lower() for p in _MARK.findall(_SIZE.sub("-", word))]
+    parts = [q for p in _MARK.findall(_SIZE.sub("-", word)) for q in compound(p.lower(), marks)]
     return next((p for p in parts if p in marks), "") if all(p in marks or p in PLACES for p in parts) else ""
 
 
+def compound(part: str, marks: frozenset[str]) -> tuple[str, ...]:
+    """The two words that a part is written of without a break, if one is a longer mark."""
+    if part not in marks and part not in PLACES:
+        for i in range(4, len(part) - 3):
+            a, b = part[:i], part[i:]
+            if a in marks and b in PLACES or a in PLACES and b in marks:
+                return a, b
+    return (part,)
+
+
 def ends(dropped: str, name: str, closing: bool) -> bool:
     """Whether a tag ends an open element that a sibling or its parent's end closes."""
     return dropped in SELF_CLOSING and name in BLOCKS and (closing and name != dropped or not closing and (name == dropped or dropped == "p"))
@@ -199,22 +223,22 @@ def lines_of(html: str) -> list[Line]:
     content = links = depth = pos = 0
     dropped = ""  # the element being left out, and how many of its name are open
     holding: set[int] | None = None
-    stack: list[list] = [["", [math.inf], True]]  # open blocks: name, line before which they end, whether blocks are in them
+    stack: list[list] = [["", Element("", 0, None), True]]  # open blocks: name, element, whether blocks are in them
     opened: Counter[str] = Counter()
 
     def flush() -> None:
         text = " ".join(unescape("".join(held)).split())
         if text:
-            name, end, parent = stack[-1]
-            end = end if parent and name not in SELF_CLOSING or len(stack) == 1 else stack[-2][1]
-            out.append(Line(text, len(" ".join(unescape("".join(linked)).split())), content > 0, end))
+            name, element, parent = stack[-1]
+            element = element if parent and name not in SELF_CLOSING or len(stack) == 1 else stack[-2][1]
+            out.append(Line(text, len(" ".join(unescape("".join(linked)).split())), content > 0, element))
         held.clear()
         linked.clear()
 
     def close() -> None:
-        name, end, _ = stack.pop()
+        name, element, _ = stack.pop()
         opened[name] -= 1
-        end[0] = len(out)
+        element.end = len(out)
 
     while pos < len(html):
         m = _TOKEN.match(html, pos)
@@ -278,7 +302,7 @@ def lines_of(html: str) -> list[Line]:
                 if stack[-1][0] == "p" or name in SELF_CLOSING and stack[-1][0] == name:
                     close()
                 if name not in VOID:
-                    stack.append([name, [math.inf], False])
+                    stack.append([name, Element(name, len(out), stack[-1][1]), False])
                     opened[name] += 1
             if name in CONTENT:
                 content = max(0, content + (-1 if closing else 1))
@@ -286,37 +310,68 @@ def lines_of(html: str) -> list[Line]:
     return out
 
 
+def weights_of(lines: list[Line]) -> list[int]:
+    """What each line weighs: nothing outside a content element, if the page has one."""
+    bounded = any(x.content and x.text for x in lines)
+    inside = [bool(x.text) and (x.content or not bounded) for x in lines]
+    weights = [len(x.text) - x.links if there and x.links <= LINKS * len(x.text) else 0 for x, there in zip(lines, inside, strict=True)]
+    if bounded and not any(weights):  # an article of links
+        return [len(x.text) if there else 0 for x, there in zip(lines, inside, strict=True)]
+    return weights
+
+
+def stretches(weights: list[int]) -> Iterator[tuple[int, int, bool]]:
+    """The lines between two dives, without weightless ones at either end: first, the one
+    after the last, and whether the text surges between them."""
+    blocks = [sum(weights[i : i + LINES]) for i in range(len(weights))]
+    threshold = min(SURGE, max(blocks, default=0))
+    first = None
+    for i, block in enumerate([*blocks, 0]):
+        if block == 0 and first is not None:
+            last = max(k for k in range(first, i) if weights[k])
+            yield first, last + 1, max(blocks[first : last + 1]) >= threshold
+            first = None
+        elif first is None and block and weights[i]:
+            first = i
+
+
+def own_element(lines: list[Line], weights: list[int]) -> Element:
+    """The innermost element that holds the heaviest line and over half of all
+    weight, widened to the content element round it, if there is one."""
+    sums = [0, *accumulate(weights)]
+    at: Element = lines[max(range(len(lines)), key=weights.__getitem__)].parent
+    while at.parent and 2 * (sums[min(at.end, len(lines))] - sums[at.start]) <= sums[-1]:
+        at = at.parent
+    wider: Element | None = at
+    while wider and wider.name not in CONTENT:
+        wider = wider.parent
+    return wider or at
+
+
 def main_lines(lines: list[Line]) -> list[str]:
-    """Lines between the surge and dive points of the line blocks, and what
-    resumes them in the parent of their longest line."""
-    guided = any(x.content and x.text for x in lines)
-    sizes = [
-        0 if guided and not x.content or not guided and x.links > LINKS * len(x.text) else len(x.text)
-        for x in lines
-    ]
-    blocks = [sum(sizes[i : i + LINES]) for i in range(len(sizes))]
-    threshold = 1 if guided else min(SURGE, max(blocks, default=0)) or 1
-    kept, held, inside = [], [], False
-    longest, end = 0, [0]
-    for i, (line, size, block) in enumerate(zip(lines, sizes, blocks, strict=True)):
-        if i >= end[0]:
-            held.clear()
-            longest = longest if inside and block else 0
-        if block == 0:
-            inside = False
-        elif not inside and size and (block >= threshold or i < end[0]):
-            inside = True
-        if inside and size:
-            kept += [*held, line.text]
-            held.clear()
-            if size > longest:
-                longest, end = size, line.end
-        elif not guided and line.text and i < end[0]:
-            held.append(line.text)
-            if line.end is end:
-                kept += held
-                held.clear()
-    return kept
+    """The lines of the stretches in which the text surges and of the element that it has
+    for its own (the page or its body is none: there a stretch must surge itself)."""
+    weights = weights_of(lines)
+    if not any(weights):
+        return []
+    kept = [False] * len(lines)
+    for first, end, surges in stretches(weights):
+        if surges:
+            kept[first:end] = [True] * (end - first)
+    bounded = any(x.content and x.text for x in lines)
+    own = own_element(lines, weights)
+    if own.name not in ("", "html", "body"):
+        start, end = own.start, min(own.end, len(lines))
+        if own.name not in CONTENT:
+            heavy = [i for i in range(start, end) if weights[i]]
+            start, last = heavy[0], heavy[-1]
+            kept[last:end] = [kept[i] or i == last or lines[i].parent is own for i in range(last, end)]
+            end = last
+        kept[start:end] = [True] * (end - start)
+    found = [x.text for x, keep in zip(lines, kept, strict=True) if keep and x.text and (x.content or not bounded)]
+    while not bounded and len(found) > 1 and _COPYRIGHT.match(found[-1]):
+        found.pop()
+    return found
 
 
 def main_text(html: str | None) -> str:

@@ -79,3 +79,62 @@ def test_text_resumes_after_a_gap_in_its_element():
     aside, link = "<aside>An aside.</aside>", '<p><a href="/x">A paragraph that is a link</a></p>'
     page = f'<div><div><h1>T</h1><p>{PARA}</p>{aside}<p>Short.</p>{link}{aside}<ul><li><a href="/y">Linked item</a></li></ul><p>End.</p></div>{aside}<div><p>Stray.</p></div></div>'
     assert main_text(page) == f"T\n\n{PARA}\n\nShort.\n\nA paragraph that is a link\n\nLinked item\n\nEnd."
+
+
+@pytest.mark.parametrize("name", ["comment-body", "user-comments-list", "CommentList", "commentlist", "reader-responses", "replies", "disqus_thread"])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div><h1>T</h1>{}</div>"])
+def test_comments_are_left_out_by_their_names(name, wrap):
+    for key in ("class", "id"):
+        page = wrap.format(f'<p>{PARA}</p><p>{PARA} More.</p><div {key}="{name}"><p>{PARA} I disagree!</p></div>')
+        assert main_text(page).endswith(f"{PARA}\n\n{PARA} More.") and "disagree" not in main_text(page)
+
+
+@pytest.mark.parametrize("name", ["cookie-banner-v2", "js-newsletter-signup", "adbox2", "sharebuttons"])
+def test_other_marks_in_compounds(name):
+    assert main_text(f'<div><p>{PARA} {PARA}</p><div class="{name}"><p>{PARA} Not.</p></div><p>End.</p></div>') == f"{PARA} {PARA}\n\nEnd."
+
+
+@pytest.mark.parametrize("name", ["commentary", "paddle", "article-body", "wristband", "headerless", "download", "shared-memory", "userland"])
+def test_names_that_only_look_like_marks(name):
+    assert main_text(f'<div><p>{PARA}</p><div class="{name}"><p>{PARA} Yes.</p></div></div>') == f"{PARA}\n\n{PARA} Yes."
+
+
+def test_short_rows_before_the_surge_and_a_notice_after_the_text():
+    table = "<table><tr><td>Name</td><td>Value</td></tr>" + "".join(f"<tr><td>Row {i}</td><td>{PARA}</td></tr>" for i in range(3)) + "</table>"
+    want = "\n\n".join(["T", "Name", "Value", *(x for i in range(3) for x in (f"Row {i}", PARA))])
+    assert main_text(f"<body><nav>Home</nav><div><h1>T</h1>{table}</div><footer>f</footer></body>") == want
+    assert main_text(f"<body><nav>Home</nav><h1>T</h1>{table}</body>") == want
+    assert main_text(f"<body><h1>T</h1><p>{PARA}</p><p>(c) Foo</p></body>") == f"T\n\n{PARA}"
+    assert main_text(f"<article><h1>T</h1><p>{PARA}</p><p>(c) Foo</p></article>") == f"T\n\n{PARA}\n\n(c) Foo"
+
+
+def scored(page):
+    """Lines between surges and dives by plain block sums over a page of flat blocks."""
+    gaps = r'(?s)<(head|nav|footer|script|style)\b.*?</\1>|<!--.*?-->|<div class="ad">.*?</div>'
+    rows = []
+    for piece in re.split("(\x00)", re.sub(gaps, "\x00", page)):
+        lines = re.split(r"</?(?:p|h1|body|html)\b[^>]*>", piece.replace("<br>", " "))
+        text = [" ".join(html.unescape(re.sub("<[^>]*>", "", x)).split()) for x in lines]
+        rows += [""] * 3 if piece == "\x00" else [x for x in text if x]
+    sums = [sum(map(len, rows[i : i + 3])) for i in range(len(rows))]
+    out, run = [], []
+    for i, row in enumerate([*rows, ""]):
+        if i == len(rows) or sums[i] == 0:
+            if run and max(sum(map(len, run[k : k + 3])) for k in range(len(run))) >= min(80, max(sums)):
+                out += run
+            run = []
+        elif row:
+            run.append(row)
+    return "\n\n".join(out)
+
+
+@pytest.mark.parametrize("tags", [("<div>", "</div>"), ('<section class="post">', "</section>"), ("", ""), ("<div><div>", "</div></div>")])
+def test_template_pages_without_their_article_element(spark, tags):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    for page in pages:
+        assert main_text(page.replace("<article>", tags[0]).replace("</article>", tags[1])) == main_text(page)
+
+
+def test_plain_block_sums_choose_the_same_text(spark):
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    assert all(scored(page.replace("<article>", "").replace("</article>", "")) == main_text(page) for page in pages)
