@@ -89,7 +89,7 @@ def test_comments_are_left_out_by_their_names(name, wrap):
         assert main_text(page).endswith(f"{PARA}\n\n{PARA} More.") and "disagree" not in main_text(page)
 
 
-@pytest.mark.parametrize("name", ["cookie-banner-v2", "js-newsletter-signup", "adbox2", "sharebuttons"])
+@pytest.mark.parametrize("name", ["cookie-banner-v2", "js-newsletter-signup", "ad-box2", "sharebuttons"])
 def test_other_marks_in_compounds(name):
     assert main_text(f'<div><p>{PARA} {PARA}</p><div class="{name}"><p>{PARA} Not.</p></div><p>End.</p></div>') == f"{PARA} {PARA}\n\nEnd."
 
