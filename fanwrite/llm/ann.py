@@ -1,19 +1,18 @@
 """Nearest neighbours by a hash-prefix forest.
 
-Each tree gives every vector a long string of letters.  A letter comes from a
-random projection to a few dimensions: which of them is largest in absolute
-value, and its sign.  The first letter has a large alphabet, the later ones
-small ones, so prefixes grow in moderate steps.  A tree is the sorted array of
-the strings: the vectors that share a prefix are a stretch of it.
-
-A query descends in all trees to its longest matching prefixes and then
-ascends in all trees at once, a letter at a time, until the stretches hold
-enough distinct candidates, which are scored exactly, and its best ones are
-met in so many trees that hardly any can have been missed in all of them
-(``missed``); the last step up is to the whole table.  So the same rule holds
-at every size and for crowded or slanted vectors.  For largest inner products,
-vectors are scaled by the largest norm and get one more component that makes
-their length 1; queries get a 0 there.
+Each tree gives every vector a long string of bits.  Five of them are a letter: of a
+random projection to ``DIMENSIONS`` dimensions, which is largest in absolute value,
+and its sign.  A tree is the sorted array of the strings: the vectors that share
+a prefix, of any number of bits, are a stretch of it.
+
+A query descends in all trees to its longest matching prefixes (where the
+stretches hold ``START`` times as many rows as are asked for) and then ascends in
+all trees at once, a bit at a time, until its best ones are met in so many
+trees that hardly any can have been missed in all of them (``missed``); the last
+step up is to the whole table.  So the same rule holds at every size and for
+crowded or slanted vectors.  For largest inner products, vectors are scaled by the
+largest norm and get one more component that makes their length 1; queries get a
+0 there.
 
 Vectors and strings are stored once in the shared folder, dealt evenly over
 tasks that read them in blocks of bounded size; each block sorts its own part
@@ -26,6 +25,7 @@ ids; as many ids are kept as a query can return.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -37,19 +37,21 @@ from pyspark.sql import functions as F
 
 from fanwrite.llm.components import stored
 
-TREES = 40
-LETTERS = (64, 8, 8, 8, 8, 8)  # dimensions projected to: a letter has twice as many values
+TREES = 128
+DIMENSIONS = 16  # of a letter's projection; it has twice as many values
+LETTERS = 4
 SEED = 20260102
 NEAREST = 20
-LEAST_CANDIDATES = 5_000
-SHARE = 0.2  # of all vectors, asked for as candidates if that is more
+START = 32  # times the nearest asked for: rows (repeats included) in the stretches a query begins with
 MISSED = 0.05  # of the nearest, that may be missed by estimate
 BLOCK_ROWS = 12_000
 QUERY_BLOCK = 20_000
 ROWS_OUT = 5_000  # results of a block handed on at once
+SLICE = 500  # vectors projected at once
 
-FLOOR = np.array([0, *np.cumsum([math.ceil(math.log2(2 * d)) for d in LETTERS])])
-BITS = int(FLOOR[-1])
+LETTER_BITS = (2 * DIMENSIONS - 1).bit_length()
+BITS = LETTERS * LETTER_BITS
+DEPTHS = np.array([0, *range(4, BITS + 1, 2)])  # bits of the prefixes that are counted
 
 
 class Queries(NamedTuple):
@@ -63,19 +65,20 @@ class Queries(NamedTuple):
 
 def projections(dim: int, trees: int) -> list[np.ndarray]:
     rng = np.random.default_rng(SEED)
-    return [rng.standard_normal((dim, trees, d)) for d in LETTERS]
+    return [rng.standard_normal((dim, trees * DIMENSIONS)) for _ in range(LETTERS)]
 
 
 def tree_strings(vectors: np.ndarray, trees: int) -> np.ndarray:
-    """The string of every vector in every tree, letters packed into a number."""
-    out = np.zeros((trees, len(vectors)), np.int64)
+    """The string of every vector in every tree, as a number."""
+    out = np.zeros((trees, len(vectors)), np.int32)
     for p in projections(vectors.shape[1], trees):
-        size = p.shape[2]
-        for t in range(trees):
-            y = vectors @ p[:, t, :]
-            largest = np.abs(y).argmax(axis=1)
-            letter = 2 * largest + (y[np.arange(len(y)), largest] > 0)
-            out[t] = (out[t] << math.ceil(math.log2(2 * size))) | letter
+        for start in range(0, len(vectors), SLICE):
+            y = (vectors[start : start + SLICE] @ p).reshape(-1, trees, DIMENSIONS)
+            largest = np.abs(y).argmax(axis=2)
+            sign = np.take_along_axis(y, largest[:, :, None], axis=2)[:, :, 0] > 0
+            part = out[:, start : start + SLICE]
+            part <<= LETTER_BITS
+            part |= (2 * largest + sign).T.astype(np.int32)
     return out
 
 
@@ -94,19 +97,19 @@ class Forest:
         self.strings = np.take_along_axis(strings, self.order, axis=1)
 
     def stretches(self, strings: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end, in each tree, of what shares the queries' prefixes of the given depths."""
-        below = BITS - FLOOR[depths]
+        """Begin and end, in each tree, of what shares so many bits with the queries."""
+        below = (BITS - depths).astype(np.int32)
         low = (strings >> below) << below
         high = ((strings >> below) + 1) << below
         ends = [[np.searchsorted(mine, x) for mine, x in zip(self.strings, bound, strict=True)] for bound in (low, high)]
         return np.array(ends[0]), np.array(ends[1])
 
     def sizes(self, strings: np.ndarray) -> np.ndarray:
-        """For each query, candidates at each depth, summed over the trees."""
-        out = np.empty((strings.shape[1], len(FLOOR)), np.int64)
-        for d in range(len(FLOOR)):
+        """For each query, candidates at each of ``DEPTHS``, summed over the trees."""
+        out = np.empty((strings.shape[1], len(DEPTHS)), np.int64)
+        for k, d in enumerate(DEPTHS):
             begin, end = self.stretches(strings, np.full(strings.shape[1], d))
-            out[:, d] = (end - begin).sum(axis=0)
+            out[:, k] = (end - begin).sum(axis=0)
         return out
 
 
@@ -124,7 +127,7 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[Block]:
             held.append(batch)
         if held and (batch is None or sum(map(len, held)) >= BLOCK_ROWS):
             rows = pd.concat(held)
-            strings = np.stack(rows["strings"].to_numpy()).T
+            strings = np.ascontiguousarray(np.stack(rows["strings"].to_numpy()).T)
             yield Block(np.stack(rows["vector"].to_numpy()), [np.asarray(i).tolist() for i in rows["ids"]], Forest(strings))
             held = []
 
@@ -138,15 +141,18 @@ def _index(points: DataFrame, norms: dict[int, float], trees: int) -> DataFrame:
                 vectors = np.stack(part["vector"].to_numpy())
                 yield part.assign(strings=list(tree_strings(lengthened(vectors, norms[dim]), trees).T))
 
-    return points.mapInPandas(run, "ids array<bigint>, vector array<double>, dim int, strings array<bigint>")
+    return points.mapInPandas(run, "ids array<bigint>, vector array<double>, dim int, strings array<int>")
 
 
 def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
     """``id, vector, dim, norm, h1, h2`` of the rows that take part, repeated rows once."""
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & ~bad).withColumn("norm", norm).where("norm > 0")
+    largest = F.array_max(F.transform("vector", F.abs))
+    rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & ~bad).withColumn("largest", largest).where("largest > 0")
+    # Scaled before squaring: the squares of very small or large components are no numbers.
+    norm = F.col("largest") * F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("largest")) * (x / F.col("largest"))))
+    rows = rows.withColumn("norm", F.least(norm, F.lit(sys.float_info.max)))
     rows = rows.withColumns({"dim": F.size("vector"), "h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(1), "vector")})
     return rows.dropDuplicates(["id", "h1", "h2"])
 
@@ -158,15 +164,16 @@ def search(
     vector: str = "embedding",
     nearest: int = NEAREST,
     trees: int = TREES,
-    least: int = LEAST_CANDIDATES,
-    share: float = SHARE,
+    start: int = START,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: for every row of ``queries`` its
+    """``query_id, rank, vec_id, score, candidates``: for every row of ``queries`` its
     ``nearest`` rows of ``df`` that were found, by inner product in double
-    precision, ties to the smaller id, the row of the query's own id left out.
+    precision, ties to the smaller id, the row of the query's own id left out;
+    ``candidates`` is how many different vectors it was compared with in the end.
 
     Rows whose id or vector is null, and vectors that are zero or hold null or
-    non-finite components, take no part on either side.  Vectors are compared
+    non-finite components, take no part on either side.  A product too large for a
+    double is infinite (the least, if it has infinite parts of both signs).  Vectors are compared
     with those of equal length only.  Equal vectors under several ids are
     several rows; rows that repeat an id and vector count once.  Other columns
     are not read; empty tables give an empty result.
@@ -184,16 +191,16 @@ def search(
     for size in index.groupBy("dim").count().orderBy("dim").collect():
         mine = index.where(F.col("dim") == size["dim"]).select("ids", "vector", "strings")
         for block in _query_blocks(kinds.where(F.col("dim") == size["dim"]), trees):
-            found = _search_block(mine, block, max(least, share * size["count"]), nearest)
+            found = _search_block(mine, block, start * nearest, nearest)
             out = found if out is None else out.union(found)
     if out is None:
-        return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+        return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, candidates bigint")
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.col("ids")[0])
     out = out.withColumn("r", F.row_number().over(best)).where(F.col("r") <= nearest + 1)
     hits = asked.select(F.col("id").alias("query_id"), "h1", "h2").join(out, ["h1", "h2"])
-    hits = hits.select("query_id", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
+    hits = hits.select("query_id", F.explode("ids").alias("vec_id"), "score", "candidates").where("vec_id <> query_id")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")
+    return hits.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score", "candidates")
 
 
 def _query_blocks(kinds: DataFrame, trees: int) -> Iterator[Queries]:
@@ -204,25 +211,26 @@ def _query_blocks(kinds: DataFrame, trees: int) -> Iterator[Queries]:
         rows = some.select("h1", "h2", "vector").collect()
         if rows:
             vectors = np.array([r["vector"] for r in rows])
-            unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+            unit /= np.linalg.norm(unit, axis=1, keepdims=True)
             strings = tree_strings(np.column_stack([unit, np.zeros(len(unit))]), trees)
             yield Queries([(r["h1"], r["h2"]) for r in rows], vectors, strings, None)
 
 
 def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: int) -> DataFrame:
-    """``h1, h2, ids, score``: each block's best for every query.
+    """``h1, h2, ids, score, candidates``: each block's best for every query.
 
     Queries begin where the trees hold ``wanted`` rows, repeats included, and
-    ascend by a letter until ``_complete``."""
+    ascend by a bit until ``_complete``."""
     asked = points.sparkSession.sparkContext.broadcast(queries)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((len(asked.value.keys), len(FLOOR)), np.int64)
+        total = np.zeros((len(asked.value.keys), len(DEPTHS)), np.int64)
         for block in _blocks(batches):
             total += block.forest.sizes(asked.value.strings)
         q, d = np.nonzero(total)
         if len(q):
-            yield pd.DataFrame({"q": q, "depth": d, "n": total[q, d]})
+            yield pd.DataFrame({"q": q, "depth": DEPTHS[d], "n": total[q, d]})
 
     sizes = points.mapInPandas(count, "q int, depth int, n bigint").groupBy("q", "depth").agg(F.sum("n").alias("n"))
     enough = sizes.where((F.col("n") >= wanted) | (F.col("depth") == 0)).groupBy("q").agg(F.max("depth").alias("depth"))
@@ -232,12 +240,13 @@ def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: i
     pending, out = queries._replace(depths=depths), None
     while len(pending.keys):
         found = stored(_ascended(points, pending, nearest), "ann-found")
-        done = _complete(found, pending, wanted, nearest)
+        done = _complete(found, pending, nearest)
         kept = found if done.all() else found.join(F.broadcast(_keys(points, pending, done)), ["h1", "h2"], "left_semi")
         out = kept if out is None else out.union(kept)
         rest = np.flatnonzero(~done)
         pending = Queries([pending.keys[i] for i in rest], pending.vectors[rest], pending.strings[:, rest], pending.depths[rest] - 1)
-    return out.select("h1", "h2", "ids", "score")
+    candidates = F.sum("n").over(Window.partitionBy("h1", "h2")).alias("candidates")
+    return out.select("h1", "h2", "ids", "score", candidates)
 
 
 def _keys(points: DataFrame, asked: Queries, which: np.ndarray) -> DataFrame:
@@ -264,13 +273,13 @@ def missed(once: Column, twice: Column) -> Column:
     return once * (once - 1) / (2 * (twice + 1))
 
 
-def _complete(found: DataFrame, asked: Queries, wanted: float, nearest: int) -> np.ndarray:
+def _complete(found: DataFrame, asked: Queries, nearest: int) -> np.ndarray:
     """Which queries need not ascend further."""
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.col("ids")[0])
-    ranked = found.withColumn("total", F.sum("n").over(Window.partitionBy("h1", "h2"))).withColumn("r", F.row_number().over(best))
+    ranked = found.withColumn("r", F.row_number().over(best))
     times = {k: F.count_if(F.col("trees") == k) for k in (1, 2)}
-    met = ranked.where(F.col("r") <= nearest + 1).groupBy("h1", "h2").agg(F.max("total").alias("total"), F.count("*").alias("met"), missed(times[1], times[2]).alias("missed"))
-    met = met.where((F.col("total") >= wanted) & (F.col("met") > nearest) & (F.col("missed") <= MISSED * nearest))
+    met = ranked.where(F.col("r") <= nearest + 1).groupBy("h1", "h2").agg(F.count("*").alias("met"), missed(times[1], times[2]).alias("missed"))
+    met = met.where((F.col("met") > nearest) & (F.col("missed") <= MISSED * nearest))
     whole = {(r["h1"], r["h2"]) for r in met.select("h1", "h2").collect()}
     return np.array([d == 0 or k in whole for k, d in zip(asked.keys, asked.depths, strict=True)], bool)
 
@@ -286,7 +295,9 @@ def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFram
         trees = np.bincount(np.concatenate(stretches), minlength=len(first))
         candidates = np.flatnonzero(trees)
         n = len(candidates)
-        scores = block.vectors[candidates] @ vector
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = block.vectors[candidates] @ vector
+        scores[np.isnan(scores)] = -np.inf  # infinite parts of both signs
         if n > nearest + 1:
             good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
             candidates, scores = candidates[good], scores[good]

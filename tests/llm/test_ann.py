@@ -15,9 +15,12 @@ def brute(vectors, query, nearest=20):
 def test_recall(spark, sf):
     table = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
     vectors = {r["vec_id"]: np.array(r["embedding"], float) for r in table.collect()}
-    got = {}
+    got, compared = {}, {}
     for r in ann.neighbours(table).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+        compared[r["query_id"]] = r["candidates"]
+    assert max(compared.values()) < len(vectors)  # no query is sent to the whole table
+    assert np.mean(list(compared.values())) < {500: 0.9, 2000: 0.65}[len(vectors)] * len(vectors)
     assert set(got) == {i for i in vectors if i % 20 == 0}
     hits = 0
     for query, found in got.items():
@@ -37,7 +40,7 @@ def test_recall_where_the_ascent_stops_early(spark):
     table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
     hits = total = 0
     got = {}
-    for r in ann.search(table, table.where("vec_id % 100 = 0"), least=600, share=0.1).collect():
+    for r in ann.search(table, table.where("vec_id % 100 = 0"), start=30).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     for query, found in got.items():
         hits += len(found & {i for i, _ in brute(vectors, query)})
@@ -87,14 +90,44 @@ def spread(kind, n, dim, rng):
 
 
 @pytest.mark.parametrize("kind", ["even", "slanted", "decaying", "hot"])
-def test_recall_without_a_floor(spark, kind):
-    """Few candidates are asked for: queries ascend until theirs are enough."""
-    found = spread(kind, 4000, 48, np.random.default_rng(7))
-    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(found)], "vec_id bigint, embedding array<double>")
-    got = {}
-    for r in ann.search(table, table.where("vec_id % 40 = 0"), least=0, share=0.0).collect():
-        got.setdefault(r["query_id"], set()).add(r["vec_id"])
-    vectors = dict(enumerate(found))
-    hits = sum(len(near & {i for i, _ in brute(vectors, query)}) for query, near in got.items())
-    print(f"recall {kind}: {hits / 2000:.3f}")
-    assert len(got) == 100 and hits / 2000 >= 0.9
+def test_recall_and_share_of_the_table(spark, kind):
+    """The same rule at two sizes: recall holds, the share that is compared falls."""
+    shares = []
+    for n in (1000, 8000):
+        found = spread(kind, n, 48, np.random.default_rng(7))
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(found)], "vec_id bigint, embedding array<double>")
+        got, compared = {}, {}
+        for r in ann.search(table, table.where(f"vec_id % {n // 100} = 0")).collect():
+            got.setdefault(r["query_id"], set()).add(r["vec_id"])
+            compared[r["query_id"]] = r["candidates"]
+        vectors = dict(enumerate(found))
+        hits = sum(len(near & {i for i, _ in brute(vectors, query)}) for query, near in got.items())
+        shares.append(np.mean(list(compared.values())) / n)
+        print(f"{kind}, {n}: recall {hits / 2000:.3f}, share compared {shares[-1]:.3f}")
+        assert len(got) == 100 and hits / 2000 >= 0.9
+    assert shares[1] < 0.85 * shares[0] and shares[1] < 0.6
+
+
+def test_very_small_and_very_large_vectors(spark):
+    rng = np.random.default_rng(3)
+    for scale in (1e-170, 1e-310, 1e160, 1e307):
+        vectors = {i: rng.standard_normal(4) * scale for i in range(60)}
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
+        got = ann.neighbours(table).collect()
+        assert {(r["query_id"], r["rank"]) for r in got} == {(q, k) for q in (0, 20, 40) for k in range(1, 21)}
+    rows = [(20, [1e-170, 0.0]), (1, [1.0, 0.0]), (2, [1e-170, 1e-300])]
+    got = ann.neighbours(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got] == [(20, 1, 1, 1e-170), (20, 2, 2, 0.0)]
+
+
+def test_prefixes_of_any_number_of_bits():
+    vectors = np.random.default_rng(2).standard_normal((300, 16))
+    strings = ann.tree_strings(vectors, 5)
+    assert strings.shape == (5, 300) and strings.min() >= 0 and strings.max() < 1 << ann.BITS
+    forest = ann.Forest(strings)
+    for depth in range(ann.BITS + 1):
+        begin, end = forest.stretches(strings[:, :10], np.full(10, depth))
+        for q in range(10):
+            for t in range(5):
+                same = np.flatnonzero(strings[t] >> (ann.BITS - depth) == strings[t, q] >> (ann.BITS - depth))
+                assert sorted(forest.order[t, begin[t, q] : end[t, q]]) == same.tolist()
