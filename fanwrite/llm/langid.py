@@ -1,6 +1,7 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1.  The vector of a letter triple
+Every letter, of whatever script, has a random vector of +1 and -1 of its own, drawn
+from its code point when it is first met.  The vector of a letter triple
 binds its letters: the first one's vector rotated twice, the second one's
 rotated once and the third one's are multiplied element by element.  A text's
 profile bundles (adds) the vectors of all its triples; a language's prototype
@@ -23,47 +24,72 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
-SLOTS = 1024  # letters below U+0200 have a slot of their own, the others share
-DIRECT = 512
 SEED = 20260101
 SAMPLE = 3000  # labelled documents a language, in expectation
 UNDETERMINED = "und"
 CHUNK = 4096  # triples whose vectors are held at once
+LETTERS = 16_384  # letters whose vectors are kept for the next texts; at least three a triple of a chunk
+CODE_BITS = 21
 
 
 @functools.cache
-def letter_slots() -> np.ndarray:
-    """Slot of every code point; 0 for those that are no letters."""
-    slots = np.zeros(0x110000, np.int16)
+def lowered() -> np.ndarray:
+    """The lower-case letter of every code point; 0 for those that are no letters."""
+    out = np.zeros(0x110000, np.int64)
     for c in range(0x110000):
         if (letter := chr(c)).isalpha():
-            low = ord(letter.lower()[0])
-            slots[c] = low if low < DIRECT else DIRECT + low * 2654435761 % (SLOTS - DIRECT)
-    return slots
+            out[c] = ord(letter.lower()[0])
+    return out
 
 
-@functools.cache
-def letter_vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The letters' vectors as they enter a triple in first, second, third place."""
-    base = np.random.default_rng(SEED).choice(np.array([-1, 1], np.int8), (SLOTS, DIMENSIONS))
-    return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
+def letter_vector(code: int) -> np.ndarray:
+    """The vector of a letter, or of the space (0)."""
+    return np.random.default_rng([SEED, code]).choice(np.array([-1, 1], np.int8), DIMENSIONS)
+
+
+class Letters:
+    """The vectors of the letters met so far, as they enter a triple in first, second,
+    third place.  When ``LETTERS`` are held, they are drawn anew as they come."""
+
+    def __init__(self) -> None:
+        self.rows = np.full(0x110000, -1, np.int32)
+        self.vectors = np.zeros((3, LETTERS, DIMENSIONS), np.int8)
+        self.n = 0
+
+    def bound(self, triples_: np.ndarray) -> np.ndarray:
+        """The vectors of triples."""
+        places = [triples_ >> 2 * CODE_BITS, triples_ >> CODE_BITS & (1 << CODE_BITS) - 1, triples_ & (1 << CODE_BITS) - 1]
+        codes = np.unique(np.concatenate(places))
+        if self.n + int((self.rows[codes] < 0).sum()) > LETTERS:
+            self.rows.fill(-1)
+            self.n = 0
+        for c in codes[self.rows[codes] < 0].tolist():
+            vector = letter_vector(c)
+            for place, turn in enumerate((2, 1, 0)):
+                self.vectors[place, self.n] = np.roll(vector, turn)
+            self.rows[c] = self.n
+            self.n += 1
+        first, second, third = (self.vectors[k][self.rows[codes]] for k, codes in enumerate(places))
+        return first * second * third
+
+
+letters = functools.cache(Letters)
 
 
 def triples(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     """Distinct triples of a text as numbers, and their counts; None if it has no letter."""
     if not text:
         return None
-    slots = letter_slots()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
-    if not slots.any():
+    codes = lowered()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    if not codes.any():
         return None
-    slots = np.concatenate(([0], slots, [0]))
-    slots = slots[np.concatenate(([True], (slots[1:] != 0) | (slots[:-1] != 0)))]
-    return np.unique((slots[:-2] * SLOTS + slots[1:-1]) * SLOTS + slots[2:], return_counts=True)
+    codes = np.concatenate(([0], codes, [0]))
+    codes = codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+    return np.unique((codes[:-2] << CODE_BITS | codes[1:-1]) << CODE_BITS | codes[2:], return_counts=True)
 
 
 def profiles(texts: pd.Series) -> Iterator[np.ndarray | None]:
     """The unit profile of each text, None for those without a letter."""
-    first, second, third = letter_vectors()
     for text in texts:
         if (found := triples(text)) is None:
             yield None
@@ -71,8 +97,7 @@ def profiles(texts: pd.Series) -> Iterator[np.ndarray | None]:
         codes, counts = found
         out = np.zeros(DIMENSIONS, np.float64)
         for i in range(0, len(codes), CHUNK):
-            c = codes[i : i + CHUNK]
-            bound = first[c // SLOTS**2] * second[c // SLOTS % SLOTS] * third[c % SLOTS]
+            bound = letters().bound(codes[i : i + CHUNK])
             out += counts[i : i + CHUNK].astype(np.float32) @ bound.astype(np.float32)
         norm = np.linalg.norm(out)
         yield out / norm if norm else out
