@@ -44,7 +44,7 @@ SEEDS = frozenset(
     "malware nude payday phishing pill pills poker porn replica sex slots spam torrent torrents track tracker tracking viagra warez xxx".split()
 )
 
-LONGEST_WORD = 24
+SHORT = 24  # letters of a word up to which a name is looked through by its substrings; longer ones by so many first letters
 SMOOTHING = 20  # tokens
 BLOCK_BITS = 11  # rows of a block, as a power of two
 ROWS_OUT = 20_000  # substrings handed on at once
@@ -79,8 +79,8 @@ def longest_rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Col
 
 
 class Unigrams(NamedTuple):
-    """Log probabilities of known words; a stretch of unknown letters costs
-    ``unknown`` once and ``letter`` for each letter."""
+    """Log probabilities of known words; a stretch of unknown letters, of any
+    length, costs ``unknown`` once and ``letter`` for each letter."""
 
     words: dict[str, float]
     unknown: float
@@ -88,21 +88,20 @@ class Unigrams(NamedTuple):
 
 
 def word_counts(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``word, n``: how often each word of up to 24 letters occurs in the
-    pages, markup left out, lower-cased."""
+    """``word, n``: how often each word occurs in the pages, markup left out, lower-cased."""
     text = F.lower(F.regexp_replace(F.col(html), r"<[^>]*>|&#?\w+;", " "))
     word = F.explode(F.split(text, r"[^\p{L}]+"))
-    return pages.select(word.alias("word")).where(F.length("word").between(1, LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
+    return pages.select(word.alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
 
 
-def base_model(counts: DataFrame) -> Unigrams:
+def base_model(counts: DataFrame, seeds: frozenset[str] = SEEDS) -> Unigrams:
     """The model without the words but the seeds: its total is that of all
     words of ``counts``.  A seed that does not occur counts once."""
     # Single letters are left to the unknown stretches, or any name would fall into letters.
     total = counts.where(F.length("word") > 1).agg(F.sum("n")).first()[0] or 0
-    met = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(*SEEDS)).collect()}
-    total += sum(w not in met for w in SEEDS) + 1
-    return Unigrams({w: math.log(met.get(w, 1) / total) for w in SEEDS}, math.log(1 / total), math.log(1 / 26))
+    met = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(*seeds)).collect()}
+    total += sum(w not in met for w in seeds) + 1
+    return Unigrams({w: math.log(met.get(w, 1) / total) for w in seeds}, math.log(1 / total), math.log(1 / 26))
 
 
 def segment(label: str, model: Unigrams) -> list[str]:
@@ -112,12 +111,15 @@ def segment(label: str, model: Unigrams) -> list[str]:
     """
     n = len(label)
     best = [(0.0, 0)] + [(-math.inf, 0)] * n
+    longest = max(map(len, model.words), default=0)
+    stretch = (-math.inf, 0)  # where the best unknown stretch up to here begins, and its score less its letters' up to here
     for end in range(1, n + 1):
-        for start in range(max(0, end - LONGEST_WORD), end):
-            part = label[start:end]
-            cost = model.words.get(part, model.unknown + model.letter * len(part))
-            if (score := best[start][0] + cost) > best[end][0]:
-                best[end] = (score, start)
+        stretch = max(stretch, (best[end - 1][0] - model.letter * (end - 1), 1 - end))
+        found = (stretch[0] + model.unknown + model.letter * end, stretch[1])
+        for start in range(max(0, end - longest), end):
+            if (cost := model.words.get(label[start:end])) is not None:
+                found = max(found, (best[start][0] + cost, -start))
+        best[end] = (found[0], -found[1])
     cuts, end = [], n
     while end:
         start = best[end][1]
@@ -157,13 +159,13 @@ def names_of(rows: DataFrame) -> DataFrame:
 
 
 def substrings(names: DataFrame) -> DataFrame:
-    """``id, word``: the distinct substrings of each name that may be words."""
+    """``id, word``: the distinct substrings of each name of up to ``SHORT`` letters."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[int, str]] = []
         for batch in batches:
             for i, name in zip(batch["id"], batch["name"], strict=True):
-                for size in range(2, min(LONGEST_WORD, len(name)) + 1):
+                for size in range(2, min(SHORT, len(name)) + 1):
                     seen = {name[k : k + size] for k in range(len(name) - size + 1)}
                     held += ((i, w) for w in seen)
                     if len(held) >= ROWS_OUT:
@@ -174,11 +176,25 @@ def substrings(names: DataFrame) -> DataFrame:
     return names.mapInPandas(run, "id bigint, word string")
 
 
-def cut_names(names: DataFrame, counts: DataFrame) -> DataFrame:
+def words_in(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """``id, word, n``: the counted words that each name holds.
+
+    Words of up to ``SHORT`` letters meet a name by its substrings.  A longer one meets
+    the names that hold its first ``SHORT`` letters, and is then looked for whole.
+    """
+    parts = substrings(names)
+    short = parts.join(counts.where(F.length("word") <= SHORT), "word")
+    long = counts.where(F.length("word") > SHORT).select(F.substring("word", 1, SHORT).alias("first"), F.col("word").alias("whole"), "n")
+    begun = parts.where(F.length("word") == SHORT).join(long, F.col("word") == F.col("first")).select("id", "whole", "n")
+    held = begun.join(names, "id").where(F.contains("name", "whole")).select("id", F.col("whole").alias("word"), "n")
+    return short.select("id", "word", "n").union(held)
+
+
+def cut_names(names: DataFrame, counts: DataFrame, seeds: frozenset[str] = SEEDS) -> DataFrame:
     """``name, cut``: each name (once in ``names``) cut by the counts of all words."""
-    model = base_model(counts)
+    model = base_model(counts, seeds)
     names = stored(names.withColumn("id", F.monotonically_increasing_id()), "url-names")
-    known = substrings(names).join(counts, "word").groupBy("id").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
+    known = words_in(names, counts).groupBy("id").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("counts"))
     top = -model.unknown  # the total's logarithm
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,12 +208,12 @@ def cut_names(names: DataFrame, counts: DataFrame) -> DataFrame:
     return names.join(known, "id", "left").select("name", "words", "counts").mapInPandas(run, "name string, cut array<string>")
 
 
-def tokenized(rows: DataFrame, counts: DataFrame) -> DataFrame:
+def tokenized(rows: DataFrame, counts: DataFrame, seeds: frozenset[str] = SEEDS) -> DataFrame:
     """``rows`` (columns host, path and others) with ``block`` and ``tokens``."""
     block = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
     rows = stored(rows.withColumn("block", block), "url-rows")
     names = stored(names_of(rows), "url-block-names")
-    cuts = names.join(cut_names(names.select("name").distinct(), counts), "name")
+    cuts = names.join(cut_names(names.select("name").distinct(), counts, seeds), "name")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         known = dict(zip(right["name"].to_pylist(), right["cut"].to_pylist(), strict=True))
@@ -208,7 +224,12 @@ def tokenized(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return stored(rows.groupBy("block").cogroup(cuts.groupBy("block")).applyInArrow(run, schema), "url-tokens")
 
 
-def train(rows: DataFrame) -> tuple[float, DataFrame]:
+def seeded(tokens: Column, seeds: frozenset[str] = SEEDS) -> Column:
+    """Whether one of the words is a seed: the label that the classifier learns from."""
+    return F.exists(tokens, lambda t: F.substring(t, 3, 1 << 30).isin(*seeds))
+
+
+def train(rows: DataFrame, seeds: frozenset[str] = SEEDS) -> tuple[float, DataFrame]:
     """Multinomial naive Bayes over all rows of ``rows`` (column tokens): the log
     odds (block over allow) of the classes, and ``token, odds`` of each token.
 
@@ -216,8 +237,7 @@ def train(rows: DataFrame) -> tuple[float, DataFrame]:
     both classes together, so a token as common in one as in the other speaks
     for neither however unequal the classes are.
     """
-    seeded = F.exists("tokens", lambda t: F.substring(t, 3, 1 << 30).isin(*SEEDS))
-    classed = rows.select(seeded.alias("seeded"), "tokens")
+    classed = rows.select((F.col("seeded") if "seeded" in rows.columns else seeded(F.col("tokens"), seeds)).alias("seeded"), "tokens")
     n = {r["seeded"]: (r["count"], r["size"]) for r in classed.groupBy("seeded").agg(F.count("*").alias("count"), F.sum(F.size("tokens")).alias("size")).collect()}
     (blocked, block_size), (allowed, allow_size) = n.get(True, (0, 0)), n.get(False, (0, 0))
     one = F.col("seeded").cast("bigint")
@@ -240,7 +260,30 @@ def judge(rows: DataFrame, prior: float, odds: DataFrame) -> DataFrame:
     return rows.groupBy("block").cogroup(own.groupBy("of")).applyInArrow(run, schema)
 
 
-def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES) -> DataFrame:  # noqa: ANN001
+def _named(pages: DataFrame, key: str, url: str) -> DataFrame:
+    named = pages.select(F.col(key).alias("_key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
+    return named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")})
+
+
+def held_out_counts(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", seeds: frozenset[str] = SEEDS) -> DataFrame:
+    """``seeded, blocked, urls``: what the classifier adds to the list of seeds.
+
+    Seed words are taken out of all urls' tokens.  It learns from four fifths of the
+    urls (crc32 of the key) and judges the others: the counts give its precision and
+    recall in finding, by the words beside them, the urls that held a seed.
+    """
+    rows = tokenized(_named(pages, key, url), stored(word_counts(pages, html), "url-words"), seeds)
+    bare = F.filter("tokens", lambda t: ~F.substring(t, 3, 1 << 30).isin(*seeds))
+    out = F.crc32(F.col("_key").cast("string").cast("binary")) % 5 == 0
+    rows = stored(rows.withColumns({"seeded": seeded(F.col("tokens"), seeds), "tokens": bare, "out": F.coalesce(out, F.lit(False))}), "url-folds")
+    prior, odds = train(rows.where("NOT out"), seeds)
+    # A token of the held-out urls alone speaks for neither class.
+    every = rows.select(F.explode("tokens").alias("token")).distinct().join(odds, "token", "left").select("token", F.coalesce("odds", F.lit(0.0)).alias("odds"))
+    judged = judge(rows.where("out"), prior, every)
+    return judged.groupBy("seeded", (F.col("block_score") > 0).alias("blocked")).agg(F.count("*").alias("urls"))
+
+
+def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES, seeds: frozenset[str] = SEEDS) -> DataFrame:  # noqa: ANN001
     """``key, host, path, rule, verdict, block_score`` for every row.
 
     The longest rule that fits decides; without one, the classifier blocks if
@@ -248,10 +291,8 @@ def filter_urls(pages: DataFrame, key: str = "page_id", url: str = "url", html:
     host and path.  Null texts count no words.  Repeated rows stay; other
     columns are not read; an empty table gives an empty result.
     """
-    named = pages.select(F.col(key).alias("_key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
-    named = named.withColumns({c: F.coalesce(c, F.lit("")) for c in ("host", "path")})
-    rows = tokenized(named, stored(word_counts(pages, html), "url-words"))
-    judged = judge(rows, *train(rows))
+    rows = tokenized(_named(pages, key, url), stored(word_counts(pages, html), "url-words"), seeds)
+    judged = judge(rows, *train(rows, seeds))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("block_score") > 0, "block").otherwise("allow")
     return judged.select(F.col("_key").alias(key), "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "block_score")

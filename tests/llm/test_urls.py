@@ -1,5 +1,6 @@
 """URL filter: hosts, paths and rules against plain code; segmentation and the classifier."""
 
+import math
 import re
 
 import pytest
@@ -40,8 +41,6 @@ def test_parts_and_rules(spark):
 
 def test_segmentation_finds_the_best_cut():
     counts = {"cheap": 50, "pills": 40, "pill": 30, "news": 80, "the": 500, "he": 300, "heap": 5, "today": 300, "to": 400, "day": 200}
-    import math
-
     total = sum(counts.values()) + 1
     model = urls.Unigrams({w: math.log(n / total) for w, n in counts.items()}, math.log(1 / total), math.log(1 / 26))
     assert urls.segment("cheappills", model) == ["cheap", "pills"]
@@ -53,7 +52,7 @@ def test_segmentation_finds_the_best_cut():
             return 0.0
         return max(model.words.get(label[:i], model.unknown + model.letter * i) + best(label[i:]) for i in range(1, len(label) + 1))
 
-    for label in ("thenewsday", "heapills", "todaythecheap"):
+    for label in ("thenewsday", "heapills", "todaythecheap", "xqthezz", "zzzzthenewszz"):
         score = sum(model.words.get(w, model.unknown + model.letter * len(w)) for w in urls.segment(label, model))
         assert score == pytest.approx(best(label))
 
@@ -79,7 +78,6 @@ def test_pages_table(spark, sf_small):
 
 def test_names_are_cut_by_the_counts_of_all_words(spark):
     """60,000 words of equal count: none is left out, and the total is that of all."""
-    import math
     import random
 
     rnd = random.Random(3)
@@ -100,7 +98,6 @@ def test_names_are_cut_by_the_counts_of_all_words(spark):
 
 
 def test_every_token_has_its_own_odds(spark):
-    import math
     from collections import Counter
 
     rows = [(i, f"http://a.net/{'casino' if i % 4 == 0 else 'garden'}/x{i}", "") for i in range(400)]
@@ -115,3 +112,74 @@ def test_every_token_has_its_own_odds(spark):
 
     for i, found in tokens.items():
         assert got[i] == pytest.approx(math.log(101 / 301) + sum(map(odds, found)))
+
+
+LONG_WORD = "donaudampfschifffahrtsgesellschaft"
+
+
+def test_words_and_unknown_stretches_of_any_length(spark):
+    other = LONG_WORD[:24] + "skapitaen"
+    rows = [(0, f"http://{LONG_WORD}.net/{LONG_WORD}news", f"<p>{LONG_WORD} {LONG_WORD} news {other} {'q' * 30_000}</p>"), (1, "http://" + "z" * 60 + f"news{LONG_WORD[1:]}.net/", None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    counts = urls.word_counts(pages)
+    named = pages.select("page_id", urls.host(pages.url).alias("host"), urls.path(pages.url).alias("path"))
+    got = {r["page_id"]: r["tokens"] for r in urls.tokenized(named, counts).collect()}
+    assert got[0] == [f"h:{LONG_WORD}", "h:net", f"p:{LONG_WORD}", "p:news"]
+    assert got[1] == ["h:" + "z" * 60, "h:news", f"h:{LONG_WORD[1:]}", "h:net"]
+    names = spark.createDataFrame([(0, "x" + LONG_WORD), (1, LONG_WORD[:30])], "id bigint, name string")
+    assert [(r["id"], r["word"], r["n"]) for r in urls.words_in(names, counts).collect()] == [(0, LONG_WORD, 2)]
+
+
+def test_null_html_and_equal_odds(spark):
+    rows = [(1, "http://a.net/x", None), (2, "http://casino.net/x", None), (3, None, None)]
+    got = {r["page_id"]: (r["verdict"], r["block_score"]) for r in urls.filter_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[1][0] == "allow" and got[2][1] > got[1][1] and got[3] == ("allow", pytest.approx(math.log(2 / 3)))
+    tied = [(1, "http://a.net/x", "")]  # no example to block: odds of 1 to 2 by the prior alone
+    assert urls.filter_urls(spark.createDataFrame(tied, "page_id bigint, url string, html string")).first()["verdict"] == "allow"
+
+
+def test_what_the_classifier_adds_to_the_seeds(spark):
+    def page(i):
+        if i % 4 == 0:
+            return i, f"http://{'casino' if i % 8 else 'poker'}bonus.net/freespins/{i}", "<p>casino poker bonus free spins garden club flowers</p>"
+        return i, f"http://gardenclub.net/flowers/{i}", "<p>free garden club flowers spins</p>"
+
+    pages = spark.createDataFrame([page(i) for i in range(400)], "page_id bigint, url string, html string")
+    counts = {(r["seeded"], r["blocked"]): r["urls"] for r in urls.held_out_counts(pages).collect()}
+    assert sum(counts.values()) > 50 and counts[True, True] > 10
+    precision = counts[True, True] / (counts[True, True] + counts.get((False, True), 0))
+    recall = counts[True, True] / (counts[True, True] + counts.get((True, False), 0))
+    assert precision > 0.95 and recall > 0.95
+    other = urls.filter_urls(pages, seeds=frozenset({"flowers"}))
+    assert {r["verdict"] for r in other.where("page_id % 4 <> 0").collect()} == {"block"}
+
+
+def test_verdicts_of_the_whole_table(spark, sf_small):
+    """All verdicts from plain counts, cuts and odds."""
+    from collections import Counter
+
+    rows = [(r["page_id"], *split(r["url"]), r["html"] or "") for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()]
+    words = Counter()
+    for *_, page in rows:
+        words.update(w for w in re.findall(r"[^\W\d_]+", re.sub(r"<[^>]*>|&#?\w+;", " ", page, flags=re.ASCII).lower()) if w)
+    known = {w: n for w, n in words.items() if len(w) > 1} | {w: max(words.get(w, 0), 1) for w in urls.SEEDS}
+    total = sum(known.values()) + 1
+    model = urls.Unigrams({w: math.log(n / total) for w, n in known.items()}, math.log(1 / total), math.log(1 / 26))
+    tokens = {}
+    for key, host, path, _ in rows:
+        tokens[key] = [kind + w for kind, text, name in urls.pieces(host, path) for w in (urls.segment(text, model) if name else [text])]
+    block = {k: any(t[2:] in urls.SEEDS for t in found) for k, found in tokens.items()}
+    count = [Counter(t for k, found in tokens.items() for t in found if block[k] == c) for c in (False, True)]
+    sizes = [c.total() for c in count]
+
+    def odds(t):
+        both = urls.SMOOTHING * (count[0][t] + count[1][t]) / sum(sizes)
+        return math.log((count[1][t] + both) / (sizes[1] + urls.SMOOTHING)) - math.log((count[0][t] + both) / (sizes[0] + urls.SMOOTHING))
+
+    n = Counter(block.values())
+    prior = math.log((n[True] + 1) / (n[False] + 1))
+    got = {r["page_id"]: r for r in op8_urls(spark, sf_small).collect()}
+    for key, host, path, _ in rows:
+        score = prior + sum(map(odds, tokens[key]))
+        assert got[key]["block_score"] == pytest.approx(score, abs=1e-6)
+        assert got[key]["verdict"] == (rule(host, path)[1] or ("block" if score > 0 else "allow"))
