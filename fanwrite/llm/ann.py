@@ -5,11 +5,12 @@ random projection to ``DIMENSIONS`` dimensions, which is largest in absolute val
 and its sign.  A tree is the sorted array of the strings: the vectors that share
 a prefix, of any number of bits, are a stretch of it.
 
-A query descends in all trees to its longest matching prefixes (where the
-stretches hold ``START`` times as many rows as are asked for) and then ascends in
-all trees at once, a bit at a time, until its best ones are met in so many
-trees that hardly any can have been missed in all of them (``missed``); the last
-step up is to the whole table.  So the same rule holds at every size and for
+A query descends in all trees to its longest matching prefixes (as long as the
+stretches hold ``START`` times the square root of all rows times those asked for)
+and then ascends in all trees at once, a bit at a time, until its best ones are met
+in so many trees that hardly any can have been missed in all of them (``missed``);
+the last step up is to the whole table.  On its way up a query takes no vector that
+is worse than as many as it needs of those it has met.  So the same rule holds at every size and for
 crowded or slanted vectors.  For largest inner products, vectors are scaled by the
 largest norm and get one more component that makes their length 1; queries get a
 0 there.
@@ -24,6 +25,7 @@ ids; as many ids are kept as a query can return.
 
 from __future__ import annotations
 
+import functools
 import math
 import sys
 from collections.abc import Iterator
@@ -42,7 +44,8 @@ DIMENSIONS = 16  # of a letter's projection; it has twice as many values
 LETTERS = 4
 SEED = 20260102
 NEAREST = 20
-START = 32  # times the nearest asked for: rows (repeats included) in the stretches a query begins with
+START = 5  # times sqrt(rows * nearest): rows (repeats included) in the stretches a query begins with
+FEW = 64  # queries up to which a block compares their strings with all of its own instead of sorting these
 MISSED = 0.05  # of the nearest, that may be missed by estimate
 BLOCK_ROWS = 12_000
 QUERY_BLOCK = 20_000
@@ -55,12 +58,14 @@ DEPTHS = np.array([0, *range(4, BITS + 1, 2)])  # bits of the prefixes that are
 
 
 class Queries(NamedTuple):
-    """Vectors of a query block with their tree strings, and the depth each ascends to."""
+    """Vectors of a query block with their tree strings, the depth each ascends to, and
+    the score below which it needs no more."""
 
     keys: list[tuple[int, int]]
     vectors: np.ndarray
     strings: np.ndarray
-    depths: np.ndarray | None
+    depths: np.ndarray
+    floors: np.ndarray
 
 
 def projections(dim: int, trees: int) -> list[np.ndarray]:
@@ -90,11 +95,31 @@ def lengthened(vectors: np.ndarray, largest_norm: float) -> np.ndarray:
 
 
 class Forest:
-    """The part of the forest over one block: every tree's strings, sorted."""
+    """The part of the forest over one block: every tree's strings, sorted when first needed."""
 
     def __init__(self, strings: np.ndarray) -> None:
-        self.order = np.argsort(strings, axis=1, kind="stable")
-        self.strings = np.take_along_axis(strings, self.order, axis=1)
+        self.unsorted = strings
+
+    @functools.cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.unsorted, axis=1, kind="stable")
+
+    @functools.cached_property
+    def strings(self) -> np.ndarray:
+        return np.take_along_axis(self.unsorted, self.order, axis=1)
+
+    def met(self, strings: np.ndarray, depths: np.ndarray) -> Iterator[np.ndarray]:
+        """For each query, in how many trees every row of the block shares its prefix."""
+        trees, n = self.unsorted.shape
+        few = len(depths) <= FEW
+        begin, end = self.stretches(strings, depths) if not few else (None, None)
+        for q, depth in enumerate(depths):
+            if depth == 0:
+                yield np.full(n, trees)
+            elif few:
+                yield ((self.unsorted ^ strings[:, q, None]) >> (BITS - depth) == 0).sum(axis=0)
+            else:
+                yield np.bincount(np.concatenate([o[i:j] for o, i, j in zip(self.order, begin[:, q], end[:, q], strict=True)]), minlength=n)
 
     def stretches(self, strings: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Begin and end, in each tree, of what shares so many bits with the queries."""
@@ -164,7 +189,7 @@ def search(
     vector: str = "embedding",
     nearest: int = NEAREST,
     trees: int = TREES,
-    start: int = START,
+    start: float = START,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score, candidates``: for every row of ``queries`` its
     ``nearest`` rows of ``df`` that were found, by inner product in double
@@ -191,7 +216,7 @@ def search(
     for size in index.groupBy("dim").count().orderBy("dim").collect():
         mine = index.where(F.col("dim") == size["dim"]).select("ids", "vector", "strings")
         for block in _query_blocks(kinds.where(F.col("dim") == size["dim"]), trees):
-            found = _search_block(mine, block, start * nearest, nearest)
+            found = _search_block(mine, block, start * math.sqrt(size["count"] * nearest), nearest)
             out = found if out is None else out.union(found)
     if out is None:
         return df.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, candidates bigint")
@@ -214,7 +239,7 @@ def _query_blocks(kinds: DataFrame, trees: int) -> Iterator[Queries]:
             unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
             unit /= np.linalg.norm(unit, axis=1, keepdims=True)
             strings = tree_strings(np.column_stack([unit, np.zeros(len(unit))]), trees)
-            yield Queries([(r["h1"], r["h2"]) for r in rows], vectors, strings, None)
+            yield Queries([(r["h1"], r["h2"]) for r in rows], vectors, strings, np.zeros(len(rows), np.int64), np.full(len(rows), -np.inf))
 
 
 def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: int) -> DataFrame:
@@ -240,13 +265,13 @@ def _search_block(points: DataFrame, queries: Queries, wanted: float, nearest: i
     pending, out = queries._replace(depths=depths), None
     while len(pending.keys):
         found = stored(_ascended(points, pending, nearest), "ann-found")
-        done = _complete(found, pending, nearest)
+        done, floors = _complete(found, pending, nearest)
         kept = found if done.all() else found.join(F.broadcast(_keys(points, pending, done)), ["h1", "h2"], "left_semi")
         out = kept if out is None else out.union(kept)
         rest = np.flatnonzero(~done)
-        pending = Queries([pending.keys[i] for i in rest], pending.vectors[rest], pending.strings[:, rest], pending.depths[rest] - 1)
+        pending = Queries([pending.keys[i] for i in rest], pending.vectors[rest], pending.strings[:, rest], pending.depths[rest] - 1, floors[rest])
     candidates = F.sum("n").over(Window.partitionBy("h1", "h2")).alias("candidates")
-    return out.select("h1", "h2", "ids", "score", candidates)
+    return out.select("h1", "h2", "ids", "score", candidates).where("ids IS NOT NULL")
 
 
 def _keys(points: DataFrame, asked: Queries, which: np.ndarray) -> DataFrame:
@@ -255,8 +280,9 @@ def _keys(points: DataFrame, asked: Queries, which: np.ndarray) -> DataFrame:
 
 def _ascended(points: DataFrame, asked: Queries, nearest: int) -> DataFrame:
     """``h1, h2, ids, score, trees, n``: each block's best for every query at its
-    depth, in how many trees they were met, and the block's number of distinct
-    candidates (on one of the rows, 0 on the others)."""
+    depth, from its floor on, in how many trees they were met, and the block's
+    number of distinct candidates (on one of the rows, which has no ids if none of
+    them reached the floor; 0 on the others)."""
     ready = points.sparkSession.sparkContext.broadcast(asked)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,38 +299,40 @@ def missed(once: Column, twice: Column) -> Column:
     return once * (once - 1) / (2 * (twice + 1))
 
 
-def _complete(found: DataFrame, asked: Queries, nearest: int) -> np.ndarray:
-    """Which queries need not ascend further."""
+def _complete(found: DataFrame, asked: Queries, nearest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which queries need not ascend further, and the score of the last one each needs."""
     best = Window.partitionBy("h1", "h2").orderBy(F.desc("score"), F.col("ids")[0])
-    ranked = found.withColumn("r", F.row_number().over(best))
+    ranked = found.where("ids IS NOT NULL").withColumn("r", F.row_number().over(best)).where(F.col("r") <= nearest + 1)
     times = {k: F.count_if(F.col("trees") == k) for k in (1, 2)}
-    met = ranked.where(F.col("r") <= nearest + 1).groupBy("h1", "h2").agg(F.count("*").alias("met"), missed(times[1], times[2]).alias("missed"))
-    met = met.where((F.col("met") > nearest) & (F.col("missed") <= MISSED * nearest))
-    whole = {(r["h1"], r["h2"]) for r in met.select("h1", "h2").collect()}
-    return np.array([d == 0 or k in whole for k, d in zip(asked.keys, asked.depths, strict=True)], bool)
+    met = ranked.groupBy("h1", "h2").agg(F.count("*").alias("met"), F.min("score").alias("floor"), missed(times[1], times[2]).alias("missed"))
+    # A row a query of the block.
+    last = {(r["h1"], r["h2"]): (r["missed"] <= MISSED * nearest, r["floor"]) for r in met.where(F.col("met") > nearest).collect()}
+    done = np.array([d == 0 or last.get(k, (False,))[0] for k, d in zip(asked.keys, asked.depths, strict=True)], bool)
+    return done, np.array([last[k][1] if k in last else -np.inf for k in asked.keys])
 
 
 def _nearest(block: Block, asked: Queries, nearest: int) -> Iterator[pd.DataFrame]:
     """The block's best candidates of each query, one more than asked for as
     the query may be among them."""
     first = np.array([i[0] for i in block.ids])
-    begin, end = block.forest.stretches(asked.strings, asked.depths)
     rows: list[tuple] = []
-    for q, (key, vector) in enumerate(zip(asked.keys, asked.vectors, strict=True)):
-        stretches = [block.forest.order[t, begin[t, q] : end[t, q]] for t in range(len(begin) if asked.depths[q] else 1)]
-        trees = np.bincount(np.concatenate(stretches), minlength=len(first))
-        candidates = np.flatnonzero(trees)
+    for q, trees in enumerate(block.forest.met(asked.strings, asked.depths)):
+        key, candidates = asked.keys[q], np.flatnonzero(trees)
         n = len(candidates)
         with np.errstate(over="ignore", invalid="ignore"):
-            scores = block.vectors[candidates] @ vector
+            scores = block.vectors[candidates] @ asked.vectors[q]
         scores[np.isnan(scores)] = -np.inf  # infinite parts of both signs
+        floor = asked.floors[q]
         if n > nearest + 1:
-            good = scores >= np.partition(scores, -nearest - 1)[-nearest - 1]
-            candidates, scores = candidates[good], scores[good]
+            floor = max(floor, np.partition(scores, -nearest - 1)[-nearest - 1])
+        candidates, scores = candidates[scores >= floor], scores[scores >= floor]
         best = np.lexsort((first[candidates], -scores))[: nearest + 1]
         rows += [(*key, block.ids[candidates[i]], scores[i], trees[candidates[i]], 0 if k else n) for k, i in enumerate(best)]
+        if n and not len(best):
+            rows.append((*key, None, None, None, n))
         if len(rows) >= ROWS_OUT or q == len(asked.keys) - 1:
-            yield pd.DataFrame(rows, columns=["h1", "h2", "ids", "score", "trees", "n"])
+            out = pd.DataFrame(rows, columns=["h1", "h2", "ids", "score", "trees", "n"])
+            yield out.astype({"trees": "Int32"})
             rows = []
 
 

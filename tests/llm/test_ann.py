@@ -40,7 +40,7 @@ def test_recall_where_the_ascent_stops_early(spark):
     table = spark.createDataFrame([(i, v.tolist()) for i, v in vectors.items()], "vec_id bigint, embedding array<double>")
     hits = total = 0
     got = {}
-    for r in ann.search(table, table.where("vec_id % 100 = 0"), start=30).collect():
+    for r in ann.search(table, table.where("vec_id % 100 = 0"), start=3).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     for query, found in got.items():
         hits += len(found & {i for i, _ in brute(vectors, query)})
@@ -127,6 +127,10 @@ def test_prefixes_of_any_number_of_bits():
     forest = ann.Forest(strings)
     for depth in range(ann.BITS + 1):
         begin, end = forest.stretches(strings[:, :10], np.full(10, depth))
+        many = np.tile(strings[:, :10], 10)  # past FEW, strings are sorted instead of compared
+        met = [*forest.met(strings[:, :10], np.full(10, depth)), *forest.met(many, np.full(100, depth))]
+        assert all((met[q] == met[q % 10]).all() for q in range(len(met)))
+        assert (met[3] == (strings >> (ann.BITS - depth) == strings[:, 3, None] >> (ann.BITS - depth)).sum(axis=0)).all()
         for q in range(10):
             for t in range(5):
                 same = np.flatnonzero(strings[t] >> (ann.BITS - depth) == strings[t, q] >> (ann.BITS - depth))
