@@ -11,28 +11,35 @@ offset in the window and the window's length give the only place the window
 can be (positional and length bounds), and the words there are compared
 whole.
 
-The windows' index is broadcast in blocks of bounded size, however large the
-benchmark: each block is one further pass over the documents.
+The windows' index of a benchmark of up to ``BLOCK_WORDS`` words is broadcast and
+searched for text by text.  That of a larger one stays a table (``joined``): what
+is broadcast then is a bitmap of fixed size that holds its shingles, so that of the
+documents' shingles few others are shuffled; counts and prefixes come from joins on
+the shingles, and windows are compared with the words round the place.  The
+documents are read three times, however large the benchmark.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from xxhash import xxh3_64_intdigest
 
 from fanwrite.llm.components import stored
 
 WINDOW = 10
 SHINGLE = 5
-BLOCK_WORDS = 200_000  # benchmark words in one broadcast index
+BLOCK_WORDS = 200_000  # benchmark words up to which their index is broadcast
+BITMAP_BITS = 28  # places of the bitmap, as a power of two: 32 MB
+BITMAP_ROW = 1 << 15  # places in a row of Spark's bitmaps
+BROADCAST_ROWS = 1_000_000  # texts with hits up to which they are broadcast
 SEGMENT_WORDS = 20_000  # longer items are cut into overlapping segments
 
 _LETTERS = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -140,16 +147,6 @@ def segments(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     return named.mapInPandas(cut, "item string, words string, n bigint")
 
 
-def blocks(benchmark: DataFrame, key: str, text: str, block_words: int) -> Iterator[list[tuple[str | None, str]]]:
-    """The benchmark in blocks of about ``block_words`` words, rows that repeat an item and its words once."""
-    parts = stored(segments(benchmark, key, text).distinct(), "benchmark-words")
-    total = parts.agg(F.sum("n")).first()[0] or 0
-    n = max(1, math.ceil(total / block_words))
-    for b in range(n):
-        block = parts if n == 1 else parts.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == b)
-        yield [(r["item"], r["words"]) for r in block.select("item", "words").collect()]
-
-
 def rarity(docs: DataFrame, text: str, items: list[tuple[str | None, str]]) -> dict[bytes, int]:
     """In how many documents each shingle of a block occurs (counted over all)."""
     names = sorted({s for _, t in items for w in windows_of(t.encode().split()) for s in shingles_of(w)})
@@ -169,25 +166,123 @@ def rarity(docs: DataFrame, text: str, items: list[tuple[str | None, str]]) -> d
     return {names[r["i"]]: r["n"] for r in counted.groupBy("i").agg(F.sum("n").alias("n")).collect()}
 
 
-def searcher(index: Broadcast[Index]) -> Callable[[Iterator[tuple[pd.Series, pd.DataFrame]]], Iterator[pd.DataFrame]]:
-    """Searches texts for a block's windows and adds them to what earlier blocks found."""
+def searcher(index: Broadcast[Index]) -> Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]:
+    """Searches texts for the windows of an index."""
 
-    def run(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-        for texts, before in batches:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
             rows = []
-            for t, hits, known in zip(texts, before["hits"], before["items"], strict=True):
+            for t in texts:
                 cut = words(t)
                 ranges, of = search(cut, index.value)
-                if hits is not None and len(hits):
-                    ranges = merged([*zip(hits[::2], hits[1::2], strict=True), *ranges])
-                if known is not None:
-                    of |= set(known)
                 rows.append((len(cut), [int(x) for r in ranges for x in r], sorted(of)))
             yield pd.DataFrame(rows, columns=["n_words", "hits", "items"])
 
     return run
 
 
+def _name(shingle: bytes) -> int:
+    return xxh3_64_intdigest(shingle) - (1 << 63)
+
+
+def _windows(parts: DataFrame) -> DataFrame:
+    """``window, size, names``: the distinct windows of the benchmark and the names of
+    their shingles, in order."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(b" ".join(w).decode(), len(w), [_name(s) for s in shingles_of(w)]) for t in batch["words"] for w in windows_of(t.encode().split())]
+            yield pd.DataFrame(rows, columns=["window", "size", "names"])
+
+    return parts.mapInPandas(run, "window string, size int, names array<bigint>").dropDuplicates(["window"])
+
+
+def _items_of(parts: DataFrame) -> DataFrame:
+    """``window, item`` of every window of the benchmark."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(b" ".join(w).decode(), i) for i, t in zip(batch["item"], batch["words"], strict=True) for w in windows_of(t.encode().split())]
+            yield pd.DataFrame(rows, columns=["window", "item"])
+
+    return parts.where("item IS NOT NULL").mapInPandas(run, "window string, item string").distinct()
+
+
+def _bitmap(names: DataFrame) -> np.ndarray:
+    """A bit for each place that a name (column name) falls on."""
+    place = (F.col("name").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1)) + 1).alias("place")  # Spark counts them from 1
+    rows = names.select(place).groupBy(F.bitmap_bucket_number("place").alias("row")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
+    for r in rows.collect():  # at most 8,192 rows of 4 KB
+        start = (r["row"] - 1) * BITMAP_ROW // 8
+        out[start : start + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def _shingles_met(docs: DataFrame, bitmap: np.ndarray, sizes: list[int], places: bool) -> DataFrame:
+    """Shingles (of ``sizes`` words) of the texts that fall on the bitmap: ``name``, once a
+    text; or ``key, at, before, around, name`` of every place, with the words round it."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = shared.value
+        for batch in batches:
+            rows: list[tuple] = []
+            for key, text in zip(batch["key"], batch["text"], strict=True):
+                cut, seen = words(text), set()
+                for k in sizes:
+                    if len(cut) < k:
+                        continue
+                    names = np.array([_name(b" ".join(cut[i : i + k])) for i in range(len(cut) - k + 1)], np.int64)
+                    on = names & ((1 << BITMAP_BITS) - 1)
+                    for i in np.flatnonzero(bits[on >> 3] >> (on & 7).astype(np.uint8) & 1).tolist():
+                        if places:
+                            first = max(0, i - WINDOW + 1)
+                            rows.append((key, i, i - first, b" ".join(cut[first : i + WINDOW]).decode("utf-8", "replace"), int(names[i])))
+                        else:
+                            seen.add(int(names[i]))
+                if not places:
+                    rows += [(x,) for x in seen]
+            yield pd.DataFrame(rows, columns=["key", "at", "before", "around", "name"] if places else ["name"])
+
+    schema = "key string, at bigint, before int, around string, name bigint" if places else "name bigint"
+    return docs.mapInPandas(run, schema)
+
+
+def joined(docs: DataFrame, parts: DataFrame, text: str) -> DataFrame:
+    """``key, hits, items`` of the texts in which a window occurs (``key``: the text's SHA-256)."""
+    texts = docs.select(F.sha2(F.col(text), 256).alias("key"), F.col(text).alias("text")).where("text IS NOT NULL")
+    windows = stored(_windows(parts), "benchmark-windows")
+    sizes = sorted(r["k"] for r in windows.select(F.least("size", F.lit(SHINGLE)).alias("k")).distinct().collect())
+    shingles = windows.select("window", "size", F.posexplode("names").alias("offset", "name"))
+    met = _shingles_met(texts, _bitmap(shingles), sizes, places=False)
+    counts = met.groupBy("name").agg(F.count("*").alias("n")).join(shingles.select("name").distinct(), "name")
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "name", "offset")).alias("rarest")
+    prefixes = shingles.join(counts, "name", "left").groupBy("window", "size").agg(rarest)
+    prefixes = stored(prefixes.select("window", "size", F.col("rarest.name").alias("name"), F.col("rarest.offset").alias("offset")), "benchmark-prefixes")
+    found = _shingles_met(texts, _bitmap(prefixes), sizes, places=True).join(prefixes, "name")
+    begin = F.col("before") - F.col("offset")
+    there = F.array_join(F.slice(F.split("around", " "), F.greatest(begin, F.lit(0)) + 1, F.col("size")), " ")
+    found = found.where((begin >= 0) & (there == F.col("window"))).select("key", (F.col("at") - F.col("offset")).alias("start"), "size", "window").distinct()
+    found = stored(found, "benchmark-found")
+
+    def united(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in rows:
+            yield pd.Series([[int(x) for r in merged([(s["start"], s["start"] + s["size"]) for s in ranges]) for x in r] for ranges in batch])
+
+    ranges = found.groupBy("key").agg(F.collect_set(F.struct("start", "size")).alias("ranges"))  # of one text
+    items = found.select("key", "window").distinct().join(_items_of(parts), "window").groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return ranges.join(items, "key", "left").select("key", F.pandas_udf(united, "array<bigint>")("ranges").alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def n_words(text: Column) -> Column:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([len(words(t)) for t in batch])
+
+    return F.pandas_udf(run, "bigint")(text)
+
+
 def find_windows(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -206,11 +301,25 @@ def find_windows(
     with the same item id are one item.  All rows and columns of ``docs`` stay
     (a column ``found`` is replaced); empty tables are fine on either side.
     """
-    out = docs.withColumn(found, F.lit(None).cast(StructType.fromDDL(FOUND)))
-    for items in blocks(benchmark, item_key, item_text, block_words):
+    parts = stored(segments(benchmark, item_key, item_text).distinct(), "benchmark-words")
+    if (parts.agg(F.sum("n")).first()[0] or 0) <= block_words:
+        items = [(r["item"], r["words"]) for r in parts.select("item", "words").collect()]
         index = docs.sparkSession.sparkContext.broadcast(build(items, rarity(docs, text, items)))
-        out = out.withColumn(found, F.pandas_udf(searcher(index), FOUND)(F.col(text), F.col(found)))
-    return out
+        return docs.withColumn(found, F.pandas_udf(searcher(index), FOUND)(F.col(text)))
+    hits = stored(joined(docs, parts, text), "benchmark-hits")
+    hits = F.broadcast(hits) if hits.count() <= BROADCAST_ROWS else hits
+    own, keep = "_text_key", [c for c in docs.columns if c.lower() != found.lower()]
+    while own in map(str.lower, docs.columns):
+        own += "_"
+    hits = hits.select(F.col("key").alias(own), F.struct("hits", "items").alias(f"{own}hits"))
+    out = docs.withColumn(own, F.sha2(F.col(text), 256)).join(hits, own, "left")
+    none = F.array().cast("array<bigint>"), F.array().cast("array<string>")
+    value = F.struct(
+        n_words(F.col(text)).alias("n_words"),
+        F.coalesce(F.col(f"{own}hits")["hits"], none[0]).alias("hits"),
+        F.coalesce(F.col(f"{own}hits")["items"], none[1]).alias("items"),
+    )
+    return out.select(*keep, value.alias(found))
 
 
 def n_hit(found: Column) -> Column:

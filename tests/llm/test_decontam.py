@@ -1,5 +1,6 @@
 """Decontamination against brute force over all windows, in one block and in many."""
 
+import functools
 import hashlib
 import random
 import re
@@ -31,7 +32,7 @@ def brute(docs, items):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40])
+@pytest.mark.parametrize("block_words", [decontam.BLOCK_WORDS, 40, 39])
 def test_equals_brute_force(spark, monkeypatch, make_docs, block_words):
     rnd = random.Random(5)
     text = lambda n: " ".join(rnd.choice(["a", "B", "the", "Größe", "x1", "日本"]) + rnd.choice(["", ",", "\n"]) for _ in range(n))
@@ -39,8 +40,8 @@ def test_equals_brute_force(spark, monkeypatch, make_docs, block_words):
     docs = [(i, text(rnd.randint(0, 60))) for i in range(60)]
     docs += [(100 + k, f"{text(5)} {t.upper()} {text(4)} {t}") for k, (_, t) in enumerate(items) if t] + [(7, "again"), (None, items[0][1]), (8, None), (9, "")]
     docs += [(200, text(20_000))]
-    real = decontam.blocks
-    monkeypatch.setattr(decontam, "blocks", lambda b, k, t, n: real(b, k, t, block_words))
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 1_000_000 if block_words == 40 else 5)
+    monkeypatch.setattr(decontam, "find_windows", functools.partial(decontam.find_windows, block_words=block_words))
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
     got = [tuple(r) for r in decontam.digests(make_docs([(i, t, "en") for i, t in docs]), benchmark).collect()]
     assert sorted(got, key=str) == brute(docs, items)
@@ -64,9 +65,24 @@ def test_long_items_are_cut_into_overlapping_segments(spark, monkeypatch):
     assert sorted((r["doc_id"], r["n_hit"]) for r in decontam.digests(docs, benchmark).collect()) == [(1, 22), (2, 45_000)]
 
 
-def test_copies_of_a_benchmark_row_are_dealt_once(spark):
-    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(200)] + [(7, " ".join(f"w7x{k}" for k in range(20)))] * 100 + [(None, "a b c")] * 50
+def test_copies_of_a_benchmark_row_count_once(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(50)] + [(7, " ".join(f"w7x{k}" for k in range(20)))] * 100 + [(None, "a b c")] * 50
     benchmark = spark.createDataFrame(rows, "item_id bigint, text string")
-    found = list(decontam.blocks(benchmark, "item_id", "text", 400))
-    assert sorted((x for block in found for x in block), key=str) == sorted({(None if i is None else str(i), t) for i, t in rows}, key=str)
-    assert max(sum(len(t.split()) for _, t in block) for block in found) < 1_000 and len(found) == 11
+    docs = [(i, f"{t} a b c {t}") for i, t in rows[::7]]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for block_words in (1_003, 1_002):  # as many as there are without copies, and one less
+        found = decontam.find_windows(table, benchmark, block_words=block_words)
+        got = sorted(((r["doc_id"], r["found"]["n_words"], r["found"]["hits"], r["found"]["items"]) for r in found.collect()), key=str)
+        assert got == sorted(((i, len(t.split()), [0, len(t.split())], [] if i is None else [str(i)]) for i, t in docs), key=str)
+
+
+def test_documents_are_read_as_often_however_large_the_benchmark(spark, monkeypatch):
+    read = []
+    real = decontam._shingles_met
+    monkeypatch.setattr(decontam, "_shingles_met", lambda *a, **k: read.append(1) or real(*a, **k))
+    table = spark.createDataFrame([(1, " ".join(f"w3x{k}" for k in range(20)), "x", "x")], "doc_id bigint, text string, _text_key string, name string")
+    for n in (10, 100):
+        benchmark = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(n)], "item_id bigint, text string")
+        out = decontam.find_windows(table, benchmark, block_words=50)
+        assert out.columns == [*table.columns, "found"] and out.first()["found"]["hits"] == [0, 20]
+    assert len(read) == 4
