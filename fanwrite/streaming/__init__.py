@@ -1,5 +1,5 @@
 """Structured Streaming fan-out."""
 
-from fanwrite.streaming.runner import FanoutJob, run_until_done, stop_after_batches
+from fanwrite.streaming.runner import FanoutJob, run_until_done
 
-__all__ = ["FanoutJob", "run_until_done", "stop_after_batches"]
+__all__ = ["FanoutJob", "run_until_done"]

@@ -223,14 +223,3 @@ def run_until_done(query: StreamingQuery, timeout_seconds: float | None = None)
     if query.exception() is not None:
         raise query.exception()
     return query
-
-
-def stop_after_batches(query: StreamingQuery, job: FanoutJob, batches: int, timeout_seconds: float = 600, poll: float = 0.2) -> int:
-    """Stop a running query once ``job`` has completed ``batches`` more
-    micro-batches (a controlled interruption, as a failed driver would be)."""
-    before = job.batches
-    deadline = time.monotonic() + timeout_seconds
-    while time.monotonic() < deadline and query.isActive and job.batches - before < batches:
-        time.sleep(poll)
-    query.stop()
-    return job.batches - before

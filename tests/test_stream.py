@@ -1,6 +1,7 @@
 """Streaming fan-out: stream = batch, failure and restart, parallel sinks, guards."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,17 @@ class FlakySink:
         return self.inner.stats(df, seconds)
 
 
+def stop_after_batches(query, job, batches, timeout_seconds=600, poll=0.2):
+    """Stop a running query once ``job`` has completed ``batches`` more
+    micro-batches (a controlled interruption, as a failed driver would be)."""
+    before = job.batches
+    deadline = time.monotonic() + timeout_seconds
+    while time.monotonic() < deadline and query.isActive and job.batches - before < batches:
+        time.sleep(poll)
+    query.stop()
+    return job.batches - before
+
+
 def batch_cells(spark, sf_small, opts):
     ev = events_from_table(read_table(spark, sf_small, "events")).filter(F.col("event")["evt"] != "error")
     return rows_of(blob_cells(prepare(ev, opts)).select(*CELLS))
@@ -164,8 +176,6 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
 
 
 def test_stop_while_running_then_resume(spark, sf_small, scratch, log):
-    from fanwrite.streaming import stop_after_batches
-
     opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True)
     job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)], rejects=RejectSink(scratch + "/rejects"))
     running = job.start(message_log_stream(spark, log, max_files_per_trigger=1), scratch + "/ckpt", trigger={"processingTime": "0 seconds"})
