@@ -3,12 +3,15 @@
     python -m fanwrite stream -sendToHbase -sendToES -parallel -duration=10 \\
         --kafka broker:9092 --topic events --root <shared folder>
     python -m fanwrite stream -sendToHbase --log <message log folder> --root <folder> --available-now
+    python -m fanwrite stream -sendToHbase --offset-log <folder> --root <folder> --source-option maxOffsetsPerTrigger=1000000 --without-repeats "1 hour"
     python -m fanwrite bulk --csv <events.csv> --root <folder> [-singleTable] [--layout wide] [--load-id 3 --replace]
 
 The job flags are the ones ``FanoutOptions.from_flags`` knows; the rest
 names the source, its options (``--source-option startingOffsets=earliest``,
 repeated as needed) and the output root.  Outputs go to ``<root>/cells``, ``<root>/index``, ``<root>/rejects``,
-``<root>/stats`` and the checkpoint to ``<root>/_checkpoint``.
+``<root>/stats``, a record of every batch's progress to ``<root>/progress`` and the
+checkpoint to ``<root>/_checkpoint``.  ``--mixed-headers`` reads a CSV folder whose
+files have headers of their own.
 """
 
 from __future__ import annotations
@@ -36,9 +39,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--kafka", help="bootstrap servers (stream)")
     p.add_argument("--topic", default="events", help="topic list (stream)")
     p.add_argument("--log", help="message log folder instead of Kafka (stream)")
+    p.add_argument("--offset-log", help="message log read by offsets of each partition (stream)")
+    p.add_argument("--without-repeats", metavar="INTERVAL", help="leave out messages repeated within so much event time (stream)")
     p.add_argument("--available-now", action="store_true", help="drain what is there and stop (stream)")
     p.add_argument("--timeout", type=float, default=None, help="stop after this many seconds (stream)")
     p.add_argument("--csv", help="CSV event file or folder (bulk)")
+    p.add_argument("--mixed-headers", action="store_true", help="every CSV file has a header of its own (bulk)")
     p.add_argument("--parquet", help="parquet table with an 'event' map column (bulk)")
     p.add_argument("--layout", choices=("blob", "wide"), default=None)
     p.add_argument("--source-option", action="append", default=[], metavar="KEY=VALUE", help="option of the source (stream)")
@@ -59,10 +65,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "bulk":
         from fanwrite.plans.bulk import bulk_load
         from fanwrite.sinks import RejectSink
-        from fanwrite.sources.csv_events import read_csv_events
+        from fanwrite.sources.csv_events import read_csv_events, read_mixed_csv_events
 
         if args.csv:
-            events = read_csv_events(spark, args.csv)
+            events = (read_mixed_csv_events if args.mixed_headers else read_csv_events)(spark, args.csv)
         elif args.parquet:
             events = spark.read.parquet(args.parquet)
         else:
@@ -71,9 +77,12 @@ def main(argv: list[str] | None = None) -> int:
         print(f"load {report.load_id}: {report.events} events as {report.cells} cells, {report.rejects} rejects in {report.seconds:.1f} s")
         return 0
 
+    from fanwrite.operators.repeats import without_repeats
     from fanwrite.sinks import IndexSink, RejectSink, StatsSink, TableSink
     from fanwrite.sources.messages import kafka_stream, message_log_stream
+    from fanwrite.sources.offset_log import offset_log_stream
     from fanwrite.streaming import FanoutJob
+    from fanwrite.streaming.progress import ProgressLog
 
     sinks = []
     if opts.send_to_table:
@@ -84,15 +93,23 @@ def main(argv: list[str] | None = None) -> int:
     options = dict(o.split("=", 1) for o in args.source_option)
     if args.log:
         messages = message_log_stream(spark, args.log, **options)
+    elif args.offset_log:
+        messages = offset_log_stream(spark, args.offset_log, **({"checkpoint": f"{root}/_checkpoint"} | options))
     elif args.kafka:
         messages = kafka_stream(spark, args.kafka, args.topic, **options)
     else:
-        raise SystemExit("stream needs --kafka or --log")
+        raise SystemExit("stream needs --kafka, --log or --offset-log")
+    if args.without_repeats:
+        messages = without_repeats(messages, args.without_repeats)
     trigger = {"availableNow": True} if args.available_now else None
-    query = job.start(messages, f"{root}/_checkpoint", trigger=trigger, query_name="fanwrite")
-    query.awaitTermination(args.timeout)
-    if query.isActive:
-        query.stop()
+    progress = ProgressLog(spark, f"{root}/progress").start()
+    try:
+        query = job.start(messages, f"{root}/_checkpoint", trigger=trigger, query_name="fanwrite")
+        query.awaitTermination(args.timeout)
+        if query.isActive:
+            query.stop()
+    finally:
+        progress.stop()
     if query.exception() is not None:
         raise query.exception()
     return 0

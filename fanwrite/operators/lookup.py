@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,7 @@ def lookup_enrichment(
     order_by: Column | str | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
+    cached: bool = False,
 ) -> Enrich:
     """A hook that puts ``fields`` (field code -> column of ``table``) into the events
     whose field ``on`` equals ``key``.
@@ -58,10 +60,14 @@ def lookup_enrichment(
     An event without a match, or without the field, stays as it is; a NULL event
     (a reject) stays NULL.  No event is lost or repeated, whatever the table
     holds (see :func:`one_per_key` for repeated keys).
+
+    ``cached``: the reduced table is kept by the executors, so that a stream's batches
+    don't read it anew; a later change of the table is not seen then.
     """
     by = F.col(key) if isinstance(key, str) else key
     order = F.col(order_by) if isinstance(order_by, str) else order_by
     rows = one_per_key(table, by, fields, order)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK) if cached else rows
     lookup = F.broadcast(rows) if is_small(rows, max_rows, max_bytes) else rows
 
     def enrich(events: DataFrame) -> DataFrame:

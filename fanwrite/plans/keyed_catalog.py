@@ -137,11 +137,11 @@ def q_stream_offsets_resume(spark, sf_dir):
 # ---------------------------------------------------------------- lookups
 
 
-def _customers(spark, sf_dir):
+def _customers(spark, sf_dir, cached=False):
     # Two customers a key, the later one counts; users past the last key have none.
     customers = read_table(spark, sf_dir, "customer")
     return lookup_enrichment(
-        customers, F.floor(F.col("c_custkey") / 2), on="sun", fields={"seg": "c_mktsegment", "cn": "c_name"}, order_by="c_custkey"
+        customers, F.floor(F.col("c_custkey") / 2), on="sun", fields={"seg": "c_mktsegment", "cn": "c_name"}, order_by="c_custkey", cached=cached
     )
 
 
@@ -153,7 +153,7 @@ def q_lookup_enrich_stream(spark, sf_dir):
     opts = _opts(send_to_table=True, layout="wide")
     work = scratch_dir(spark, "lookup")
     write_message_log(_messages(spark, sf_dir), work + "/log")
-    job = FanoutJob(opts, [TableSink(work + "/cells", opts)], rejects=RejectSink(work + "/rejects"), enrich=_customers(spark, sf_dir))
+    job = FanoutJob(opts, [TableSink(work + "/cells", opts)], rejects=RejectSink(work + "/rejects"), enrich=_customers(spark, sf_dir, cached=True))
     run_until_done(job.start(message_log_stream(spark, work + "/log"), work + "/_checkpoint", trigger=AVAILABLE))
     return read_cells(spark, work + "/cells").select(*CELLS)
 

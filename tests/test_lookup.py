@@ -73,6 +73,13 @@ def test_empty_table_changes_nothing(spark, events, table):
     assert {r["event_id"]: r["event"] for r in out.collect()} == dict(EVENTS)
 
 
+def test_cached_lookup_is_read_once(spark, events, table, scratch):
+    table.write.parquet(scratch + "/t")
+    enrich = hook(spark.read.parquet(scratch + "/t"), cached=True)
+    assert {r["event_id"]: r["event"] for r in events.transform(enrich).collect()} == WANT
+    assert "InMemoryTableScan" in events.transform(enrich)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_as_the_hook_of_a_job(spark, events, table):
     out = prepare(events, FanoutOptions(row_key="blob", tenant_field="seg"), enrich=hook(table))
     assert {r["event_id"]: r["table_name"] for r in out.collect() if r["event"] is not None} == {

@@ -175,6 +175,30 @@ def test_command_line_stream_and_bulk(spark, sf_small, scratch, log):
         main(["bulk", "--csv", csv])  # an output root must be named
 
 
+def test_command_line_of_offset_logs_and_mixed_headers(spark, sf_small, scratch):
+    from fanwrite.__main__ import main
+    from fanwrite.sources.offset_log import write_offset_log
+    from fanwrite.streaming.progress import read_progress
+
+    messages = messages_from_events(events_from_table(read_table(spark, sf_small, "events")), partitions=2)
+    write_offset_log(messages.union(messages.where("offset % 10 = 0").withColumn("offset", F.col("offset") + 5000)), scratch + "/log")
+    args = ["stream", "-singleTable", "-sendToHbase", "-sendToES", "--offset-log", scratch + "/log", "--root", scratch + "/s", "--available-now"]
+    assert main([*args, "--source-option", "maxOffsetsPerTrigger=500"]) == 0
+    first = read_progress(spark, scratch + "/s/progress").collect()
+    assert len(first) == 1 and 0 < first[0]["input_rows"] <= 500
+    assert main(args) == 0
+    assert sum(r["input_rows"] for r in read_progress(spark, scratch + "/s/progress").collect()) == 1100
+    assert read_cells(spark, scratch + "/s/cells").count() == 1100
+    assert main([*args[:-2], scratch + "/r", "--available-now", "--without-repeats", "60 days"]) == 0
+    assert read_cells(spark, scratch + "/r/cells").count() == 1100  # another offset is another message
+    os.makedirs(scratch + "/csv")
+    for name, text in (("a", "E(id),T(rv39)\n1,x\n"), ("b", "T(rv39),E(id)\ny,2\n")):
+        with open(f"{scratch}/csv/{name}.csv", "w") as f:
+            f.write(text)
+    assert main(["bulk", "--csv", scratch + "/csv", "--mixed-headers", "--root", scratch + "/b"]) == 0
+    assert sorted(r["table_name"] for r in read_cells(spark, scratch + "/b/cells").collect()) == ["events-x", "events-y"]
+
+
 def test_stop_while_running_then_resume(spark, sf_small, scratch, log):
     opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True)
     job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)], rejects=RejectSink(scratch + "/rejects"))
