@@ -23,6 +23,12 @@ NOTES = {
     "decode_events": "from_json once, in a one-row generator; the good-row filter sits above it",
     "table_sink_write": "per-tenant write: REBALANCE on table_name before the explode (AQE sizes files, splits hot tenants)",
     "index_latest": "latest wins: partial max_by per task before the shuffle on doc_id, final max_by after",
+    "index_bucketed_latest": "the same from hash buckets: no exchange, the scan's own partitioning is used",
+    "index_bucketed_point": "one document: one bucket of the scan (SelectedBucketsCount)",
+    "sorted_row": "one row key: the folders of its key range (PartitionFilters), then row groups by PushedFilters and bloom filters",
+    "tenant_set_cells": "a set of tenants: dynamic pruning of the table folders by a broadcast whose size was checked",
+    "lookup_enrich": "the lookup table reduced to one row a key, broadcast after a count of rows and bytes",
+    "csv_mixed_headers": "each line joined to its own file's header codes by `_metadata.file_path`",
     "stream_batch": "one micro-batch as FanoutJob caches it: decode (generator), prepare, one REBALANCE on table_name; "
     "every sink reads this cache",
 }
@@ -47,6 +53,19 @@ def main() -> None:
     IndexSink(root, opts, order_by=("ts", "event_id")).write(c._prepared(spark, sf_dir, opts), 0)
     frames["index_latest"] = read_latest(spark, root)
 
+    from fanwrite.plans import keyed_catalog as k
+    from fanwrite.sinks.bucketed_index import BucketedIndexSink, read_latest_bucketed
+    from fanwrite.sinks.sorted_table import read_row, read_sorted_cells
+
+    buckets = scratch_dir(spark, "plans-buckets")
+    BucketedIndexSink(buckets, opts, "plans_index", buckets=16, order_by=("ts", "event_id")).write(c._prepared(spark, sf_dir, opts), 0)
+    frames["index_bucketed_latest"] = read_latest_bucketed(spark, buckets, "plans_index")
+    frames["index_bucketed_point"] = read_latest_bucketed(spark, buckets, "plans_index", doc_id="7")
+    cells = k._sorted_cells(spark, sf_dir)
+    frames["sorted_row"] = read_row(spark, cells, read_sorted_cells(spark, cells).first()["row_key"])
+    for name in ("tenant_set_cells", "lookup_enrich", "csv_mixed_headers"):
+        frames[name] = k.QUERIES[name](spark, sf_dir)
+
     from pyspark.sql import functions as F
 
     from fanwrite.sources.messages import message_log
