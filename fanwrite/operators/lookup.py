@@ -68,16 +68,18 @@ def lookup_enrichment(
     order = F.col(order_by) if isinstance(order_by, str) else order_by
     rows = one_per_key(table, by, fields, order)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK) if cached else rows
-    lookup = F.broadcast(rows) if is_small(rows, max_rows, max_bytes) else rows
+    small = is_small(rows, max_rows, max_bytes)
+    named = rows.withColumnsRenamed({"lookup_key": "_lookup_key", "looked_up": "_looked_up"})
+    lookup = F.broadcast(named) if small else named
 
     def enrich(events: DataFrame) -> DataFrame:
-        event, found = F.col("event"), F.col("looked_up")
-        joined = events.join(lookup, get_field("event", on) == F.col("lookup_key"), "left")
+        event, found = F.col("event"), F.col("_looked_up")
+        joined = events.join(lookup, get_field("event", on) == F.col("_lookup_key"), "left")
         present = [(code, found[code].isNotNull() & (found[code] != F.lit(""))) for code in fields]
         added = F.map_filter(F.create_map(*(x for code in fields for x in (F.lit(code), found[code]))), lambda k, v: v.isNotNull() & (v != F.lit("")))
         replaced = F.array(*(F.when(there, F.lit(code)) for code, there in present))
         kept = F.map_filter(event, lambda k, v: ~F.coalesce(F.array_contains(replaced, k), F.lit(False)))
         put = F.when(event.isNotNull() & found.isNotNull(), F.map_concat(kept, added)).otherwise(event)
-        return joined.withColumn("event", put).drop("lookup_key", "looked_up")
+        return joined.withColumn("event", put).drop("_lookup_key", "_looked_up")
 
     return enrich

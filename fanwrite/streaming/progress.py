@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from fanwrite.sinks.fs import list_names, write_text
 
+WAIT_MS = 60_000
+
 SCHEMA = (
     "query_id string, run_id string, query_name string, batch_id bigint, started string, input_rows bigint, input_rows_per_second double, "
     "processed_rows_per_second double, batch_ms bigint, durations_ms map<string,bigint>, rows_late bigint, state_rows bigint, state_bytes bigint"
@@ -38,7 +40,7 @@ class ProgressLog(StreamingQueryListener):
 
     def stop(self) -> None:
         """Events reach listeners after the batch is through: those on their way are awaited."""
-        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(WAIT_MS)
         self.spark.streams.removeListener(self)
 
     def onQueryStarted(self, event) -> None:
