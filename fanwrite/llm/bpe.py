@@ -4,8 +4,8 @@ A text is cut at the added tokens' strings, then by the tokenizer's pattern
 into pieces.  In a piece the symbols (at first one per UTF-8 byte) form a
 doubly linked list; adjacent pairs that can merge wait in a priority queue
 ordered by (rank, position).  An entry whose symbols have changed since it
-was queued is stale and skipped.  Pieces repeat a lot, so each task keeps a
-bounded memory of those it has encoded.
+was queued is stale and skipped.  Pieces repeat a lot, so each Python worker keeps a
+bounded memory of those it has encoded, from one task to the next.
 
 The vocabulary file is read once on the driver (its path is a parameter) and
 broadcast; its size is that of the file, whatever the data.
@@ -13,6 +13,7 @@ broadcast; its size is that of the file, whatever the data.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 ASCII_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 
-REMEMBERED_PIECES = 200_000
+REMEMBERED_PIECES = 150_000  # of the last ones, and as many at most of those before
 REMEMBERED_LENGTH = 64
 ROWS = 500  # texts whose tokens are held at once
 
@@ -74,6 +75,7 @@ class ByteBPE:
         self.pieces = regex.compile(PIECES)
         self.ascii_pieces = re.compile(ASCII_PIECES, re.ASCII)
         self.known: dict[str, list[int]] = {}
+        self.before: dict[str, list[int]] = {}
 
     def merge(self, piece: str) -> list[int]:
         """Token ids of one piece."""
@@ -108,14 +110,15 @@ class ByteBPE:
         return [t for t in ids if t >= 0]
 
     def _encode_plain(self, text: str, out: list[int]) -> None:
-        known = self.known
+        known, before = self.known, self.before
         for piece in (self.ascii_pieces if text.isascii() else self.pieces).findall(text):
             ids = known.get(piece)
             if ids is None:
-                ids = self.merge(piece)
+                ids = before.get(piece) or self.merge(piece)
                 if len(piece) <= REMEMBERED_LENGTH:
                     if len(known) >= REMEMBERED_PIECES:
-                        known.clear()
+                        known, before = {}, known
+                        self.known, self.before = known, before
                     known[piece] = ids
             out += ids
 
@@ -137,6 +140,12 @@ class ByteBPE:
         return b"".join([strings.get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
+@functools.lru_cache(maxsize=2)
+def loaded(spec: str) -> ByteBPE:
+    """One for all tasks of a Python worker."""
+    return ByteBPE(spec)
+
+
 def _shared(df: DataFrame, path: str) -> Broadcast[str]:
     with open(path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
@@ -163,7 +172,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decod
     fields = [*kept, T.StructField(ids, T.ArrayType(T.IntegerType())), *(T.StructField(c, T.StringType()) for c in added[1:])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(spec.value)
+        bpe = loaded(spec.value)
         for batch in _by_rows(batches):
             ends, flat, texts = [0], array("i"), []
             for t in batch.column(text):
@@ -190,7 +199,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(spec.value)
+        bpe = loaded(spec.value)
         for batch in _by_rows(batches):
             texts = [bpe.decode(v.as_py() or []) for v in batch.column(ids)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, text])

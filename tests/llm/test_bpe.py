@@ -38,3 +38,14 @@ def test_edge_rows(make_docs, no_docs):
     got = {(r["doc_id"], r["text"]): (len(r["ids"]), r["decoded"]) for r in coded.collect()}
     assert got[1, None] == (0, "") and got[2, ""] == (0, "") and got[3, long][1] == long and got[4, "a b"] == got[None, "a b"] == (2, "a b")
     assert bpe.digests(docs, PATH).count() == 6 and bpe.digests(no_docs, PATH).count() == 0
+
+
+def test_a_full_memory_changes_nothing(monkeypatch):
+    spec = open(PATH, encoding="utf-8").read()
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choices("abcdeé", k=rnd.randint(1, 5))) for _ in range(50)) for _ in range(200)]
+    want = [bpe.ByteBPE(spec).encode(t) for t in texts]
+    monkeypatch.setattr(bpe, "REMEMBERED_PIECES", 40)
+    own = bpe.loaded(spec)
+    assert [own.encode(t) for t in texts] == want and len(own.known) <= 40 and len(own.before) == 40
+    assert bpe.loaded(open(PATH, encoding="utf-8").read()) is own
