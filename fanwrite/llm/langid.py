@@ -59,7 +59,16 @@ class Letters:
     def bound(self, triples_: np.ndarray) -> np.ndarray:
         """The vectors of triples."""
         places = [triples_ >> 2 * CODE_BITS, triples_ >> CODE_BITS & (1 << CODE_BITS) - 1, triples_ & (1 << CODE_BITS) - 1]
-        codes = np.unique(np.concatenate(places))
+        rows = [self.rows[codes] for codes in places]
+        if min(r.min() for r in rows) < 0:
+            self._draw(np.unique(np.concatenate(places)))
+            rows = [self.rows[codes] for codes in places]
+        out = self.vectors[0][rows[0]]
+        out *= self.vectors[1][rows[1]]
+        out *= self.vectors[2][rows[2]]
+        return out
+
+    def _draw(self, codes: np.ndarray) -> None:
         if self.n + int((self.rows[codes] < 0).sum()) > LETTERS:
             self.rows.fill(-1)
             self.n = 0
@@ -69,8 +78,6 @@ class Letters:
                 self.vectors[place, self.n] = np.roll(vector, turn)
             self.rows[c] = self.n
             self.n += 1
-        first, second, third = (self.vectors[k][self.rows[codes]] for k, codes in enumerate(places))
-        return first * second * third
 
 
 letters = functools.cache(Letters)
