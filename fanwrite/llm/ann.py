@@ -195,6 +195,7 @@ def search(
     ``nearest`` rows of ``df`` that were found, by inner product in double
     precision, ties to the smaller id, the row of the query's own id left out;
     ``candidates`` is how many different vectors it was compared with in the end.
+    With ``start=math.inf`` every query is compared with all rows: the exact way.
 
     Rows whose id or vector is null, and vectors that are zero or hold null or
     non-finite components, take no part on either side.  A product too large for a
