@@ -26,7 +26,7 @@ from fanwrite.sinks.table_sink import TableSink, read_cells, read_cells_of_tenan
 from fanwrite.sources.csv_events import read_mixed_csv_events, write_csv_events
 from fanwrite.sources.messages import message_log_stream, messages_from_events, write_message_log
 from fanwrite.sources.offset_log import offset_log_stream, write_offset_log
-from fanwrite.sources.tables import raw_events_from_table, read_table
+from fanwrite.sources.tables import lifted, raw_events_from_table, read_table
 from fanwrite.streaming.index_state import IndexChanges
 from fanwrite.streaming.progress import ProgressLog, read_progress
 from fanwrite.streaming.runner import FanoutJob, run_until_done
@@ -179,12 +179,13 @@ def q_sorted_key_lookup(spark, sf_dir):
 
 
 def q_tenant_set_cells(spark, sf_dir):
-    # The tables of the tenants that one user has events of.
+    # The tables of the tenants that the events of the greatest value are of.
     opts = _opts(layout="blob")
     root = scratch_dir(spark, "tenant-set")
-    prepared = _prepared(spark, sf_dir, opts)
-    TableSink(root, opts).write(prepared, 0)
-    tenants = _events(spark, sf_dir).filter(F.col("event")["sun"] == "1").select(F.col("rv39").alias("tenant"))
+    TableSink(root, opts).write(_prepared(spark, sf_dir, opts), 0)
+    events = _table(spark, sf_dir)
+    greatest = events.agg(F.max("value")).first()[0]
+    tenants = events.filter(F.col("value") == F.lit(greatest)).select(lifted("rv39").alias("tenant"))
     return read_cells_of_tenants(spark, root, tenants, opts).select(*CELLS)
 
 
@@ -263,7 +264,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "tenant_set_cells": _with(
         f"SELECT {TABLE} AS table_name, {ROW_KEY} AS row_key, 'evt' AS family, 'data' AS qualifier, {BLOB} AS value FROM b\n"
-        f"WHERE {TABLE} IN (SELECT {TABLE} FROM b WHERE user_id = 1)"
+        f"WHERE {TABLE} IN (SELECT {TABLE} FROM b WHERE sev = (SELECT CAST(max(value) AS VARCHAR) FROM events))"
     ),
     "stream_progress": f"SELECT event_id % {ARRIVALS} AS batch_id, count(*) AS input_rows FROM events GROUP BY 1",
     "tenant_sketches": _with("SELECT count(DISTINCT rv39) AS distinct_values, count(*) AS row_count FROM b"),
