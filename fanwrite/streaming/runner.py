@@ -26,8 +26,9 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -47,6 +48,28 @@ from fanwrite.sources.messages import POSITION_COLUMNS
 
 log = logging.getLogger("fanwrite")
 
+# What a batch's REBALANCE needs to be sized at run time.  By default a cached
+# plan keeps its shuffle's own partitions: one task for each table, however
+# large.  A rebalanced task holds few tables: it keeps a file open for each
+# instead of sorting its cells by table (tables beyond that number are sorted).
+BATCH_CONF = {
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
+}
+
+
+@contextmanager
+def batch_conf(spark: SparkSession) -> Iterator[None]:
+    """``BATCH_CONF`` set on the batch's session (a stream has its own), and put back."""
+    before = {k: spark.conf.get(k) for k in BATCH_CONF}
+    try:
+        for k, v in BATCH_CONF.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
 
 class FanoutJob:
     """The per-batch work of a fan-out stream (usable on a static batch too)."""
@@ -129,6 +152,10 @@ class FanoutJob:
         return {s.name: seconds for s, (seconds, _) in zip(self.sinks, results)}, wrote
 
     def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        with batch_conf(batch.sparkSession):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
         prepared = self.prepared(spread(batch, self.min_partitions))
         if self.balance:

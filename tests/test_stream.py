@@ -304,3 +304,27 @@ def test_event_field_named_like_a_message_column_is_read_from_the_event(spark):
     msgs = spark.createDataFrame([(b"k", b'{"id":"1","topic":"fromevent","key":"x"}', "t", 0, 0, None)], MESSAGES)
     for field, table in (("topic", "events-fromevent"), ("key", "events-x"), ("partition", "unrouted")):
         assert prepare(decode_messages(msgs), FanoutOptions(tenant_field=field)).first()["table_name"] == table
+
+
+def test_a_streams_cached_batch_is_split_within_a_table(spark, scratch):
+    # One table holds all rows; the rebalance before the cache must not leave it to one task.
+    ids = spark.range(0, 40000, 1, 8)
+    event = F.create_map(F.lit("id"), F.col("id").cast("string"), F.lit("rv39"), F.lit("only"), F.lit("p"), F.sha2(F.col("id").cast("string"), 256))
+    events = ids.select(F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), event.alias("event"))
+    log = write_message_log(messages_from_events(events), scratch + "/log", 8)
+    opts = FanoutOptions(row_key="id", send_to_table=True, send_to_index=True, layout="blob")
+    job = FanoutJob(opts, [TableSink(scratch + "/cells", opts), IndexSink(scratch + "/index", opts)], rejects=RejectSink(scratch + "/rejects"))
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        run_until_done(job.start(message_log_stream(spark, log), scratch + "/ckpt", trigger={"availableNow": True}), 300)
+        assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning") == "false"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for sink, reader in (("cells", read_cells), ("index", read_latest)):
+        files = [f for _, _, names in os.walk(f"{scratch}/{sink}") for f in names if f.endswith(".parquet")]
+        assert len(files) > 3, (sink, files)
+        assert reader(spark, f"{scratch}/{sink}").count() == 40000
