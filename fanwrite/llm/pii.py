@@ -16,6 +16,7 @@ several languages).
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 from functools import cache
 
@@ -63,9 +64,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+_IN_DIGITS = str.maketrans({c: str(int(c, 36)) for c in string.digits + string.ascii_letters})
+
+
 def iban_checks(text: str) -> bool:
     code = text.replace(" ", "")
-    return 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+    return 15 <= len(code) <= 34 and int((code[4:] + code[:4]).translate(_IN_DIGITS)) % 97 == 1
 
 
 def small(number: str) -> bool:
